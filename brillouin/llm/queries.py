@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .line_dedup import dedup_lines
+from .packing import pack_sequences
 from .quality import rate_quality
 from .shared import table
 from .sharding import shard_records
@@ -27,6 +29,10 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def op10_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_sequences(table(spark, sf_dir, "documents"), tokenizer=public_tokenizers.path("word_bpe_49k.json"))
+
+
 _OP9_SQL = """
 WITH line AS (
   SELECT doc_id, i, part,
@@ -44,7 +50,7 @@ FROM judged GROUP BY doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_rendezvous_shards, op7_quality_rules, op9_line_dedup)}
+    return {f.__name__: f for f in (op3_rendezvous_shards, op7_quality_rules, op9_line_dedup, op10_pack_windows)}
 
 
 def oracle_sql() -> dict[str, str]:
