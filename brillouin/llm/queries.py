@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .line_dedup import dedup_lines
+from .mixing import mix_sources
 from .packing import pack_sequences
 from .quality import rate_quality
 from .shared import table
@@ -19,6 +20,11 @@ def op3_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_records(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=24)
 
 
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = rate_quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rated.drop("text")
@@ -33,6 +39,36 @@ def op10_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_sequences(table(spark, sf_dir, "documents"), tokenizer=public_tokenizers.path("word_bpe_49k.json"))
 
 
+_OP5_SQL = r"""
+WITH sized AS (
+  SELECT *, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS closing
+  FROM documents),
+drawn AS (
+  SELECT doc_id, source, text, size,
+         -ln((CAST('0x' || substr(md5('17:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE)
+           / (1 + CASE WHEN size >= 50 THEN 1 ELSE 0 END + CASE WHEN length(text) BETWEEN 4 * size AND 12 * size THEN 1 ELSE 0 END
+              + CASE WHEN right(closing, 1) IN ('.', '!', '?') THEN 1 ELSE 0 END) AS draw
+  FROM sized),
+total AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS BIGINT) AS weight
+  FROM drawn GROUP BY source),
+levels AS (
+  SELECT *, CAST(sum(source_size) OVER () - coalesce(sum(3 * source_size) OVER before, 0) AS DOUBLE) / CAST(sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS DOUBLE) AS level
+  FROM total
+  WINDOW before AS (ORDER BY CAST(3 * source_size AS DOUBLE) / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+targets AS (
+  SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE), weight * max(level) OVER ()) AS target FROM levels),
+ordered AS (
+  SELECT d.doc_id, d.size, t.source_size, t.target, CAST(floor(t.target) AS BIGINT) AS budget,
+         CASE WHEN t.source_size > 0 THEN CAST(floor(t.target) AS BIGINT) // t.source_size ELSE 0 END AS epochs,
+         CAST(coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.draw, d.doc_id, d.size, d.text ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+  FROM drawn d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+       CAST(epochs * size + greatest(0, least(size, budget - epochs * source_size - before)) AS BIGINT) AS taken
+FROM ordered
+"""
+
 _OP9_SQL = """
 WITH line AS (
   SELECT doc_id, i, part,
@@ -50,8 +86,8 @@ FROM judged GROUP BY doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_rendezvous_shards, op7_quality_rules, op9_line_dedup, op10_pack_windows)}
+    return {f.__name__: f for f in (op3_rendezvous_shards, op5_mix_sources, op7_quality_rules, op9_line_dedup, op10_pack_windows)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_dedup": _OP9_SQL}
+    return {"op5_mix_sources": _OP5_SQL, "op9_line_dedup": _OP9_SQL}
