@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .jaccard_join import jaccard_components
 from .line_dedup import dedup_lines
 from .mixing import mix_sources
 from .packing import pack_sequences
@@ -30,6 +31,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rated.drop("text")
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), n=4, threshold=(85, 100))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
@@ -86,7 +91,7 @@ FROM judged GROUP BY doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_rendezvous_shards, op5_mix_sources, op7_quality_rules, op9_line_dedup, op10_pack_windows)}
+    return {f.__name__: f for f in (op3_rendezvous_shards, op5_mix_sources, op7_quality_rules, op8_jaccard_join, op9_line_dedup, op10_pack_windows)}
 
 
 def oracle_sql() -> dict[str, str]:
