@@ -16,6 +16,11 @@ from .packing import pack_sequences
 from .quality import rate_quality
 from .shared import table
 from .sharding import shard_records
+from .toxicity import score_toxicity
+
+
+def op1_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def op2_epsilon_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,7 +101,7 @@ FROM judged GROUP BY doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_epsilon_grid_join, op3_rendezvous_shards, op5_mix_sources, op7_quality_rules, op8_jaccard_join, op9_line_dedup, op10_pack_windows)}
+    return {f.__name__: f for f in (op1_kneser_ney_toxicity, op2_epsilon_grid_join, op3_rendezvous_shards, op5_mix_sources, op7_quality_rules, op8_jaccard_join, op9_line_dedup, op10_pack_windows)}
 
 
 def oracle_sql() -> dict[str, str]:
