@@ -17,6 +17,7 @@ from .quality import rate_quality
 from .shared import table
 from .sharding import shard_records
 from .toxicity import score_toxicity
+from .wrapper import extract_text
 
 
 def op1_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +32,11 @@ def op3_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_records(table(spark, sf_dir, "documents").select("doc_id", "text"), shards=24)
 
 
+def op4_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", "n_chars")
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -101,7 +107,7 @@ FROM judged GROUP BY doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_kneser_ney_toxicity, op2_epsilon_grid_join, op3_rendezvous_shards, op5_mix_sources, op7_quality_rules, op8_jaccard_join, op9_line_dedup, op10_pack_windows)}
+    return {f.__name__: f for f in (op1_kneser_ney_toxicity, op2_epsilon_grid_join, op3_rendezvous_shards, op4_wrapper_text, op5_mix_sources, op7_quality_rules, op8_jaccard_join, op9_line_dedup, op10_pack_windows)}
 
 
 def oracle_sql() -> dict[str, str]:
