@@ -16,6 +16,7 @@ from .packing import pack_sequences
 from .quality import rate_quality
 from .shared import table
 from .sharding import shard_records
+from .token_counts import count_tokens
 from .toxicity import score_toxicity
 from .wrapper import extract_text
 
@@ -42,6 +43,11 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary_file=public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.select("doc_id", "n_words", "n_tokens")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rated = rate_quality(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rated.drop("text")
@@ -107,7 +113,7 @@ FROM judged GROUP BY doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_kneser_ney_toxicity, op2_epsilon_grid_join, op3_rendezvous_shards, op4_wrapper_text, op5_mix_sources, op7_quality_rules, op8_jaccard_join, op9_line_dedup, op10_pack_windows)}
+    return {f.__name__: f for f in (op1_kneser_ney_toxicity, op2_epsilon_grid_join, op3_rendezvous_shards, op4_wrapper_text, op5_mix_sources, op6_unigram_counts, op7_quality_rules, op8_jaccard_join, op9_line_dedup, op10_pack_windows)}
 
 
 def oracle_sql() -> dict[str, str]:
