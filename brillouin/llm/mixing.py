@@ -20,8 +20,8 @@ from pyspark.sql import functions as F
 
 from .shared import own_names
 
-#: Ranges of the key that a source is dealt into.
-RANGES = 128
+#: Ranges of the key that a source is dealt into, and how densely they lie at its start (about the mean weight).
+RANGES, SPREAD = 128, 3.0
 #: Words, and where a text can be cut between them (behind each word).
 WORD, BEHIND_WORD = r"[^\x20\x09-\x0D]+", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
 
@@ -68,11 +68,12 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "s
     repeat an id draw the same key and are taken by size, then text; an empty table gives an empty table; other
     columns pass through (a column named like a result column is an error).
     """
-    draw, part, key, before = own_names(docs, "draw", "range", "source", "before")
+    draw, part, key, before, tie = own_names(docs, "draw", "range", "source", "before", "tie")
     text = F.col(text_col).cast("string")
     base = docs.withColumn("size", word_count(text))
     base = base.withColumn(draw, -F.log(uniform(F.col(id_col), seed)) / (quality_weight(text, F.col("size")) if weight is None else weight))
-    base = base.withColumn(part, F.least(F.floor((1 - F.exp(-F.col(draw))) * RANGES), F.lit(RANGES - 1)).cast("int"))
+    base = base.withColumn(tie, F.xxhash64(text))
+    base = base.withColumn(part, F.least(F.floor((1 - F.exp(-SPREAD * F.col(draw))) * RANGES), F.lit(RANGES - 1)).cast("int"))
     base = base.withColumn(key, F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("")))
 
     parts = base.groupBy(F.col(key).alias("key"), F.col(part).alias("range")).agg(F.sum("size").alias("words"))
@@ -81,7 +82,7 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "s
     starts = parts.withColumn(before, F.coalesce(F.sum("words").over(upto), F.lit(0))).drop("words")
     plan = starts.join(_targets(sizes, weights, max_epochs), "key").select(F.col("key").alias(key), F.col("range").alias(part), before, "source_size", "target")
 
-    within = Window.partitionBy(key, part).orderBy(draw, id_col, "size", text_col).rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(key, part).orderBy(draw, id_col, "size", tie).rowsBetween(Window.unboundedPreceding, -1)
     budget = F.floor("target")
     epochs = F.when(F.col("source_size") > 0, F.expr("cast(floor(target) as bigint) div source_size")).otherwise(0)
     left = budget - epochs * F.col("source_size") - F.col(before) - F.coalesce(F.sum("size").over(within), F.lit(0))
