@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .components import components, forest
+from ..operators.graph import components, forest
 from .shared import written
 
 #: Vectors of a block and of a tile, children of an interval, dimensions of the grid and of the boxes.

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .components import components, forest
+from ..operators.graph import components, forest
 from .shared import Chunk, chunks, mixed, written
 
 #: log2 of the counter cells, of those on a page; sets of a short list; sets and shingles of a family's block.

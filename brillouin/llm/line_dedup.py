@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Chunk, by_chunk, chunks, lists, mixed, own_names, with_columns, written
+from .shared import Chunk, by_chunk, chunks, mixed, own_names, with_columns, without, written
 
 #: log2 of the cells of each Bloom filter, cells a key takes, log2 of the cells of a page.
 BLOOM_BITS, BLOOM_CELLS, PAGE_BITS = 26, 2, 18
@@ -162,14 +162,17 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     Defined cases: a null or empty text is one empty line; a null id counts as a document of its own and as the
     smallest id; rows that repeat an id count as documents each and are treated alike; within
-    a document a key counts once; an empty table gives an empty table; other columns pass through.
+    a document a key counts once; an empty table gives an empty table; other columns pass through, but for those
+    named like a result column, which it replaces.
     """
     spark = docs.sparkSession
+    docs = without(docs, *names)
     (drop,) = own_names(docs, "drop")
     shared = spark.sparkContext.broadcast(seen_twice(docs, text_col, min_chars, bits))
     kind = docs.schema[id_col].dataType.simpleString()
     suspects = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_suspects(min_chars, bits, shared), f"id {kind}, hash long, digest binary"))
-    confirmed = suspects.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
+    # written, so that the join below has two plain sides and Spark can split a key that very many documents hold
+    confirmed = written(suspects.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs))
     elsewhere: Column = ~F.col("id").eqNullSafe(F.col("keeper"))
     drops = suspects.join(confirmed, "digest").where(elsewhere).groupBy("id").agg(F.collect_set("hash").alias(drop))
     joined = docs.join(drops, docs[id_col].eqNullSafe(drops["id"]), "left").drop(drops["id"])

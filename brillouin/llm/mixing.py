@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import own_names
+from .shared import own_names, without
 
 #: Ranges of the key that a source is dealt into, and how densely they lie at its start (about the mean weight).
 RANGES, SPREAD = 128, 3.0
@@ -66,8 +66,9 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "s
 
     Defined cases: a null text has no words and nothing is taken of it; null is a source of its own; rows that
     repeat an id draw the same key and are taken by size, then text; an empty table gives an empty table; other
-    columns pass through (a column named like a result column is an error).
+    columns pass through, but for those named like a result column, which it replaces.
     """
+    docs = without(docs, "size", "source_size", "target", "taken")
     draw, part, key, before, tie = own_names(docs, "draw", "range", "source", "before", "tie")
     text = F.col(text_col).cast("string")
     base = docs.withColumn("size", word_count(text))
@@ -93,8 +94,9 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "s
 
 def expanded(mixed: DataFrame, columns: list[str], *, text_col: str = "text") -> DataFrame:
     """The documents of the mix: a row for each time a document is taken; the last of its rows has the words still wanted."""
-    turn = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("taken") - 1) / F.col("size")).cast("long")))
-    rows = mixed.where(F.col("taken") > 0).withColumn("__turn", turn)
-    wanted = F.least(F.col("size"), F.col("taken") - F.col("__turn") * F.col("size"))
+    (turn,) = own_names(mixed, "turn")
+    turns = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("taken") - 1) / F.col("size")).cast("long")))
+    rows = mixed.where(F.col("taken") > 0).withColumn(turn, turns)
+    wanted = F.least(F.col("size"), F.col("taken") - F.col(turn) * F.col("size"))
     cut = F.array_join(F.slice(F.split(text_col, BEHIND_WORD), F.lit(1), wanted.cast("int")), "")
     return rows.withColumn(text_col, F.when(wanted < F.col("size"), cut).otherwise(F.col(text_col))).select(*columns)

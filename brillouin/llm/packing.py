@@ -169,7 +169,7 @@ def pack_sequences(docs: DataFrame, *, tokenizer: str, id_col: str = "doc_id", t
 
         def rows(last: bool) -> Iterator[pa.RecordBatch]:
             if got := stream.pack(last):
-                yield pa.RecordBatch.from_pydict({"doc_id": pa.array(got.pop("doc_id"), id_type), **{k: pa.array(np.asarray(v, np.int64)) for k, v in got.items()}})
+                yield pa.RecordBatch.from_pydict({id_col: pa.array(got.pop("doc_id"), id_type), **{k: pa.array(np.asarray(v, np.int64)) for k, v in got.items()}})
 
         for batch in batches:
             id_type = batch.column(0).type

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Chunk, by_chunk, mixed, own_names, with_columns
+from .shared import Chunk, by_chunk, mixed, own_names, with_columns, without
 
 #: Rule: (name, feature, good from, good to, bad below, bad above). It votes good inside the first range, bad outside the second.
 RULES = (
@@ -23,13 +23,13 @@ RULES = (
     ("lines", "dup_line_share", 0.0, 0.05, 0.0, 0.50),
     ("length", "word_length", 3.0, 9.0, 2.0, 14.0),
     ("letters", "wordless_share", 0.0, 0.04, 0.0, 0.15),
-    ("short", "short_share", 0.12, 0.60, 0.03, 0.80),
+    ("short", "short_share", 0.05, 0.60, 0.0, 0.80),
     ("stops", "words_per_stop", 3.0, 40.0, 1.0, 120.0),
 )
 #: Votes (bad, abstains, good) of a rule in bad and in good documents before EM, and how many documents this belief is worth.
 START, STRENGTH = ((0.35, 0.15, 0.5), (0.005, 0.095, 0.9)), 20.0
 #: A bad vote is at least so many times likelier in a bad document; another vote at most so many times likelier in a good one.
-BAD_VOTE, GOOD_VOTE = 20.0, 1.6
+BAD_VOTE, GOOD_VOTE = 2.0, 1.6
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -183,9 +183,10 @@ def rate_quality(docs: DataFrame, *, text_col: str = "text", threshold: float =
     three-word windows. `quality` is the posterior probability; `kept` needs it to be at least `threshold`, and not base_failed.
 
     Defined cases: null and empty texts have no words, so they fail and every rule abstains; a repeated row
-    counts each time; an empty table gives an empty table; other columns pass through (one that has
-    the name of a result column is an error, as for any ambiguous column).
+    counts each time; an empty table gives an empty table; other columns pass through, but for those named like
+    a result column, which it replaces.
     """
+    docs = without(docs, *BASE, "base_failed", "quality", "kept")
     patterns, counts = _pattern_counts(docs, text_col)
     prior, tables = fit(patterns, counts)
 

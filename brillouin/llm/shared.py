@@ -1,4 +1,4 @@
-"""Helpers shared by the corpus operators: scratch tables and byte-level text arrays.
+"""Helpers shared by the corpus operators: byte-level text arrays and columns.
 
 Texts are handled in Arrow batches inside tasks.  A batch is cut into chunks of about
 `CHUNK_BYTES` bytes (always whole texts), and each chunk is worked on with numpy over its UTF-8
@@ -8,14 +8,16 @@ bytes, so memory is bounded by the chunk or by the longest single text.
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from ..plans.scratch import written
+
+__all__ = ["Chunk", "by_chunk", "chunks", "lists", "mixed", "own_names", "table", "with_columns", "without", "written"]
+
 #: Bytes of text that are worked on at a time.
 CHUNK_BYTES = 1 << 20
 
@@ -33,21 +35,10 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir; only where that is unset, a local one is set."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/scratch-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame) -> DataFrame:
-    """`df` written as a table in the shared folder and read back: cuts lineage, survives executors."""
-    spark = df.sparkSession
-    path = scratch_dir(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """`df` without its columns of these names (compared without case): result columns take their place."""
+    taken = {n.lower() for n in names}
+    return df.drop(*(c for c in df.columns if c.lower() in taken))
 
 
 def own_names(df: DataFrame, *names: str) -> list[str]:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import chunks, own_names, with_columns
+from .shared import chunks, own_names, with_columns, without
 
 #: Words that a Python worker keeps; the cache is emptied when it is full.
 CACHE_WORDS = 500_000
@@ -103,9 +103,10 @@ def _counts(path: str) -> PieceCounts:
 def count_tokens(docs: DataFrame, *, vocabulary_file: str, text_col: str = "text", name: str = "n_tokens") -> DataFrame:
     """All rows of `docs` with n_words (words between ASCII white space) and the number of unigram tokens of the whole text.
 
-    Defined cases: null, empty and blank texts have no tokens; other columns pass through; an empty table
-    gives an empty table; repeated rows are counted each.
+    Defined cases: null, empty and blank texts have no tokens; an empty table gives an empty table; repeated rows are counted
+    each; other columns pass through, but for those named like a result column, which it replaces.
     """
+    docs = without(docs, "n_words", name)
     (text,) = own_names(docs, "text")
     given = docs.withColumn(text, F.col(text_col).cast("string"))
     width = len(docs.columns)
