@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import vec as V
+from ..plans.scratch import written
 
 HKL = ("h", "k", "l")
 
@@ -26,41 +27,37 @@ def _range(low: Column, high: Column) -> Column:
     return F.when(low <= high, F.sequence(low.cast("int"), high.cast("int"))).otherwise(F.array().cast("array<int>"))
 
 
-def _sphere_roots(setting, s0, h: Column, k: Column) -> tuple[Column, Column]:
-    """The two real l at which h k l lies on the Ewald sphere; null if the line misses it."""
-    m = V.entries(setting)
-    step, base = (m[2], m[5], m[8]), _point(setting, h, k, F.lit(0))
-    a, b = V.norm2(step), V.dot(step, V.add(base, s0))
-    c = V.norm2(base) + 2 * V.dot(s0, base)
-    root = F.when(b * b - a * c >= 0, F.sqrt(b * b - a * c))
-    return (-b - root) / a, (-b + root) / a
-
-
 def candidate_indices(images: DataFrame, a1: str, a2: str, s0_1: str, s0_2: str, dmin: Column | float) -> DataFrame:
     """A row for each image and index between its two Ewald spheres (and a margin of one index), within dmin.
 
     Bounds: |h| <= |a| / dmin and likewise for k; l within the resolution sphere, and near either surface of the spheres.
     """
     limit = dmin if isinstance(dmin, Column) else F.lit(float(dmin))
-    axes = V.real_space(F.col(a1))
-    top = [F.ceil(V.norm(v) / limit).cast("int") for v in axes]
-    rows = images.withColumn("__dmin", limit).withColumn("h", F.explode(_range(-top[0], top[0])))
-    # a line of k l = const meets the resolution sphere only if the distance of its h from the origin allows
-    rows = rows.withColumn("k", F.explode(_range(-top[1], top[1])))
-    m = V.entries(F.col(a1))
-    step, base = (m[2], m[5], m[8]), _point(F.col(a1), F.col("h"), F.col("k"), F.lit(0))
-    a, b, c = V.norm2(step), V.dot(step, base), V.norm2(base) - 1 / (F.col("__dmin") * F.col("__dmin"))
-    rows = rows.where(b * b - a * c >= 0)
-    reach = F.sqrt(b * b - a * c)
-    inner = (F.ceil((-b - reach) / a), F.floor((-b + reach) / a))
-    low_1, high_1 = _sphere_roots(F.col(a1), F.col(s0_1), F.col("h"), F.col("k"))
-    low_2, high_2 = _sphere_roots(F.col(a2), F.col(s0_2), F.col("h"), F.col("k"))
-    bands = [(F.least(low_1, low_2), F.greatest(low_1, low_2)), (F.least(high_1, high_2), F.greatest(high_1, high_2))]
-    # a line that touches one sphere only is open between its two roots
-    single = low_1.isNull() | low_2.isNull()
-    bands[0] = (bands[0][0], F.when(single, F.coalesce(high_1, high_2)).otherwise(bands[0][1]))
-    ls = [_range(F.greatest(inner[0], F.floor(p) - 1), F.least(inner[1], F.ceil(q) + 1)) for p, q in bands]
-    rows = rows.withColumn("l", F.explode(F.array_union(*ls))).drop("__dmin")
+    inner = V.real_space(F.col(a1))
+    rows = images.withColumns({"__dmin": limit, "__h": F.ceil(V.norm(inner[0]) / limit).cast("int"), "__k": F.ceil(V.norm(inner[1]) / limit).cast("int")})
+    rows = rows.withColumn("h", F.explode(_range(-F.col("__h"), F.col("__h")))).withColumn("k", F.explode(_range(-F.col("__k"), F.col("__k"))))
+
+    def line(name: str, setting: str, beam: str | None) -> dict[str, Column]:
+        """Coefficients of the square of the distance along l: of the resolution sphere, or of an Ewald sphere."""
+        m = V.entries(F.col(setting))
+        step, base = (m[2], m[5], m[8]), _point(F.col(setting), F.col("h"), F.col("k"), F.lit(0))
+        if beam is None:
+            return {f"__a{name}": V.norm2(step), f"__b{name}": V.dot(step, base), f"__c{name}": V.norm2(base) - 1 / (F.col("__dmin") * F.col("__dmin"))}
+        s0 = V.parts(F.col(beam))
+        return {f"__a{name}": V.norm2(step), f"__b{name}": V.dot(step, V.add(base, s0)), f"__c{name}": V.norm2(base) + 2 * V.dot(s0, base)}
+
+    rows = rows.withColumns(line("0", a1, None) | line("1", a1, s0_1) | line("2", a2, s0_2))
+    for n in "012":  # half the distance between the roots; null where the line misses the sphere
+        d = F.col(f"__b{n}") * F.col(f"__b{n}") - F.col(f"__a{n}") * F.col(f"__c{n}")
+        rows = rows.withColumn(f"__d{n}", F.when(d >= 0, F.sqrt(d)))
+    rows = rows.withColumns({f"__{side}{n}": (-F.col(f"__b{n}") + sign * F.col(f"__d{n}")) / F.col(f"__a{n}") for n in "012" for side, sign in (("p", -1), ("q", 1))})
+    first, last = F.ceil("__p0"), F.floor("__q0")
+    single = F.col("__p1").isNull() | F.col("__p2").isNull()
+    # a line that touches one Ewald sphere only is open between its two roots
+    rows = rows.withColumns({"__u1": F.greatest(first, F.floor(F.least("__p1", "__p2")) - 1), "__u2": F.least(last, F.ceil(F.when(single, F.coalesce("__q1", "__q2")).otherwise(F.greatest("__p1", "__p2"))) + 1), "__v1": F.greatest(first, F.floor(F.least("__q1", "__q2")) - 1), "__v2": F.least(last, F.ceil(F.greatest("__q1", "__q2")) + 1)})
+    rows = rows.where(F.col("__p0").isNotNull() & (F.col("__p1").isNotNull() | F.col("__p2").isNotNull()))
+    rows = rows.withColumn("l", F.explode(F.array_union(_range(F.col("__u1"), F.col("__u2")), _range(F.col("__v1"), F.col("__v2")))))
+    rows = rows.drop("__dmin", "__h", "__k", *(f"__{x}{n}" for x in "abcdpq" for n in "012"), "__u1", "__u2", "__v1", "__v2")
     return rows.where((F.col("h") != 0) | (F.col("k") != 0) | (F.col("l") != 0))
 
 
@@ -103,30 +100,30 @@ def setting_at(fixed, rotation_axis, angle: Column, setting, a) -> list[Column]:
     return V.multiply(setting, [columns[c][r] for r in range(3) for c in range(3)])
 
 
-def _root_in_unit(a: Column, b: Column, c: Column) -> Column:
-    """The first root of a x^2 + 2 b x + c in [0, 1]; null if there is none."""
-    root = F.sqrt(F.when(b * b - a * c >= 0, b * b - a * c))
-    low, high = (-b - root) / a, (-b + root) / a
-    return F.when(low.between(0, 1), low).when(high.between(0, 1), high)
-
-
 def rotation_rays(rows: DataFrame, dmin, phi_begin: Column, width: Column) -> DataFrame:
-    """Rays of indices that cross the sphere while the models go from (a1, s0_1) to (a2, s0_2): adds s1, phi, entering."""
+    """Rays of indices that cross the sphere while the models go from (a1, s0_1) to (a2, s0_2): adds s1, phi, entering.
+
+    Each step has its own columns, so no expression is worked out more than once.
+    """
     h = [F.col(c) for c in HKL]
-    r1, r2 = _point(F.col("a1"), *h), _point(F.col("a2"), *h)
-    s1_, s2_ = V.parts(F.col("s0_1")), V.parts(F.col("s0_2"))
-    step, from_1, from_2 = V.sub(r2, r1), V.add(s1_, r1), V.add(s2_, r2)
-    outside_1, outside_2 = V.norm(from_1) >= V.norm(s1_), V.norm(from_2) >= V.norm(s2_)
-    rows = rows.where((outside_1 != outside_2) & (V.norm2(r1) * dmin * dmin <= 1))
-    a = V.norm2(step)
-    first = _root_in_unit(a, V.dot(from_1, step), V.norm2(r1) + 2 * V.dot(s1_, r1))
-    last = _root_in_unit(a, -V.dot(from_2, step), V.norm2(r2) + 2 * V.dot(s2_, r2))
-    rows = rows.withColumn("__alpha", first / (first + last)).where(F.col("__alpha").isNotNull())
-    alpha = F.col("__alpha")
-    u1 = V.unit(s1_)
-    beam = V.scale(V.add(u1, V.scale(V.sub(V.unit(s2_), u1), alpha)), (V.norm(s1_) + V.norm(s2_)) / 2)
-    ray = V.add(V.add(r1, V.scale(step, alpha)), beam)
-    return rows.withColumns({"s1": V.vector(*ray), "phi": phi_begin + alpha * width, "entering": outside_1}).drop("__alpha")
+    rows = rows.withColumns({"__r1": V.vector(*_point(F.col("a1"), *h)), "__r2": V.vector(*_point(F.col("a2"), *h))})
+    r1, r2, b1, b2 = (F.col(c) for c in ("__r1", "__r2", "s0_1", "s0_2"))
+    rows = rows.withColumns({"__step": V.vector(*V.sub(r2, r1)), "__f1": V.vector(*V.add(b1, r1)), "__f2": V.vector(*V.add(b2, r2)), "__n": V.norm2(r1)})
+    step = F.col("__step")
+    rows = rows.withColumns({"entering": V.norm(F.col("__f1")) >= V.norm(b1), "__out": V.norm(F.col("__f2")) >= V.norm(b2), "__a": V.norm2(step)})
+    # a x^2 + 2 b x + c at the start, going on, and at the end, going back
+    rows = rows.withColumns({"__b1": V.dot(F.col("__f1"), step), "__c1": F.col("__n") + 2 * V.dot(b1, r1), "__b2": -V.dot(F.col("__f2"), step), "__c2": V.norm2(r2) + 2 * V.dot(b2, r2)})
+    rows = rows.where((F.col("entering") != F.col("__out")) & (F.col("__n") * dmin * dmin <= 1))
+    for k in "12":
+        d = F.col(f"__b{k}") * F.col(f"__b{k}") - F.col("__a") * F.col(f"__c{k}")
+        rows = rows.withColumn(f"__d{k}", F.when(d >= 0, F.sqrt(d)))
+        rows = rows.withColumns({f"__low{k}": F.try_divide(-F.col(f"__b{k}") - F.col(f"__d{k}"), "__a"), f"__high{k}": F.try_divide(-F.col(f"__b{k}") + F.col(f"__d{k}"), "__a")})
+        rows = rows.withColumn(f"__x{k}", F.when(F.col(f"__low{k}").between(0, 1), F.col(f"__low{k}")).when(F.col(f"__high{k}").between(0, 1), F.col(f"__high{k}")))
+    rows = rows.withColumn("__alpha", F.try_divide("__x1", F.col("__x1") + F.col("__x2")))
+    alpha, u1 = F.col("__alpha"), V.unit(b1)
+    beam = V.scale(V.add(u1, V.scale(V.sub(V.unit(b2), u1), alpha)), (V.norm(b1) + V.norm(b2)) / 2)
+    rows = rows.withColumns({"s1": V.vector(*V.add(V.add(r1, V.scale(step, alpha)), beam)), "phi": phi_begin + alpha * width})
+    return rows.where(F.col("__alpha").isNotNull()).drop(*(c for c in rows.columns if c in {"__r1", "__r2", "__step", "__f1", "__f2", "__n", "__out", "__a", "__alpha"} or c[:-1] in {"__b", "__c", "__d", "__low", "__high", "__x"}))
 
 
 def static_rays(rows: DataFrame, setting, s0, axis, dmin, phi_begin: Column, width: Column) -> DataFrame:
@@ -198,10 +195,14 @@ def rotation_scan(datasets: DataFrame, axis, setting, dmin: float, panel: dict,
     static = {"a1": F.col("a"), "a2": F.col("a"), "s0_1": F.col("s0"), "s0_2": F.col("s0")}
     rows = images.withColumns(static) if points is None else with_scan_points(images, usable_scan_points(points, datasets), static)
     turned = {n: V.matrix(setting_at(identity, axis, begin + (width if n == "a2" else 0), setting or identity, F.col(n))) for n in ("a1", "a2")}
-    found = rotation_rays(candidate_indices(rows.withColumns(turned), "a1", "a2", "s0_1", "s0_2", dmin), dmin, begin, width)
+    # a row for each image, written once: the matrices are not worked out again for every index
+    rows = written(rows.withColumns(turned).withColumns({"__begin": begin, "__width": width}))
+    begin, width = F.col("__begin"), F.col("__width")
+    # each step is a table of its own: in one plan the expressions of all steps would be inlined into each other
+    found = written(rotation_rays(written(candidate_indices(rows, "a1", "a2", "s0_1", "s0_2", dmin)), dmin, begin, width))
     found = found.withColumn("flags", F.lit(1).cast("long"))
     placed = on_detector(found, panel, F.col("osc_start"), F.col("osc_width"), 1)
-    return placed.drop("a1", "a2", "s0_1", "s0_2", "a")
+    return placed.drop("a1", "a2", "s0_1", "s0_2", "a", "__begin", "__width")
 
 
 def repredicted(rows: DataFrame, setting, s0, axis) -> DataFrame:
