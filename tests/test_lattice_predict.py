@@ -69,18 +69,6 @@ def test_grid_cells(spark):
     assert cells(4.0, 10.0, 64) == {27501: pytest.approx(0.86070797642505781)}
 
 
-def test_voids(spark):
-    at = [0, 4, 20, 24, 100, 104, 120, 124, 12, 37, 38, 39, 42, 43, 62, 63, 67, 112]
-    rows = spark.createDataFrame([(0, c, 100.0) for c in at] + [(0, 1, 1.0)], "dataset int, cell long, power double")
-    got = I.voids(I.above_noise(rows, ["dataset"], 5, 1.0), 5).orderBy("size").collect()
-    assert [r["size"] for r in got] == [8, 10]
-    mod = lambda v: sorted(round(x % 1.0, 9) for x in v)
-    assert mod([got[1]["com_z"], got[1]["com_y"], got[1]["com_x"]]) == mod([1.2, 0.46, 0.5])
-    assert mod([got[0]["com_z"], got[0]["com_y"], got[0]["com_x"]]) == mod([0.9, -0.1, 0.9])
-    sizes = spark.createDataFrame([(0, k, v) for k, v in enumerate([1, 3, 1, 2, 80, 5, 3, 4, 2])], "dataset int, void int, size long")
-    assert [r["size"] for r in I.large_voids(sizes, ["dataset"], 0.2).orderBy("void").collect()] == [3, 2, 80, 5, 3, 4, 2]
-
-
 @pytest.mark.parametrize("com,size,want", [
     ([[0.75] * 3, [0.1] * 3, [0.4] * 3], [8, 10, 10], [25.6, 102.4, -64.0]), ([[0.75] * 3, [0.1] * 3, [0.4] * 3], [8, 11, 10], [25.6, -64.0]), ([[0.75] * 3, [0.6] * 3, [0.405] * 3], [8, 10, 10], [-103.04, -64.0]),
 ])
