@@ -89,6 +89,30 @@ def test_extract_text(spark):
     assert entities.unescape("&amp;") == "&"
 
 
+def test_wrappers_come_from_all_pages_of_hosts_of_any_size(spark):
+    own = [f"<p>Words {i} of its own, {j}.</p>" for i in range(40) for j in range(2)]
+
+    def page(i, template, extra=""):
+        return f'<html><body><{template}><h1>Title {i}</h1>{own[2 * i]}{own[2 * i + 1]}<p>Written in {template} for you.</p>{extra}</{template}></body></html>'
+
+    rows = [(i, "http://two.org/", page(i, "article")) for i in range(2)]  # no tree alignment below six pages
+    rows += [(10 + i, "http://large.org/", page(i, "article")) for i in range(30)]
+    rows += [(60 + i, "http://large.org/", page(30 + i, "main")) for i in range(3)]  # a layout that a sample can miss
+    rows += [(90 + i, "http://copy.org/", page(7, "article", f"<p>Version {i}</p>")) for i in range(9)]  # one article, nine times
+    got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k, _, _ in rows[:35]:
+        i = k if k < 10 else k - 10 if k < 60 else k - 30
+        assert got[k] == f"Title {i}\nWords {i} of its own, 0.\nWords {i} of its own, 1."
+    assert all("Title 7" in got[90 + i] and "Words 7 of its own, 0." in got[90 + i] for i in range(9))
+
+
+def test_tree_matching_of_deep_and_wide_pages():
+    deep = "<div>" * 3000 + "same"
+    assert len(match(_Tree(Page(deep)), _Tree(Page(deep)))) == 3001
+    wide = [_Tree(Page("".join(f"<p>{i}</p>" for i in range(n, 100)))) for n in (0, 40)]
+    assert {wide[0].text[x] for x, y in match(*wide).items() if wide[0].text[x] == wide[1].text[y]} >= {str(i) for i in range(40, 100)}
+
+
 def test_pipeline_stages(spark, tmp_path):
     import random
 
