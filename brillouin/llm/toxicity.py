@@ -3,9 +3,9 @@
 Two models of order `ORDER` over letters, one of toxic and one of ordinary texts, share every lower order: the backoff
 probabilities come from the continuation counts of both classes together, so a rare expression that neither
 class knows well is about as likely in both.  A word's evidence is its log-likelihood in the toxic model minus that in the
-ordinary one, and a text's statistic is the mean of that over its `WORST` most toxic words (a mean of so many
-words for every text, so long and short texts compare).  A logistic curve turns the statistic into a score; it is fitted on the
-labelled texts that were not counted.
+ordinary one.  A text has three statistics: the difference of its two log-likelihoods over all letters, divided by its length; the mean
+evidence of its `WORST` most toxic words; and the logarithm of its words, because the most toxic of many words are further out.
+A logistic curve of all three gives the score; it is fitted on the labelled texts that were not counted.
 
 Counts cover all labelled texts of the counting part.  They are added up by letter group in pages of a
 fixed table; the model that goes to the tasks has `2 ** CELL_BITS` cells whatever the corpus is (groups that share a cell
@@ -26,8 +26,10 @@ from .shared import chunks, mixed, own_names, with_columns
 
 #: Letters of a group, log2 of the table's cells and of a page's, discount, words of the statistic.
 ORDER, CELL_BITS, PAGE_BITS, DISCOUNT, WORST = 5, 21, 15, 0.75, 3
-#: Width of a bin of the calibration counts, and the curve without labels: (slope, middle, how many texts it is worth).
-BIN, CURVE = 0.05, (1.5, 3.5, 4.0)
+#: Width, lowest and highest value of the calibration counts' bins for each statistic.
+BINS = ((0.02, -2.0, 2.0), (0.1, 0.0, 25.0), (1.0, 0.0, 16.0))
+#: The curve without labels: its constant and factors, and how far labels may draw each.
+CURVE, DRAWN = (-5.25, 4.0, 1.5, 0.0), (10.0, 30.0, 3.0, 1.0)
 
 # Bytes: a-z, every byte of other scripts; anything else parts words.
 _SYMBOL = np.full(256, 0x20, np.uint8)
@@ -150,8 +152,8 @@ class Model:
         self.check[at] = (cell & np.uint64(0xFFFF)) | np.uint64(1)
         self.unseen[(_cell(context) >> np.uint64(64 - CELL_BITS + 1)).astype(np.int64)] = np.log(left[0] / left[1])
 
-    def words(self, text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Evidence of each word of all texts, and the words before each text (and in all)."""
+    def words(self, text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Evidence and length of each word of all texts, and the words before each text (and in all)."""
         group = _groups(text, ORDER)
         cell = _cell(group)
         at = (cell >> np.uint64(64 - CELL_BITS)).astype(np.int64)
@@ -161,7 +163,7 @@ class Model:
         letter = text != 0x20
         starts = np.flatnonzero(letter & np.concatenate([[True], ~letter[:-1]]))
         stops = np.flatnonzero(letter & np.concatenate([~letter[1:], [True]])) + 2  # with the space behind
-        return total[np.minimum(stops, len(x))] - total[starts], np.searchsorted(starts, ends)
+        return total[np.minimum(stops, len(x))] - total[starts], np.minimum(stops, len(x)) - starts, np.searchsorted(starts, ends)
 
 
 def _backoff(group: np.ndarray) -> np.ndarray:
@@ -181,57 +183,60 @@ def _backoff(group: np.ndarray) -> np.ndarray:
 
 
 def statistic(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Mean evidence of the WORST most toxic words of each text, where words that are not toxic (or missing) count 0."""
+    """For each text: log-likelihood ratio of all words a letter, mean evidence of the WORST most toxic words (missing ones and those that are not toxic count 0), log2 of 1 + words."""
     text, ends = _symbols(data, offsets)
     if not len(text):
-        return np.zeros(len(offsets) - 1)
-    value, first = model.words(text, ends)
+        return np.zeros((len(offsets) - 1, 3))
+    value, length, first = model.words(text, ends)
     count = np.diff(first)
     owner = np.repeat(np.arange(len(count)), count)
+    whole = np.bincount(owner, weights=value, minlength=len(count)) / np.maximum(np.bincount(owner, weights=length, minlength=len(count)), 1)
     order = np.lexsort((-value, owner))
     rank = np.arange(len(order)) - first[owner]
     top = order[rank < WORST]
-    return np.bincount(owner[top], weights=np.maximum(value[top], 0), minlength=len(count)) / WORST
+    worst = np.bincount(owner[top], weights=np.maximum(value[top], 0), minlength=len(count)) / WORST
+    return np.stack([whole, worst, np.log2(1 + count)], axis=1)
 
 
-def _scored(shared, column: str, name: str, curve: tuple[float, float] | None):
+def _scored(shared, column: str, name: str, curve: np.ndarray | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(column)
             rest = [k for k in range(batch.num_columns) if k != at]
             for chunk in chunks(batch.column(at)):
                 x = statistic(shared.value, chunk.data, chunk.offsets)
-                if curve:
-                    x = 1 / (1 + np.exp(-np.clip(curve[0] * (x - curve[1]), -60, 60)))
-                yield with_columns(batch.slice(chunk.first, chunk.n).select(rest), **{name: x})
+                if curve is None:
+                    columns = {f"{name}{k}": np.ascontiguousarray(x[:, k]) for k in range(x.shape[1])}
+                else:
+                    columns = {name: 1 / (1 + np.exp(-np.clip(curve[0] + x @ curve[1:], -60, 60)))}
+                yield with_columns(batch.slice(chunk.first, chunk.n).select(rest), **columns)
 
     return run
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> tuple[float, float]:
-    """Slope and middle of the logistic curve for n texts of statistic x and label y, drawn to CURVE where there are few."""
-    slope, middle, worth = CURVE
-    prior_x = np.array([middle - 2, middle + 2])
-    prior_y = 1 / (1 + np.exp(-slope * (prior_x - middle)))
-    xs = np.concatenate([x, prior_x, prior_x])
-    ys = np.concatenate([y, [1.0, 1.0, 0.0, 0.0]])
-    ns = np.concatenate([n, worth * prior_y, worth * (1 - prior_y)])
-    a, b = slope, -slope * middle
+def fit_curve(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Constant and factors of the logistic curve for n texts of statistics x and label y, drawn to CURVE where there are few."""
+    start, hold = np.array(CURVE), 1 / np.array(DRAWN) ** 2
+    full = np.concatenate([np.ones((len(x), 1)), x], axis=1)
+
+    def loss(beta: np.ndarray) -> float:
+        z = full @ beta
+        return float((n * (np.logaddexp(0, z) - y * z)).sum() + (hold * (beta - start) ** 2).sum() / 2)
+
+    beta = start.copy()
     for _ in range(100):
-        p = 1 / (1 + np.exp(-np.clip(a * xs + b, -60, 60)))
-        w = ns * p * (1 - p) + 1e-9
-        g = np.array([(ns * (ys - p) * xs).sum(), (ns * (ys - p)).sum()])
-        h = np.array([[(w * xs * xs).sum(), (w * xs).sum()], [(w * xs).sum(), w.sum()]])
-        step = np.linalg.solve(h + 1e-6 * np.eye(2), g)
-        step *= min(1.0, 2.0 / max(1e-12, np.abs(step / [1, 5]).max()))
-        a, b = a + step[0], b + step[1]
-        if np.abs(step).max() < 1e-9:
+        p = 1 / (1 + np.exp(-np.clip(full @ beta, -60, 60)))
+        g = full.T @ (n * (y - p)) - hold * (beta - start)
+        step = np.linalg.solve((full * (n * p * (1 - p))[:, None]).T @ full + np.diag(hold), g)
+        while loss(beta + step) > loss(beta) and np.abs(step).max() > 1e-9:
+            step /= 2
+        beta = beta + step
+        if np.abs(step).max() < 1e-8:
             break
-    a = max(a, 0.1)
-    return float(a), float(-b / a)
+    return beta
 
 
-def train(labelled: DataFrame, text: str, toxic: str, part: Column) -> tuple[Model, tuple[float, float]]:
+def train(labelled: DataFrame, text: str, toxic: str, part: Column) -> tuple[Model, np.ndarray]:
     """Models and curve from labelled texts; those where `part` is 0 (of 0 to 4) fit the curve, the others are counted."""
     spark = labelled.sparkSession
     rows = labelled.where(F.col(text).isNotNull() & F.col(toxic).isNotNull())
@@ -242,10 +247,12 @@ def train(labelled: DataFrame, text: str, toxic: str, part: Column) -> tuple[Mod
     found = _arrays(table)
     model = Model(*(np.concatenate(x) if x else np.zeros(0, np.uint64) for x in found))
     shared = spark.sparkContext.broadcast(model)
-    tried = rows.where(part == 0).select(F.col(text).alias("text"), one.alias("y")).mapInArrow(_scored(shared, "text", "x", None), "y int, x double")
-    bins = tried.groupBy(F.floor(F.greatest(F.least(F.col("x"), F.lit(50.0)), F.lit(-50.0)) / BIN).alias("bin"), "y").agg(F.count(F.lit(1)).alias("n")).collect()  # 100 / BIN bins of two labels
-    x, y, n = (np.array([r[k] for r in bins], np.float64) for k in ("bin", "y", "n"))
-    return model, fit_curve((x + 0.5) * BIN, y, n)
+    tried = rows.where(part == 0).select(F.col(text).alias("text"), one.alias("y")).mapInArrow(_scored(shared, "text", "x", None), "y int, x0 double, x1 double, x2 double")
+    binned = [F.floor(F.greatest(F.least(F.col(f"x{k}"), F.lit(high)), F.lit(low)) / width).alias(f"b{k}") for k, (width, low, high) in enumerate(BINS)]
+    bins = tried.groupBy(*binned, "y").agg(F.count(F.lit(1)).alias("n")).collect()  # a fixed number of bins at most
+    x = np.array([[(r[f"b{k}"] + 0.5) * b[0] for k, b in enumerate(BINS)] for r in bins], np.float64).reshape(-1, len(BINS))
+    y, n = (np.array([r[k] for r in bins], np.float64) for k in ("y", "n"))
+    return model, fit_curve(x, y, n)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic", threshold: float = 0.7) -> DataFrame:

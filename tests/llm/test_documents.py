@@ -293,6 +293,25 @@ def test_best_cuts_are_best():
         assert spent == cost[len(at) - 1]
 
 
+def test_toxicity_statistic_hears_the_whole_text():
+    import numpy as np
+    import pyarrow as pa
+
+    from brillouin.llm.shared import chunks
+
+    def groups(text):
+        chunk = next(chunks(pa.array([text])))
+        letters, _ = toxicity._symbols(chunk.data, chunk.offsets)
+        return np.unique(toxicity._groups(letters, toxicity.ORDER)[toxicity.ORDER - 1 :], return_counts=True)
+
+    bad, good = (dict(zip(*groups(t), strict=True)) for t in ("vile scum " * 50, "calm meadow " * 50))
+    every = np.array(sorted({*bad, *good}), np.uint64)
+    model = toxicity.Model(every, *(np.array([c.get(g, 0) for g in every]) for c in (bad, good)))
+    chunk = next(chunks(pa.array(["vile scum vile", "vile scum vile" + " calm meadow" * 500, "calm meadow"])))
+    short, long, clean = toxicity.statistic(model, chunk.data, chunk.offsets)
+    assert short[1] == long[1] > 0 and short[0] > 0 > max(long[0], clean[0])  # equal worst words, but not equal texts
+
+
 def test_toxicity_held_out(spark):
     import random
 
