@@ -3,14 +3,16 @@
 Two models of order `ORDER` over letters, one of toxic and one of ordinary texts, share every lower order: the backoff
 probabilities come from the continuation counts of both classes together, so a rare expression that neither
 class knows well is about as likely in both.  A word's evidence is its log-likelihood in the toxic model minus that in the
-ordinary one.  A text has three statistics: the difference of its two log-likelihoods over all letters, divided by its length; the mean
-evidence of its `WORST` most toxic words; and the logarithm of its words, because the most toxic of many words are further out.
-A logistic curve of all three gives the score; it is fitted on the labelled texts that were not counted.
-
-Counts cover all labelled texts of the counting part.  They are added up by letter group in pages of a
-fixed table; the model that goes to the tasks has `2 ** CELL_BITS` cells whatever the corpus is (groups that share a cell
-are counted together).  A group that the models have seen has its evidence in the table; for any
-other one the ratio depends on its context alone, because the shared backoff cancels.
+ordinary one.  A text has four statistics: the difference of its two log-likelihoods over all letters, divided by its length; the mean
+evidence of its `WORST` most toxic words; the logarithm of its words, because the most toxic of many words are further out; and that
+of its words with an evidence over `CLEAR`.  A logistic curve of all four gives the score; it is fitted on the labelled
+texts that were not counted.
+
+The models are tables that grow with the corpus.  Letter groups are counted exactly over all labelled texts of the counting part;
+continuation counts, shared probabilities and the evidence of each group follow by aggregations, windows over a context and joins of
+one order with the next.  A group that the models have seen has its evidence in the table; for any other one the ratio depends on its context alone, because
+the shared backoff cancels.  Tasks get the table by a broadcast while it has at most `BROADCAST` rows (checked), and otherwise by a join: texts are
+packed into blocks with the different groups that they need, and each block gets these.  Both ways give the same scores.
 """
 
 from __future__ import annotations
@@ -19,17 +21,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import chunks, mixed, own_names, with_columns
+from .shared import chunks, mixed, own_names, with_columns, written
 
-#: Letters of a group, log2 of the table's cells and of a page's, discount, words of the statistic.
-ORDER, CELL_BITS, PAGE_BITS, DISCOUNT, WORST = 5, 21, 15, 0.75, 3
+#: Letters of a group, discount, words of a statistic, evidence of a clearly toxic word.
+ORDER, DISCOUNT, WORST, CLEAR = 4, 0.75, 3, 4.0
+#: Rows of a model that are broadcast (16 bytes each), bytes of text in a block of the other way, groups that a counting task holds.
+BROADCAST, BLOCK_BYTES, HELD = 1 << 21, 1 << 24, 1 << 22
+#: Marks the key of a context among those of groups.
+CONTEXT = 1 << 8 * ORDER
 #: Width, lowest and highest value of the calibration counts' bins for each statistic.
-BINS = ((0.02, -2.0, 2.0), (0.1, 0.0, 25.0), (1.0, 0.0, 16.0))
+BINS = ((0.05, -2.0, 2.0), (0.2, 0.0, 25.0), (1.0, 0.0, 16.0), (0.5, 0.0, 12.0))
 #: The curve without labels: its constant and factors, and how far labels may draw each.
-CURVE, DRAWN = (-5.25, 4.0, 1.5, 0.0), (10.0, 30.0, 3.0, 1.0)
+CURVE, DRAWN = (-5.25, 4.0, 1.5, 0.0, 0.0), (10.0, 30.0, 3.0, 1.0, 2.0)
 
 # Bytes: a-z, every byte of other scripts; anything else parts words.
 _SYMBOL = np.full(256, 0x20, np.uint8)
@@ -64,16 +70,18 @@ def _groups(text: np.ndarray, order: int) -> np.ndarray:
     return out
 
 
-def _cell(groups: np.ndarray) -> np.ndarray:
-    return mixed(groups * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1))
-
-
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(page, groups, toxic, ordinary): what this task has counted."""
-    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    """(group, toxic, ordinary): what this task has counted."""
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def merged() -> tuple[np.ndarray, ...]:
+        group, toxic, ordinary = (np.concatenate(x) for x in zip(*held, strict=True))
+        value, inverse = np.unique(group, return_inverse=True)
+        return value, *(np.bincount(inverse, weights=x, minlength=len(value)).astype(np.int64) for x in (toxic, ordinary))
 
-    def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        return _merged([h[0] for h in held], [h[1] for h in held], [h[2] for h in held])
+    def out() -> pa.RecordBatch:
+        group, toxic, ordinary = merged()
+        return pa.RecordBatch.from_pydict({"group": group.view(np.int64), "toxic": toxic, "ordinary": ordinary})
 
     for batch in batches:
         toxic = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
@@ -83,110 +91,100 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             inside = np.arange(len(text)) - np.repeat(ends[:-1], np.diff(ends)) >= ORDER - 1
             owner = np.repeat(toxic[chunk.first : chunk.first + chunk.n], np.diff(ends))[inside]
             value, inverse = np.unique(group[inside], return_inverse=True)
-            held.append((value, np.bincount(inverse[owner], minlength=len(value)).astype(np.uint32), np.bincount(inverse[~owner], minlength=len(value)).astype(np.uint32)))
+            held.append((value, *(np.bincount(inverse[of], minlength=len(value)) for of in (owner, ~owner))))
         if len(held) > 16:
             held = [merged()]
+            if len(held[0][0]) > HELD:
+                yield out()
+                held = []
     if held:
-        group, t, o = merged()
-        page = (_cell(group) >> np.uint64(64 - CELL_BITS + PAGE_BITS)).astype(np.int64)
-        order = np.argsort(page, kind="stable")
-        edge = np.searchsorted(page[order], np.arange((1 << CELL_BITS - PAGE_BITS) + 1))
-        for p in range(1 << CELL_BITS - PAGE_BITS):
-            mine = order[edge[p] : edge[p + 1]]
-            if len(mine):
-                yield _page(p, group[mine], t[mine], o[mine])
-
-
-def _page(page: int, group: np.ndarray, t: np.ndarray, o: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict({"page": pa.array([page], pa.int32()), **{k: pa.array([v.astype(d).tobytes()], pa.binary()) for k, v, d in (("groups", group, "<u8"), ("toxic", t, "<u4"), ("ordinary", o, "<u4"))}})
-
+        yield out()
 
-_PAGE = "page int, groups binary, toxic binary, ordinary binary"
 
+def kneser_ney(counts: DataFrame) -> DataFrame:
+    """(key, value) from exact counts (group, toxic, ordinary): the log-ratio of the classes' probabilities of each seen group's last letter, and
+    under the key of each context (its symbols + CONTEXT) the one of all letters unseen after it.
 
-def _merged(group: list[np.ndarray], t: list[np.ndarray], o: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    value, inverse = np.unique(np.concatenate(group), return_inverse=True)
-    return value, *(np.minimum(np.bincount(inverse, weights=np.concatenate(x), minlength=len(value)), 2**32 - 1).astype(np.uint32) for x in (t, o))
-
-
-def _arrays(pages: pa.Table) -> tuple[list[np.ndarray], ...]:
-    return tuple([np.frombuffer(x.as_py(), d) for x in pages.column(c)] for c, d in (("groups", "<u8"), ("toxic", "<u4"), ("ordinary", "<u4")))
-
-
-def _merge_pages(pages: pa.Table) -> pa.Table:
-    return pa.Table.from_batches([_page(pages.column("page")[0].as_py(), *_merged(*_arrays(pages)))])
-
+    No window holds more than the 256 symbols that can follow a context.
+    """
 
-def _settle_page(pages: pa.Table) -> pa.Table:
-    """One group for each cell: the counts of all groups in it, under the most frequent one."""
-    group, t, o = _merged(*_arrays(pages))
-    cell = _cell(group) >> np.uint64(64 - CELL_BITS)
-    order = np.lexsort((group, -(t.astype(np.int64) + o), cell))
-    first = np.flatnonzero(np.concatenate([[True], cell[order][1:] != cell[order][:-1]]))
-    t, o = (np.minimum(np.add.reduceat(x[order].astype(np.uint64), first), 2**32 - 1) for x in (t, o))
-    return pa.Table.from_batches([_page(pages.column("page")[0].as_py(), group[order][first], t, o)])
+    def last(group: Column, k: int) -> Column:
+        return group.bitwiseAND(F.lit((1 << 8 * k) - 1))
+
+    levels = {ORDER: counts.select("group")}
+    for k in range(ORDER - 1, 0, -1):  # continuation counts: different letters before a group
+        levels[k] = levels[k + 1].groupBy(last(F.col("group"), k).alias("group")).agg(F.count(F.lit(1)).alias("n"))
+    everything, context = Window.partitionBy(F.lit(0)), Window.partitionBy(F.shiftright("group", 8))
+    lower = levels[1].select("group", ((F.col("n") + 0.5) / (F.sum("n").over(everything) + 0.5 * F.count(F.lit(1)).over(everything))).alias("p"))
+    for k in range(2, ORDER):
+        total, kinds = F.sum("n").over(context), F.count(F.lit(1)).over(context)
+        here = levels[k].select("group", last(F.col("group"), k - 1).alias("end"), (F.greatest(F.col("n") - DISCOUNT, F.lit(0.0)) / total).alias("own"), (DISCOUNT * kinds / total).alias("left"))
+        lower = here.join(lower.select(F.col("group").alias("end"), "p"), "end").select("group", (F.col("own") + F.col("left") * F.col("p")).alias("p"))
+    sides = []
+    for name in ("toxic", "ordinary"):
+        total, kinds = F.sum(name).over(context), F.count(F.when(F.col(name) > 0, 1)).over(context)
+        sides += [(F.greatest(F.col(name) - DISCOUNT, F.lit(0.0)) / F.greatest(total, F.lit(1))).alias(f"own_{name}"), F.when(total > 0, DISCOUNT * kinds / total).otherwise(1.0).alias(f"left_{name}")]
+    top = counts.select("group", last(F.col("group"), ORDER - 1).alias("end"), *sides).join(lower.select(F.col("group").alias("end"), "p"), "end")
+    seen = F.log((F.col("own_toxic") + F.col("left_toxic") * F.col("p")) / (F.col("own_ordinary") + F.col("left_ordinary") * F.col("p")))
+    unseen = top.groupBy((F.shiftright("group", 8) + CONTEXT).alias("key")).agg(F.log(F.first("left_toxic") / F.first("left_ordinary")).alias("value"))
+    return top.select(F.col("group").alias("key"), seen.alias("value")).union(unseen)
 
 
 class Model:
-    """What a task needs to weigh words: fixed-size tables."""
-
-    def __init__(self, group: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray):
-        self.evidence = np.zeros(1 << CELL_BITS, np.float32)
-        self.check = np.zeros(1 << CELL_BITS, np.uint16)  # 0: no group
-        self.unseen = np.zeros(1 << CELL_BITS - 1, np.float32)
-        if not len(group):
-            return
-        counts = np.stack([toxic, ordinary]).astype(np.float64)
-        shared = _backoff(group)
-        context, of = np.unique(group >> np.uint64(8), return_inverse=True)
-        probability, left = [], []
-        for c in counts:
-            total = np.bincount(of, weights=c)
-            kinds = np.bincount(of, weights=c > 0)
-            weight = np.where(total > 0, DISCOUNT * kinds / np.maximum(total, 1), 1.0)
-            probability.append(np.maximum(c - DISCOUNT, 0) / np.maximum(total, 1)[of] + weight[of] * shared)
-            left.append(weight)
-        cell = _cell(group)
-        at = (cell >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-        self.evidence[at] = np.log(probability[0] / probability[1])
-        self.check[at] = (cell & np.uint64(0xFFFF)) | np.uint64(1)
-        self.unseen[(_cell(context) >> np.uint64(64 - CELL_BITS + 1)).astype(np.int64)] = np.log(left[0] / left[1])
+    """Values by key, all of them exact: a hash table whose buckets are runs of sorted arrays."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.bits = max(4, int(2 * len(keys)).bit_length())
+        cell = self._cell(keys)
+        order = np.argsort(cell, kind="stable")
+        self.keys, self.values = keys[order].astype(np.uint64), values[order].astype(np.float32)
+        self.start = np.searchsorted(cell[order], np.arange((1 << self.bits) + 1)).astype(np.int32)
+
+    def _cell(self, keys: np.ndarray) -> np.ndarray:
+        return (mixed(keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(1)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values (0 where there is none), and which keys have none."""
+        out, missing = np.zeros(len(keys), np.float32), np.ones(len(keys), bool)
+        if not len(self.keys):
+            return out, missing
+        cell = self._cell(keys)
+        at, end, todo = self.start[cell], self.start[cell + 1], None
+        while True:
+            here = at if todo is None else at[todo]
+            mine = keys if todo is None else keys[todo]
+            same = self.keys[np.minimum(here, len(self.keys) - 1)] == mine
+            same &= here < (end if todo is None else end[todo])
+            hit = np.flatnonzero(same) if todo is None else todo[same]
+            out[hit], missing[hit] = self.values[at[hit]], False
+            at += 1
+            todo = np.flatnonzero(missing & (at < end))
+            if not len(todo):
+                return out, missing
 
     def words(self, text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Evidence and length of each word of all texts, and the words before each text (and in all)."""
         group = _groups(text, ORDER)
-        cell = _cell(group)
-        at = (cell >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-        before = (_cell(group >> np.uint64(8)) >> np.uint64(64 - CELL_BITS + 1)).astype(np.int64)
-        x = np.where(self.check[at] == ((cell & np.uint64(0xFFFF)) | np.uint64(1)), self.evidence[at], self.unseen[before])
-        total = np.concatenate([[0.0], np.cumsum(x)])
+        x, missing = self.find(group)
+        other = np.flatnonzero(missing)
+        x[other] = self.find(_context(group[other]))[0]
+        total = np.concatenate([[0.0], np.cumsum(x, dtype=np.float64)])
         letter = text != 0x20
         starts = np.flatnonzero(letter & np.concatenate([[True], ~letter[:-1]]))
         stops = np.flatnonzero(letter & np.concatenate([~letter[1:], [True]])) + 2  # with the space behind
         return total[np.minimum(stops, len(x))] - total[starts], np.minimum(stops, len(x)) - starts, np.searchsorted(starts, ends)
 
 
-def _backoff(group: np.ndarray) -> np.ndarray:
-    """Shared probability of the last letter of each group after its context without the first letter."""
-    orders = [np.unique(group & np.uint64((1 << 8 * (ORDER - 1)) - 1), return_counts=True)]
-    for k in range(ORDER - 2, 0, -1):
-        orders.append(np.unique(orders[-1][0] & np.uint64((1 << 8 * k) - 1), return_counts=True))
-    value, count = orders[-1]
-    known = value, (count + 0.5) / (count.sum() + 0.5 * len(value))
-    for value, count in reversed(orders[:-1]):
-        bits = max(8, (int(value.max()).bit_length() + 7) // 8 * 8)
-        _, of = np.unique(value >> np.uint64(8), return_inverse=True)
-        total, kinds = np.bincount(of, weights=count), np.bincount(of)
-        lower = known[1][np.searchsorted(known[0], value & np.uint64((1 << bits - 8) - 1))]
-        known = value, np.maximum(count - DISCOUNT, 0) / total[of] + (DISCOUNT * kinds / total)[of] * lower
-    return known[1][np.searchsorted(known[0], group & np.uint64((1 << 8 * (ORDER - 1)) - 1))]
+def _context(group: np.ndarray) -> np.ndarray:
+    return (group >> np.uint64(8)) + np.uint64(CONTEXT)
 
 
 def statistic(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """For each text: log-likelihood ratio of all words a letter, mean evidence of the WORST most toxic words (missing ones and those that are not toxic count 0), log2 of 1 + words."""
+    """For each text: log-likelihood ratio of all words a letter; mean evidence of the WORST most toxic words (missing ones and those
+    that are not toxic count 0); log2 of 1 + words; log2 of 1 + words with an evidence over CLEAR."""
     text, ends = _symbols(data, offsets)
     if not len(text):
-        return np.zeros((len(offsets) - 1, 3))
+        return np.zeros((len(offsets) - 1, len(BINS)))
     value, length, first = model.words(text, ends)
     count = np.diff(first)
     owner = np.repeat(np.arange(len(count)), count)
@@ -195,25 +193,67 @@ def statistic(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray
     rank = np.arange(len(order)) - first[owner]
     top = order[rank < WORST]
     worst = np.bincount(owner[top], weights=np.maximum(value[top], 0), minlength=len(count)) / WORST
-    return np.stack([whole, worst, np.log2(1 + count)], axis=1)
+    return np.stack([whole, worst, np.log2(1 + count), np.log2(1 + np.bincount(owner[value > CLEAR], minlength=len(count)))], axis=1)
 
 
-def _scored(shared, column: str, name: str, curve: np.ndarray | None):
+def _rows(model: Model, text: pa.Array, rest: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for chunk in chunks(text):
+        x = statistic(model, chunk.data, chunk.offsets)
+        yield with_columns(rest.slice(chunk.first, chunk.n), **{f"x{k}": np.ascontiguousarray(x[:, k]) for k in range(x.shape[1])})
+
+
+def _by_broadcast(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.schema.get_field_index(column)
-            rest = [k for k in range(batch.num_columns) if k != at]
-            for chunk in chunks(batch.column(at)):
-                x = statistic(shared.value, chunk.data, chunk.offsets)
-                if curve is None:
-                    columns = {f"{name}{k}": np.ascontiguousarray(x[:, k]) for k in range(x.shape[1])}
-                else:
-                    columns = {name: 1 / (1 + np.exp(-np.clip(curve[0] + x @ curve[1:], -60, 60)))}
-                yield with_columns(batch.slice(chunk.first, chunk.n).select(rest), **columns)
+            yield from _rows(shared.value, batch.column(batch.num_columns - 1), batch.select(list(range(batch.num_columns - 1))))
 
     return run
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(rows, keys): a compressed block of rows, its last column the text, and the different keys that its texts need."""
+    held: list[pa.RecordBatch] = []
+    keys, size = np.zeros(0, np.uint64), 0
+
+    def out() -> pa.RecordBatch:
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, held[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            for part in held:
+                writer.write_batch(part)
+        return pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()], pa.binary()), pa.array([keys.view(np.int64)], pa.list_(pa.int64()))], ["rows", "keys"])
+
+    for batch in batches:
+        for chunk in chunks(batch.column(batch.num_columns - 1)):
+            group = np.unique(_groups(_symbols(chunk.data, chunk.offsets)[0], ORDER))
+            keys = np.union1d(keys, np.union1d(group, _context(group)))
+            held.append(batch.slice(chunk.first, chunk.n))
+            size += len(chunk.data)
+            if size >= BLOCK_BYTES:
+                yield out()
+                held, keys, size = [], np.zeros(0, np.uint64), 0
+    if held:
+        yield out()
+
+
+def _by_block(left: pa.Table, right: pa.Table) -> pa.Table:
+    model = Model(right.column("key").to_numpy(), right.column("value").to_numpy())
+    out = []
+    for data in left.column("rows"):
+        for batch in pa.ipc.open_stream(data.as_buffer()):
+            out += _rows(model, batch.column(batch.num_columns - 1), batch.select(list(range(batch.num_columns - 1))))
+    return pa.Table.from_batches(out)
+
+
+def _statistics(rows: DataFrame, model: DataFrame, shared) -> DataFrame:
+    """The columns of `rows` but its last, the text, and its statistics; `shared` is the broadcast model, or None."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[:-1]) + "".join(f", x{k} double" for k in range(len(BINS)))
+    if shared is not None:
+        return rows.mapInArrow(_by_broadcast(shared), schema)
+    blocks = written(rows.mapInArrow(_blocks, "rows binary, keys array<long>").withColumn("block", F.monotonically_increasing_id()))
+    found = blocks.select(F.col("block").alias("of"), F.explode("keys").alias("key")).join(model, "key").select("of", "key", "value")
+    return blocks.select("block", "rows").groupBy("block").cogroup(found.groupBy("of")).applyInArrow(_by_block, schema)
+
+
 def fit_curve(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Constant and factors of the logistic curve for n texts of statistics x and label y, drawn to CURVE where there are few."""
     start, hold = np.array(CURVE), 1 / np.array(DRAWN) ** 2
@@ -236,23 +276,22 @@ def fit_curve(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
     return beta
 
 
-def train(labelled: DataFrame, text: str, toxic: str, part: Column) -> tuple[Model, np.ndarray]:
-    """Models and curve from labelled texts; those where `part` is 0 (of 0 to 4) fit the curve, the others are counted."""
-    spark = labelled.sparkSession
+def train(labelled: DataFrame, text: str, toxic: str, part: Column) -> tuple[DataFrame, object, np.ndarray]:
+    """Model table, its broadcast (None if it is too large) and curve from labelled texts; those where `part` is 0 (of 0 to 4) fit the curve, the others are counted."""
     rows = labelled.where(F.col(text).isNotNull() & F.col(toxic).isNotNull())
     one = (F.col(toxic) > 0).cast("int")
-    pages = rows.where(part != 0).select(F.col(text), one).mapInArrow(_count, _PAGE)
-    salted = pages.groupBy("page", (F.spark_partition_id() % 16).alias("salt")).applyInArrow(_merge_pages, _PAGE)
-    table = salted.groupBy("page").applyInArrow(_settle_page, _PAGE).toArrow()  # 2 ** CELL_BITS groups at most
-    found = _arrays(table)
-    model = Model(*(np.concatenate(x) if x else np.zeros(0, np.uint64) for x in found))
-    shared = spark.sparkContext.broadcast(model)
-    tried = rows.where(part == 0).select(F.col(text).alias("text"), one.alias("y")).mapInArrow(_scored(shared, "text", "x", None), "y int, x0 double, x1 double, x2 double")
+    counts = rows.where(part != 0).select(F.col(text), one).mapInArrow(_count, "group long, toxic long, ordinary long")
+    model = written(kneser_ney(written(counts.groupBy("group").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))))
+    shared = None
+    if model.count() <= BROADCAST:
+        table = model.toArrow()
+        shared = labelled.sparkSession.sparkContext.broadcast(Model(table.column("key").to_numpy(), table.column("value").to_numpy()))
+    tried = _statistics(rows.where(part == 0).select(one.alias("y"), F.col(text).alias("text")), model, shared)
     binned = [F.floor(F.greatest(F.least(F.col(f"x{k}"), F.lit(high)), F.lit(low)) / width).alias(f"b{k}") for k, (width, low, high) in enumerate(BINS)]
-    bins = tried.groupBy(*binned, "y").agg(F.count(F.lit(1)).alias("n")).collect()  # a fixed number of bins at most
+    bins = sorted(tried.groupBy(*binned, "y").agg(F.count(F.lit(1)).alias("n")).collect())  # a fixed number of bins at most
     x = np.array([[(r[f"b{k}"] + 0.5) * b[0] for k, b in enumerate(BINS)] for r in bins], np.float64).reshape(-1, len(BINS))
     y, n = (np.array([r[k] for r in bins], np.float64) for k in ("y", "n"))
-    return model, fit_curve(x, y, n)
+    return model, shared, fit_curve(x, y, n)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic", threshold: float = 0.7) -> DataFrame:
@@ -271,9 +310,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id"
     marks = labels.select(F.col(id_col).alias("id"), F.col(toxic_col).alias("toxic")).where("toxic IS NOT NULL")
     part = F.pmod(F.floor(crc / 3), F.lit(5))
     # labels have no size bound, so they are never broadcast
-    model, curve = train(seen.join(marks.where(F.pmod(crc, F.lit(3)) != 1).hint("merge"), "id"), name, "toxic", part)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    kind = docs.schema[id_col].dataType.simpleString()
-    rows = given.withColumn("held_out", F.coalesce(F.pmod(crc, F.lit(3)) == 1, F.lit(True)))
-    scored = rows.mapInArrow(_scored(shared, name, "score", curve), f"id {kind}, held_out boolean, score double")
+    model, shared, curve = train(seen.join(marks.where(F.pmod(crc, F.lit(3)) != 1).hint("merge"), "id"), name, "toxic", part)
+    found = _statistics(given.select("id", F.coalesce(F.pmod(crc, F.lit(3)) == 1, F.lit(True)).alias("held_out"), name), model, shared)
+    odds = sum((float(b) * F.col(f"x{k}") for k, b in enumerate(curve[1:])), F.lit(float(curve[0])))
+    scored = found.select("id", "held_out", (1 / (1 + F.exp(-odds))).alias("score"))
     return scored.select(F.col("id").alias(id_col), "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"))

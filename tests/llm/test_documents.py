@@ -293,25 +293,98 @@ def test_best_cuts_are_best():
         assert spent == cost[len(at) - 1]
 
 
-def test_toxicity_statistic_hears_the_whole_text():
-    import numpy as np
+def letter_counts(texts):
+    """Brute-force counts of letter groups, on ASCII words."""
+    found = Counter()
+    for t in texts:
+        line = " " * (toxicity.ORDER - 1) + " ".join(re.findall("[a-z]+", t.lower())) + " "
+        found.update(line[i : i + toxicity.ORDER] for i in range(len(line) - toxicity.ORDER + 1))
+    return found
+
+
+def packed_key(group):
+    return int.from_bytes(group.encode(), "big")
+
+
+def brute_kneser_ney(bad, good):
+    """P(last letter | context) in each class of every group, straight from the definition."""
+    lower = {toxicity.ORDER: {*bad, *good}}
+    counts = {}
+    for k in range(toxicity.ORDER - 1, 0, -1):
+        lower[k] = {g[1:] for g in lower[k + 1]}
+        counts[k] = Counter(g[1:] for g in lower[k + 1])
+
+    def backoff(g):
+        if len(g) == 1:
+            return (counts[1].get(g, 0) + 0.5) / (sum(counts[1].values()) + 0.5 * len(counts[1]))
+        after = {h: n for h, n in counts[len(g)].items() if h[:-1] == g[:-1]}
+        total = sum(after.values())
+        return max(after.get(g, 0) - 0.75, 0) / total + 0.75 * len(after) / total * backoff(g[1:])
+
+    def probability(found, g):
+        after = {h: n for h, n in found.items() if h[:-1] == g[:-1] and n > 0}
+        total = sum(after.values())
+        return max(found.get(g, 0) - 0.75, 0) / max(total, 1) + (0.75 * len(after) / total if total else 1.0) * backoff(g[1:])
+
+    return {g: (probability(bad, g), probability(good, g)) for g in lower[toxicity.ORDER]}
+
+
+def counted(spark, texts):
+    rows = [(t, int(y)) for t, y in texts]
+    parts = spark.createDataFrame(rows, "text string, y int").repartition(3).mapInArrow(toxicity._count, "group long, toxic long, ordinary long")
+    return parts.groupBy("group").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+
+
+def test_kneser_ney_probabilities(spark):
+    texts = [("Vile scum, you vile scum!", 1), ("scum of the earth", 1), ("calm meadow of the earth", 0), ("the meadow is calm and the earth is calm", 0), ("x", 0)]
+    bad, good = (letter_counts(t for t, y in texts if y == k) for k in (1, 0))
+    counts = counted(spark, texts)
+    assert {r["group"]: (r["toxic"], r["ordinary"]) for r in counts.collect()} == {packed_key(g): (bad[g], good[g]) for g in {*bad, *good}}
+    got = {r["key"]: r["value"] for r in toxicity.kneser_ney(counts).collect()}
+    want = brute_kneser_ney(bad, good)
+    for g, (p, q) in want.items():
+        assert got[packed_key(g)] == pytest.approx(np.log(p / q), abs=1e-9)
+    assert {k for k in got if k < toxicity.CONTEXT} == {packed_key(g) for g in want}
+    for c in {g[:-1] for g in want}:
+        assert toxicity.CONTEXT + packed_key(c) in got
+        for k in (0, 1):  # what is left for letters unseen after this context
+            assert sum(p[k] for g, p in want.items() if g[:-1] == c) <= 1 + 1e-9
+
+
+def test_model_finds_every_key():
+    rng = np.random.default_rng(4)
+    keys = np.unique(rng.integers(0, 1 << 40, 50_000)).astype(np.uint64)
+    values = rng.normal(size=len(keys)).astype(np.float32)
+    model = toxicity.Model(keys, values)
+    got, missing = model.find(keys)
+    assert (got == values).all() and not missing.any()
+    got, missing = model.find(np.setdiff1d(rng.integers(0, 1 << 40, 1000).astype(np.uint64), keys))
+    assert missing.all() and not got.any()
+    assert toxicity.Model(keys[:0], values[:0]).find(keys)[1].all()
+
+
+def test_toxicity_statistic_hears_the_whole_text(spark):
     import pyarrow as pa
 
     from brillouin.llm.shared import chunks
 
-    def groups(text):
-        chunk = next(chunks(pa.array([text])))
-        letters, _ = toxicity._symbols(chunk.data, chunk.offsets)
-        return np.unique(toxicity._groups(letters, toxicity.ORDER)[toxicity.ORDER - 1 :], return_counts=True)
-
-    bad, good = (dict(zip(*groups(t), strict=True)) for t in ("vile scum " * 50, "calm meadow " * 50))
-    every = np.array(sorted({*bad, *good}), np.uint64)
-    model = toxicity.Model(every, *(np.array([c.get(g, 0) for g in every]) for c in (bad, good)))
+    table = toxicity.kneser_ney(counted(spark, [("vile scum " * 50, 1), ("calm meadow " * 50, 0)])).toPandas()
+    model = toxicity.Model(table["key"].to_numpy(), table["value"].to_numpy())
     chunk = next(chunks(pa.array(["vile scum vile", "vile scum vile" + " calm meadow" * 500, "calm meadow"])))
     short, long, clean = toxicity.statistic(model, chunk.data, chunk.offsets)
     assert short[1] == long[1] > 0 and short[0] > 0 > max(long[0], clean[0])  # equal worst words, but not equal texts
 
 
+def test_toxicity_of_large_models_is_the_same(spark, monkeypatch):
+    rows = [(k, ("vile scum " if k % 5 == 0 else "calm meadow ") * (k % 7 + 1) + prose(__import__("random").Random(k), 40)) for k in range(300)] + [(900, None), (901, "")]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), spark.createDataFrame([(k, int(k % 5 == 0)) for k in range(300)], "doc_id long, toxic int")
+    want = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, labels).collect()}
+    monkeypatch.setattr(toxicity, "BROADCAST", 0)
+    monkeypatch.setattr(toxicity, "BLOCK_BYTES", 4000)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, labels).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-6) for k in want)
+
+
 def test_toxicity_held_out(spark):
     import random
 
