@@ -1,9 +1,10 @@
 r"""Quality rules joined by weak supervision.
 
-Each rule votes good or bad, or abstains.  One pass counts how often each pattern of votes occurs (at most
-`3 ** len(RULES)` patterns, whatever the corpus is), expectation-maximisation on these counts estimates the share of
-good documents and each rule's accuracy in good and in bad ones, and a document's verdict is the posterior
-probability that it is good given its votes.  The rules are conditionally independent given the class (the
+Each rule votes good or bad, or abstains.  The rules are tight enough to be wrong now and then; what a vote is worth is estimated.
+One pass counts how often each pattern of votes occurs (at most `3 ** len(RULES)` patterns, whatever the corpus is) in the documents
+that pass the base filter, expectation-maximisation on these counts estimates the share of good documents and each rule's accuracy in
+good and in bad ones, and a document's verdict is the posterior probability that it is good given its votes: the bad vote of a
+poor rule is outvoted, that of a good rule is not.  The rules are conditionally independent given the class (the
 Dawid-Skene model with abstention as a third vote).
 """
 
@@ -19,17 +20,17 @@ from .shared import Chunk, by_chunk, mixed, own_names, with_columns, without
 #: Rule: (name, feature, good from, good to, bad below, bad above). It votes good inside the first range, bad outside the second.
 RULES = (
     ("symbols", "symbols_per_word", 0.0, 0.03, 0.0, 0.10),
-    ("repeats", "repeat_share", 0.0, 0.10, 0.0, 0.35),
-    ("lines", "dup_line_share", 0.0, 0.05, 0.0, 0.50),
-    ("length", "word_length", 3.0, 9.0, 2.0, 14.0),
-    ("letters", "wordless_share", 0.0, 0.04, 0.0, 0.15),
-    ("short", "short_share", 0.05, 0.60, 0.0, 0.80),
-    ("stops", "words_per_stop", 3.0, 40.0, 1.0, 120.0),
+    ("repeats", "repeat_share", 0.0, 0.05, 0.0, 0.10),
+    ("lines", "dup_line_share", 0.0, 0.05, 0.0, 0.20),
+    ("length", "word_length", 4.0, 7.0, 3.5, 7.5),
+    ("letters", "wordless_share", 0.0, 0.02, 0.0, 0.08),
+    ("short", "short_share", 0.18, 0.45, 0.10, 0.48),
+    ("stops", "words_per_stop", 5.0, 25.0, 3.0, 50.0),
 )
 #: Votes (bad, abstains, good) of a rule in bad and in good documents before EM, and how many documents this belief is worth.
 START, STRENGTH = ((0.35, 0.15, 0.5), (0.005, 0.095, 0.9)), 20.0
-#: A bad vote is at least so many times likelier in a bad document; another vote at most so many times likelier in a good one.
-BAD_VOTE, GOOD_VOTE = 2.0, 1.6
+#: A good vote or an abstention is at most so many times likelier in a good document.
+GOOD_VOTE = 8.0
 
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
@@ -132,7 +133,7 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, tol: float
     """Share of good documents, and `tables[class, rule, vote]`: the probability of each vote in bad and in good documents, by EM.
 
     Without documents it returns the start, START. A rule stays a rule: EM may not turn a bad vote into
-    a sign of a good document, nor a good vote or an abstention into more than a weak sign.
+    a sign of a good document (it may come to say nothing), nor a good vote or an abstention into a proof.
     """
     prior, tables = 0.85, np.repeat(np.array(START)[:, None], len(RULES), 1)
     digit = _digits(patterns)
@@ -146,7 +147,7 @@ def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, tol: float
             for k in range(len(RULES)):
                 seen = np.bincount(digit[:, k], weights=weight * share, minlength=3) + STRENGTH * np.array(START[c])
                 new[c, k] = seen / seen.sum()
-        new[1, :, 0] = np.minimum(new[1, :, 0], new[0, :, 0] / BAD_VOTE)
+        new[1, :, 0] = np.minimum(new[1, :, 0], new[0, :, 0])
         new[0, :, 2] = np.maximum(new[0, :, 2], new[1, :, 2] / GOOD_VOTE)
         new[0, :, 1] = np.clip(new[0, :, 1], new[1, :, 1] / GOOD_VOTE, new[1, :, 1] * GOOD_VOTE)
         new /= new.sum(2, keepdims=True)
@@ -165,10 +166,15 @@ def accuracies(prior: float, tables: np.ndarray) -> np.ndarray:
     return right / voted
 
 
+def base_failed(values: dict[str, np.ndarray]) -> np.ndarray:
+    """Under 50 words, or over half of them in repeated windows."""
+    return (values["n_words"] < 50) | (100 * values["n_repeat_words"] > 50 * values["n_words"])
+
+
 def _pattern_counts(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
     def work(chunk: Chunk, _: pa.RecordBatch) -> pa.RecordBatch:
         values = features(chunk)
-        pattern, n = np.unique(votes(values)[values["n_words"] > 0], return_counts=True)
+        pattern, n = np.unique(votes(values)[~base_failed(values)], return_counts=True)
         return pa.RecordBatch.from_pydict({"pattern": pattern, "n": n})
 
     counted = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(by_chunk(work, "text"), "pattern long, n long")
@@ -180,7 +186,8 @@ def rate_quality(docs: DataFrame, *, text_col: str = "text", threshold: float =
     r"""All rows of `docs` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, quality, kept.
 
     Words are `[^\x20\x09-\x0D]+`. `base_failed`: under 50 words, or over half of the words lie in repeated
-    three-word windows. `quality` is the posterior probability; `kept` needs it to be at least `threshold`, and not base_failed.
+    three-word windows. `quality` is the posterior probability, by what the documents that are not base_failed tell about the rules;
+    `kept` needs it to be at least `threshold`, and not base_failed. Words, lines and windows are compared by 64-bit hashes.
 
     Defined cases: null and empty texts have no words, so they fail and every rule abstains; a repeated row
     counts each time; an empty table gives an empty table; other columns pass through, but for those named like
@@ -192,8 +199,7 @@ def rate_quality(docs: DataFrame, *, text_col: str = "text", threshold: float =
 
     def work(chunk: Chunk, rows: pa.RecordBatch) -> pa.RecordBatch:
         values = features(chunk)
-        n = values["n_words"]
-        failed = (n < 50) | (100 * values["n_repeat_words"] > 50 * n)
+        failed = base_failed(values)
         good = posterior(votes(values), prior, tables)
         return with_columns(rows, **{k: values[k].astype(np.int64) for k in BASE}, base_failed=failed, quality=good, kept=~failed & (good >= threshold))
 

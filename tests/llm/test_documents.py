@@ -94,6 +94,46 @@ def test_em_finds_the_accuracies():
     assert quality.fit(patterns[:0], counts[:0])[0] > 0
 
 
+def test_poor_rules_are_outvoted_and_good_ones_are_not():
+    """Rule 0 is nearly always right, rule 1 fires in both classes alike, the others are fair."""
+    rng = np.random.default_rng(7)
+    k, n = len(quality.RULES), 40_000
+    good = rng.random(n) < 0.9
+    fires = np.tile([0.0005, 0.05, *[0.01] * (k - 2)], (n, 1))
+    fires[~good] = [0.9, 0.05, *[0.4] * (k - 2)]
+    patterns, counts = np.unique(np.where(rng.random((n, k)) < fires, 0, 2) @ 3 ** np.arange(k - 1, -1, -1), return_counts=True)
+    prior, tables = quality.fit(patterns, counts)
+    assert abs(prior - good.mean()) < 0.02
+    assert np.allclose(tables[0, :, 0], [0.9, 0.05, *[0.4] * (k - 2)], atol=0.06) and np.allclose(tables[1, :, 0], [0.0005, 0.05, *[0.01] * (k - 2)], atol=0.01)
+
+    def verdict(*votes):
+        return quality.posterior(np.array([votes]) @ 3 ** np.arange(k - 1, -1, -1), prior, tables)[0]
+
+    assert verdict(2, 0, *[2] * (k - 2)) > 0.9  # one bad vote of a poor rule
+    assert verdict(0, *[1] * (k - 1)) < 0.5  # one of a good rule, all others abstain
+    assert verdict(2, 0, 0, 0, *[2] * (k - 4)) < 0.5  # several fair rules agree
+    assert quality.accuracies(prior, tables)[0] > quality.accuracies(prior, tables)[1]
+
+
+def test_verdict_is_no_all_must_pass_filter(spark):
+    import random
+
+    rng = random.Random(11)
+    rows = [(k, prose(rng, 120), 1) for k in range(300)]
+    twice = prose(rng, 8)
+    rows += [(500 + k, prose(rng, 100) + "\n" + twice + "\n" + twice, 1) for k in range(12)]  # one rule votes bad: repeated windows
+    rows += [(1000 + k, " ".join(w + rng.choice(["%%%", "###", "&&&", ""]) * 2 for w in words(rng, 90).split()), 0) for k in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, good int")
+    got = {r["doc_id"]: r for r in quality.rate_quality(frame).collect()}
+    assert all(got[k]["kept"] == bool(y) for k, _, y in rows)
+    import pyarrow as pa
+
+    from brillouin.llm.shared import chunks
+
+    values = quality.features(next(chunks(pa.array([r[1] for r in rows if r[2] and r[0] >= 500]))))
+    assert (quality._digits(quality.votes(values)) == 0).any(1).sum() >= 6
+
+
 def kept_lines(rows, min_chars=20, min_docs=3):
     holders = defaultdict(list)
     key = lambda line: lower(line.strip(SPACE))
