@@ -112,9 +112,31 @@ FROM judged GROUP BY doc_id
 """
 
 
+_OP3_SQL = """
+WITH crc_table AS (
+  SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_of),
+raw AS (
+  SELECT doc_id, coalesce('k' || CAST(doc_id AS VARCHAR), '') AS key,
+         list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: CAST('0x' || x AS BIGINT)) AS bytes
+  FROM documents),
+hashed AS (
+  SELECT doc_id, key, CAST(len(bytes) + 8 AS BIGINT) AS size,
+         CAST(xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, crc_of[(xor(c, x) & 255) + 1])), 4294967295) AS BIGINT) AS text_crc32,
+         list_transform(range(25), lambda s: CAST('0x' || substr(md5('0:' || s || ':' || key), 1, 13) AS BIGINT)) AS draws
+  FROM raw, crc_table),
+placed AS (
+  SELECT doc_id, size, text_crc32, list_position(draws, list_max(draws[1:24])) - 1 AS shard, list_position(draws, list_max(draws)) - 1 AS grown_shard,
+         CAST('0x' || substr(md5('slot:' || key || ':' || size || ':' || text_crc32), 1, 13) AS BIGINT) AS place
+  FROM hashed)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INT) AS shard,
+       CAST(row_number() OVER (PARTITION BY shard ORDER BY place, doc_id, size, text_crc32) - 1 AS BIGINT) AS slot, CAST(grown_shard AS INT) AS grown_shard
+FROM placed
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_kneser_ney_toxicity, op2_epsilon_grid_join, op3_rendezvous_shards, op4_wrapper_text, op5_mix_sources, op6_unigram_counts, op7_quality_rules, op8_jaccard_join, op9_line_dedup, op10_pack_windows)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mix_sources": _OP5_SQL, "op9_line_dedup": _OP9_SQL}
+    return {"op3_rendezvous_shards": _OP3_SQL, "op5_mix_sources": _OP5_SQL, "op9_line_dedup": _OP9_SQL}

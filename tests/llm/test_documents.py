@@ -171,6 +171,22 @@ def test_rendezvous(spark):
     assert 0 < moved < 0.1
 
 
+def test_shards_of_rows_that_repeat(spark, monkeypatch):
+    """A third of all rows is one row; ranges of few rows give the same slots as one range."""
+    rows = [(k, f"text {k}") for k in range(200)] + [(7, "hot")] * 100 + [(None, None)] * 3
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    one = Counter(map(tuple, sharding.shard_records(frame, shards=5).collect()))
+    many = Counter(map(tuple, sharding.shard_records(frame, shards=5, range_rows=2).collect()))
+    assert one == many and sum(one.values()) == len(rows)
+    by = defaultdict(list)
+    for doc_id, _, _, _, shard, slot, grown in one:
+        by[shard].append(slot)
+        text = "" if doc_id is None else f"k{doc_id}"
+        draws = [int(__import__("hashlib").md5(f"0:{s}:{text}".encode()).hexdigest()[:13], 16) for s in range(6)]
+        assert (shard, grown) == (draws.index(max(draws[:5])), draws.index(max(draws)))
+    assert all(sorted(v) == list(range(len(v))) for v in by.values())
+
+
 def test_weighted_shards(spark):
     ids = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
     got = sharding.shard_records(ids, shards=4, weights=[1, 2, 0, 5]).groupBy("shard").count().collect()
@@ -203,7 +219,7 @@ def test_mixing_targets_stop_at_three_epochs(spark):
     assert got["c"] == 60 and got[None] == 6 and abs(got["a"] - (1022 - 66)) < 1e-9
 
 
-@pytest.mark.parametrize("name", ["op5_mix_sources", "op9_line_dedup"])
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_sql_of_queries(spark, tmp_path, name):
     from brillouin.llm.queries import queries
 
