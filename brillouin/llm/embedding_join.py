@@ -3,18 +3,23 @@
 Cosine >= t between unit vectors is a distance of at most eps = sqrt(2 - 2 t).  Vectors are rotated onto their principal
 dimensions and sorted by the cells of a grid of width eps on the leading ones; the sequence is cut into blocks, and
 blocks are the leaves of a tree of intervals.  The join starts from (all, all) and goes down level by level:
-children of a pair of intervals stay only if their bounding boxes come within eps in the leading
-dimensions.  Every level is an equi-join of the pairs that are left with the boxes of the next level.
-
-A pair of leaf blocks is compared tile by tile in single precision, and in double precision wherever that is
-within `SLACK` of the threshold.  Equal vectors are one vector with a count; a leaf pair returns a
+children of a pair of intervals stay only if their bounding boxes come within eps.  A box spans the leading dimensions and the
+norm of the rest, because |x - y|^2 >= |x_lead - y_lead|^2 + (|x_rest| - |y_rest|)^2.  Every level is an equi-join of the pairs that are left with
+the boxes of the next level.
+
+Pairs of leaf blocks are dealt into squares of the pair matrix; a block goes once to each square that needs it, not once to each
+pair.  In a task the recursion goes on: blocks are sorted by their grid order and cut into tiles, tiles whose boxes lie apart are skipped, and
+in the others x_lead . y_lead + |x_rest| |y_rest|, which no cosine exceeds, sieves the pairs.  What passes is compared in double precision
+(in single precision first where most of a tile passes).  Equal vectors are one vector with a count; a square returns a
 count for each vector and a forest of its links, never its pairs.
+
+The worst case is quadratic: vectors that spread evenly over all dimensions leave few boxes to skip, and then only the sieve saves work.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import sqrt
+from math import log, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -24,8 +29,12 @@ from pyspark.sql import functions as F
 from ..operators.graph import components, forest
 from .shared import written
 
-#: Vectors of a block and of a tile, children of an interval, dimensions of the grid and of the boxes.
-BLOCK, TILE, FAN_OUT, GRID_DIMS, BOX_DIMS = 2048, 1024, 16, 6, 16
+#: Vectors of a block and of a tile, children of an interval, dimensions of the grid and leading dimensions of boxes and sieve.
+BLOCK, TILE, FAN_OUT, GRID_DIMS, BOX_DIMS = 2048, 512, 16, 6, 16
+#: Cells that the grid may have, whatever the threshold and the vectors are (their counts are broadcast).
+CELLS = 1 << 17
+#: Bytes of the blocks that a square of the pair matrix may need.
+SQUARE_BYTES = 1 << 26
 #: Single-precision cosines are trusted outside this distance from the threshold; boxes are widened by it too.
 SLACK = 1e-4
 
@@ -60,87 +69,120 @@ def principal_axes(vectors: DataFrame, column: str) -> np.ndarray:
     return np.linalg.eigh(total.reshape(dim, dim))[1][:, ::-1]
 
 
-def _placing(axes: np.ndarray, eps: float):
+def _grid(threshold: float, dims: int) -> tuple[float, int, int]:
+    """Width of the cells, cells on each side of 0, and dimensions of a grid of at most CELLS cells."""
+    eps = sqrt(2 - 2 * threshold)
     reach = int(np.ceil(1 / eps))
+    return eps, reach, max(1, min(GRID_DIMS, dims, int(log(CELLS) / log(2 * reach + 1))))
+
+
+def _lead(x: np.ndarray, axes: np.ndarray) -> np.ndarray:
+    """Coordinates on the leading axes and the norm of the rest."""
+    y = x @ axes[:, :BOX_DIMS]
+    rest = np.sqrt(np.maximum(1 - (y * y).sum(1), 0)) if BOX_DIMS < len(axes) else np.zeros(len(y))
+    return np.concatenate([y, rest[:, None]], 1)
+
+
+def _cells(lead: np.ndarray, eps: float, reach: int, dims: int) -> np.ndarray:
+    cell = np.zeros(len(lead), np.int64)
+    for k in range(dims):
+        cell = cell * (2 * reach + 1) + np.clip(np.floor(lead[:, k] / eps).astype(np.int64) + reach, 0, 2 * reach)
+    return cell
 
+
+def _placing(axes: np.ndarray, grid: tuple[float, int, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                y = _matrix(batch.column(2)) @ axes[:, :BOX_DIMS]
-                cell = np.zeros(len(y), np.int64)
-                for k in range(min(GRID_DIMS, y.shape[1])):
-                    cell = cell * (2 * reach + 1) + np.clip(np.floor(y[:, k] / eps).astype(np.int64) + reach, 0, 2 * reach)
-                place = pa.FixedSizeListArray.from_arrays(pa.array(y.ravel()), y.shape[1]).cast(pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), place], ["id", "copies", "vector", "cell", "place"])
+                lead = _lead(_matrix(batch.column(2)), axes)
+                place = pa.FixedSizeListArray.from_arrays(pa.array(lead.ravel()), lead.shape[1]).cast(pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_cells(lead, *grid)), place], ["id", "copies", "vector", "cell", "place"])
 
     return run
 
 
 def _packed(block: pa.Table) -> pa.Table:
     block = block.combine_chunks()
-    vectors = block.column("vector").chunk(0)
-    raw = vectors.flatten().to_numpy(zero_copy_only=False)
+    raw = block.column("vector").chunk(0).flatten().to_numpy(zero_copy_only=False)
     one = lambda data: pa.array([data.tobytes()], pa.binary())
-    return pa.table({"block": block.column("block")[:1], "ids": one(block.column("id").to_numpy()), "copies": one(block.column("copies").to_numpy()), "data": one(raw.astype(np.float64)), "dim": pa.array([len(raw) // max(1, block.num_rows)], pa.int32())})
-
-
-def _tiles(threshold: float):
-    def compare(x: np.ndarray, y: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
-        near = x.astype(np.float32) @ y.astype(np.float32).T
-        hit = near >= threshold + SLACK
-        i, j = np.nonzero(~hit & (near >= threshold - SLACK))
-        for at in range(0, len(i), 1 << 16):
-            a, b = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-            hit[a, b] = np.einsum("ij,ij->i", x[a], y[b]) >= threshold
-        if same:
-            np.fill_diagonal(hit, False)
-        return hit
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                sides = []
-                for s in "ab":
-                    data = np.frombuffer(row[f"data_{s}"]).reshape(-1, row["dim_a"])
-                    data = data / np.abs(data).max(1, keepdims=True)
-                    sides.append((np.frombuffer(row[f"ids_{s}"], np.int64), np.frombuffer(row[f"copies_{s}"], np.int64), data / np.sqrt((data * data).sum(1, keepdims=True))))
-                (ids, copies, x), (ids_b, copies_b, y) = sides
-                same = row["a"] == row["b"]
-                count, count_b = np.zeros(len(ids), np.int64), np.zeros(len(ids_b), np.int64)
-                for p in range(0, len(ids), TILE):
-                    for q in range(p if same else 0, len(ids_b), TILE):
-                        hit = compare(x[p : p + TILE], y[q : q + TILE], same and p == q)
-                        i, j = np.nonzero(hit)
-                        if not len(i):
-                            continue
-                        count[p : p + TILE] += hit @ copies_b[q : q + TILE]
-                        if not (same and p == q):
-                            count_b[q : q + TILE] += copies[p : p + TILE] @ hit
-                        u, v = forest(ids[p + i], ids_b[q + j])
-                        yield pa.RecordBatch.from_pydict({"a": u, "b": v, "n": pa.nulls(len(u), pa.int64())})
-                for who, n in ((ids, count), (ids_b, count_b)):
-                    some = np.flatnonzero(n)
-                    if len(some):
-                        yield pa.RecordBatch.from_pydict({"a": who[some], "b": pa.nulls(len(some), pa.int64()), "n": n[some]})
+    return pa.table({"block": block.column("block")[:1], "ids": one(block.column("id").to_numpy()), "copies": one(block.column("copies").to_numpy()), "data": one(raw)})
+
+
+class _Block:
+    """Vectors of a block in grid order, with their tiles' boxes."""
+
+    def __init__(self, ids: bytes, copies: bytes, data: bytes, kind: str, axes: np.ndarray, grid: tuple[float, int, int]):
+        x = np.frombuffer(data, kind).astype(np.float64).reshape(-1, len(axes))
+        x = x / np.abs(x).max(1, keepdims=True)
+        x /= np.sqrt((x * x).sum(1, keepdims=True))
+        lead = _lead(x, axes)
+        order = np.lexsort((lead[:, -1], *lead[:, :2].T[::-1], _cells(lead, *grid)))
+        self.ids, self.copies, self.x, self.lead = np.frombuffer(ids, np.int64)[order], np.frombuffer(copies, np.int64)[order], x[order], lead[order]
+        self.short = self.lead.astype(np.float32)
+        self.tiles = [slice(k, k + TILE) for k in range(0, len(x), TILE)]
+        self.low, self.high = ([f(self.lead[t], 0) for t in self.tiles] for f in (np.min, np.max))
+        self.count = np.zeros(len(x), np.int64)
+
+
+def _hits(x: np.ndarray, y: np.ndarray, bound: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (i, j) of rows with a cosine of at least the threshold; `bound` is no smaller than any cosine."""
+    i, j = np.nonzero(bound >= threshold - SLACK)
+    sure = np.zeros(len(i), bool)
+    if 8 * len(i) > bound.size:
+        near = (x.astype(np.float32) @ y.astype(np.float32).T)[i, j]
+        left = near >= threshold - SLACK
+        i, j, sure = i[left], j[left], near[left] >= threshold + SLACK
+    doubt = np.flatnonzero(~sure)
+    for at in range(0, len(doubt), 1 << 15):
+        d = doubt[at : at + (1 << 15)]
+        sure[d] = np.einsum("ij,ij->i", x[i[d]], y[j[d]]) >= threshold
+    return i[sure], j[sure]
+
+
+def _join_blocks(a: _Block, b: _Block, threshold: float, eps: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Forests of the links between two blocks (or within one); adds to their counts."""
+    for p, s in enumerate(a.tiles):
+        for q in range(p if a is b else 0, len(b.tiles)):
+            t = b.tiles[q]
+            gap = np.maximum(np.maximum(a.low[p] - b.high[q], b.low[q] - a.high[p]), 0)
+            if (gap * gap).sum() > (eps + SLACK) ** 2:
+                continue
+            bound = a.short[s] @ b.short[t].T
+            if a is b and p == q:
+                bound[np.tril_indices(len(bound))] = -1
+            i, j = _hits(a.x[s], b.x[t], bound, threshold)
+            if len(i):
+                i, j = i + s.start, j + t.start
+                a.count += np.bincount(i, weights=b.copies[j], minlength=len(a.ids)).astype(np.int64)
+                b.count += np.bincount(j, weights=a.copies[i], minlength=len(b.ids)).astype(np.int64)
+                yield forest(a.ids[i], b.ids[j])
+
+
+def _squares(threshold: float, kind: str, axes: np.ndarray, grid: tuple[float, int, int]):
+    def run(blocks: pa.Table, pairs: pa.Table) -> pa.Table:
+        held = {r["block"]: _Block(r["ids"], r["copies"], r["data"], kind, axes, grid) for r in blocks.select(["block", "ids", "copies", "data"]).to_pylist()}
+        links = [link for a, b in sorted(zip(pairs.column("a").to_pylist(), pairs.column("b").to_pylist(), strict=True)) for link in _join_blocks(held[a], held[b], threshold, grid[0])]
+        empty = np.zeros(0, np.int64)
+        u, v = forest(*(np.concatenate(x) for x in zip(*links, strict=True))) if links else (empty, empty)
+        ids, n = (np.concatenate([getattr(b, k) for b in held.values()] or [empty]) for k in ("ids", "count"))
+        some = np.flatnonzero(n)
+        return pa.table({"a": np.concatenate([u, ids[some]]), "b": pa.concat_arrays([pa.array(v, pa.int64()), pa.nulls(len(some), pa.int64())]), "n": pa.concat_arrays([pa.nulls(len(u), pa.int64()), pa.array(n[some], pa.int64())])})
 
     return run
 
 
-def _block_pairs(boxes: DataFrame, blocks: int, eps: float) -> DataFrame:
+def _block_pairs(boxes: DataFrame, blocks: int, dims: int, eps: float) -> DataFrame:
     """Pairs (a, b), a <= b, of blocks whose boxes come within eps, from the whole sequence down."""
     levels = 1
     while FAN_OUT**levels < blocks:
         levels += 1
     gap = F.aggregate(F.zip_with(F.zip_with("low_a", "high_b", lambda x, y: x - y), F.zip_with("low_b", "high_a", lambda x, y: x - y), lambda x, y: F.greatest(x, y, F.lit(0.0))), F.lit(0.0), lambda s, x: s + x * x)
-    pairs = None
+    pairs = boxes.sparkSession.createDataFrame([(0, 0)], "parent_a long, parent_b long")
     for level in range(levels - 1, -1, -1):
         width = FAN_OUT**level
-        dims = boxes.first()["dims"] if pairs is None else dims
         at = boxes.groupBy(F.floor(F.col("block") / width).alias("node")).agg(F.array(*[F.min(F.col("low")[k]) for k in range(dims)]).alias("low"), F.array(*[F.max(F.col("high")[k]) for k in range(dims)]).alias("high"))
         at = at.withColumn("parent", F.floor(F.col("node") / FAN_OUT))
         left, right = (at.select(F.col("node").alias(s), F.col("parent").alias(f"parent_{s}"), F.col("low").alias(f"low_{s}"), F.col("high").alias(f"high_{s}")) for s in "ab")
-        if pairs is None:
-            pairs = boxes.sparkSession.createDataFrame([(0, 0)], "parent_a long, parent_b long")
         pairs = pairs.join(left, "parent_a").join(right, "parent_b").where((F.col("a") <= F.col("b")) & (gap <= (eps + SLACK) ** 2)).select("a", "b")
         if level:
             pairs = written(pairs.select(F.col("a").alias("parent_a"), F.col("b").alias("parent_b")))
@@ -149,20 +191,27 @@ def _block_pairs(boxes: DataFrame, blocks: int, eps: float) -> DataFrame:
 
 def _links(distinct: DataFrame, threshold: float) -> DataFrame:
     """(a, b, null): a forest of the links; (a, null, n): links of a vector, those of equal vectors counted each."""
-    eps = sqrt(2 - 2 * threshold)
     axes = principal_axes(distinct, "vector")
+    grid = _grid(threshold, len(axes))
     kind = distinct.schema["vector"].dataType.simpleString()
-    placed = written(distinct.select("id", "copies", "vector").mapInArrow(_placing(axes, eps), f"id long, copies long, vector {kind}, cell long, place array<double>"))
+    raw = "f4" if kind == "array<float>" else "f8"
+    placed = written(distinct.select("id", "copies", F.col("vector") if raw == "f4" else F.col("vector").cast("array<double>")).mapInArrow(_placing(axes, grid), f"id long, copies long, vector {kind if raw == 'f4' else 'array<double>'}, cell long, place array<double>"))
     cells = placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     cells = cells.withColumn("first", F.coalesce(F.sum("n").over(Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # (2 * ceil(1 / eps) + 1) ** GRID_DIMS cells at most
+    # CELLS rows at most
     placed = placed.join(F.broadcast(cells), "cell").withColumn("block", F.floor((F.col("first") + F.pmod(F.xxhash64("id"), F.col("n"))) / BLOCK))
-    dims = min(BOX_DIMS, len(axes))
-    boxes = written(placed.groupBy("block").agg(F.array(*[F.min(F.col("place")[k]) for k in range(dims)]).alias("low"), F.array(*[F.max(F.col("place")[k]) for k in range(dims)]).alias("high"), F.lit(dims).alias("dims")))
-    pairs = _block_pairs(boxes, boxes.agg(F.max("block")).first()[0] + 1, eps)
-    packed = written(placed.groupBy("block").applyInArrow(_packed, "block long, ids binary, copies binary, data binary, dim int"))
-    left, right = (packed.select(F.col("block").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("ids", "copies", "data", "dim"))) for s in "ab")
-    return pairs.join(left, "a").join(right, "b").repartition("a", "b").mapInArrow(_tiles(threshold), "a long, b long, n long")
+    dims = min(BOX_DIMS, len(axes)) + 1
+    boxes = written(placed.groupBy("block").agg(F.array(*[F.min(F.col("place")[k]) for k in range(dims)]).alias("low"), F.array(*[F.max(F.col("place")[k]) for k in range(dims)]).alias("high")))
+    blocks = boxes.agg(F.max("block")).first()[0] + 1
+    pairs = _block_pairs(boxes, blocks, dims, grid[0])
+    packed = placed.select("block", "id", "copies", "vector").groupBy("block").applyInArrow(_packed, "block long, ids binary, copies binary, data binary")
+
+    # squares of the pair matrix: large enough to ship a block seldom, small enough for a task's memory and for all cores
+    cores = distinct.sparkSession.sparkContext.defaultParallelism
+    side = max(1, min(SQUARE_BYTES // (2 * BLOCK * len(axes) * (4 if raw == "f4" else 8)), int(blocks / sqrt(8 * cores))))
+    pairs = written(pairs.select("a", "b", F.floor(F.col("a") / side).alias("i"), F.floor(F.col("b") / side).alias("j")))
+    needed = pairs.select("i", "j", F.explode(F.array("a", "b")).alias("block")).distinct().join(packed, "block")
+    return needed.groupBy("i", "j").cogroup(pairs.select(F.col("i").alias("row"), F.col("j").alias("column"), "a", "b").groupBy("row", "column")).applyInArrow(_squares(threshold, raw, axes, grid), "a long, b long, n long")
 
 
 def near_vectors(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9) -> DataFrame:
