@@ -112,6 +112,30 @@ FROM judged GROUP BY doc_id
 """
 
 
+_OP2_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+near AS (SELECT a.vec_id AS src, b.vec_id AS dst FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.9),
+reach(src, dst) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.src, n.dst FROM reach r JOIN near n ON r.dst = n.src),
+label AS (SELECT src AS vec_id, min(dst) AS component_id FROM reach GROUP BY src)
+SELECT e.vec_id, CAST((SELECT count(*) FROM near WHERE src = e.vec_id) AS BIGINT) AS n_links, component_id, component_id = e.vec_id AS kept
+FROM embeddings e JOIN label USING (vec_id)
+"""
+
+_OP8_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 4 THEN list_transform(range(1, len(words) - 2), lambda i: array_to_string(words[i:i + 3], ' '))
+                                      WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS s FROM w),
+size AS (SELECT doc_id, count(s) AS n FROM w LEFT JOIN shingle USING (doc_id) GROUP BY doc_id),
+overlap AS (SELECT a.doc_id AS src, b.doc_id AS dst, count(*) AS k FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+near AS (SELECT src, dst FROM overlap JOIN size x ON x.doc_id = src JOIN size y ON y.doc_id = dst WHERE 100 * k >= 85 * (x.n + y.n - k)),
+reach(src, dst) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.src, n.dst FROM reach r JOIN near n ON r.dst = n.src)
+SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles, min(r.dst) AS component_id FROM size s JOIN reach r ON r.src = s.doc_id GROUP BY ALL
+"""
+
 _OP3_SQL = """
 WITH crc_table AS (
   SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc_of),
@@ -139,4 +163,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_rendezvous_shards": _OP3_SQL, "op5_mix_sources": _OP5_SQL, "op9_line_dedup": _OP9_SQL}
+    return {"op2_epsilon_grid_join": _OP2_SQL, "op3_rendezvous_shards": _OP3_SQL, "op5_mix_sources": _OP5_SQL, "op8_jaccard_join": _OP8_SQL, "op9_line_dedup": _OP9_SQL}

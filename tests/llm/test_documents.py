@@ -227,9 +227,15 @@ def test_sql_of_queries(spark, tmp_path, name):
     rows = list({r[0]: r for r in rows}.values())
     frame = spark.createDataFrame(rows, SCHEMA).select("doc_id", "text", "lang", "source", "n_chars")
     frame.write.parquet(str(tmp_path / "documents.parquet"))
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=(30, 16))
+    vectors = [(k, v.tolist()) for k, v in enumerate(np.concatenate([base, base + 0.15 * rng.normal(size=base.shape), base[:5]]).astype("f4"))]
+    vectors += [(900, None), (901, [0.0] * 16), (902, [float("nan")] * 16), (903, [None] + [1.0] * 15)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
     got = queries()[name](spark, str(tmp_path))
     with duckdb.connect() as c:
-        c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        for table in ("documents", "embeddings"):
+            c.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
         cursor = c.execute(oracle_sql()[name])
         names = [d[0] for d in cursor.description]
         want = Counter(cursor.fetchall())
