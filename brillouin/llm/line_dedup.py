@@ -7,9 +7,9 @@ in two documents if all its cells are in the second array, so no repeat is misse
 the suspected keys through; they alone shuffle, as 128-bit BLAKE2b digests with their doc_id, and are
 counted exactly.  Lines of a confirmed key stay in the largest doc_id that holds it and go elsewhere.
 
-The second array has `2 ** bits` bits whatever the input is (8 MB at the default), which is what bounds the
-broadcast.  When the corpus outgrows it, more keys are suspected and more digests shuffle; the
-result stays exact.
+The arrays have `CELLS_A_KEY` cells for each line that can count, from a first count of lines and characters, between
+2 ** LEAST_BITS and 2 ** MOST_BITS; at most 128 MB of bits are broadcast.  When a corpus has over 2 ** MOST_BITS / CELLS_A_KEY keys,
+more keys are suspected and more digests shuffle; the result stays exact.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from .shared import Chunk, by_chunk, chunks, mixed, own_names, with_columns, without, written
 
-#: log2 of the cells of each Bloom filter, cells a key takes, log2 of the cells of a page.
-BLOOM_BITS, BLOOM_CELLS, PAGE_BITS = 26, 2, 18
+#: Cells of each Bloom filter for a key, log2 of the least and most cells, cells that a key takes, log2 of the cells of a page.
+CELLS_A_KEY, LEAST_BITS, MOST_BITS, BLOOM_CELLS, PAGE_BITS = 4, 20, 30, 2, 18
 
 
 def _keys(chunk: Chunk, min_chars: int) -> dict[str, np.ndarray]:
@@ -52,6 +52,44 @@ def _cells(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
         return [(mixed(hashes + np.uint64(k * 0x632BE59BD9B4E019 % 2**64)) >> np.uint64(64 - bits)).astype(np.int64) for k in range(BLOOM_CELLS)]
 
 
+def filter_bits(docs: DataFrame, text: str = "text", min_chars: int = 20) -> int:
+    """log2 of the cells of a filter for these documents: no key is shorter than `min_chars`, and no line has more than one."""
+    chars = F.length(F.col(text).cast("string"))
+    lines = 1 + F.regexp_count(F.col(text).cast("string"), F.lit("\n"))
+    row = docs.select(F.sum(F.least(lines, F.floor((chars + 1) / (min_chars + 1)))).alias("n")).first()
+    return min(MOST_BITS, max(LEAST_BITS, (CELLS_A_KEY * (row["n"] or 0)).bit_length()))
+
+
+def _set(bits: np.ndarray, cells: np.ndarray) -> None:
+    cells = np.sort(cells)
+    at = cells >> 3
+    first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else at
+    if len(first):
+        bits[at[first]] |= np.bitwise_or.reduceat(np.uint8(128) >> (cells & 7).astype(np.uint8), first)
+
+
+def _get(bits: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    return (bits[cells >> 3] & (np.uint8(128) >> (cells & 7).astype(np.uint8))) != 0
+
+
+def _thin(bits: np.ndarray) -> bytes:
+    """A page as it is, or places and values of its bytes where few are not 0."""
+    some = np.flatnonzero(bits)
+    return bits.tobytes() if 3 * len(some) >= len(bits) else some.astype("<u2").tobytes() + bits[some].tobytes()
+
+
+def _wide(data: bytes, size: int) -> np.ndarray:
+    if len(data) == size:
+        return np.frombuffer(data, np.uint8)
+    n, out = len(data) // 3, np.zeros(size, np.uint8)
+    out[np.frombuffer(data, "<u2", n)] = np.frombuffer(data, np.uint8, n, 2 * n)
+    return out
+
+
+def _page_bytes(bits: int) -> int:
+    return (1 << min(PAGE_BITS, bits)) // 8
+
+
 def _filters(text: str, min_chars: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         once = twice = None
@@ -62,47 +100,51 @@ def _filters(text: str, min_chars: int, bits: int):
                 if not len(hashes):
                     continue
                 if once is None:
-                    once, twice = np.zeros(1 << bits, bool), np.zeros(1 << bits, bool)
+                    once, twice = np.zeros(1 << bits - 3, np.uint8), np.zeros(1 << bits - 3, np.uint8)
                 distinct, count = np.unique(hashes, return_counts=True)
                 cells = _cells(distinct, bits)
-                again = (count > 1) | np.logical_and.reduce([once[c] for c in cells])
-                for c in cells:
-                    twice[c[again]] = True
-                    once[c] = True
+                again = (count > 1) | np.logical_and.reduce([_get(once, c) for c in cells])
+                _set(twice, np.concatenate([c[again] for c in cells]))
+                _set(once, np.concatenate(cells))
         if once is None:
             return
-        size = 1 << min(PAGE_BITS, bits)
+        size = _page_bytes(bits)
         for page in range(len(once) // size):
             part = slice(page * size, (page + 1) * size)
             if once[part].any():
-                yield pa.RecordBatch.from_pydict({"page": pa.array([page], pa.int32()), "once": pa.array([np.packbits(once[part]).tobytes()], pa.binary()), "twice": pa.array([np.packbits(twice[part]).tobytes()], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"page": pa.array([page], pa.int32()), "once": pa.array([_thin(once[part])], pa.binary()), "twice": pa.array([_thin(twice[part])], pa.binary())})
 
     return run
 
 
-def _merged_page(pages: pa.Table) -> pa.Table:
-    once = twice = None
-    for a, b in zip(pages.column("once"), pages.column("twice"), strict=True):
-        a, b = np.frombuffer(a.as_py(), np.uint8), np.frombuffer(b.as_py(), np.uint8)
-        once, twice = (a.copy(), b.copy()) if once is None else (once | a, twice | b | (once & a))
-    return pa.table({"page": pages.column("page")[:1], "once": pa.array([once.tobytes()], pa.binary()), "twice": pa.array([twice.tobytes()], pa.binary())})
+def _merging(size: int):
+    def merged(pages: pa.Table) -> pa.Table:
+        once, twice = np.zeros(size, np.uint8), np.zeros(size, np.uint8)
+        for a, b in zip(pages.column("once"), pages.column("twice"), strict=True):
+            a, b = _wide(a.as_py(), size), _wide(b.as_py(), size)
+            twice |= b | (once & a)
+            once |= a
+        return pa.table({"page": pages.column("page")[:1], "once": pa.array([_thin(once)], pa.binary()), "twice": pa.array([_thin(twice)], pa.binary())})
+
+    return merged
 
 
 _PAGE = "page int, once binary, twice binary"
 
 
-def seen_twice(docs: DataFrame, text: str = "text", min_chars: int = 20, bits: int = BLOOM_BITS) -> np.ndarray:
-    """The second Bloom filter over all lines, as packed bits of fixed size.
+def seen_twice(docs: DataFrame, text: str = "text", min_chars: int = 20, bits: int | None = None) -> tuple[np.ndarray, int]:
+    """The second Bloom filter over all lines, as packed bits, and the log2 of its cells (None: `filter_bits`).
 
     Pages are merged in two steps (by page and a salt, then by page), so that no task reads the pages of all tasks.
     """
+    bits = filter_bits(docs, text, min_chars) if bits is None else bits
+    size = _page_bytes(bits)
     pages = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(_filters("text", min_chars, bits), _PAGE)
-    salted = pages.groupBy("page", (F.spark_partition_id() % 16).alias("salt")).applyInArrow(_merged_page, _PAGE)
+    salted = pages.groupBy("page", (F.spark_partition_id() % 16).alias("salt")).applyInArrow(_merging(size), _PAGE)
     out = np.zeros((1 << bits) // 8, np.uint8)
-    size = (1 << min(PAGE_BITS, bits)) // 8
-    for page in salted.groupBy("page").applyInArrow(_merged_page, _PAGE).select("page", "twice").collect():
-        out[page["page"] * size : (page["page"] + 1) * size] = np.frombuffer(page["twice"], np.uint8)
-    return out
+    for page in salted.groupBy("page").applyInArrow(_merging(size), _PAGE).select("page", "twice").toLocalIterator():
+        out[page["page"] * size : (page["page"] + 1) * size] = _wide(page["twice"], size)
+    return out, bits
 
 
 def _suspects(min_chars: int, bits: int, shared):
@@ -111,7 +153,7 @@ def _suspects(min_chars: int, bits: int, shared):
         twice = shared.value
         suspected = np.ones(len(lines["hash"]), bool)
         for c in _cells(lines["hash"], bits):
-            suspected &= (twice[c >> 3] >> (7 - (c & 7)).astype(np.uint8) & 1).astype(bool)
+            suspected &= _get(twice, c)
         at = np.flatnonzero(suspected)
         at = at[_once_per_text(lines["row"][at], lines["hash"][at])]
         if not len(at):
@@ -153,12 +195,13 @@ def _kept(text: str, drop: str, names: tuple[str, str, str], min_chars: int):
     return by_chunk(work, text)
 
 
-def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3, bits: int = BLOOM_BITS, names: tuple[str, str, str] = ("n_lines", "n_dropped", "kept_text")) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 20, min_docs: int = 3, bits: int | None = None, names: tuple[str, str, str] = ("n_lines", "n_dropped", "kept_text")) -> DataFrame:
     r"""All rows of `docs` with three more columns: lines before, lines dropped, and the text that is left.
 
     A line's key is the line without white space ([\x20\x09-\x0D]) at both ends and with A-Z in lower case.
     Keys of at least `min_chars` code points that at least `min_docs` documents hold lose all their lines
-    except in the largest id that holds them.
+    except in the largest id that holds them. `bits`: log2 of the filters' cells (None: by the size of the corpus). The counts run
+    when the function is called. Lines of a text are told apart by 64-bit hashes, keys of the corpus by 128-bit digests.
 
     Defined cases: a null or empty text is one empty line; a null id counts as a document of its own and as the
     smallest id; rows that repeat an id count as documents each and are treated alike; within
@@ -168,7 +211,8 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     docs = without(docs, *names)
     (drop,) = own_names(docs, "drop")
-    shared = spark.sparkContext.broadcast(seen_twice(docs, text_col, min_chars, bits))
+    twice, bits = seen_twice(docs, text_col, min_chars, bits)
+    shared = spark.sparkContext.broadcast(twice)  # 2 ** MOST_BITS bits at most
     kind = docs.schema[id_col].dataType.simpleString()
     suspects = written(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_suspects(min_chars, bits, shared), f"id {kind}, hash long, digest binary"))
     # written, so that the join below has two plain sides and Spark can split a key that very many documents hold

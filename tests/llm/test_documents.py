@@ -157,6 +157,29 @@ def test_line_dedup(spark, bits):
     assert Counter(tuple(r) for r in got.select("doc_id", "n_lines", "n_dropped", "kept_text").collect()) == Counter(kept_lines(rows))
 
 
+def test_bloom_filters_grow_with_the_keys(spark):
+    """Of keys seen once, few are suspected, whatever their number is."""
+    for n in (2_000, 400_000):
+        docs = spark.range(n // 20).select(F.concat_ws("\n", *[F.concat(F.lit(f"line {k} of the document with number "), F.col("id").cast("string")) for k in range(19)], F.lit("a line that all of the documents share")).alias("text")).repartition(4)
+        twice, bits = line_dedup.seen_twice(docs)
+        assert bits == line_dedup.filter_bits(docs) and (1 << bits) >= 4 * n and len(twice) == (1 << bits) // 8
+        chunk = next(line_dedup.chunks(__import__("pyarrow").array([docs.orderBy(F.rand(1)).first()["text"] for _ in range(5)] + ["\n".join(f"another line {k} that nobody has seen" for k in range(5000))])))
+        keys = line_dedup._keys(chunk, 20)
+        suspected = np.logical_and.reduce([line_dedup._get(twice, c) for c in line_dedup._cells(keys["hash"], bits)])
+        shared = keys["hash"] == keys["hash"][19]
+        assert suspected[shared].all() and suspected[~shared].mean() < 0.05
+
+
+def test_pages_of_a_filter_round_trip():
+    rng = np.random.default_rng(0)
+    for share in (0, 0.01, 0.5):
+        page = (rng.random(1 << 15) < share).astype(np.uint8) * rng.integers(1, 255, 1 << 15).astype(np.uint8)
+        assert (line_dedup._wide(line_dedup._thin(page), len(page)) == page).all()
+    bits, cells = np.zeros(1 << 10, np.uint8), rng.integers(0, 1 << 13, 300)
+    line_dedup._set(bits, cells)
+    assert (np.flatnonzero(np.unpackbits(bits)) == np.unique(cells)).all() and line_dedup._get(bits, cells).all()
+
+
 def test_rendezvous(spark):
     rows = [r[:2] for r in awkward(n=500)]
     got = sharding.shard_records(spark.createDataFrame(rows, "doc_id long, text string"), shards=24).collect()
