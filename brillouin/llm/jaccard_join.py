@@ -3,12 +3,14 @@ r"""Exact n-gram Jaccard join with set-relation skipping.
 A document is the set of its word n-grams (as 64-bit hashes).  Equal sets are collapsed first; what is left is
 joined as follows, all of it exact for the given threshold.
 
-1. Order. Shingles are ordered by (how often their cell of a fixed-size counter table occurs, hash), rare ones first.
+1. Order. Shingles are ordered by (how often their cell of a counter table occurs, hash), rare ones first. The table grows with
+   the corpus and only changes speed: tasks count in it, and hand on the cells that they meet `COMMON` times or more.
    Two sets over the threshold share a shingle among the first n - ceil(t n) + 1 of each (prefix filter).
-2. Index. The prefix entries (shingle, set, size, position) are shuffled by shingle: the index lists. A list is sorted by size
-   and read in blocks; pairs whose sizes or positions rule the threshold out are skipped.
-3. Short lists give candidate pairs. Lists of more than `SHORT` sets are families of near copies: their sets are linked into
-   families, and a family is joined block against block (`BLOCK` sets), every pair once however many lists it shares.
+2. Index. The prefix entries (shingle, set, size, position) are shuffled by shingle: the index lists. A list is sorted by size, then
+   position, so sets of one size are a block in order of position. A set skips every block whose size rules the threshold out, or whose
+   first position does; in the other blocks it stops at the last position that leaves enough shingles for the threshold.
+3. Short lists give candidate pairs. Lists of more than `SHORT` sets are families of near copies (positions skip nothing there): their sets are
+   linked into families, and a family is joined block against block (`BLOCK` sets), every pair once however many lists it shares.
 4. Answers. In a family's block pair, the overlaps of a set with all others are derived from those of the
    set before it, by the index lists of the shingles in which the two differ.  Only links that join two groups leave a
    task, so a family of n sets gives fewer than n links for each of its block pairs.
@@ -27,8 +29,10 @@ from pyspark.sql import functions as F
 from ..operators.graph import components, forest
 from .shared import Chunk, chunks, mixed, written
 
-#: log2 of the counter cells, of those on a page; sets of a short list; sets and shingles of a family's block.
-CELL_BITS, PAGE_BITS, SHORT, BLOCK, BLOCK_SHINGLES = 20, 14, 48, 256, 200_000
+#: log2 of the least and most counter cells and of those on a page; characters of a corpus for a cell; count in a task from which a cell is handed on.
+LEAST_BITS, MOST_BITS, PAGE_BITS, CELL_CHARS, COMMON = 20, 24, 14, 128, 4
+#: Sets of a short list; sets and shingles of a family's block.
+SHORT, BLOCK, BLOCK_SHINGLES = 48, 1024, 800_000
 
 _FOLD = np.uint64(0xD6E8FEB86659FD93)
 
@@ -69,46 +73,58 @@ def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def _signatures(n: int):
-    """Rows (id, size, two 64-bit sums that stand for the set), then the task's counter pages."""
+def counter_bits(docs: DataFrame, text: str) -> int:
+    """log2 of the counter cells for these documents."""
+    chars = docs.agg(F.sum(F.length(text)).alias("n")).first()["n"] or 0
+    return min(MOST_BITS, max(LEAST_BITS, (chars // CELL_CHARS).bit_length()))
+
+
+def _signatures(n: int, bits: int):
+    """Rows (id, size, two 64-bit sums that stand for the set), then the common cells of the task: on each page places, then counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(1 << CELL_BITS, np.uint32)
+        cells = np.zeros(1 << bits, np.uint32)
         for batch in batches:
             for chunk in chunks(batch.column(1)):
                 value, offsets = shingle_sets(chunk, n)
-                cells += np.bincount((value >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells)).astype(np.uint32)
+                at, count = np.unique((value >> np.uint64(64 - bits)).astype(np.int64), return_counts=True)
+                cells[at] += count.astype(np.uint32)
                 with np.errstate(over="ignore"):
                     other = mixed(value ^ _FOLD)
                 m = chunk.n
                 yield pa.RecordBatch.from_pydict({"id": batch.column(0).slice(chunk.first, m).cast(pa.int64()), "n": np.diff(offsets).astype(np.int64), "s1": _sums(value, offsets).view(np.int64), "s2": _sums(other, offsets).view(np.int64), "page": pa.nulls(m, pa.int32()), "counts": pa.nulls(m, pa.binary())})
-        size = 1 << min(PAGE_BITS, CELL_BITS)
-        for page in range(len(cells) // size):
-            part = cells[page * size : (page + 1) * size]
-            if part.any():
-                one = pa.nulls(1, pa.int64())
-                yield pa.RecordBatch.from_pydict({"id": one, "n": one, "s1": one, "s2": one, "page": pa.array([page], pa.int32()), "counts": pa.array([part.astype("<u4").tobytes()], pa.binary())})
+        some = np.flatnonzero(cells >= COMMON)
+        edge = np.searchsorted(some, np.arange((1 << bits - PAGE_BITS) + 1) << PAGE_BITS)
+        one = pa.nulls(1, pa.int64())
+        for page in np.flatnonzero(np.diff(edge)).tolist():
+            at = some[edge[page] : edge[page + 1]]
+            data = (at - (page << PAGE_BITS)).astype("<u4").tobytes() + cells[at].astype("<u4").tobytes()
+            yield pa.RecordBatch.from_pydict({"id": one, "n": one, "s1": one, "s2": one, "page": pa.array([page], pa.int32()), "counts": pa.array([data], pa.binary())})
 
     return run
 
 
 def _summed_page(pages: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x.as_py(), "<u4").astype(np.uint64) for x in pages.column("counts"))
-    return pa.table({"page": pages.column("page")[:1], "counts": pa.array([np.minimum(total, 2**32 - 1).astype("<u4").tobytes()], pa.binary())})
+    total = np.zeros(1 << PAGE_BITS, np.int64)
+    for data in pages.column("counts"):
+        at, count = np.frombuffer(data.as_py(), "<u4").reshape(2, -1)
+        total[at] += count
+    at = np.flatnonzero(total)
+    return pa.table({"page": pages.column("page")[:1], "counts": pa.array([at.astype("<u4").tobytes() + np.minimum(total[at], 2**32 - 1).astype("<u4").tobytes()], pa.binary())})
 
 
-def _cell_counts(rows: DataFrame) -> np.ndarray:
-    """The counter table over all documents: 2 ** CELL_BITS cells, whatever the input is."""
+def _cell_ranks(rows: DataFrame, bits: int) -> np.ndarray:
+    """How common each cell is over all documents, 0 to 255 on a logarithmic scale: 2 ** bits bytes, 16 MB at most."""
     pages = rows.where(F.col("page").isNotNull()).select("page", "counts")
     salted = pages.groupBy("page", (F.spark_partition_id() % 16).alias("salt")).applyInArrow(_summed_page, "page int, counts binary")
-    out = np.zeros(1 << CELL_BITS, np.uint32)
-    size = 1 << min(PAGE_BITS, CELL_BITS)
-    for page in salted.groupBy("page").applyInArrow(_summed_page, "page int, counts binary").collect():
-        out[page["page"] * size : (page["page"] + 1) * size] = np.frombuffer(page["counts"], "<u4")
+    out = np.zeros(1 << bits, np.uint8)
+    for page in salted.groupBy("page").applyInArrow(_summed_page, "page int, counts binary").toLocalIterator():
+        at, count = np.frombuffer(page["counts"], "<u4").reshape(2, -1)
+        out[(page["page"] << PAGE_BITS) + at.astype(np.int64)] = np.minimum(255, 8 * np.log2(1.0 + count))
     return out
 
 
-def _prefixes(n: int, num: int, den: int, shared):
+def _prefixes(n: int, num: int, den: int, bits: int, shared):
     """(id, size, positions and hashes of the prefix), a row for each text with words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,7 +134,7 @@ def _prefixes(n: int, num: int, den: int, shared):
                 value, offsets = shingle_sets(chunk, n)
                 size = np.diff(offsets)
                 owner = np.repeat(np.arange(chunk.n), size)
-                order = np.lexsort((value, cells[(value >> np.uint64(64 - CELL_BITS)).astype(np.int64)], owner))
+                order = np.lexsort((value, cells[(value >> np.uint64(64 - bits)).astype(np.int64)], owner))
                 at = np.arange(len(value)) - offsets[owner]
                 length = size - (num * size + den - 1) // den + 1
                 kept = np.flatnonzero(at < length[owner])
@@ -137,7 +153,7 @@ def _ratio_ok(small: np.ndarray, large: np.ndarray, num: int, den: int) -> np.nd
 
 
 def _lists(num: int, den: int):
-    """Candidate pairs of short lists, chains of long ones. The rows come sorted by (shingle, size, id)."""
+    """Candidate pairs of short lists, chains of long ones. The rows come sorted by (shingle, size, position, id)."""
 
     def pairs_of(token: np.ndarray, ids: np.ndarray, size: np.ndarray, pos: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         if not len(token):
@@ -146,20 +162,32 @@ def _lists(num: int, den: int):
         length = np.diff(edge)
         listed = np.repeat(length, length)
         left = np.repeat(edge[1:], length) - np.arange(len(token)) - 1  # entries of the list behind this one
-        long = listed > SHORT
-        near = np.flatnonzero(long & (left > 0))
+        near = np.flatnonzero((listed > SHORT) & (left > 0))
         near = near[_ratio_ok(size[near], size[near + 1], num, den)]
         yield ids[near], ids[near + 1], np.ones(len(near), bool)
-        here = np.flatnonzero(~long & (left > 0))
-        step = 1
+
+        # blocks: entries of a list with sets of one size, in order of position
+        start = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (size[1:] != size[:-1])]))
+        block = np.searchsorted(start, np.arange(len(token)), "right") - 1
+        last = np.searchsorted(start, np.repeat(edge[1:], length)) - 1  # last block of an entry's list
+        wide = int(pos.max()) + 2
+        place = block * wide + pos
+        here, step = np.flatnonzero((listed <= SHORT) & (left > 0)), 0
         while len(here):
-            i, j = here, here + step
-            room = np.minimum(size[i] - pos[i], size[j] - pos[j])  # overlap that is still possible if this is the first common shingle
-            fits = _ratio_ok(size[i], size[j], num, den)
-            good = fits & ((num + den) * room >= num * (size[i] + size[j]))
-            yield ids[i[good]], ids[j[good]], np.zeros(int(good.sum()), bool)
+            b = block[here] + step
+            here = here[b <= last[here]]
+            b = block[here] + step
+            small, large = size[here], size[start[b]]
+            fits = _ratio_ok(small, large, num, den)
+            here, b, small, large = here[fits], b[fits], small[fits], large[fits]
+            need = -(-num * (small + large) // (num + den))  # shingles in common
+            low = np.where(step == 0, here + 1, start[b])
+            high = np.searchsorted(place, b * wide + np.clip(large - need, -1, wide - 2), "right")
+            n = np.where(small - pos[here] >= need, np.maximum(high - low, 0), 0)
+            i = np.repeat(here, n)
+            j = np.repeat(low - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
+            yield ids[i], ids[j], np.zeros(len(i), bool)
             step += 1
-            here = here[fits & (left[here] >= step)]
 
     def chain(ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         near = np.flatnonzero(_ratio_ok(size[:-1], size[1:], num, den))
@@ -207,7 +235,7 @@ def linked_forest(ids: np.ndarray, value: np.ndarray, offsets: np.ndarray, num:
     """Forest of the links within some sets; with `side`, only pairs of different sides are compared.
 
     Sets are taken by size. The overlaps of a set come from those of the set before it where fewer shingles
-    differ than the set has; lists are cut to the block of sets whose size can reach the threshold.
+    differ than the set has. Lists are read whole, so that overlaps stay right for the sets to come; sizes cut what is tested.
     """
     size = np.diff(offsets)
     order = np.argsort(size, kind="stable")
@@ -291,24 +319,38 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
 
     Defined cases: a text without words (null, empty, white space) has no shingles and is linked with nothing; a text
     of fewer than n words is one shingle; equal sets are linked; a row with a null id gets a null component and is linked with nothing; rows
-    that repeat an id are placed by their own text; an empty table gives an empty table; other columns are not read.
+    that repeat an id are placed by their own text (the table is written once more with numbered rows then); an empty table gives an
+    empty table; other columns are not read. Ids are whole numbers. The join runs when the function is called.
     """
-    num, den = threshold
-    spark = docs.sparkSession
     given = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = written(given.mapInArrow(_signatures(n), "id long, n long, s1 long, s2 long, page int, counts binary"))
-    shared = spark.sparkContext.broadcast(_cell_counts(rows))
+    if given.where("id IS NOT NULL").groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return _components(given, n, *threshold).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+    keyed = written(given.withColumn("row", F.monotonically_increasing_id()))
+    rows = written(_components(keyed.select(F.when(F.col("id").isNotNull(), F.col("row")).alias("id"), "text"), n, *threshold).withColumnRenamed("id", "row"))
+    nameless = rows.where("row IS NULL").select(F.lit(None).cast("long").alias("id"), "n", F.lit(None).cast("long").alias("component"))
+    named = keyed.where("id IS NOT NULL").select("row", "id").join(rows, "row")
+    least = named.groupBy("component").agg(F.min("id").alias("least"))
+    out = named.join(least, "component").select("id", "n", F.col("least").alias("component")).union(nameless)
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def _components(given: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """(id, n, component) of rows (id, text) whose ids are different or null."""
+    spark = given.sparkSession
+    bits = counter_bits(given, "text")
+    rows = written(given.mapInArrow(_signatures(n, bits), "id long, n long, s1 long, s2 long, page int, counts binary"))
+    shared = spark.sparkContext.broadcast(_cell_ranks(rows, bits))
     sets = rows.where(F.col("page").isNull()).select("id", "n", "s1", "s2")
     real = sets.where("n > 0 AND id IS NOT NULL")
     groups = written(real.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")))
-    reps = groups.select(F.col("rep").alias("id"), F.col("n").cast("int").alias("size")).distinct()
+    reps = groups.select(F.col("rep").alias("id"), F.col("n").cast("int").alias("size"))
 
-    entries = given.where("id IS NOT NULL").mapInArrow(_prefixes(n, num, den, shared), "id long, size int, prefix array<long>").join(reps, ["id", "size"], "left_semi")
+    entries = given.where("id IS NOT NULL").mapInArrow(_prefixes(n, num, den, bits, shared), "id long, size int, prefix array<long>").join(reps, ["id", "size"], "left_semi")
     entries = entries.select("id", "size", F.posexplode("prefix").alias("pos", "token"))
-    lists = entries.select("token", "id", "size", "pos").repartition("token").sortWithinPartitions("token", "size", "id")
+    lists = entries.select("token", "id", "size", "pos").repartition("token").sortWithinPartitions("token", "size", "pos", "id")
     found = written(lists.mapInArrow(_lists(num, den), "a long, b long, family boolean").distinct())
 
-    texts = given.join(reps.select("id").distinct(), "id", "left_semi")
+    texts = given.join(reps.select("id"), "id", "left_semi")
     links = _pair_links(found, texts, n, num, den)
     if not found.where("family").isEmpty():
         links = links.union(_families(found, texts, reps, n, num, den))
@@ -316,7 +358,7 @@ def jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     named = groups.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("component"))
     # sets that only one row has are their own; the others look their component up
     out = sets.join(named, ["n", "s1", "s2"], "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"))
+    return out.select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
 
 
 def _pair_links(found: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:

@@ -306,6 +306,36 @@ def test_jaccard_join(spark, n, num, den):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == brute_components(rows, n, num, den)
 
 
+def test_jaccard_join_of_repeated_and_null_ids(spark):
+    """Rows are placed by their own text, whatever the ids are; two texts that share an id are not linked by it."""
+    import random
+
+    rng = random.Random(2)
+    a, b, c = (words(rng, 60) for _ in range(3))
+    rows = [(3, a), (4, b), (5, a), (5, b), (6, c), (6, c), (7, c + " more"), (None, a), (None, None), (8, ""), (8, None), (9, "one two")]
+    got = Counter(tuple(r) for r in jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    n = 56
+    assert got == Counter({(3, n, 3): 1, (5, n, 3): 1, (4, n, 4): 1, (5, n, 4): 1, (6, n, 6): 2, (7, n + 1, 6): 1, (None, n, None): 1, (None, 0, None): 1, (8, 0, 8): 2, (9, 1, 9): 1})
+
+
+def test_block_skips_lose_no_pair():
+    """Candidates of random index lists: all pairs that size and position allow, and no others."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    num, den = 80, 100
+    for _ in range(20):
+        rows = sorted({(int(t), int(s), int(p), k) for k, (t, s, p) in enumerate(zip(rng.integers(0, 12, 200), rng.integers(1, 40, 200), rng.integers(0, 12, 200), strict=True)) if p < s})
+        batch = pa.RecordBatch.from_pydict({"token": [r[0] for r in rows], "id": [r[3] for r in rows], "size": pa.array([r[1] for r in rows], pa.int32()), "pos": pa.array([r[2] for r in rows], pa.int32())})
+        got = Counter((r["a"], r["b"]) for part in jaccard_join._lists(num, den)(iter([batch.slice(0, 70), batch.slice(70)])) for r in part.to_pylist())
+        want = Counter()
+        for x, (t, s, p, k) in enumerate(rows):
+            for u, z, q, m in rows[x + 1 :]:
+                if t == u and den * s >= num * z and (num + den) * min(s - p, z - q) >= num * (s + z):
+                    want[min(k, m), max(k, m)] += 1
+        assert got == want
+
+
 def test_overlaps_from_similar_sets():
     rng = np.random.default_rng(3)
     base = rng.choice(10_000, 80, replace=False)
