@@ -148,3 +148,37 @@ def test_pipeline_stages(spark, tmp_path):
     assert abs(sum(len(WORD.findall(r["text"])) for r in fourth) - words) <= 3
     assert all(third[r["doc_id"]].startswith(r["text"]) and r["n_chars"] == len(r["text"]) for r in fourth)
     assert seen[5].agg(F.sum("length")).first()[0] == seen[5].where("start = 0").agg(F.sum("doc_tokens")).first()[0]
+
+
+def test_pipeline_stages_of_awkward_rows(spark, tmp_path):
+    """Nulls, repeated rows and ids, ties, clashing columns; each stage on the same rows, and on none."""
+    import corpus_pipeline as P
+
+    from .corpus import SCHEMA
+    from .test_documents import WORD, brute_components
+
+    docs = spark.createDataFrame(awkward(), SCHEMA).withColumn("row", F.lit(1)).withColumn("key", F.lit("k")).withColumn("taken", F.lit("t"))
+    docs.write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    given = docs.collect()
+    for name, stage in P.STAGES:
+        got = stage(spark, docs, str(tmp_path))
+        if name != "packing":
+            assert got.columns == docs.columns
+        assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+        rows = got.collect()
+        if name == "quality rules":
+            assert {r["doc_id"] for r in rows} <= {r["doc_id"] for r in given if len(WORD.findall(r["text"] or "")) >= 50} and len(rows) > 20
+        elif name == "line dedup":
+            assert len(rows) == len(given) and all(r["key"] == "k" and r["row"] == 1 and r["n_chars"] == len(r["text"]) for r in rows)
+        elif name == "n-gram Jaccard join":
+            numbered = list(enumerate(given))
+            component = {k: c for k, (_, c) in brute_components([(k, r["text"]) for k, r in numbered], 5, 80, 100).items()}
+            assert len(rows) == len(set(component.values()))
+            least = {}
+            for k, r in numbered:
+                mine = (r["doc_id"] is None, r["doc_id"] or 0)
+                least[component[k]] = min(least.get(component[k], mine), mine)
+            assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in rows) == sorted(least.values())
+        elif name == "mixing":
+            assert all(r["taken"] == "t" and WORD.search(r["text"]) for r in rows)
