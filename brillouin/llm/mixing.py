@@ -9,8 +9,9 @@ Targets share the words of all sources by weight, none above `max_epochs` times
 sorted by cap / weight, let level(i) be what a unit of weight gets when all sources before i stand at their caps; the
 level after resharing is the largest of these.
 
-A source is never sorted in one task: its documents are dealt into ranges of the key, a small table has the words of each
-(source, range), and the prefix sum of a document is that of its range plus the one within the range.
+A source is never sorted in one task: its documents are dealt into ranges of the key (more of them where there are more rows; the result
+is the same), a small table has the words of each (source, range), and the prefix sum of a document is that of its range plus the
+one within the range.  Only the table of the sources, a row each, is sorted as a whole.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from .shared import own_names, without
 
-#: Ranges of the key that a source is dealt into, and how densely they lie at its start (about the mean weight).
-RANGES, SPREAD = 128, 3.0
+#: Least ranges of the key that a source is dealt into, rows of all sources for each of them, and how densely they lie at the start (about the mean weight).
+RANGES, RANGE_ROWS, SPREAD = 128, 1 << 16, 3.0
 #: Words, and where a text can be cut between them (behind each word).
 WORD, BEHIND_WORD = r"[^\x20\x09-\x0D]+", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])"
 
@@ -62,7 +63,8 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "s
     """All rows of `docs` with size, source_size, target and taken (words, repeats counted).
 
     `weights` go to the sources in code-point order, null last, and repeat. `weight` is a document's quality
-    weight (positive; default: `quality_weight`). A source's `taken` adds up to its target, rounded down.
+    weight (positive; default: `quality_weight`). A source's `taken` adds up to its target, rounded down. Rows are counted when the
+    function is called.
 
     Defined cases: a null text has no words and nothing is taken of it; null is a source of its own; rows that
     repeat an id draw the same key and are taken by size, then text; an empty table gives an empty table; other
@@ -71,10 +73,11 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "s
     docs = without(docs, "size", "source_size", "target", "taken")
     draw, part, key, before, tie = own_names(docs, "draw", "range", "source", "before", "tie")
     text = F.col(text_col).cast("string")
+    ranges = max(RANGES, docs.count() // RANGE_ROWS)
     base = docs.withColumn("size", word_count(text))
     base = base.withColumn(draw, -F.log(uniform(F.col(id_col), seed)) / (quality_weight(text, F.col("size")) if weight is None else weight))
     base = base.withColumn(tie, F.xxhash64(text))
-    base = base.withColumn(part, F.least(F.floor((1 - F.exp(-SPREAD * F.col(draw))) * RANGES), F.lit(RANGES - 1)).cast("int"))
+    base = base.withColumn(part, F.least(F.floor((1 - F.exp(-SPREAD * F.col(draw))) * ranges), F.lit(ranges - 1)).cast("int"))
     base = base.withColumn(key, F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("")))
 
     parts = base.groupBy(F.col(key).alias("key"), F.col(part).alias("range")).agg(F.sum("size").alias("words"))

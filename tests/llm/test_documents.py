@@ -219,7 +219,7 @@ def test_weighted_shards(spark):
         sharding.rendezvous(F.col("id"), [0, 0])
 
 
-def test_mixing(spark, docs):
+def test_mixing(spark, docs, monkeypatch):
     got = mixing.mix_sources(docs.drop("n_words", "size", "kept")).toPandas()
     size = {}
     for s, g in got.groupby("source", dropna=False):
@@ -229,6 +229,8 @@ def test_mixing(spark, docs):
         assert (g["taken"] <= 3 * g["size"]).all() and (g["taken"] >= 0).all()
         assert g["taken"].max() == 0 or (g["taken"] // g["size"].where(g["size"] > 0)).max() - (g["taken"] // g["size"].where(g["size"] > 0)).min() <= 1
     assert abs(sum({s: g["target"].iloc[0] for s, g in got.groupby("source", dropna=False)}.values()) - got["size"].sum()) < 1e-6
+    monkeypatch.setattr(mixing, "RANGES", 3)
+    monkeypatch.setattr(mixing, "RANGE_ROWS", 5)
     again = mixing.mix_sources(docs.drop("n_words", "size", "kept").repartition(7)).toPandas()
     key = ["doc_id", "text", "taken"]
     assert Counter(map(str, got[key].values.tolist())) == Counter(map(str, again[key].values.tolist()))
