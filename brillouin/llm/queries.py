@@ -34,8 +34,7 @@ def op3_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_wrapper_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = extract_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    return pages.select("page_id", "url", "text", "n_chars")
+    return extract_text(table(spark, sf_dir, "pages"), keep=("page_id", "url"))
 
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

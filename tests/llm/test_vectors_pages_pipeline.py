@@ -1,6 +1,7 @@
 """Vector join and page extraction against brute force; the pipeline stage by stage."""
 
 import html as entities
+import time
 
 import numpy as np
 import pytest
@@ -109,10 +110,65 @@ def test_wrappers_come_from_all_pages_of_hosts_of_any_size(spark):
 def test_tree_matching_of_deep_and_wide_pages():
     deep = "<div>" * 3000 + "same"
     assert len(match(_Tree(Page(deep)), _Tree(Page(deep)))) == 3001
+    began, deeper = time.time(), Page("<div><section>" * 5000 + "same")
+    assert len(deeper.tag) == 10_001 and max(map(len, deeper.path)) < 5000
+    assert len(match(_Tree(deeper), _Tree(Page("<div><section>" * 5000 + "other")))) == 10_001 and time.time() - began < 20
     wide = [_Tree(Page("".join(f"<p>{i}</p>" for i in range(n, 100)))) for n in (0, 40)]
     assert {wide[0].text[x] for x, y in match(*wide).items() if wide[0].text[x] == wide[1].text[y]} >= {str(i) for i in range(40, 100)}
 
 
+def test_long_tables_are_aligned_in_seconds():
+    pages = ["<table>" + "".join(f"<tr><td>{i * 7919 % 1000}</td><td>{k} of {i}</td></tr>" for i in range(k, 5000)) + "</table>" for k in (0, 3)]
+    began = time.time()
+    a, b = (_Tree(Page(p)) for p in pages)
+    pairs = match(a, b)
+    assert time.time() - began < 30 and len(pairs) > 14_000
+    assert sum(a.text[x] == b.text[y] != "" for x, y in pairs.items()) > 4500  # rows moved by three places
+
+
+def test_simple_tree_matching_against_brute_force():
+    """The weight of the alignment is that of the textbook recursion on small random trees."""
+    import random
+
+    rng = random.Random(3)
+
+    def tree(depth=0):
+        tag = rng.choice(["div", "ul", "section"])
+        inside = "".join(tree(depth + 1) for _ in range(rng.randint(0, 3))) if depth < 3 else ""
+        return f"<{tag}>{rng.choice(['', 'a', 'b'])}{inside}</{tag}>"
+
+    def best(a, x, b, y):
+        if a.label[x] != b.label[y]:
+            return 0.0
+        left, right = a.children[x], b.children[y]
+        table = [[0.0] * (len(right) + 1) for _ in range(len(left) + 1)]
+        for i, p in enumerate(left, 1):
+            for j, q in enumerate(right, 1):
+                table[i][j] = max(table[i - 1][j], table[i][j - 1], table[i - 1][j - 1] + best(a, p, b, q))
+        return 1.0 + 0.5 * (a.text[x] == b.text[y] != "") + table[-1][-1]
+
+    for _ in range(60):
+        a, b = (_Tree(Page("".join(tree() for _ in range(3)))) for _ in "ab")
+        pairs = match(a, b)
+        assert sum(1.0 + 0.5 * (a.text[x] == b.text[y] != "") for x, y in pairs.items()) == best(a, 0, b, 0)
+        above = {c: k for t in (a,) for k in range(len(t.label)) for c in t.children[k]}
+        assert all(pairs[above[x]] in range(len(b.label)) and y in b.children[pairs[above[x]]] for x, y in pairs.items() if x)
+
+
+def test_wrapper_decides_where_markup_names_nothing():
+    """Ablation: without its wrapper a page keeps the template's texts and takes the wrong part."""
+    def page(i):
+        links = "".join(f"<p>Other story number {i * 31 + k} that is not this page's own</p>" for k in range(2))
+        body = "".join(f"<p>Sentence {k} of story {i}, with words enough to be the longest part of all.</p>" for k in range(6))
+        return f'<body><div class="qa"><p>Welcome to our pages.</p></div><div class="qb"><p>You read the daily paper.</p><h1>Story {i}</h1>{body}<div><p>Written by the desk.</p></div></div><div class="qc">{links}</div>'
+
+    pages = [page(i) for i in range(12)]
+    path, constants = induce(pages)
+    for i, html in enumerate(pages):
+        want = "\n".join([f"Story {i}", *(f"Sentence {k} of story {i}, with words enough to be the longest part of all." for k in range(6))])
+        assert main_text(html, path, set(constants)) == want != main_text(html, None, set())
+
+
 def test_pipeline_stages(spark, tmp_path):
     import random
 
