@@ -93,10 +93,12 @@ def refinement_filter(rows: DataFrame, s1, s0, axis, overloaded: Column) -> Data
     return kept.withColumn("flags", F.col("flags").bitwiseAND(F.lit(~8)))
 
 
-def sampled(rows: DataFrame, id_col: str, per_degree: int, width_deg: float, seed: int = 43, least: int = 1000) -> DataFrame:
-    """A fixed sample of max(per_degree * max(round(width), 1), least) rows by hash of the id, in id order."""
-    n = max(per_degree * max(round(width_deg), 1), least)
-    return rows.orderBy(F.xxhash64(F.lit(seed), id_col), id_col).limit(n).orderBy(id_col)
+def sampled(rows: DataFrame, id_col: str, per_degree: int, width_deg: Column | float, seed: int = 43, least: int = 1000, key: tuple[str, ...] = ("dataset",)) -> DataFrame:
+    """A fixed sample of each dataset: the max(per_degree * max(round(width), 1), least) rows of least hash of their id."""
+    width = width_deg if isinstance(width_deg, Column) else F.lit(float(width_deg))
+    n = F.greatest(per_degree * F.greatest(F.round(width), F.lit(1)), F.lit(least))
+    order = Window.partitionBy(*key).orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")).cast("binary")), id_col)
+    return rows.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= n).drop("__n")
 
 
 # --- reciprocal grid and its peaks ----------------------------------------------------------------------------------
@@ -227,8 +229,8 @@ def candidate_vectors(found: DataFrame, dmin: float, min_cell: float = 3.0, max_
 
 
 def triples(vectors: DataFrame, keep: int = 1000) -> DataFrame:
-    """(dataset, n, i, j, k, v1, v2, v3): triples i < j < k of a dataset's vectors by the squared norm of the indices, the first `keep`."""
-    one = vectors.select("dataset", "rank", F.array("x", "y", "z").alias("v"))
+    """(dataset, n, i, j, k, v1, v2, v3): triples i < j < k of a dataset's first 100 vectors by the squared norm of the indices, the first `keep`."""
+    one = vectors.where(F.col("rank") < 100).select("dataset", "rank", F.array("x", "y", "z").alias("v"))
     a, b, c = (one.select("dataset", F.col("rank").alias(r), F.col("v").alias(f"v{m}")) for r, m in (("i", 1), ("j", 2), ("k", 3)))
     rows = a.join(b, "dataset").where("i < j").join(c, "dataset").where("j < k")
     order = Window.partitionBy("dataset").orderBy(F.expr("i * i + j * j + k * k"), "i", "j", "k")
@@ -321,5 +323,5 @@ def stills_accepted(n_indexed: Column, min_spots: int = 10) -> Column:
 
 
 def resolution_steps(start: float, end: float, cycles: int = 5) -> list[float]:
-    """Resolution limit of each refinement cycle, from that of the search to that of the data."""
-    return [start + (end - start) * k / max(1, cycles - 1) for k in range(cycles)]
+    """Resolution limit of each refinement cycle: equal steps from that of the search, the last one that of the data."""
+    return [start + (end - start) * (k + 1) / cycles for k in range(cycles)]

@@ -1,23 +1,29 @@
 """Spots: connected strong pixels in two and three dimensions, and what is measured on them.
 
-`strong`: dataset, frame, y, x, value.  A pixel's node is (z, y, x) packed in a BIGINT, so labels need no numbering.
+`strong`: dataset, frame, y, x, value.  Datasets have numbers or names.  Pixels of a slice are labelled in one pass over the slice (a task holds one
+slice's strong pixels); only links between the parts of neighbouring slices go through the distributed components.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from ..functions import vec as V
-from .graph import components
+from ..plans.scratch import written
+from .graph import components, forest
 
-#: Bits of a packed coordinate: dataset number, slice, y, x.
-_DATASET, _Z, _Y, _X = 15, 16, 16, 16
+#: Bits of a packed coordinate: slice, y, x; 63 - 48 are left for the number of the dataset.
+_Z, _Y, _X = 20, 14, 14
 
 
 def packed(dataset: Column, z: Column, y: Column, x: Column) -> Column:
-    return F.shiftleft(dataset.cast("long"), _Z + _Y + _X) + F.shiftleft(z.cast("long"), _Y + _X) + F.shiftleft(y.cast("long"), _X) + x.cast("long")
+    """A pixel's number: dataset numbers under 2 ** 15, slices under 2 ** 20, rows and columns under 2 ** 14; null beyond that."""
+    fits = (dataset >= 0) & (dataset < 1 << 63 - _Z - _Y - _X) & (z >= 0) & (z < 1 << _Z) & (y >= 0) & (y < 1 << _Y) & (x >= 0) & (x < 1 << _X)
+    return F.when(fits, F.shiftleft(dataset.cast("long"), _Z + _Y + _X) + F.shiftleft(z.cast("long"), _Y + _X) + F.shiftleft(y.cast("long"), _X) + x.cast("long"))
 
 
 def with_slices(strong: DataFrame, frames: DataFrame | None = None, *, glue: bool = False) -> DataFrame:
@@ -44,12 +50,59 @@ def adjacency(strong: DataFrame, *, across_frames: bool, wrap_width: int | None
     return asked.join(here.select(F.col("a").alias("b")), "b").select("a", "b")
 
 
+def slice_parts(y: np.ndarray, x: np.ndarray, wrap_width: int | None = None) -> np.ndarray:
+    """For each strong pixel of a slice the smallest place (y * 2 ** 14 + x) of the pixels it is connected with, right, left, up and down."""
+    place = (y.astype(np.int64) << _X) + x
+    order = np.argsort(place)
+    known = place[order]
+
+    def links(to: np.ndarray, asks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.minimum(np.searchsorted(known, to), len(known) - 1)
+        hit = asks & (known[at] == to)
+        return place[hit], to[hit]
+
+    every = np.ones(len(place), bool)
+    found = [links(place + 1, every), links(place + (1 << _X), every)]
+    if wrap_width is not None:
+        found.append(links((y.astype(np.int64) + 1) << _X, x == wrap_width - 1))
+    node, part = forest(*(np.concatenate(c) for c in zip(*found, strict=True)))
+    out = place.copy()
+    if len(node):
+        sort = np.argsort(node)
+        at = np.minimum(np.searchsorted(node[sort], place), len(node) - 1)
+        hit = node[sort][at] == place
+        out[hit] = part[sort][at[hit]]
+    return out
+
+
 def labelled(strong: DataFrame, *, across_frames: bool, wrap_width: int | None = None) -> DataFrame:
-    """Adds `spot`: the packed coordinate of the spot's first pixel in order (z, y, x). Needs z."""
-    node = packed(F.col("dataset"), F.col("z"), F.col("y"), F.col("x"))
-    found = components(adjacency(strong, across_frames=across_frames, wrap_width=wrap_width))
-    rows = strong.withColumn("__node", node).join(found.withColumnRenamed("node", "__node"), "__node", "left")
-    return rows.withColumn("spot", F.coalesce("component", "__node")).drop("__node", "component")
+    """Adds `spot`: a number of the connected pixels, the packed place of the first in order (z, y, x); datasets are counted from 0 in their order. Needs z.
+
+    Images have under 2 ** 14 rows and columns. With `across_frames` a dataset has under 2 ** 20 slices (in both cases a spot beyond the packed
+    ranges raises). The distributed components run when the function is called.
+    """
+    columns = strong.columns
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        y, x = (rows.column(c).to_numpy().astype(np.int64) for c in ("y", "x"))
+        return rows.append_column("__part", pa.array(slice_parts(y, x, wrap_width)))
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in strong.schema)
+    parts = strong.groupBy("dataset", "z").applyInArrow(run, f"{schema}, __part long")
+    # a row for each dataset
+    number = strong.select("dataset").distinct().withColumn("__set", F.row_number().over(Window.orderBy(F.col("dataset").asc_nulls_first())) - 1)
+    rows = parts.join(number, "dataset")
+    node = packed(F.col("__set"), F.col("z"), F.shiftright("__part", _X), F.col("__part").bitwiseAND(F.lit((1 << _X) - 1)))
+    rows = rows.withColumn("__node", F.coalesce(node, F.raise_error(F.lit("a dataset, slice or pixel is beyond the packed ranges")).cast("long")))
+    if not across_frames:
+        return rows.select(*columns, F.col("__node").alias("spot"))
+    rows = written(rows.drop("__set", "__part"))
+    here = rows.select("dataset", "y", "x", "z", F.col("__node").alias("a"))
+    above = rows.select("dataset", "y", "x", (F.col("z") - 1).alias("z"), F.col("__node").alias("b"))
+    found = components(here.join(above, ["dataset", "y", "x", "z"]).select("a", "b").distinct())
+    out = rows.join(found.withColumnRenamed("node", "__node"), "__node", "left")
+    return out.select(*columns, F.coalesce("component", "__node").alias("spot"))
 
 
 def boxes_2d(spots: DataFrame, min_spot_size: int = 0) -> DataFrame:

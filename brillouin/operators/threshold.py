@@ -130,29 +130,69 @@ def strong_mask(value: np.ndarray, valid: np.ndarray, *, extended: bool = False,
         return flag & (value > 0) & (value >= mean + n_sig_s * np.sqrt(mean))
 
 
+def dense_frames(pixels: DataFrame, height: int, width: int, valid: np.ndarray | None = None) -> DataFrame:
+    """Dense frames (dataset, frame, h, w, data, valid) from pixel rows (dataset, frame, y, x, value); pixels without a row are 0.
+
+    One shuffle by frame; a task holds one frame at a time. `valid` is a mask for all frames (null: all pixels are valid).
+    """
+    mask = pa.nulls(1, pa.list_(pa.bool_())) if valid is None else pa.array([valid.ravel().tolist()], pa.list_(pa.bool_()))
+    kinds = [pixels.schema[c].dataType.simpleString() for c in IMAGE]
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        data = np.zeros(height * width, np.int64)
+        data[rows.column("y").to_numpy().astype(np.int64) * width + rows.column("x").to_numpy()] = rows.column("value").to_numpy()
+        lists = pa.ListArray.from_arrays(pa.array([0, len(data)], pa.int32()), pa.array(data))
+        return pa.table({"dataset": rows.column("dataset")[:1], "frame": rows.column("frame")[:1], "h": pa.array([height], pa.int32()), "w": pa.array([width], pa.int32()), "data": lists, "valid": mask})
+
+    return pixels.select(*IMAGE, "y", "x", "value").groupBy(*IMAGE).applyInArrow(run, f"dataset {kinds[0]}, frame {kinds[1]}, h int, w int, data array<long>, valid array<boolean>")
+
+
+def _images(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Each frame's row, its values and which of them are valid."""
+    for batch in batches:
+        for k in range(batch.num_rows):
+            row = batch.slice(k, 1)
+            h, w = (row.column(c)[0].as_py() for c in (2, 3))
+            value = row.column(4).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(h, w)
+            valid = np.ones((h, w), bool) if row.column(5).null_count else row.column(5).flatten().to_numpy(zero_copy_only=False).astype(bool).reshape(h, w)
+            yield row, value, valid
+
+
+def _tiled_mask(value: np.ndarray, valid: np.ndarray, tile: int, options: dict) -> np.ndarray:
+    """`strong_mask` tile by tile: a tile is cut with a margin as wide as the kernels reach, so tiles need no neighbours."""
+    reach = options.get("radius", 3) + (options.get("erosion", 2) + options.get("wide_radius", 5) if options.get("extended") else 0)
+    out = np.zeros(value.shape, bool)
+    for top in range(0, value.shape[0], tile):
+        for left in range(0, value.shape[1], tile):
+            y0, x0 = max(0, top - reach), max(0, left - reach)
+            cut = np.s_[y0 : top + tile + reach, x0 : left + tile + reach]
+            out[top : top + tile, left : left + tile] = strong_mask(value[cut], valid[cut], **options)[top - y0 : top - y0 + tile, left - x0 : left - x0 + tile]
+    return out
+
+
+def strong_counts_dense(frames: DataFrame, *, tile: int = 512, **options) -> DataFrame:
+    """(dataset, frame, n_strong, n_nonzero) of dense frames: the rows of `per_frame`, without a shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, value, valid in _images(batches):
+            n = int(_tiled_mask(value, valid, tile, options).sum())
+            yield pa.RecordBatch.from_arrays([row.column(0), row.column(1), pa.array([n], pa.int64()), pa.array([int((value != 0).sum())], pa.int64())], [*IMAGE, "n_strong", "n_nonzero"])
+
+    kinds = [frames.schema[c].dataType.simpleString() for c in IMAGE]
+    return frames.select(*IMAGE, "h", "w", "data", "valid").mapInArrow(run, f"dataset {kinds[0]}, frame {kinds[1]}, n_strong long, n_nonzero long")
+
+
 def strong_pixels_dense(frames: DataFrame, *, tile: int = 512, **options) -> DataFrame:
     """Strong pixels (dataset, frame, y, x, value) of dense frames: dataset, frame, h, w, data, valid (ARRAY<BOOLEAN> or null).
 
-    A frame is worked tile by tile; a tile is cut with a margin as wide as the kernels reach, so tiles need no neighbours.
+    Nothing shuffles. Dense rows are large: keep spark.sql.execution.arrow.maxRecordsPerBatch small (16 or so) where frames have millions of pixels.
     """
-    reach = options.get("radius", 3) + (options.get("erosion", 2) + options.get("wide_radius", 5) if options.get("extended") else 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1)
-                dataset, frame, h, w = (row.column(c)[0].as_py() for c in range(4))
-                value = row.column(4).flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(h, w)
-                valid = np.ones((h, w), bool) if row.column(5)[0].as_py() is None else row.column(5).flatten().to_numpy(zero_copy_only=False).astype(bool).reshape(h, w)
-                for top in range(0, h, tile):
-                    for left in range(0, w, tile):
-                        y0, x0 = max(0, top - reach), max(0, left - reach)
-                        cut = np.s_[y0 : top + tile + reach, x0 : left + tile + reach]
-                        y, x = np.nonzero(strong_mask(value[cut], valid[cut], **options))
-                        y, x = y + y0, x + x0
-                        own = (y >= top) & (y < top + tile) & (x >= left) & (x < left + tile)
-                        y, x = y[own], x[own]
-                        yield pa.RecordBatch.from_pydict({"dataset": pa.array([dataset] * len(y), batch.column(0).type), "frame": pa.array(np.full(len(y), frame, np.int32)), "y": pa.array(y.astype(np.int32)), "x": pa.array(x.astype(np.int32)), "value": pa.array(value[y, x])})
-
-    kind = frames.schema["dataset"].dataType.simpleString()
-    return frames.select("dataset", "frame", "h", "w", "data", "valid").mapInArrow(run, f"dataset {kind}, frame int, y int, x int, value long")
+        for row, value, valid in _images(batches):
+            y, x = np.nonzero(_tiled_mask(value, valid, tile, options))
+            yield pa.RecordBatch.from_arrays([row.column(c).take(pa.array(np.zeros(len(y), np.int64))) for c in (0, 1)] + [pa.array(y.astype(np.int32)), pa.array(x.astype(np.int32)), pa.array(value[y, x])], [*IMAGE, "y", "x", "value"])
+
+    kinds = [frames.schema[c].dataType.simpleString() for c in IMAGE]
+    return frames.select(*IMAGE, "h", "w", "data", "valid").mapInArrow(run, f"dataset {kinds[0]}, frame {kinds[1]}, y int, x int, value long")

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,13 +31,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dense pixels: dataset, frame, y, x, value, valid."""
-    lines = table(spark, sf_dir, "lineitem")
+def seen_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pixels with a line: dataset, frame, y, x, value. A frame has one at least."""
     supplier = F.col("l_suppkey")
     place = [F.floor(supplier / 10).cast("int").alias("dataset"), (supplier % 10).cast("int").alias("frame")]
-    seen = lines.groupBy(*place, (F.col("l_orderkey") % SIDE).cast("int").alias("y"), (F.col("l_partkey") % SIDE).cast("int").alias("x")).agg(F.sum("l_quantity").cast("long").alias("value"))
-    grid = lines.select(*place).distinct().withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1))))
+    return table(spark, sf_dir, "lineitem").groupBy(*place, (F.col("l_orderkey") % SIDE).cast("int").alias("y"), (F.col("l_partkey") % SIDE).cast("int").alias("x")).agg(F.sum("l_quantity").cast("long").alias("value"))
+
+
+def dense(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense frames: dataset, frame, h, w, data, valid."""
+    at = np.arange(SIDE) % 16 != 15
+    return T.dense_frames(seen_pixels(spark, sf_dir), SIDE, SIDE, at[:, None] & at[None, :])
+
+
+def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense pixels: dataset, frame, y, x, value, valid."""
+    seen = seen_pixels(spark, sf_dir)
+    grid = seen.select("dataset", "frame").distinct().withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(SIDE * SIDE - 1))))
     grid = grid.select("dataset", "frame", F.floor(F.col("at") / SIDE).cast("int").alias("y"), (F.col("at") % SIDE).cast("int").alias("x"))
     rows = grid.join(seen, ["dataset", "frame", "y", "x"], "left")
     return rows.select("dataset", "frame", "y", "x", F.coalesce("value", F.lit(0)).cast("long").alias("value"), F.expr(_VALID).alias("valid"))
@@ -68,12 +79,11 @@ strong AS (SELECT dataset, frame, y, x, value, coalesce({_WIDE.format(b=n_sig_b)
 
 
 def strong_pixels_per_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return T.per_frame(T.dispersion(pixels(spark, sf_dir)))
+    return T.strong_counts_dense(dense(spark, sf_dir))
 
 
 def extended_strong_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = T.dispersion_extended(pixels(spark, sf_dir), n_sig_b=1.0)
-    return T.per_frame(rows)
+    return T.strong_counts_dense(dense(spark, sf_dir), extended=True, n_sig_b=1.0)
 
 
 _EXTENDED_SQL = f"""WITH {_PX},
@@ -114,8 +124,13 @@ SELECT dataset, frame, count(*) FILTER (WHERE keep) AS n_kept, round(min(d) FILT
        CAST(coalesce(sum(value) FILTER (WHERE keep), 0) AS BIGINT) AS total FROM k GROUP BY ALL"""
 
 
-def _strong(spark: SparkSession, sf_dir: str, n_sig_s: float) -> DataFrame:
-    return T.dispersion(pixels(spark, sf_dir), n_sig_s=n_sig_s).where("strong").select("dataset", "frame", "y", "x", "value")
+def strong_window_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strong pixels of `strong_pixels_per_frame` by windows over pixel rows, as tables without dense frames need it."""
+    return T.per_frame(T.dispersion(pixels(spark, sf_dir)))
+
+
+def _strong(spark: SparkSession, sf_dir: str, n_sig_s: float = 3.0) -> DataFrame:
+    return T.strong_pixels_dense(dense(spark, sf_dir), n_sig_s=n_sig_s)
 
 
 def frame_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,9 +219,10 @@ boxes AS (SELECT o_orderkey AS refl_id, CAST(o_orderkey % greatest((SELECT max(l
 
 
 def shoebox_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = X.joined(_boxes(spark, sf_dir), pixels(spark, sf_dir))
-    middle = (F.abs(2 * (F.col("x") - F.col("x_min")) - 5) <= 3) & (F.abs(2 * (F.col("y") - F.col("y_min")) - 5) <= 3)
-    return X.summed(rows.withColumn("foreground", middle))
+    def middle(x: np.ndarray, y: np.ndarray, frame: np.ndarray, columns: dict[str, np.ndarray]) -> np.ndarray:
+        return (np.abs(2 * (x - columns["x_min"]) - 5) <= 3) & (np.abs(2 * (y - columns["y_min"]) - 5) <= 3)
+
+    return X.summed_dense(_boxes(spark, sf_dir), dense(spark, sf_dir), middle)
 
 
 _SHOEBOX_SQL = f"""WITH {_PX}, {_BOX_SQL},
@@ -309,13 +325,13 @@ SELECT vec_id, round(abs(y) / s / ((1 - 2 * 0.999) * (1 - pow(y / s, 2)) + 0.999
 
 
 def spot_reciprocal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reciprocal points of the strong pixels' centres, as whole numbers of 1e-9."""
-    rows = _strong(spark, sf_dir, 8.0)
+    """Reciprocal points of the strong pixels' centres, rounded to 1e-8."""
+    rows = _strong(spark, sf_dir)
     rlp, _, _ = G.spot_rlp(F.col("x") + 0.5, F.col("y") + 0.5, F.col("frame") + 0.5, fast=V.parts((1, 0, 0)), slow=V.parts((0, -1, 0)), origin=V.parts((-1.2, 1.3, -2.0)), px=(0.075, 0.075), wavelength=1.0, s0=V.parts((0, 0, -1)), axis=V.parts((1, 0, 0)), image_start=1, osc_start=0.0, osc_width=0.5)
     return rows.select("dataset", "frame", "y", "x", *(F.round(c, 8).alias(f"r{n}") for n, c in zip("xyz", rlp, strict=True)))
 
 
-_RLP_SQL = f"""WITH {_strong_sql(8.0)},
+_RLP_SQL = f"""WITH {_strong_sql(3.0)},
 l AS (SELECT dataset, frame, y, x, (x + 0.5) * 0.075 - 1.2 AS u, -(y + 0.5) * 0.075 + 1.3 AS v, -2.0 AS w, radians((frame + 0.5) * 0.5) AS phi FROM strong WHERE strong),
 s AS (SELECT *, sqrt(u * u + v * v + w * w) AS n FROM l),
 q AS (SELECT *, u / n AS a, v / n AS b, w / n + 1 AS c FROM s)
@@ -368,7 +384,7 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def message_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return service.message_gaps(_messages(spark, sf_dir), "user_id", "message_index").select("user_id", "event_id", "message_index", "expected")
+    return service.message_gaps(_messages(spark, sf_dir), "user_id", "message_index", ["ts", "event_id"]).select("user_id", "event_id", "message_index", "expected")
 
 
 _GAPS_SQL = """
@@ -390,7 +406,7 @@ SELECT user_id, count(*) AS n_fresh FROM m WHERE ts IS NULL OR ts + INTERVAL 6 H
 
 
 def rate_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = service.rates(table(spark, sf_dir, "events"), "ts", ["event_type"])
+    rows = service.rates(table(spark, sf_dir, "events"), "ts", ["event_type"], "value")
     return rows.withColumn("total", F.round("total", 6))
 
 
@@ -398,19 +414,17 @@ _RATE_SQL = "SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n,
 
 
 def manifest_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """File and offset of every tenth frame: orders of a day are a file of frames."""
+    """File and offset of every frame: orders of a day are a file of frames."""
     o = table(spark, sf_dir, "orders")
     manifest = o.groupBy(F.year("o_orderdate").alias("dataset"), F.dayofyear("o_orderdate").alias("file_no")).agg(F.count(F.lit(1)).alias("frames"))
-    frames = o.select(F.year("o_orderdate").alias("dataset"), (F.row_number().over(Window.partitionBy(F.year("o_orderdate")).orderBy("o_orderkey")) * 10).alias("frame"))
-    total = manifest.groupBy("dataset").agg(F.sum("frames").alias("n"))
-    frames = frames.join(total, "dataset").where("frame < n").drop("n")
+    frames = o.select(F.year("o_orderdate").alias("dataset"), (F.row_number().over(Window.partitionBy(F.year("o_orderdate")).orderBy("o_orderkey")) - 1).alias("frame"))
     return R.locate(frames, manifest).select("dataset", "frame", "file_no", "offset")
 
 
 _MANIFEST_SQL = """
 WITH m AS (SELECT year(o_orderdate) AS dataset, dayofyear(o_orderdate) AS file_no, count(*) AS frames FROM orders GROUP BY ALL),
 s AS (SELECT *, sum(frames) OVER (PARTITION BY dataset ORDER BY file_no) AS stop FROM m),
-f AS (SELECT year(o_orderdate) AS dataset, row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) * 10 AS frame FROM orders)
+f AS (SELECT year(o_orderdate) AS dataset, CAST(row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) - 1 AS INT) AS frame FROM orders)
 SELECT f.dataset, f.frame, s.file_no, CAST(f.frame - (s.stop - s.frames) AS BIGINT) AS "offset" FROM f JOIN s ON f.dataset = s.dataset AND f.frame >= s.stop - s.frames AND f.frame < s.stop"""
 
 
@@ -439,6 +453,7 @@ def absence_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL: dict[Callable[[SparkSession, str], DataFrame], str | None] = {
     strong_pixels_per_frame: f"WITH {_strong_sql(3.0)}\nSELECT dataset, frame, count(*) FILTER (WHERE strong) AS n_strong, count(*) FILTER (WHERE value <> 0) AS n_nonzero FROM strong GROUP BY ALL",
+    strong_window_counts: f"WITH {_strong_sql(3.0)}\nSELECT dataset, frame, count(*) FILTER (WHERE strong) AS n_strong, count(*) FILTER (WHERE value <> 0) AS n_nonzero FROM strong GROUP BY ALL",
     extended_strong_pixels: _EXTENDED_SQL, summed_area_table: _SAT_SQL, pixel_resolution_mask: _MASK_SQL, frame_boxes: _BOXES_SQL, spots_3d: _SPOTS_SQL, background_tukey: _TUKEY_SQL,
     background_glm: None, overflow_report: _OVERFLOW_SQL, shoebox_sum: _SHOEBOX_SQL, net_intensities: _NET_SQL, reflections_per_image: _PER_IMAGE_SQL,
     hkl_assign: f"SELECT vec_id, h, k, l, round(lsq, 9) AS lsq FROM ({_HKL_SQL})",

@@ -51,9 +51,9 @@ def fresh(requests: DataFrame, now=None, max_age: str = "60 seconds", has_data:
     return requests.where(young | F.col(has_data) if has_data else young)
 
 
-def message_gaps(messages: DataFrame, key: str, index: str) -> DataFrame:
-    """Messages of a group whose index is not one more than that of the message before: adds expected."""
-    w = Window.partitionBy(key).orderBy("ts", "event_id")
+def message_gaps(messages: DataFrame, key: str, index: str, order: list[str]) -> DataFrame:
+    """Messages of a group whose index is not one more than that of the message before, in `order` of arrival: adds expected."""
+    w = Window.partitionBy(key).orderBy(*order)
     rows = messages.withColumn("expected", F.coalesce(F.lag(index).over(w) + 1, F.lit(0)))
     return rows.where(F.col(index) != F.col("expected"))
 
@@ -168,10 +168,10 @@ def published(results: DataFrame) -> DataFrame:
     return results.withColumns({"frame": F.col("frame") + 1, "arrived": F.current_timestamp()})
 
 
-def rates(events: DataFrame, time: str, key: list[str], width: str = "1 hour", delay: str | None = None) -> DataFrame:
-    """Rows and values in tumbling windows of time."""
+def rates(events: DataFrame, time: str, key: list[str], value: str, width: str = "1 hour", delay: str | None = None) -> DataFrame:
+    """Rows and the sum of a value in tumbling windows of time."""
     rows = events.withWatermark(time, delay) if delay and events.isStreaming else events
-    out = rows.groupBy(F.window(time, width).alias("w"), *key).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total"))
+    out = rows.groupBy(F.window(time, width).alias("w"), *key).agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total"))
     return out.select(F.col("w.start").alias("start"), *key, "n", "total")
 
 
