@@ -134,7 +134,7 @@ def _strong(spark: SparkSession, sf_dir: str, n_sig_s: float = 3.0) -> DataFrame
 
 
 def frame_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = S.labelled(S.with_slices(_strong(spark, sf_dir, 5.0)), across_frames=False)
+    found = S.labelled(S.with_slices(_strong(spark, sf_dir)), across_frames=False)
     return S.boxes_2d(found, 2).drop("spot")
 
 
@@ -150,19 +150,19 @@ label AS (SELECT dst AS id, min(src) AS spot FROM reach GROUP BY dst),
 s AS (SELECT n.*, spot FROM n JOIN label USING (id))"""
 
 
-_BOXES_SQL = f"""WITH RECURSIVE {_strong_sql(5.0)},
+_BOXES_SQL = f"""WITH RECURSIVE {_strong_sql(3.0)},
 {_reach_sql(False)}
 SELECT dataset, frame, min(x) AS l, min(y) AS t, max(x) AS r, max(y) AS b, count(*) AS n_px FROM s GROUP BY dataset, frame, spot HAVING count(*) >= 2"""
 
 
 def spots_3d(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = S.measured(S.labelled(S.with_slices(_strong(spark, sf_dir, 5.0)), across_frames=True))
+    found = S.measured(S.labelled(S.with_slices(_strong(spark, sf_dir)), across_frames=True))
     found = S.filtered(found, min_spot_size=2, max_separation=1.5)
     rounded = {c: F.round(c, 9) for c in ("com_x", "com_y", "com_z", "peak_distance")}
     return found.withColumns(rounded).drop("spot")
 
 
-_SPOTS_SQL = f"""WITH RECURSIVE {_strong_sql(5.0)},
+_SPOTS_SQL = f"""WITH RECURSIVE {_strong_sql(3.0)},
 {_reach_sql(True)},
 t AS (SELECT dataset, spot, count(*) AS n_px, min(x) AS x_min, max(x) AS x_max, min(y) AS y_min, max(y) AS y_max, min(z) AS z_min, max(z) AS z_max, CAST(sum(value) AS BIGINT) AS total,
              CAST(sum((2 * x + 1) * value) AS DOUBLE) / (2 * sum(value)) AS com_x, CAST(sum((2 * y + 1) * value) AS DOUBLE) / (2 * sum(value)) AS com_y, CAST(sum((2 * z + 1) * value) AS DOUBLE) / (2 * sum(value)) AS com_z FROM s GROUP BY dataset, spot),
