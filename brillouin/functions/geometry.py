@@ -42,6 +42,16 @@ def px_to_mm(px, py, px_x, px_y, mu=None, thickness=None, fast=None, slow=None,
     return x - V.dot(ray, fast) * o, y - V.dot(ray, slow) * o
 
 
+def mm_to_px(x_mm, y_mm, px_x, px_y, mu=None, thickness=None, fast=None, slow=None, origin=None) -> tuple[Column, Column]:
+    """mm on the panel, where a ray from the crystal meets it, to the pixel that records the ray: with a sensor (mu, thickness) further along
+    the ray's projection by the depth at which it is absorbed."""
+    if mu is None:
+        return x_mm / px_x, y_mm / px_y
+    ray = V.unit(lab_point(x_mm, y_mm, fast, slow, origin))
+    o = attenuation(F.abs(V.dot(ray, V.cross(V.parts(fast), V.parts(slow)))), mu, thickness)
+    return (x_mm + V.dot(ray, fast) * o) / px_x, (y_mm + V.dot(ray, slow) * o) / px_y
+
+
 def lab_point(x_mm: Column, y_mm: Column, fast, slow, origin) -> V.Vec:
     return V.add(V.add(V.scale(fast, x_mm), V.scale(slow, y_mm)), origin)
 
@@ -92,6 +102,32 @@ def zeta(s1, s0, axis) -> Column:
     return V.dot(V.unit(axis), V.unit(V.cross(s1, s0)))
 
 
+def integrable(zeta: Column, min_zeta: float = 0.05) -> Column:
+    """Reflections that do not lie along the rotation axis."""
+    return F.coalesce(F.abs(zeta) >= min_zeta, F.lit(False))
+
+
+def resolution_limit(asked: Column, wavelength: Column) -> Column:
+    """The limit asked for, but not under half the wavelength, which is also what no request means."""
+    return F.greatest(F.coalesce(asked, 0.5 * wavelength), 0.5 * wavelength)
+
+
+def still_point(x, y, *, fast, slow, origin, px, wavelength, s0) -> tuple[V.Vec, V.Vec]:
+    """Reciprocal lattice point and ray of a spot of a still: nothing is turned back."""
+    s1 = diffracted(lab_point(x * px[0], y * px[1], fast, slow, origin), wavelength)
+    return V.sub(s1, s0), s1
+
+
+def variance_in_mm(var_x: Column, var_y: Column, var_z: Column, px, osc_width) -> tuple[Column, Column, Column]:
+    """Variances in pixels and images as mm and radians: each by the square of its scale (no offset belongs to a variance)."""
+    return var_x * px[0] ** 2, var_y * px[1] ** 2, var_z * F.radians(osc_width if isinstance(osc_width, Column) else F.lit(float(osc_width))) ** 2
+
+
+def clamped_images(start: Column, end: Column, available: Column) -> tuple[Column, Column]:
+    """First and last image (from 0) of a scan's image range (from 1), no further than the images there are."""
+    return start - 1, F.least(end, available) - 1
+
+
 def ray_on_panel(s1, fast, slow, origin) -> tuple[Column, Column]:
     """Where a ray meets the plane of a panel, in mm along fast and slow; null behind or beside it."""
     normal = V.cross(fast, slow)

@@ -173,28 +173,30 @@ def stills_indices(frames: DataFrame, setting: str, s0: str, dmin, tolerance: fl
 def on_detector(rays: DataFrame, panel: dict, osc_start=None, osc_width=None, image_start: int = 1) -> DataFrame:
     """Rays that meet the panel: adds x_mm, y_mm, x_px, y_px, and z from phi (radians) if there is a scan.
 
-    `panel`: fast, slow, origin, px, size (pixels).
+    `panel`: fast, slow, origin, px, size (pixels), and mu, thickness of its sensor if it has one.
     """
     x, y = G.ray_on_panel(V.parts(F.col("s1")), panel["fast"], panel["slow"], panel["origin"])
     px, size = panel["px"], panel["size"]
     rows = rays.withColumns({"x_mm": x, "y_mm": y}).where(G.on_panel(F.col("x_mm"), F.col("y_mm"), px[0] * size[0], px[1] * size[1]))
-    rows = rows.withColumns({"x_px": F.col("x_mm") / px[0], "y_px": F.col("y_mm") / px[1]})
+    x, y = G.mm_to_px(F.col("x_mm"), F.col("y_mm"), *px, panel.get("mu"), panel.get("thickness"), panel["fast"], panel["slow"], panel["origin"])
+    rows = rows.withColumns({"x_px": x, "y_px": y})
     if osc_width is None:
         return rows
     return rows.withColumn("z_px", image_start - 1 + (F.degrees("phi") - osc_start) / osc_width)
 
 
-def rotation_scan(datasets: DataFrame, axis, setting, dmin: float, panel: dict, *, buffer: int = 0, points: DataFrame | None = None) -> DataFrame:
+def rotation_scan(datasets: DataFrame, axis, setting, dmin: float, panel: dict, *, buffer: int = 0, points: DataFrame | None = None, fixed=None) -> DataFrame:
     """Predictions of rotation scans. `datasets`: dataset, a (setting matrix at phi 0), s0, n_images, image_start, osc_start, osc_width (degrees).
 
-    `points` has scan-varying a and s0 at the boundaries of images; `buffer` images are added at each end of static scans.
+    `points` has scan-varying a and s0 at the boundaries of images; `buffer` images are added at each end of static scans; `setting` and `fixed`
+    are the goniometer's matrices outside and inside the turn (None: the identity).
     """
     images = datasets.withColumn("image", F.explode(F.sequence(F.lit(-buffer), F.col("n_images") - 1 + buffer)))
     begin, width = F.radians(F.col("osc_start") + F.col("image") * F.col("osc_width")), F.radians("osc_width")
     identity = [F.lit(float(k % 4 == 0)) for k in range(9)]
     static = {"a1": F.col("a"), "a2": F.col("a"), "s0_1": F.col("s0"), "s0_2": F.col("s0")}
     rows = images.withColumns(static) if points is None else with_scan_points(images, usable_scan_points(points, datasets), static)
-    turned = {n: V.matrix(setting_at(identity, axis, begin + (width if n == "a2" else 0), setting or identity, F.col(n))) for n in ("a1", "a2")}
+    turned = {n: V.matrix(setting_at(fixed or identity, axis, begin + (width if n == "a2" else 0), setting or identity, F.col(n))) for n in ("a1", "a2")}
     # a row for each image, written once: the matrices are not worked out again for every index
     rows = written(rows.withColumns(turned).withColumns({"__begin": begin, "__width": width}))
     begin, width = F.col("__begin"), F.col("__width")
