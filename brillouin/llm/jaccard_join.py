@@ -4,7 +4,7 @@ A document is the set of its word n-grams (as 64-bit hashes).  Equal sets are co
 joined as follows, all of it exact for the given threshold.
 
 1. Order. Shingles are ordered by (how often their cell of a counter table occurs, hash), rare ones first. The table grows with
-   the corpus and only changes speed: tasks count in it, and hand on the cells that they meet `COMMON` times or more.
+   the corpus and only changes speed; a task's count of a cell goes up to 255.
    Two sets over the threshold share a shingle among the first n - ceil(t n) + 1 of each (prefix filter).
 2. Index. The prefix entries (shingle, set, size, position) are shuffled by shingle: the index lists. A list is sorted by size, then
    position, so sets of one size are a block in order of position. A set skips every block whose size rules the threshold out, or whose
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from ..operators.graph import components, forest
 from .shared import Chunk, chunks, mixed, written
 
-#: log2 of the least and most counter cells and of those on a page; characters of a corpus for a cell; count in a task from which a cell is handed on.
-LEAST_BITS, MOST_BITS, PAGE_BITS, CELL_CHARS, COMMON = 20, 24, 14, 128, 4
+#: log2 of the least and most counter cells and of those on a page; characters of a corpus for a cell.
+LEAST_BITS, MOST_BITS, PAGE_BITS, CELL_CHARS = 20, 24, 14, 128
 #: Sets of a short list; sets and shingles of a family's block.
 SHORT, BLOCK, BLOCK_SHINGLES = 48, 1024, 800_000
 
@@ -80,7 +80,7 @@ def counter_bits(docs: DataFrame, text: str) -> int:
 
 
 def _signatures(n: int, bits: int):
-    """Rows (id, size, two 64-bit sums that stand for the set), then the common cells of the task: on each page places, then counts."""
+    """Rows (id, size, two 64-bit sums that stand for the set), then the task's counter pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << bits, np.uint32)
@@ -93,13 +93,11 @@ def _signatures(n: int, bits: int):
                     other = mixed(value ^ _FOLD)
                 m = chunk.n
                 yield pa.RecordBatch.from_pydict({"id": batch.column(0).slice(chunk.first, m).cast(pa.int64()), "n": np.diff(offsets).astype(np.int64), "s1": _sums(value, offsets).view(np.int64), "s2": _sums(other, offsets).view(np.int64), "page": pa.nulls(m, pa.int32()), "counts": pa.nulls(m, pa.binary())})
-        some = np.flatnonzero(cells >= COMMON)
-        edge = np.searchsorted(some, np.arange((1 << bits - PAGE_BITS) + 1) << PAGE_BITS)
         one = pa.nulls(1, pa.int64())
-        for page in np.flatnonzero(np.diff(edge)).tolist():
-            at = some[edge[page] : edge[page + 1]]
-            data = (at - (page << PAGE_BITS)).astype("<u4").tobytes() + cells[at].astype("<u4").tobytes()
-            yield pa.RecordBatch.from_pydict({"id": one, "n": one, "s1": one, "s2": one, "page": pa.array([page], pa.int32()), "counts": pa.array([data], pa.binary())})
+        for page in range(1 << bits - PAGE_BITS):
+            part = np.minimum(cells[page << PAGE_BITS : (page + 1) << PAGE_BITS], 255).astype(np.uint8)
+            if part.any():
+                yield pa.RecordBatch.from_pydict({"id": one, "n": one, "s1": one, "s2": one, "page": pa.array([page], pa.int32()), "counts": pa.array([part.tobytes()], pa.binary())})
 
     return run
 
@@ -107,10 +105,9 @@ def _signatures(n: int, bits: int):
 def _summed_page(pages: pa.Table) -> pa.Table:
     total = np.zeros(1 << PAGE_BITS, np.int64)
     for data in pages.column("counts"):
-        at, count = np.frombuffer(data.as_py(), "<u4").reshape(2, -1)
-        total[at] += count
-    at = np.flatnonzero(total)
-    return pa.table({"page": pages.column("page")[:1], "counts": pa.array([at.astype("<u4").tobytes() + np.minimum(total[at], 2**32 - 1).astype("<u4").tobytes()], pa.binary())})
+        raw = data.as_py()
+        total += np.frombuffer(raw, np.uint8 if len(raw) == len(total) else "<u4")
+    return pa.table({"page": pages.column("page")[:1], "counts": pa.array([np.minimum(total, 2**32 - 1).astype("<u4").tobytes()], pa.binary())})
 
 
 def _cell_ranks(rows: DataFrame, bits: int) -> np.ndarray:
@@ -119,8 +116,8 @@ def _cell_ranks(rows: DataFrame, bits: int) -> np.ndarray:
     salted = pages.groupBy("page", (F.spark_partition_id() % 16).alias("salt")).applyInArrow(_summed_page, "page int, counts binary")
     out = np.zeros(1 << bits, np.uint8)
     for page in salted.groupBy("page").applyInArrow(_summed_page, "page int, counts binary").toLocalIterator():
-        at, count = np.frombuffer(page["counts"], "<u4").reshape(2, -1)
-        out[(page["page"] << PAGE_BITS) + at.astype(np.int64)] = np.minimum(255, 8 * np.log2(1.0 + count))
+        count = np.frombuffer(page["counts"], "<u4")
+        out[page["page"] << PAGE_BITS : (page["page"] + 1) << PAGE_BITS] = np.minimum(255, 8 * np.log2(1.0 + count))
     return out
 
 
@@ -350,10 +347,10 @@ def _components(given: DataFrame, n: int, num: int, den: int) -> DataFrame:
     lists = entries.select("token", "id", "size", "pos").repartition("token").sortWithinPartitions("token", "size", "pos", "id")
     found = written(lists.mapInArrow(_lists(num, den), "a long, b long, family boolean").distinct())
 
-    texts = given.join(reps.select("id"), "id", "left_semi")
-    links = _pair_links(found, texts, n, num, den)
+    # candidates are representatives, so their texts are joined straight from the documents
+    links = _pair_links(found, given, n, num, den)
     if not found.where("family").isEmpty():
-        links = links.union(_families(found, texts, reps, n, num, den))
+        links = links.union(_families(found, given, reps, n, num, den))
     joined = components(links)
     named = groups.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("component"))
     # sets that only one row has are their own; the others look their component up
