@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from math import factorial, pi, sqrt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import vec as V
@@ -141,31 +141,90 @@ def on_panel(x_mm, y_mm, width_mm, height_mm) -> Column:
     return F.coalesce((x_mm >= 0) & (x_mm <= width_mm) & (y_mm >= 0) & (y_mm <= height_mm), F.lit(False))
 
 
-def bounding_box(s1, s0, axis, phi: Column, delta_b, delta_m, *, fast, slow, origin, px, image_start, image_end, osc_start, osc_width) -> dict[str, Column]:
-    """Pixels and images that a reflection reaches: the corners (+-delta_b, +-delta_b) on the sphere, phi +- delta_m / zeta."""
-    e1 = V.unit(V.cross(s1, s0))
-    e2 = V.unit(V.cross(s1, e1))
-    length, direction = V.norm(s1), V.unit(s1)
-    xs, ys = [], []
-    for p, q in ((1, 1), (1, -1), (-1, 1), (-1, -1)):
-        shift = V.add(V.scale(e1, p * delta_b * length), V.scale(e2, q * delta_b * length))
-        room = length * length - V.norm2(shift)
-        along = F.when(room >= 0, F.sqrt(room)) - V.dot(shift, direction)
-        x, y = ray_on_panel(V.add(V.scale(direction, along), shift), fast, slow, origin)
-        xs.append(x / px[0])
-        ys.append(y / px[1])
-    z = zeta(s1, s0, axis)
-    ends = [image_start - 1 + (F.degrees(phi + k * delta_m / z) - osc_start) / osc_width for k in (1, -1)]
-    steep = F.abs(z) > 1e-10
+class Steps:
+    """Working columns that are added to a table one step at a time, so that no expression holds the ones before it many times."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows, self.made = rows, []
+
+    def scalars(self, **columns: Column) -> None:
+        self.rows = self.rows.withColumns({f"__{k}": c for k, c in columns.items()})
+        self.made.extend(f"__{k}" for k in columns)
+
+    def vector(self, name: str, value: V.Vec) -> None:
+        self.scalars(**{f"{name}{c}": v for c, v in zip("xyz", value, strict=True)})
+
+    def of(self, name: str) -> V.Vec:
+        return tuple(F.col(f"__{name}{c}") for c in "xyz")
+
+    def unit(self, name: str, value: V.Vec) -> None:
+        """A vector of length 1 (null for the zero vector)."""
+        self.vector(f"{name}_raw_", value)
+        self.scalars(**{f"{name}_size": V.norm(self.of(f"{name}_raw_"))})
+        self.vector(name, V.scale(self.of(f"{name}_raw_"), F.when(F.col(f"__{name}_size") > 0, 1 / F.col(f"__{name}_size"))))
+
+    def done(self, **columns: Column) -> DataFrame:
+        return self.rows.withColumns(columns).drop(*self.made)
+
+
+def with_kabsch(rows: DataFrame, s, phi: Column, s1, phi_c: Column, s0, axis, names: tuple[str, str, str] = ("e1", "e2", "e3")) -> DataFrame:
+    """`kabsch` as columns of a table, step by step."""
+    steps = Steps(rows)
+    steps.vector("s", s)
+    steps.vector("c", s1)
+    steps.unit("u", V.cross(steps.of("c"), s0))
+    steps.unit("v", V.cross(steps.of("c"), steps.of("u")))
+    steps.vector("d", V.sub(steps.of("s"), steps.of("c")))
+    steps.scalars(length=V.norm(steps.of("c")), zeta=V.dot(V.unit(axis), steps.of("u")))
+    values = (V.dot(steps.of("u"), steps.of("d")) / F.col("__length"), V.dot(steps.of("v"), steps.of("d")) / F.col("__length"), F.col("__zeta") * (phi - phi_c))
+    return steps.done(**dict(zip(names, values, strict=True)))
+
+
+def with_ray(rows: DataFrame, name: str, x: Column, y: Column, *, fast, slow, origin, px, wavelength) -> DataFrame:
+    """Adds the columns name + x, y, z: the ray to a place in pixels on a panel without sensor."""
+    steps = Steps(rows)
+    steps.unit("p", lab_point(x * px[0], y * px[1], fast, slow, origin))
+    return steps.done(**{f"{name}{c}": v / wavelength for c, v in zip("xyz", steps.of("p"), strict=True)})
+
+
+BOX = ("x_min", "x_max", "y_min", "y_max", "z_min", "z_max")
+
+
+def with_bounding_box(rows: DataFrame, s1: Column, phi: Column, s0, axis, delta_b, delta_m, *, fast, slow, origin, px, image_start, image_end, osc_start, osc_width) -> DataFrame:
+    """Adds BOX, the pixels and images that a reflection reaches: the corners (+-delta_b, +-delta_b) on the sphere, phi +- delta_m / zeta.
+
+    Every step has columns of its own: in one expression each would hold the ones before it many times.
+    """
+    steps = Steps(rows)
+    step, vec_step, vector = steps.scalars, steps.vector, steps.of
+    vec_step("s", V.parts(s1))
+    vec_step("c", V.cross(vector("s"), s0))
+    step(length=V.norm(vector("s")), across=V.norm(vector("c")))
+    vec_step("u", V.scale(vector("c"), F.when(F.col("__across") > 0, 1 / F.col("__across"))))
+    vec_step("w", V.cross(vector("s"), vector("u")))
+    step(zeta=V.dot(V.unit(axis), vector("u")), deep=V.norm(vector("w")))
+    corners = ((1, 1), (1, -1), (-1, 1), (-1, -1))
+    length, reach = F.col("__length"), delta_b * F.col("__length")
+    for n, (p, q) in enumerate(corners):
+        vec_step(f"d{n}", V.add(V.scale(vector("u"), p * reach), V.scale(vector("w"), q * reach / F.col("__deep"))))
+    for n in range(4):
+        room = length * length - V.norm2(vector(f"d{n}"))
+        step(**{f"a{n}": F.when(room >= 0, F.sqrt(room)) / length - V.dot(vector(f"d{n}"), vector("s")) / (length * length)})
+    for n in range(4):
+        vec_step(f"r{n}", V.add(V.scale(vector("s"), F.col(f"__a{n}")), vector(f"d{n}")))
+    for n in range(4):
+        x, y = ray_on_panel(vector(f"r{n}"), fast, slow, origin)
+        step(**{f"x{n}": x / px[0], f"y{n}": y / px[1]})
+    turn = F.when(F.abs("__zeta") > 1e-10, delta_m / F.col("__zeta"))
+    step(z0=image_start - 1 + (F.degrees(phi + turn) - osc_start) / osc_width, z1=image_start - 1 + (F.degrees(phi - turn) - osc_start) / osc_width)
     clamp = lambda v, low, high: F.least(F.greatest(v, low), high)
-    as_lit = lambda v: v if isinstance(v, Column) else F.lit(v)
-    first, last = as_lit(image_start), as_lit(image_end)
-    return {
-        "x_min": F.floor(F.least(*xs)).cast("int"), "x_max": F.ceil(F.greatest(*xs)).cast("int"),
-        "y_min": F.floor(F.least(*ys)).cast("int"), "y_max": F.ceil(F.greatest(*ys)).cast("int"),
-        "z_min": F.when(steep, clamp(F.floor(F.least(*ends)), first - 1, last - 1)).otherwise(first).cast("int"),
-        "z_max": F.when(steep, clamp(F.ceil(F.greatest(*ends)), first, last)).otherwise(last).cast("int"),
+    first, last = (v if isinstance(v, Column) else F.lit(v) for v in (image_start, image_end))
+    xs, ys = ([f"__{c}{n}" for n in range(4)] for c in "xy")
+    found = {
+        "x_min": F.floor(F.least(*xs)), "x_max": F.ceil(F.greatest(*xs)), "y_min": F.floor(F.least(*ys)), "y_max": F.ceil(F.greatest(*ys)),
+        "z_min": F.coalesce(clamp(F.floor(F.least("__z0", "__z1")), first - 1, last - 1), first), "z_max": F.coalesce(clamp(F.ceil(F.greatest("__z0", "__z1")), first, last), last),
     }
+    return steps.done(**{k: c.cast("int") for k, c in found.items()})
 
 
 def lorentz(s0, axis, s1) -> Column:

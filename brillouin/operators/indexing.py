@@ -322,6 +322,30 @@ def stills_accepted(n_indexed: Column, min_spots: int = 10) -> Column:
     return n_indexed >= max(6, min_spots - 2)
 
 
+def highest_resolution(rows: DataFrame, key: list[str], point) -> DataFrame:
+    """d_min: the d of the spot of highest resolution of each group."""
+    return rows.groupBy(*key).agg(F.min(1 / V.norm(point)).alias("d_min"))
+
+
+def still_rmsds(rows: DataFrame, key: list[str], limit: float = 2.0) -> DataFrame:
+    """Root mean squares in x, y and psi of each frame over its rows less than `limit` pixels off (`x_obs`, `y_obs`, `x_cal`, `y_cal`, `delpsi`): n, n_indexed,
+    rmsd_x, rmsd_y, rmsd_psi; null where no row is near enough."""
+    dx, dy = F.col("x_obs") - F.col("x_cal"), F.col("y_obs") - F.col("y_cal")
+    near = residual_filter(dx, dy, limit)
+    mean = lambda e: F.sqrt(F.avg(F.when(near, e * e)))
+    return rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.count_if(near).alias("n_indexed"), mean(dx).alias("rmsd_x"), mean(dy).alias("rmsd_y"), mean(F.col("delpsi")).alias("rmsd_psi"))
+
+
+def residual_filter(dx: Column, dy: Column, limit: float = 2.0) -> Column:
+    """Rows whose calculated place is less than `limit` pixels from the observed one."""
+    return F.coalesce(F.sqrt(dx * dx + dy * dy) < limit, F.lit(False))
+
+
+def resolution_step(start: Column, end: Column, cycle: int, cycles: int = 5) -> Column:
+    """`resolution_steps` as a column, for data sets with limits of their own."""
+    return start + (end - start) * (cycle + 1) / cycles
+
+
 def resolution_steps(start: float, end: float, cycles: int = 5) -> list[float]:
     """Resolution limit of each refinement cycle: equal steps from that of the search, the last one that of the data."""
     return [start + (end - start) * (k + 1) / cycles for k in range(cycles)]

@@ -158,8 +158,8 @@ def polychromatic_rays(rows: DataFrame, setting, beam, lambda_min, lambda_max, d
     """Rays of a still in a band of wavelengths: the wavenumber that puts the index on the sphere, if it lies in the band."""
     r = _point(setting, *(F.col(c) for c in HKL))
     u = V.unit(beam)
-    wavenumber = -V.norm2(r) / (2 * V.dot(u, r))
-    rows = rows.withColumn("wavelength", 1 / wavenumber).where((V.norm2(r) * dmin * dmin <= 1) & F.col("wavelength").between(lambda_min, lambda_max))
+    wavenumber = F.try_divide(-V.norm2(r), 2 * V.dot(u, r))
+    rows = rows.withColumn("wavelength", F.try_divide(F.lit(1.0), wavenumber)).where((V.norm2(r) * dmin * dmin <= 1) & F.col("wavelength").between(lambda_min, lambda_max))
     return rows.withColumn("s1", V.vector(*V.add(r, V.scale(u, wavenumber))))
 
 

@@ -152,11 +152,14 @@ def variances(pixels: DataFrame, spots: DataFrame, geometry: dict) -> DataFrame:
     `geometry`: fast, slow, origin, px, wavelength, s0, axis, image_start, osc_start, osc_width.
     """
     g = geometry
-    place = lambda x, y: G.diffracted(G.lab_point(x * g["px"][0], y * g["px"][1], g["fast"], g["slow"], g["origin"]), g["wavelength"])
+    panel = {k: g[k] for k in ("fast", "slow", "origin", "px", "wavelength")}
     angle = lambda z: F.radians(g["osc_start"] + (z - g["image_start"]) * g["osc_width"])
-    rows = pixels.join(spots.select("dataset", "spot", "com_x", "com_y", "com_z", "depth"), ["dataset", "spot"])
-    e1, e2, e3, _ = G.kabsch(place(F.col("x") + 0.5, F.col("y") + 0.5), angle(F.col("z") + 0.5), place(F.col("com_x"), F.col("com_y")), g["s0"], angle(F.col("com_z")), g["axis"])
-    v = F.col("value")
+    # a ray for each spot, then one for each pixel
+    centres = G.with_ray(spots.select("dataset", "spot", "com_x", "com_y", "com_z", "depth"), "__c", F.col("com_x"), F.col("com_y"), **panel)
+    rows = G.with_ray(pixels.join(centres, ["dataset", "spot"]), "__o", F.col("x") + 0.5, F.col("y") + 0.5, **panel)
+    ray = lambda n: tuple(F.col(f"__{n}{c}") for c in "xyz")
+    rows = G.with_kabsch(rows, ray("o"), angle(F.col("z") + 0.5), ray("c"), angle(F.col("com_z")), g["s0"], g["axis"])
+    v, e1, e2, e3 = (F.col(c) for c in ("value", "e1", "e2", "e3"))
     rows = rows.select("dataset", "spot", "depth", v, (v * e1 * e1).alias("a"), (v * e2 * e2).alias("b"), (v * e3 * e3).alias("c"))
     total = F.sum("value")
     return rows.groupBy("dataset", "spot").agg(((F.sum("a") + F.sum("b")) / (2 * total)).alias("sigma_b_variance"), (F.sum("c") / total).alias("sigma_m_variance"), F.max("depth").alias("depth"))

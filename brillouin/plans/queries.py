@@ -463,9 +463,15 @@ _ALL: dict[Callable[[SparkSession, str], DataFrame], str | None] = {
 }
 
 
+def _registered() -> dict[Callable[[SparkSession, str], DataFrame], str | None]:
+    from . import reflections
+
+    return _ALL | reflections.ALL | {absence_pattern: reflections.ABSENCE_SQL}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in _ALL}
+    return {f.__name__: f for f in _registered()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {f.__name__: sql for f, sql in _ALL.items() if sql}
+    return {f.__name__: sql for f, sql in _registered().items() if sql}

@@ -59,6 +59,11 @@ def with_stills_ids(rows: DataFrame) -> DataFrame:
     return rows.withColumn("id", F.dense_rank().over(Window.partitionBy("dataset").orderBy("frame")) - 1)
 
 
+def mapped_ids(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """Rows with new numbers (`id`) joined with the identifier of their dataset and old number (`frame`)."""
+    return rows.join(names.select("dataset", "frame", "identifier"), ["dataset", "frame"])
+
+
 def frame_results(counts: DataFrame, file: Column) -> DataFrame:
     """JSON line of each frame: counts, file, and the number counted from 1."""
     return counts.select(F.to_json(F.struct(F.col("n_strong").alias("num_strong_pixels"), file.alias("file"), (F.col("frame") + 1).alias("file-number"), F.col("n_spots").alias("n_spots_total"))).alias("value"))
