@@ -245,12 +245,10 @@ def erf(x: Column) -> Column:
     """Error function as a column: its power series near 0 (Horner), the continued fraction of erfc beyond; error below 1e-11."""
     a = F.abs(x)
     minus = -a * a
-    series = F.lit(0.0)
-    for n in range(40, -1, -1):
-        series = series * minus + 1 / (factorial(n) * (2 * n + 1))
-    tail = F.lit(0.0)
-    for n in range(40, 0, -1):
-        tail = (n / 2) / (a + tail)
+    zero = F.lit(0.0)
+    # folds over literal arrays: nested expressions of this depth can't be compiled
+    series = F.aggregate(F.array(*[F.lit(1 / (factorial(n) * (2 * n + 1))) for n in range(40, -1, -1)]), zero, lambda total, c: total * minus + c)
+    tail = F.aggregate(F.array(*[F.lit(n / 2) for n in range(40, 0, -1)]), zero, lambda total, c: c / (F.greatest(a, F.lit(2.0)) + total))
     return F.signum(x) * F.when(a < 2.5, 2 / sqrt(pi) * a * series).otherwise(1 - F.exp(minus) / (sqrt(pi) * (a + tail)))
 
 

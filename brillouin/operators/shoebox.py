@@ -85,8 +85,21 @@ def summed(box: DataFrame, key: list[str] | None = None) -> DataFrame:
 SUMS = ("fg_sum", "n_fg", "n_bg", "n_fg_bad", "x_moment", "y_moment", "frame_moment", "bg_sum")
 
 
-def summed_dense(reflections: DataFrame, frames: DataFrame, foreground: Callable[[np.ndarray, np.ndarray, np.ndarray, dict[str, np.ndarray]], np.ndarray], *, pixels: int = 1 << 22) -> DataFrame:
-    """What `summed` gives for `refl_id`, from dense frames (dataset, frame, h, w, data, valid).
+Rule = Callable[[np.ndarray, np.ndarray, np.ndarray, dict[str, np.ndarray]], np.ndarray]
+
+
+def summed_dense(reflections: DataFrame, frames: DataFrame, foreground: Rule) -> DataFrame:
+    """What `summed` gives for `refl_id`, from dense frames (dataset, frame, h, w, data, valid)."""
+    return totals(frame_sums(reflections, frames, foreground))
+
+
+def totals(parts: DataFrame) -> DataFrame:
+    whole = parts.groupBy("refl_id").agg(*(F.sum(c).alias(c) for c in SUMS))
+    return whole.select("refl_id", "fg_sum", "n_fg", "n_bg", (F.col("n_fg_bad") == 0).alias("ok"), "x_moment", "y_moment", "frame_moment", "bg_sum")
+
+
+def frame_sums(reflections: DataFrame, frames: DataFrame, foreground: Rule, *, histogram: bool = False, pixels: int = 1 << 22) -> DataFrame:
+    """(refl_id, SUMS) of each box on each frame; with `histogram` also values and counts of its background pixels.
 
     Boxes meet frames, not pixels: a frame comes with the boxes on it, their pixels are summed with numpy (`pixels` of them at a time),
     and only a row for each box and frame shuffles on. `foreground(x, y, frame, columns)` gets arrays with an element for each box pixel,
@@ -95,7 +108,7 @@ def summed_dense(reflections: DataFrame, frames: DataFrame, foreground: Callable
     own = [c for c in reflections.columns if c not in ("dataset", "z_min", "z_max")]
     boxes = on_frames(reflections.where((F.col("x_max") > F.col("x_min")) & (F.col("y_max") > F.col("y_min"))))
 
-    def sums(rows: dict[str, np.ndarray], value: np.ndarray | None, valid: np.ndarray | None) -> np.ndarray:
+    def sums(rows: dict[str, np.ndarray], value: np.ndarray | None, valid: np.ndarray | None) -> tuple[np.ndarray, pa.Array, pa.Array]:
         wide, high = rows["x_max"] - rows["x_min"], rows["y_max"] - rows["y_min"]
         n = wide * high
         which = np.repeat(np.arange(len(n)), n)
@@ -109,7 +122,10 @@ def summed_dense(reflections: DataFrame, frames: DataFrame, foreground: Callable
         fg = foreground(x, y, frame, {c: rows[c][which] for c in own})
         some, rest = fg & usable, ~fg & usable
         total = lambda w: np.bincount(which, weights=w, minlength=len(n))
-        return np.stack([total(v * some), total(some), total(rest), total(fg & ~usable), *(total(v * some * (2 * c + 1)) for c in (x, y, frame)), total(v * rest)]).astype(np.int64)
+        found = np.stack([total(v * some), total(some), total(rest), total(fg & ~usable), *(total(v * some * (2 * c + 1)) for c in (x, y, frame)), total(v * rest)]).astype(np.int64)
+        pairs, count = np.unique(np.stack([which[rest & (v >= 0)], v[rest & (v >= 0)]]), axis=1, return_counts=True) if histogram else (np.zeros((2, 0), np.int64), np.zeros(0, np.int64))
+        ends = pa.array(np.searchsorted(pairs[0], np.arange(len(n) + 1)).astype(np.int32))
+        return found, pa.ListArray.from_arrays(ends, pa.array(pairs[1])), pa.ListArray.from_arrays(ends, pa.array(count.astype(np.int64)))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         left = left.combine_chunks()
@@ -124,15 +140,15 @@ def summed_dense(reflections: DataFrame, frames: DataFrame, foreground: Callable
         size = np.cumsum((rows["x_max"] - rows["x_min"]) * (rows["y_max"] - rows["y_min"])) if left.num_rows else np.zeros(0)
         cuts = np.unique(np.concatenate([[0], np.searchsorted(size, np.arange(pixels, size[-1] if len(size) else 0, pixels)), [left.num_rows]])).astype(int)
         out = [sums({c: v[a:b] for c, v in rows.items()}, value, valid) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        found = np.concatenate(out, 1) if out else np.zeros((len(SUMS), 0), np.int64)
-        return pa.table({"refl_id": left.column("refl_id"), **{c: found[k] for k, c in enumerate(SUMS)}})
+        found = np.concatenate([o[0] for o in out], 1) if out else np.zeros((len(SUMS), 0), np.int64)
+        lists = {n: pa.chunked_array([o[k] for o in out], pa.list_(pa.int64())) for k, n in ((1, "values"), (2, "counts"))} if histogram else {}
+        return pa.table({"refl_id": left.column("refl_id"), **{c: found[k] for k, c in enumerate(SUMS)}, **lists})
 
     kind = reflections.schema["refl_id"].dataType.simpleString()
     images = frames.select(F.col("dataset").alias("__dataset"), F.col("frame").alias("__frame"), "h", "w", "data", "valid")
     needed = boxes.select(F.col("dataset").alias("__dataset"), F.col("frame").alias("__frame")).distinct()
-    parts = boxes.groupBy("dataset", "frame").cogroup(images.join(needed, ["__dataset", "__frame"], "left_semi").groupBy("__dataset", "__frame")).applyInArrow(run, f"refl_id {kind}, " + ", ".join(f"{c} long" for c in SUMS))
-    whole = parts.groupBy("refl_id").agg(*(F.sum(c).alias(c) for c in SUMS))
-    return whole.select("refl_id", "fg_sum", "n_fg", "n_bg", (F.col("n_fg_bad") == 0).alias("ok"), "x_moment", "y_moment", "frame_moment", "bg_sum")
+    more = ", values array<long>, counts array<long>" if histogram else ""
+    return boxes.groupBy("dataset", "frame").cogroup(images.join(needed, ["__dataset", "__frame"], "left_semi").groupBy("__dataset", "__frame")).applyInArrow(run, f"refl_id {kind}, " + ", ".join(f"{c} long" for c in SUMS) + more)
 
 
 def with_centroid(rows: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from ..functions import geometry as G
 from ..functions import vec as V
 from ..functions.lattice import reindexings
 from ..operators import indexing as I
+from ..operators import integrate as N
 from ..operators import predict as P
 from ..operators import spots as S
 from ..sources import tables as R
@@ -150,11 +151,11 @@ def bounding_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("vec_id", *G.BOX, (F.col("z_min").between(first, last) & (F.col("z_max") - 1).between(first, last)).alias("on_images"))
 
 
-def _corner_sql(p: int, q: int, n: int) -> str:
-    d = {c: f"({p * _BOX['delta_b']} * u{c} + {q * _BOX['delta_b']} * v{c})" for c in "xyz"}
+def _corner_sql(p: int, q: int, n: int, delta: float = _BOX["delta_b"], at: tuple[float, float] = (1.2, 1.3)) -> str:
+    d = {c: f"({p * delta} * u{c} + {q * delta} * v{c})" for c in "xyz"}
     along = f"(sqrt(1 - ({' + '.join(f'{d[c]} * {d[c]}' for c in 'xyz')})) - ({' + '.join(f'{d[c]} * s{c}' for c in 'xyz')}))"
     z = f"({along} * sz + {d['z']})"
-    return f"(-2.0 / {z} * ({along} * sx + {d['x']}) + 1.2) / {PX} AS x{n}, (1.3 + 2.0 / {z} * ({along} * sy + {d['y']})) / {PX} AS y{n}"
+    return f"(-2.0 / {z} * ({along} * sx + {d['x']}) + {at[0]}) / {PX} AS x{n}, ({at[1]} + 2.0 / {z} * ({along} * sy + {d['y']})) / {PX} AS y{n}"
 
 
 _BOX_SQL = f"""WITH {_ROWS}, {_FRAME},
@@ -175,7 +176,7 @@ def partial_reflections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _erf_sql(x: str) -> str:
-    return f"CASE WHEN abs({x}) < 3 THEN 2 / sqrt(pi()) * list_sum(list_transform(range(60), lambda n: pow(-1, n) * pow({x}, 2 * n + 1) / (gamma(n + 1) * (2 * n + 1)))) ELSE sign({x}) END"
+    return f"CASE WHEN abs({x}) < 5.5 THEN exp(-({x}) * ({x})) * list_sum(list_transform(range(100), lambda n: pow({x}, 2 * n + 1) / gamma(n + 1.5))) ELSE sign({x}) END"
 
 
 _PARTIAL_SQL = f"""WITH {_ROWS}, {_FRAME},
@@ -441,6 +442,55 @@ m AS (SELECT dataset, void, count(*) AS size, {", ".join(f"(sum({c}) / count(*)
 SELECT dataset, CAST(void AS BIGINT) AS void, size, {", ".join(f"round(com_{c} - floor(com_{c}), 6) AS com_{c}" for c in "zyx")} FROM m"""
 
 
+_SCAN = {"image_start": 1, "image_end": 10, "osc_start": 0.0, "osc_width": 0.5}
+_SIGMA_B, _SIGMA_M = 0.03, 0.004
+#: Where the beam meets this query's panel, in mm: between the columns and rows that are masked.
+_CORNER = (0.55, 0.62)
+
+
+def integrated_reflections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intensities of predicted reflections: boxes, foreground ellipsoids, Tukey backgrounds, partiality, LP."""
+    geometry = {**PANEL, "origin": (-_CORNER[0], _CORNER[1], -2.0), **_SCAN, "px": (PX, PX), "wavelength": 1.0, "s0": S0, "axis": AXIS, "polarization_normal": (0.0, 1.0, 0.0), "polarization_fraction": 0.999}
+    rows = _rows(spark, sf_dir).where("s1.z < -0.5").select(F.col("vec_id").alias("refl_id"), (F.col("vec_id") % 10).cast("int").alias("dataset"), "s1", F.radians((F.col("vec_id") % 9 + 0.4) * 0.5).alias("phi"))
+    out = N.integrate(rows, Q.dense(spark, sf_dir), geometry, sigma_b=_SIGMA_B, sigma_m=_SIGMA_M)
+    return out.select("refl_id", "fg_sum", "n_fg", "n_bg", *(F.round(c, 7).alias(c) for c in ("mean", "intensity", "variance", "partiality", "lp", "x_obs", "y_obs", "z_obs")))
+
+
+def _pixel_sql(dx: int, dy: int) -> str:
+    """Square of the distance of a pixel's corner from the ray, in units of delta_b."""
+    cx, cy = _CORNER
+    n = f"sqrt(pow((x + {dx}) * {PX} - {cx}, 2) + pow({cy} - (y + {dy}) * {PX}, 2) + 4.0)"
+    d = (f"(((x + {dx}) * {PX} - {cx}) / {n} - sx)", f"(({cy} - (y + {dy}) * {PX}) / {n} - sy)", f"(-2.0 / {n} - sz)")
+    dot = lambda f: "(" + " + ".join(f"{f}{c} * {e}" for c, e in zip("xyz", d, strict=True)) + ")"
+    return f"(pow({dot('u')}, 2) + pow({dot('v')}, 2)) / pow({3 * _SIGMA_B}, 2)"
+
+
+_INTEGRATED_SQL = f"""WITH {_ROWS}, {_FRAME}, {{pixels}},
+g0 AS (SELECT vec_id AS refl_id, CAST(vec_id % 10 AS INT) AS dataset, radians((vec_id % 9 + 0.4::DOUBLE) * 0.5) AS phi, zeta, sx, sy, sz, ux, uy, uz, vx, vy, vz, {", ".join(_corner_sql(p, q, n, 3 * _SIGMA_B, _CORNER) for n, (p, q) in enumerate(((1, 1), (1, -1), (-1, 1), (-1, -1))))} FROM f4 WHERE sz < -0.5 AND abs(zeta) >= 0.05),
+g1 AS (SELECT *, degrees(phi + {3 * _SIGMA_M} / zeta) / 0.5 AS za, degrees(phi - {3 * _SIGMA_M} / zeta) / 0.5 AS zb FROM g0),
+g2 AS (SELECT *, CAST(floor(least(x0, x1, x2, x3)) AS INT) AS x_min, CAST(ceil(greatest(x0, x1, x2, x3)) AS INT) AS x_max, CAST(floor(least(y0, y1, y2, y3)) AS INT) AS y_min, CAST(ceil(greatest(y0, y1, y2, y3)) AS INT) AS y_max,
+              CAST(greatest(least(floor(least(za, zb)), 9), 0) AS INT) AS z_min, CAST(greatest(least(ceil(greatest(za, zb)), 10), 1) AS INT) AS z_max FROM g1),
+g3 AS (SELECT *, unnest(range(z_min, z_max)) AS frame FROM g2),
+g4 AS (SELECT *, unnest(range(y_min, y_max)) AS y FROM g3),
+g5 AS (SELECT *, unnest(range(x_min, x_max)) AS x FROM g4),
+g6 AS (SELECT refl_id, dataset, CAST(frame AS INT) AS frame, CAST(y AS INT) AS y, CAST(x AS INT) AS x,
+              least({", ".join(_pixel_sql(dx, dy) for dx in (0, 1) for dy in (0, 1))}) + CASE WHEN radians(frame * 0.5) < phi AND phi < radians((frame + 1) * 0.5) THEN 0
+              ELSE least(pow(zeta * (radians(frame * 0.5) - phi) / {3 * _SIGMA_M}, 2), pow(zeta * (radians((frame + 1) * 0.5) - phi) / {3 * _SIGMA_M}, 2)) END <= 1 AS fg FROM g5),
+g7 AS (SELECT g6.*, coalesce(valid, FALSE) AS usable, value FROM g6 LEFT JOIN px USING (dataset, frame, y, x)),
+t AS (SELECT refl_id, CAST(coalesce(sum(value) FILTER (WHERE fg AND usable), 0) AS BIGINT) AS fg_sum, count(*) FILTER (WHERE fg AND usable) AS n_fg, count(*) FILTER (WHERE NOT fg AND usable) AS n_bg, bool_and(NOT fg OR usable) AS ok,
+             {", ".join(f"CAST(sum(value * (2 * {c} + 1)) FILTER (WHERE fg AND usable) AS DOUBLE) AS m{c}" for c in ("x", "y", "frame"))} FROM g7 GROUP BY refl_id),
+h AS (SELECT refl_id, value, count(*) AS cnt FROM g7 WHERE NOT fg AND usable GROUP BY ALL),
+c AS (SELECT *, sum(cnt) OVER (PARTITION BY refl_id) AS n, sum(cnt) OVER (PARTITION BY refl_id ORDER BY value ROWS UNBOUNDED PRECEDING) AS cum FROM h),
+q AS (SELECT *, coalesce(min(CASE WHEN value < 256 AND cum >= (n + 3) // 4 THEN value END) OVER w, 256) AS q1, coalesce(min(CASE WHEN value < 256 AND cum >= (3 * n + 1) // 4 THEN value END) OVER w, 256) AS q3 FROM c WINDOW w AS (PARTITION BY refl_id)),
+a AS (SELECT refl_id, max(n) AS n, coalesce(sum(cnt) FILTER (WHERE value >= 256), 0) AS overflow, max(q1) AS q1, max(q3) AS q3, coalesce(sum(cnt) FILTER (WHERE value < 256 AND value >= q1 - 1.5 * (q3 - q1) AND value <= q3 + 1.5 * (q3 - q1)), 0) AS n_in,
+             CAST(sum(cnt * value) FILTER (WHERE value < 256 AND value >= q1 - 1.5 * (q3 - q1) AND value <= q3 + 1.5 * (q3 - q1)) AS DOUBLE) AS sum_in FROM q GROUP BY refl_id),
+k AS (SELECT t.*, g2.* EXCLUDE (refl_id), sum_in / n_in AS mean FROM t JOIN a USING (refl_id) JOIN g2 USING (refl_id) WHERE ok AND n_fg > 0 AND n_in > 0 AND overflow <= 0.25 * n AND q3 + 1.5 * (q3 - q1) < 256),
+e AS (SELECT *, fg_sum - n_fg * mean AS intensity, CASE WHEN n_bg > 0 THEN CAST(n_fg AS DOUBLE) / n_bg ELSE 0 END AS ratio, abs(zeta) / (sqrt(2.0) * {_SIGMA_M}) * (radians(z_max * 0.5) - phi) AS hi, abs(zeta) / (sqrt(2.0) * {_SIGMA_M}) * (radians(z_min * 0.5) - phi) AS lo FROM k)
+SELECT refl_id, fg_sum, n_fg, n_bg, round(mean, 7) AS mean, round(intensity, 7) AS intensity, round(abs(intensity) + abs(n_fg * mean) * (1 + ratio), 7) AS variance, round(0.5 * (({_erf_sql("hi")}) - ({_erf_sql("lo")})), 7) AS partiality,
+       round(abs(sy) / ((1 - 2 * 0.999) * (1 - sy * sy) + 0.999 * (1 + sz * sz)), 7) AS lp,
+       {", ".join(f"round(CASE WHEN fg_sum > 0 THEN m{m} / (2 * fg_sum) ELSE ({lo} + {hi}) / 2.0::DOUBLE END, 7) AS {n}" for m, lo, hi, n in (("x", "x_min", "x_max", "x_obs"), ("y", "y_min", "y_max", "y_obs"), ("frame", "z_min", "z_max", "z_obs")))} FROM e""".replace("{pixels}", Q._PX)
+
+
 def intensity_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Summary of all net intensities."""
     from ..operators import background as B
@@ -477,5 +527,5 @@ ALL: dict[Callable[[SparkSession, str], DataFrame], str | None] = {
     kabsch_frame: _KABSCH_SQL, integration_sigmas: _SIGMAS_SQL, panel_rays: _PANEL_SQL, still_points: _STILL_SQL, bounding_boxes: _BOX_SQL, partial_reflections: _PARTIAL_SQL, still_rays: _STILL_RAYS_SQL,
     polychromatic_rays: _POLY_SQL, turned_rays: _TURNED_SQL, refinement_rows: _REFINE_SQL, still_results: _STILL_RESULTS_SQL, resolution_schedule: _SCHEDULE_SQL, spot_sigmas: _SPOT_SIGMAS_SQL, reflection_flags: _FLAGS_SQL,
     frame_lines: _LINES_SQL, text_lines: _TEXT_SQL, table_differences: _DIFFERENCES_SQL, geometry_conflicts: _CONFLICTS_SQL, unit_cells: _CELLS_SQL, scan_models: _MODELS_SQL, best_candidates: _BEST_SQL, noisy_cells: _NOISE_SQL,
-    grid_voids: _VOIDS_SQL, intensity_statistics: _STATISTICS_SQL, still_ids: _IDS_SQL,
+    grid_voids: _VOIDS_SQL, integrated_reflections: _INTEGRATED_SQL, intensity_statistics: _STATISTICS_SQL, still_ids: _IDS_SQL,
 }
