@@ -33,6 +33,8 @@ from .shared import Chunk, chunks, mixed, written
 LEAST_BITS, MOST_BITS, PAGE_BITS, CELL_CHARS = 20, 24, 14, 128
 #: Sets of a short list; sets and shingles of a family's block.
 SHORT, BLOCK, BLOCK_SHINGLES = 48, 1024, 800_000
+#: Ids of candidates that are broadcast to their texts (8 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 1 << 20
 
 _FOLD = np.uint64(0xD6E8FEB86659FD93)
 
@@ -347,10 +349,13 @@ def _components(given: DataFrame, n: int, num: int, den: int) -> DataFrame:
     lists = entries.select("token", "id", "size", "pos").repartition("token").sortWithinPartitions("token", "size", "pos", "id")
     found = written(lists.mapInArrow(_lists(num, den), "a long, b long, family boolean").distinct())
 
-    # candidates are representatives, so their texts are joined straight from the documents
-    links = _pair_links(found, given, n, num, den)
-    if not found.where("family").isEmpty():
-        links = links.union(_families(found, given, reps, n, num, den))
+    # texts are read once for all candidates, which are representatives
+    pairs = found.where("NOT family").select("a", "b")
+    member = written(components(found.where("family").select("a", "b")).withColumnRenamed("node", "id"))
+    wanted = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).union(member.select("id")).distinct())
+    few = wanted.count() <= BROADCAST_IDS
+    involved = written(given.join(F.broadcast(wanted) if few else wanted, "id", "left_semi"))
+    links = _pair_links(pairs, involved, n, num, den).union(_family_forests(member, involved, reps, n, num, den))
     joined = components(links)
     named = groups.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select("n", "s1", "s2", F.coalesce("component", "rep").alias("component"))
     # sets that only one row has are their own; the others look their component up
@@ -358,18 +363,15 @@ def _components(given: DataFrame, n: int, num: int, den: int) -> DataFrame:
     return out.select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
 
 
-def _pair_links(found: DataFrame, texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    pairs = found.where("NOT family").select("a", "b")
-    involved = written(texts.join(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi"))
+def _pair_links(pairs: DataFrame, involved: DataFrame, n: int, num: int, den: int) -> DataFrame:
     one = pairs.join(involved.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     two = one.join(involved.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     return two.select("a", "b", "text_a", "text_b").mapInArrow(_verified(n, num, den), "a long, b long")
 
 
-def _families(found: DataFrame, texts: DataFrame, reps: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    member = written(components(found.where("family").select("a", "b")).withColumnRenamed("node", "id"))
+def _family_forests(member: DataFrame, involved: DataFrame, reps: DataFrame, n: int, num: int, den: int) -> DataFrame:
     total = member.join(reps, "id").groupBy("component").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     member = member.join(total, "component").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    placed = texts.join(member, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = involved.join(member, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     keyed = placed.select("component", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "id", "text")
     return keyed.groupBy("component", "i", "j").applyInArrow(_family_links(n, num, den), "a long, b long")
