@@ -29,9 +29,12 @@ def fractional_indices(point, setting) -> V.Vec:
     return V.apply(V.inverse(setting), point)
 
 
-def with_indices(rows: DataFrame, point, setting, tolerance: float = 0.3) -> DataFrame:
-    """Adds h, k, l and lsq (squared distance in index space); 0 0 0 and a null lsq where no index is near enough."""
-    f = fractional_indices(point, setting)
+def with_indices(rows: DataFrame, point, setting, tolerance: float = 0.3, *, inverse: Column | None = None) -> DataFrame:
+    """Adds h, k, l and lsq (squared distance in index space); 0 0 0 and a null lsq where no index is near enough.
+
+    `inverse` is the inverse of the setting matrix where it is at hand.
+    """
+    f = fractional_indices(point, setting) if inverse is None else V.apply(inverse, point)
     n = [F.round(c) for c in f]
     lsq = sum(((a - b) * (a - b) for a, b in zip(n[1:], f[1:], strict=True)), (n[0] - f[0]) * (n[0] - f[0]))
     good = (lsq <= tolerance * tolerance) & ((n[0] != 0) | (n[1] != 0) | (n[2] != 0))
