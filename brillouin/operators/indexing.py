@@ -61,7 +61,8 @@ def contest(row: np.ndarray, phi: np.ndarray, lsq: np.ndarray) -> np.ndarray:
 
 
 def settle_duplicates(indexed: DataFrame, key: list[str], row: str = "id", phi: str = "phi") -> DataFrame:
-    """Unindexes rows that lose their Miller index to another row of the dataset. Only indices held twice go through the fold."""
+    """Unindexes rows that lose their Miller index to another row of the dataset. Only indices held twice go through the fold, in runs of
+    phi without a gap over CLOSE_PHI: rows of different runs don't meet."""
     group = [*key, "h", "k", "l"]
     hit = F.col("lsq").isNotNull()
     many = F.sum(F.when(hit, 1).otherwise(0)).over(Window.partitionBy(*group))
@@ -75,7 +76,10 @@ def settle_duplicates(indexed: DataFrame, key: list[str], row: str = "id", phi:
         rows.loc[~keep, "lsq"] = np.nan
         return rows[columns]
 
-    settled = twice.groupBy(*group).applyInPandas(fold, indexed.schema)
+    by_phi = Window.partitionBy(*group).orderBy(phi)
+    twice = twice.withColumn("__gap", (F.col(phi) - F.lag(phi).over(by_phi) > CLOSE_PHI).cast("int"))
+    twice = twice.withColumn("__run", F.coalesce(F.sum("__gap").over(by_phi), F.lit(0)))
+    settled = twice.groupBy(*group, "__run").applyInPandas(fold, indexed.schema)
     return alone.unionByName(settled.withColumn("lsq", F.when(~F.isnan("lsq"), F.col("lsq"))))
 
 

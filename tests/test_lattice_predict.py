@@ -143,3 +143,12 @@ def test_transform_finds_the_period(spark):
     cells = I.grid_cells(rows, ["dataset"], (F.col("x"), F.col("y"), F.col("z")), 2.0, 0.0, 32)
     power = I.power_map(cells, ["dataset"], 32, 3.0).toPandas()
     assert len(power) and (power["power"] > 0).all()
+
+
+def test_contest_of_runs_is_that_of_all_rows(spark):
+    rng = np.random.default_rng(8)
+    rows = [(k, 0, float(p), float(q), 1, 2, 3) for k, (p, q) in enumerate(zip(rng.uniform(0, 12, 60), rng.integers(0, 9, 60) / 10, strict=True))]
+    frame = spark.createDataFrame(rows, "id int, dataset int, phi double, lsq double, h int, k int, l int").repartition(3)
+    got = {r["id"]: r["lsq"] is not None for r in I.settle_duplicates(frame, ["dataset"]).collect()}
+    want = I.contest(*(np.array([r[c] for r in rows]) for c in (0, 2, 3)))
+    assert [got[k] for k in range(60)] == want.tolist() and 3 < sum(got.values()) < 40
