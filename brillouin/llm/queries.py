@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import vector_queries
 from .embedding_join import near_vectors
 from .jaccard_join import jaccard_components
 from .line_dedup import dedup_lines
@@ -158,8 +159,8 @@ FROM placed
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_kneser_ney_toxicity, op2_epsilon_grid_join, op3_rendezvous_shards, op4_wrapper_text, op5_mix_sources, op6_unigram_counts, op7_quality_rules, op8_jaccard_join, op9_line_dedup, op10_pack_windows)}
+    return {f.__name__: f for f in (op1_kneser_ney_toxicity, op2_epsilon_grid_join, op3_rendezvous_shards, op4_wrapper_text, op5_mix_sources, op6_unigram_counts, op7_quality_rules, op8_jaccard_join, op9_line_dedup, op10_pack_windows, *vector_queries.QUERIES)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_epsilon_grid_join": _OP2_SQL, "op3_rendezvous_shards": _OP3_SQL, "op5_mix_sources": _OP5_SQL, "op8_jaccard_join": _OP8_SQL, "op9_line_dedup": _OP9_SQL}
+    return {"op2_epsilon_grid_join": _OP2_SQL, "op3_rendezvous_shards": _OP3_SQL, "op5_mix_sources": _OP5_SQL, "op8_jaccard_join": _OP8_SQL, "op9_line_dedup": _OP9_SQL} | vector_queries.SQL
