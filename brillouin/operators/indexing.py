@@ -14,12 +14,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import vec as V
-from ..functions.lattice import angle, reduced_candidate
+from ..functions.lattice import reduced_candidate
+from ..plans.scratch import written
+from ..sources.tables import FLAG, flagged, with_flags
 from .graph import components
+from .select import five_number_quartiles, least_rows
 
 #: Fixed values of the search.
 CLOSE_PHI = pi / 4
 QUARTILE_CUT, MIN_VOLUME = 5, 0.15
+LIKE_LENGTH, PARALLEL, NEAR_WHOLE = 0.1, float(np.cos(np.radians(5))), 0.2
 
 
 # --- assignment -----------------------------------------------------------------------------------------------------
@@ -104,8 +108,7 @@ def sampled(rows: DataFrame, id_col: str, per_degree: int, width_deg: Column | f
     """A fixed sample of each dataset: the max(per_degree * max(round(width), 1), least) rows of least hash of their id."""
     width = width_deg if isinstance(width_deg, Column) else F.lit(float(width_deg))
     n = F.greatest(per_degree * F.greatest(F.round(width), F.lit(1)), F.lit(least))
-    order = Window.partitionBy(*key).orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")).cast("binary")), id_col)
-    return rows.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= n).drop("__n")
+    return least_rows(rows, list(key), [F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")).cast("binary")), F.col(id_col)], n)
 
 
 # --- reciprocal grid and its peaks ----------------------------------------------------------------------------------
@@ -183,43 +186,41 @@ def large_voids(found: DataFrame, key: list[str], fraction: float = MIN_VOLUME)
 
 # --- candidate vectors and lattices ---------------------------------------------------------------------------------
 
+def _relations(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of every vector of u with every one of v: the longer length over the shorter one, and the cosine."""
+    p, q = np.linalg.norm(u, axis=1)[:, None], np.linalg.norm(v, axis=1)[None]
+    return np.maximum(p, q) / np.minimum(p, q), (u @ v.T) / (p * q)
+
+
 def peak_vectors(com: np.ndarray, size: np.ndarray, dmin: float, min_cell: float = 3.0, max_cell: float = 92.3, n: int = 256) -> tuple[np.ndarray, np.ndarray]:
     """Unique real-space vectors of the peaks, the largest first, and their volumes.
 
-    Peaks of like length and direction (or the opposite one) are averaged, in order; then a vector goes that is nearly a multiple of a shorter kept one of larger volume.
+    Each peak, in order, joins the first group whose mean so far has a like length and direction (or the opposite one); the rest start groups. Of the groups'
+    means one goes that is nearly a multiple of a kept shorter one of larger volume.
     """
-    v = np.where(com > 0.5, com - 1, com) * (n * dmin / 2)
-    length = np.linalg.norm(v, axis=1)
-    groups: list[list] = []  # sum of vectors, how many, largest volume
-    for k in np.flatnonzero((length > min_cell) & (length < 2 * max_cell)):
-        for g in groups:
-            mean = g[0] / g[1]
-            m = np.linalg.norm(mean)
-            if abs(m - length[k]) / max(m, length[k]) < 0.1:
-                a = angle(mean, v[k])
-                if a < 5 or 180 - a < 5:
-                    g[0] = g[0] + (v[k] if a < 5 else -v[k])
-                    g[1] += 1
-                    g[2] = max(g[2], int(size[k]))
-                    break
-        else:
-            groups.append([v[k], 1, int(size[k])])
-    sites = sorted(((g[0] / g[1], g[2]) for g in groups), key=lambda s: -s[1])
-    sites.sort(key=lambda s: np.linalg.norm(s[0]))
-    unique: list[tuple[np.ndarray, int]] = []
-    for site, volume in sites:
-        if not any(w > volume and _multiple(u, site) for u, w in unique):
-            unique.append((site, volume))
-    unique.sort(key=lambda s: -s[1])
-    return np.array([s for s, _ in unique]).reshape(-1, 3), np.array([w for _, w in unique], np.int64)
-
-
-def _multiple(a: np.ndarray, b: np.ndarray) -> bool:
-    turn = angle(a, b)
-    if 5 <= turn <= 175:
-        return False
-    short, long = sorted((np.linalg.norm(a), np.linalg.norm(b)))
-    return abs(np.floor(long / short + 0.5) - long / short) < 0.2
+    v = (com - (com > 0.5)) * (n * dmin / 2)
+    fits = (np.linalg.norm(v, axis=1) > min_cell) & (np.linalg.norm(v, axis=1) < 2 * max_cell)
+    v, size = v[fits], np.asarray(size)[fits]
+    total, members, volume = np.zeros((len(v), 3)), np.zeros(len(v), int), np.zeros(len(v), np.int64)
+    used = 0
+    for vector, weight in zip(v, size, strict=True):
+        ratio, cosine = _relations(total[:used] / members[:used, None], vector[None])
+        like = np.flatnonzero((1 / ratio[:, 0] > 1 - LIKE_LENGTH) & (np.abs(cosine[:, 0]) > PARALLEL))
+        at = like[0] if len(like) else used
+        total[at] += vector if not len(like) or cosine[at, 0] > 0 else -vector
+        members[at] += 1
+        volume[at] = max(volume[at], weight)
+        used += not len(like)
+    mean, volume = total[:used] / members[:used, None], volume[:used]
+    order = np.lexsort((-volume, np.linalg.norm(mean, axis=1)))
+    mean, volume = mean[order], volume[order]
+    ratio, cosine = _relations(mean, mean)
+    hides = (np.abs(cosine) > PARALLEL) & (np.abs(ratio - np.floor(ratio + 0.5)) < NEAR_WHOLE) & (volume[None] > volume[:, None])
+    kept = np.zeros(used, bool)
+    for k in range(used):
+        kept[k] = not (hides[k, :k] & kept[:k]).any()
+    final = np.flatnonzero(kept)[np.argsort(-volume[kept], kind="stable")]
+    return mean[final], volume[final]
 
 
 def candidate_vectors(found: DataFrame, dmin: float, min_cell: float = 3.0, max_cell: float = 92.3, n: int = 256, keep: int = 100) -> DataFrame:
@@ -291,25 +292,33 @@ def most_indexed(candidates: DataFrame, key: list[str]) -> DataFrame:
     return candidates.groupBy(*key).agg(F.max_by("candidate", F.struct(F.col("n_indexed"), -F.col("candidate"))).alias("candidate"), F.max("n_indexed").alias("n_indexed"))
 
 
-def order_statistics(rows: DataFrame, key: list[str], column: str) -> DataFrame:
-    """q1 and q3 of a column by the five-number summary: medians of the lower and the upper half, the middle value in both."""
-    whole = Window.partitionBy(*key)
-    ranked = rows.select(*key, F.col(column).alias("v"), (F.row_number().over(whole.orderBy(column)) - 1).alias("at"), F.count(F.lit(1)).over(whole).alias("n"))
-    half, start = F.ceil(F.col("n") / 2), F.floor(F.col("n") / 2)
-    middle = F.floor(half / 2)
-    hit = lambda base: (F.col("at") == base + middle) | ((half % 2 == 0) & (F.col("at") == base + middle - 1))
-    return ranked.groupBy(*key).agg(F.avg(F.when(hit(F.lit(0)), F.col("v"))).alias("q1"), F.avg(F.when(hit(start), F.col("v"))).alias("q3"))
-
-
-def without_outliers(rows: DataFrame, key: list[str], columns: list[str], multiplier: float = 3.0) -> DataFrame:
-    """Rows inside Tukey's fences of every column."""
-    keep = F.lit(True)
-    for c in columns:
-        q = order_statistics(rows, key, c).withColumnsRenamed({"q1": f"__q1_{c}", "q3": f"__q3_{c}"})
-        rows = rows.join(q, key)
-        spread = multiplier * (F.col(f"__q3_{c}") - F.col(f"__q1_{c}"))
-        keep = keep & (F.col(c) >= F.col(f"__q1_{c}") - spread) & (F.col(c) <= F.col(f"__q3_{c}") + spread)
-    return rows.where(keep).drop(*(f"__{q}_{c}" for q in ("q1", "q3") for c in columns))
+def fences(rows: DataFrame, key: list[str], columns: list[str], multiplier: float = 3.0) -> DataFrame:
+    """(*key, column, low, high): Tukey's fences of each column, by the quartiles of the five-number summary."""
+    spread = multiplier * (F.col("q3") - F.col("q1"))
+    return five_number_quartiles(rows, key, columns).select(*key, "column", (F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))
+
+
+def without_outliers(rows: DataFrame, key: list[str], columns: list[str], multiplier: float = 3.0, flags: str | None = None) -> DataFrame:
+    """Rows inside Tukey's fences of every column.
+
+    With `flags`, a column of flag bits: only predicted rows are judged and kept, and those kept are marked as used in refinement and as no outliers. Rows with a
+    null or NaN in one of the columns go.
+    """
+    if flags:
+        rows = rows.where(flagged(F.col(flags), "predicted"))
+    rows = written(rows)
+    low_high = F.struct("low", "high")
+    wide = fences(rows, key, columns, multiplier).groupBy(*key).agg(*(F.first(F.when(F.col("column") == c, low_high), ignorenulls=True).alias(f"__{n}") for n, c in enumerate(columns)))
+    wide = wide.withColumnsRenamed({k: f"__key{n}" for n, k in enumerate(key)})
+    same, keep = F.lit(True), F.lit(True)
+    for n, k in enumerate(key):
+        same = same & F.col(k).eqNullSafe(F.col(f"__key{n}"))
+    for n, c in enumerate(columns):
+        keep = keep & ~F.isnan(F.col(c).cast("double")) & F.col(c).between(F.col(f"__{n}.low"), F.col(f"__{n}.high"))
+    kept = rows.join(wide, same).where(keep).select(rows.columns)
+    if not flags:
+        return kept
+    return kept.withColumn(flags, with_flags(F.col(flags), "used_in_refinement").bitwiseAND(F.lit(~FLAG["centroid_outlier"])))
 
 
 def rmsds(rows: DataFrame, key: list[str]) -> DataFrame:

@@ -136,7 +136,7 @@ def static_rays(rows: DataFrame, setting, s0, axis, dmin, phi_begin: Column, wid
     p, q = V.dot(s0, across), V.dot(s0, side)
     t = -(V.norm2(r) / 2 + V.dot(s0, axis) * along)
     size = F.hypot(p, q)
-    spread = F.acos(F.when(F.abs(t) <= size, t / size))
+    spread = F.acos(F.when(F.abs(t) <= size, F.try_divide(t, size)))
     middle = F.atan2(q, p)
     rows = rows.where(V.norm2(r) * dmin * dmin <= 1).withColumn("__phi", F.explode(F.array(middle - spread, middle + spread)))
     turn = F.pmod(F.col("__phi") - phi_begin, F.lit(2 * pi)) + phi_begin
@@ -209,19 +209,24 @@ def rotation_scan(datasets: DataFrame, axis, setting, dmin: float, panel: dict,
 
 def repredicted(rows: DataFrame, setting, s0, axis) -> DataFrame:
     """Rays of known indices on a rotating crystal: of the two solutions that of the observed `entering`, at the turn nearest `phi_obs`."""
-    r = _point(setting, *(F.col(c) for c in HKL))
-    along = V.dot(r, axis)
-    across = V.sub(r, V.scale(axis, along))
-    p, q = V.dot(s0, across), V.dot(s0, V.cross(axis, across))
-    t = -(V.norm2(r) / 2 + V.dot(s0, axis) * along)
-    spread = F.acos(F.when(F.abs(t) <= F.hypot(p, q), t / F.hypot(p, q)))
-    middle = F.atan2(q, p)
-    rays = [V.add(V.rotate(r, axis, middle + k * spread), s0) for k in (-1, 1)]
-    first = G.entering(rays[0], s0, axis) == F.col("entering")
-    phi = F.when(first, middle - spread).otherwise(middle + spread)
-    near = F.col("phi_obs") + F.pmod(phi - F.col("phi_obs") + pi, F.lit(2 * pi)) - pi
-    s1 = F.when(first, V.vector(*rays[0])).otherwise(V.vector(*rays[1]))
-    return rows.withColumns({"phi_cal": near, "s1": F.when(spread.isNotNull(), s1)})
+    # steps of their own: nothing is worked out twice, and no expression grows with the ones before it
+    steps = G.Steps(rows)
+    steps.vector("r", _point(setting, *(F.col(c) for c in HKL)))
+    r = steps.of("r")
+    steps.scalars(along=V.dot(r, axis))
+    steps.vector("across", V.sub(r, V.scale(axis, F.col("__along"))))
+    across = steps.of("across")
+    steps.scalars(p=V.dot(s0, across), q=V.dot(s0, V.cross(axis, across)), t=-(V.norm2(r) / 2 + V.dot(s0, axis) * F.col("__along")))
+    steps.scalars(size=F.hypot(F.col("__p"), F.col("__q")), middle=F.atan2(F.col("__q"), F.col("__p")))
+    steps.scalars(spread=F.acos(F.when(F.abs(F.col("__t")) <= F.col("__size"), F.try_divide(F.col("__t"), F.col("__size")))))
+    for name, side in (("one", -1), ("two", 1)):
+        steps.vector(name, V.add(V.rotate(r, axis, F.col("__middle") + side * F.col("__spread")), s0))
+    rays = [steps.of("one"), steps.of("two")]
+    steps.scalars(first=G.entering(rays[0], s0, axis) == F.col("entering"))
+    steps.scalars(phi=F.when(F.col("__first"), F.col("__middle") - F.col("__spread")).otherwise(F.col("__middle") + F.col("__spread")))
+    near = F.col("phi_obs") + F.pmod(F.col("__phi") - F.col("phi_obs") + pi, F.lit(2 * pi)) - pi
+    s1 = F.when(F.col("__first"), V.vector(*rays[0])).otherwise(V.vector(*rays[1]))
+    return steps.done(phi_cal=near, s1=F.when(F.col("__spread").isNotNull(), s1))
 
 
 def repredicted_stills(rows: DataFrame, setting, s0) -> DataFrame:

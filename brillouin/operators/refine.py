@@ -1,4 +1,4 @@
-"""Least squares over reflections: partial normal equations in tasks, summed by Spark, solved in the driver.
+"""Least squares over reflections for many models at a time: normal equations of blocks of rows, summed by model, and one small step a model.
 
 Parameters: two tilts of the beam (mrad) and its wavenumber, three turns of the crystal (mrad, about x, y, z), the reciprocal metric
 (11, 22, 33, 12, 13, 23; times 1e5), distance and two shifts of the detector (mm) and three tilts (mrad, about its normal, fast and slow
@@ -8,17 +8,44 @@ axes, through its centre).  Residuals are dx, dy (mm) and dphi (radians) of refl
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ..plans.scratch import written
 
 N = 18
 #: Only the tilt of the beam out of the plane of spindle and beam is free by default.
 FREE = (1, *range(3, N))
 OBSERVED = ("h", "k", "l", "x_mm", "y_mm", "phi", "entering")
 
+#: Parts of a model in an array column, and their numbers.
+ARRAY = (("s0", 3), ("axis", 3), ("orientation", 9), ("shape", 9), ("fast", 3), ("slow", 3), ("origin", 3), ("centre", 2))
+
+
+def part(model: Column, name: str) -> tuple[Column, ...] | list[Column]:
+    """A part of a column of models as columns: a vector or the nine cells of a matrix."""
+    at = sum(size for _, size in ARRAY[: [n for n, _ in ARRAY].index(name)])
+    cells = [model[at + k] for k in range(dict(ARRAY)[name])]
+    return cells if len(cells) == 9 else tuple(cells)
+
+
+def with_setting(model: Column, setting: Column) -> Column:
+    """Models with the orientation and shape of other setting matrices."""
+
+    def run(models: pd.Series, settings: pd.Series) -> pd.Series:
+        out = []
+        for m, a in zip(models, settings, strict=True):
+            base = Model.of_array(m)
+            rest = {name: getattr(base, name) for name, _ in ARRAY if name not in ("orientation", "shape")}
+            out.append(Model.of(np.asarray(a).reshape(3, 3), **rest).array())
+        return pd.Series(out)
+
+    return F.pandas_udf(run, "array<double>", F.PandasUDFType.SCALAR)(model, setting)
+
 
 @dataclass(frozen=True)
 class Model:
@@ -32,7 +59,6 @@ class Model:
     slow: np.ndarray
     origin: np.ndarray
     centre: tuple[float, float] = (0.0, 0.0)  # of the panel, in mm along fast and slow
-    start: np.ndarray = field(default_factory=lambda: np.zeros(N))
 
     @staticmethod
     def of(setting: np.ndarray, **rest) -> Model:
@@ -40,6 +66,18 @@ class Model:
         flip = np.sign(np.diag(r))
         return Model(orientation=q * flip, shape=r * flip[:, None], **rest)
 
+    def array(self) -> np.ndarray:
+        """All numbers of the model, as a column of models holds them: ARRAY names the parts."""
+        return np.concatenate([np.ravel(getattr(self, name)) for name, _ in ARRAY]).astype(float)
+
+    @staticmethod
+    def of_array(values) -> Model:
+        values, parts, at = np.asarray(values, float), {}, 0
+        for name, size in ARRAY:
+            parts[name] = values[at : at + size].reshape(3, 3) if size == 9 else values[at : at + size]
+            at += size
+        return Model(**parts)
+
     def parameters(self) -> np.ndarray:
         g = self.shape.T @ self.shape
         p = np.zeros(N)
@@ -111,89 +149,118 @@ def gradients(model: Model, p: np.ndarray, rows: pd.DataFrame, free: tuple[int,
     return out
 
 
-def normal_equations(rows: DataFrame, model: Model, p: np.ndarray, free: tuple[int, ...] = FREE, with_gradients: bool = True) -> tuple[np.ndarray, np.ndarray, float, int]:
-    """J'J, J'r, r'r and the number of rows, summed over all reflections. A task returns one row of fixed size; those are summed in Spark."""
+# --- many models at a time --------------------------------------------------------------------------------------------
+
+#: Rows of a block, models whose state is broadcast, sums of a model: J'J, J'r, the squares of each residual, rows.
+BLOCK, STATES = 4096, 10_000
+SUMS = N * N + N + 4
+_STATE = "model array<double>, p array<double>, trial array<double>, damp double, sums array<double>, done boolean"
+
 
-    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(N * N + N + 2)
+def _packed(names: list[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Rows of a batch by key, in blocks: (*key, data), data row after row."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            r = model.at(p).residuals(batch)
+            out = []
+            for key, rows in batch.groupby(names, dropna=False, sort=False):
+                data = rows[list(OBSERVED)].to_numpy(np.float64)
+                out += [(*key, data[k : k + BLOCK].ravel()) for k in range(0, len(data), BLOCK)]
+            if out:
+                yield pd.DataFrame(out, columns=[*names, "data"])
+
+    return run
+
+
+def _block_sums(free: tuple[int, ...]):
+    def sums(model: list, trial: list, data: list) -> np.ndarray:
+        rows = pd.DataFrame(np.asarray(data).reshape(-1, len(OBSERVED)), columns=list(OBSERVED))
+        base, p, total = Model.of_array(model), np.asarray(trial), np.zeros(SUMS)
+        try:
+            r = base.at(p).residuals(rows)
             good = np.isfinite(r).all(1)
-            r = r[good]
-            total[-2] += (r * r).sum()
-            total[-1] += len(r)
-            if with_gradients and len(r):
-                j = gradients(model, p, batch[good], free).reshape(-1, N)
-                total[: N * N] += (j.T @ j).ravel()
-                total[N * N : -2] += j.T @ r.ravel()
-        yield pd.DataFrame({"at": np.arange(len(total)), "v": total})
-
-    sums = rows.select(*OBSERVED).mapInPandas(part, "at int, v double").groupBy("at").sum("v").toPandas().sort_values("at")["sum(v)"].to_numpy()
-    if not len(sums):
-        sums = np.zeros(N * N + N + 2)
-    return sums[: N * N].reshape(N, N), sums[N * N : -2], float(sums[-2]), int(sums[-1])
-
-
-def levenberg_marquardt(evaluate: Callable[[np.ndarray, bool], tuple[np.ndarray, np.ndarray, float, int]], p: np.ndarray, free: tuple[int, ...], *, tol: float = 1e-6, rounds: int = 10) -> tuple[np.ndarray, float, int]:
-    """Parameters, sum of squares and number of rows at the end. `evaluate(p, gradients)` gives the normal equations."""
+            j = gradients(base, p, rows[good], free).reshape(-1, N)
+        except np.linalg.LinAlgError:  # no cell has this metric: the trial fits no row
+            return total
+        r = r[good]
+        total[: N * N], total[N * N : -4] = (j.T @ j).ravel(), j.T @ r.ravel()
+        total[-4:-1], total[-1] = (r * r).sum(0), len(r)
+        return total
+
+    def run(model: pd.Series, trial: pd.Series, data: pd.Series) -> pd.Series:
+        return pd.Series([sums(*x) for x in zip(model, trial, data, strict=True)])
+
+    return run
+
+
+def _advanced(free: tuple[int, ...], tol: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """A model's next state from the sums at its trial: the trial is taken if it fits better, damping falls or rises, and the next trial follows."""
     at = list(free)
-    jj, jr, cost, n = evaluate(p, True)
-    damp = 1e-3
-    for _ in range(rounds):
-        a, g = jj[np.ix_(at, at)], jr[at]
-        scale = np.maximum(np.diag(a), 1e-12 * max(np.diag(a).max(), 1e-300))
-        step = np.zeros(N)
-        step[at] = -np.linalg.lstsq(a + damp * np.diag(scale), g, rcond=None)[0]
-        new = evaluate(p + step, False)
-        if new[3] >= n and new[2] < cost:
-            done = cost - new[2] <= tol * cost
-            p, damp = p + step, damp / 10
-            jj, jr, cost, n = evaluate(p, True)
-            if done:
-                break
+
+    def step(p: np.ndarray, trial: np.ndarray, damp: float, old: np.ndarray | None, new: np.ndarray) -> tuple:
+        done = False
+        if old is None or new[-1] >= old[-1] and new[-4:-1].sum() < old[-4:-1].sum():
+            if old is not None:
+                done, damp = old[-4:-1].sum() - new[-4:-1].sum() <= tol * old[-4:-1].sum(), damp / 10
+            p, old = trial, new
         else:
             damp *= 10
-            if damp > 1e8:
-                break
-    return p, cost, n
+            done = damp > 1e8
+        a, g = old[: N * N].reshape(N, N)[np.ix_(at, at)], old[N * N : -4][at]
+        if not old[-1] or not np.isfinite(a).all():
+            return p, p, damp, old, True
+        scale = np.maximum(np.diag(a), 1e-12 * max(np.diag(a).max(), 1e-300))
+        trial = p.copy()
+        trial[at] -= np.linalg.lstsq(a + damp * np.diag(scale), g, rcond=None)[0]
+        return p, trial, damp, old, bool(done)
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            made = [step(np.asarray(p), np.asarray(t), d, None if o is None else np.asarray(o), np.zeros(SUMS) if n is None else np.asarray(n)) for p, t, d, o, n in zip(*(rows[c] for c in ("p", "trial", "damp", "sums", "new")), strict=True)]
+            for k, name in enumerate(("p", "trial", "damp", "sums", "done")):
+                rows[name] = [m[k] for m in made]
+            yield rows.drop(columns="new")
 
-def refined(rows: DataFrame, model: Model, *, free: tuple[int, ...] = FREE, rounds: int = 10) -> tuple[Model, dict[str, float]]:
-    """Model refined against all reflections of one dataset, and its root mean square residuals' measure."""
-    p, cost, n = levenberg_marquardt(lambda p, g: normal_equations(rows, model, p, free, g), model.parameters(), free, rounds=rounds)
-    return model.at(p), {"cost": cost, "n": n}
+    return run
 
 
-def refined_candidates(rows: DataFrame, key: list[str], make: Callable[[pd.DataFrame], Model], *, free: tuple[int, ...] = FREE, rounds: int = 10) -> DataFrame:
-    """Each small group (dataset, candidate) refined in its own task: key, setting, rmsd_x, rmsd_y, rmsd_phi, rmsd_xy, n.
+def _ended(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for rows in batches:
+        sums = [np.asarray(s) for s in rows.pop("sums")]
+        models = [Model.of_array(m).at(np.asarray(p)) for m, p in zip(rows.pop("model"), rows.pop("p"), strict=True)]
+        rows["model"], rows["setting"] = [m.array() for m in models], [m.setting.ravel() for m in models]
+        rows["n"] = [int(s[-1]) for s in sums]
+        mean = np.array([s[-4:-1] / s[-1] if s[-1] else np.full(3, np.nan) for s in sums]).reshape(-1, 3)
+        rows["rmsd_x"], rows["rmsd_y"], rows["rmsd_phi"], rows["rmsd_xy"] = *np.sqrt(mean.T), np.sqrt(mean[:, 0] + mean[:, 1])
+        yield rows
 
-    `make` builds the starting model from a group's rows.
-    """
-    kinds = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in key)
 
-    def one(group: pd.DataFrame) -> pd.DataFrame:
-        model = make(group)
+def fitted(rows: DataFrame, models: DataFrame, key: list[str], *, free: tuple[int, ...] = FREE, rounds: int = 10, tol: float = 1e-6) -> DataFrame:
+    """(*key, model, setting, n, rmsd_x, rmsd_y, rmsd_phi, rmsd_xy): every model of `models` (*key, model) refined against its rows, all at the same time.
 
-        def evaluate(p: np.ndarray, with_gradients: bool):
-            r = model.at(p).residuals(group)
-            good = np.isfinite(r).all(1)
-            r = r[good]
-            j = gradients(model, p, group[good], free).reshape(-1, N) if with_gradients else np.zeros((r.size, N))
-            return j.T @ j, j.T @ r.ravel(), float((r * r).sum()), len(r)
-
-        p, _, n = levenberg_marquardt(evaluate, model.parameters(), free, rounds=rounds)
-        end = model.at(p)
-        r = end.residuals(group)
-        r = r[np.isfinite(r).all(1)]
-        x, y, phi = np.sqrt((r * r).mean(0)) if len(r) else (np.nan,) * 3
-        out = {k: [group[k].iloc[0]] for k in key}
-        return pd.DataFrame(out | {"setting": [end.setting.ravel().tolist()], "rmsd_x": [x], "rmsd_y": [y], "rmsd_phi": [phi], "rmsd_xy": [float(np.hypot(x, y))], "n": [n]})
-
-    return rows.groupBy(*key).applyInPandas(one, f"{kinds}, setting array<double>, rmsd_x double, rmsd_y double, rmsd_phi double, rmsd_xy double, n long")
-
-
-def macro_cycles(rows: DataFrame, model: Model, assign: Callable[[DataFrame, Model, float], DataFrame], limits: list[float]) -> Model:
-    """Assigns indices and refines in turn, with the resolution limit of each cycle."""
-    for dmin in limits:
-        model, _ = refined(assign(rows, model, dmin), model)
-    return model
+    Rows (*key and OBSERVED) are packed once into blocks. A round joins the blocks with the models that still move, sums their normal equations by model,
+    and takes or refuses each model's trial step (Levenberg-Marquardt, at most `rounds` trials); models at rest leave the join. The
+    state is a table of a row a model, written every round.
+
+    Defined cases: rows whose residuals are not finite count for nothing; a step that loses rows is refused; a model without rows stays as it is, with n = 0 and
+    null root mean squares; rows without a model are not read; an empty table of models gives an empty table.
+    """
+    kinds = ", ".join(f"`{k}` {models.schema[k].dataType.simpleString()}" for k in key)
+    seen = rows.select(*key, *(F.col(c).cast("double").alias(c) for c in OBSERVED))
+    blocks = written(seen.hint("rebalance", *key).sortWithinPartitions(*key).mapInPandas(_packed(key), f"{kinds}, data array<double>"))
+    start = F.pandas_udf(lambda models: models.map(lambda m: Model.of_array(m).parameters()), "array<double>", F.PandasUDFType.SCALAR)
+    state = models.select(*key, "model", start("model").alias("p")).select(*key, "model", "p", F.col("p").alias("trial"), F.lit(1e-3).alias("damp"), F.lit(None).cast("array<double>").alias("sums"), F.lit(False).alias("done"))
+    state = written(state)
+    summed = F.pandas_udf(_block_sums(free), "array<double>", F.PandasUDFType.SCALAR)
+    for _ in range(rounds + 1):
+        moving = state.where("NOT done")
+        n = moving.count()
+        if not n:
+            break
+        trial = moving.select(*key, "model", "trial")
+        each = blocks.join(F.broadcast(trial) if n <= STATES else trial, key).select(*key, F.posexplode(summed("model", "trial", "data")).alias("at", "s"))
+        sums = each.groupBy(*key, "at").agg(F.sum("s").alias("s")).groupBy(*key).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "s"))), lambda x: x["s"]).alias("new"))  # SUMS numbers
+        names = [*key, "model", "p", "trial", "damp", "sums", "done"]
+        state = written(moving.join(sums, key, "left").select(*names, "new").mapInPandas(_advanced(free, tol), f"{kinds}, {_STATE}").union(state.where("done").select(*names)))
+    out = state.select(*key, "model", "p", "sums").mapInPandas(_ended, f"{kinds}, model array<double>, setting array<double>, n long, rmsd_x double, rmsd_y double, rmsd_phi double, rmsd_xy double")
+    return out.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in ("rmsd_x", "rmsd_y", "rmsd_phi", "rmsd_xy")})

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,9 +17,12 @@ from ..functions.lattice import reindexings
 from ..operators import indexing as I
 from ..operators import integrate as N
 from ..operators import predict as P
+from ..operators import refine as L
+from ..operators import rotation as T
 from ..operators import spots as S
 from ..sources import tables as R
 from . import queries as Q
+from .scratch import written
 
 S0, AXIS = (0.0, 0.0, -1.0), (1.0, 0.0, 0.0)
 PANEL = {"fast": (1.0, 0.0, 0.0), "slow": (0.0, -1.0, 0.0), "origin": (-1.2, 1.3, -2.0)}
@@ -503,6 +507,34 @@ _STATISTICS_SQL = f"""SELECT round(min(intensity), 5) AS min_intensity, round(ma
        round(avg(intensity / sigma) FILTER (WHERE sigma > 0), 5) AS mean_i_over_sigma FROM ({Q._NET_SQL})"""
 
 
+def candidate_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rotation indexing from candidates to the best refined model of each dataset: orders are spots of a known lattice, and the candidates a lattice turned away and one of twice the cell."""
+    model = L.Model.of(np.linalg.inv(_REAL), s0=np.array(S0), axis=np.array(AXIS), fast=np.array([1.0, 0, 0]), slow=np.array([0, -1.0, 0]), origin=np.array([-150.0, 150.0, -200.0]), centre=(150.0, 150.0))
+    key, turn = F.col("o_orderkey"), F.floor(F.col("o_orderkey") / 5)
+    place, dataset = F.pmod(turn, F.lit(15625)), F.col("o_orderkey") % 5 + 5 * F.floor(turn / 15625)
+    rows = Q.table(spark, sf_dir, "orders").select(dataset.alias("dataset"), key.alias("id"), (place % 25 - 12).alias("h"), (F.floor(place / 25) % 25 - 12).alias("k"), (F.floor(place / 625) - 12).alias("l"), (place % 2 == 0).alias("entering"), F.lit(0.0).alias("phi_obs"))
+    rows = written(P.repredicted(written(rows), V.entries([F.lit(float(x)) for x in model.setting.ravel()]), V.parts(S0), V.parts(AXIS))).where("s1 IS NOT NULL")
+    x, y = G.ray_on_panel(V.parts(F.col("s1")), *(V.parts(v.tolist()) for v in (model.fast, model.slow, model.origin)))
+    spots = written(rows.select("dataset", "id", x.alias("x_mm"), y.alias("y_mm"), F.col("phi_cal").alias("phi"), F.lit(False).alias("overloaded")).where("x_mm IS NOT NULL"))
+    sets = spots.select("dataset").distinct()
+    numbers = lambda a: F.array(*[F.lit(float(v)) for v in np.ravel(a)])
+    turned = np.linalg.inv(_REAL @ np.array([[0.9, -0.3, 0.3], [0.3, 0.95, 0.05], [-0.3, 0.05, 0.95]]))
+    doubled = np.linalg.inv(np.diag([2.0, 1, 1]) @ _REAL @ np.array([[1.0, 4e-4, 0], [-4e-4, 1.0005, 0], [0, 0, 1]]))
+    candidates = sets.select("dataset", F.explode(F.array(*[F.struct(F.lit(n).alias("candidate"), numbers(a).alias("setting")) for n, a in ((1, turned), (2, doubled))])).alias("c")).select("dataset", "c.*")
+    found = T.evaluated_candidates(spots, candidates, sets.select("dataset", numbers(model.array()).alias("model"), F.lit(360.0).alias("width")))
+    best = found.where("rank = 1").select("dataset", "candidate", "n_indexed", F.round("fraction", 9).alias("fraction"), F.round("volume", 1).alias("volume"), (F.col("rmsd") < 1e-3).alias("fits"))
+    return best
+
+
+_REAL = np.array([[40.0, 1, 0], [0, 50, 2], [1, 0, 60]])
+_INVERSE = np.linalg.inv(_REAL).tolist()
+_CANDIDATES_SQL = f"""WITH o AS (SELECT o_orderkey % 5 + 5 * (o_orderkey // 5 // 15625) AS dataset, o_orderkey // 5 % 15625 AS place FROM orders),
+i AS (SELECT dataset, place % 25 - 12 AS h, (place // 25) % 25 - 12 AS k, place // 625 - 12 AS l FROM o),
+r AS (SELECT dataset, {", ".join(f"{a[0]!r} * h + {a[1]!r} * k + {a[2]!r} * l AS {c}" for c, a in zip("xyz", _INVERSE, strict=True))} FROM i WHERE h <> 0 OR k <> 0 OR l <> 0)
+SELECT dataset, CAST(2 AS INT) AS candidate, count(*) AS n_indexed, 1.0::DOUBLE AS fraction, {round(float(np.linalg.det(_REAL)), 1)}::DOUBLE AS volume, TRUE AS fits
+FROM r WHERE (x * x + y * y + z * z) / 2 <= sqrt(y * y + z * z) AND x * x + y * y + z * z < 2 GROUP BY dataset"""
+
+
 def still_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers of the frames that a data set holds, joined back to their old ones and names."""
     spots = S.boxes_2d(S.labelled(S.with_slices(Q._strong(spark, sf_dir)), across_frames=False), 3)
@@ -527,5 +559,5 @@ ALL: dict[Callable[[SparkSession, str], DataFrame], str | None] = {
     kabsch_frame: _KABSCH_SQL, integration_sigmas: _SIGMAS_SQL, panel_rays: _PANEL_SQL, still_points: _STILL_SQL, bounding_boxes: _BOX_SQL, partial_reflections: _PARTIAL_SQL, still_rays: _STILL_RAYS_SQL,
     polychromatic_rays: _POLY_SQL, turned_rays: _TURNED_SQL, refinement_rows: _REFINE_SQL, still_results: _STILL_RESULTS_SQL, resolution_schedule: _SCHEDULE_SQL, spot_sigmas: _SPOT_SIGMAS_SQL, reflection_flags: _FLAGS_SQL,
     frame_lines: _LINES_SQL, text_lines: _TEXT_SQL, table_differences: _DIFFERENCES_SQL, geometry_conflicts: _CONFLICTS_SQL, unit_cells: _CELLS_SQL, scan_models: _MODELS_SQL, best_candidates: _BEST_SQL, noisy_cells: _NOISE_SQL,
-    grid_voids: _VOIDS_SQL, integrated_reflections: _INTEGRATED_SQL, intensity_statistics: _STATISTICS_SQL, still_ids: _IDS_SQL,
+    grid_voids: _VOIDS_SQL, integrated_reflections: _INTEGRATED_SQL, intensity_statistics: _STATISTICS_SQL, still_ids: _IDS_SQL, candidate_models: _CANDIDATES_SQL,
 }

@@ -1,5 +1,4 @@
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,7 +6,7 @@ from brillouin.functions import vec as V
 from brillouin.functions.lattice import cell, niggli, reduced_candidate, reindexings, with_basis
 from brillouin.operators import indexing as I
 from brillouin.operators import predict as P
-from brillouin.operators import refine as L
+from brillouin.operators.select import five_number_quartiles
 
 PANEL = {"fast": (0.9999343565703017, 0.008972928699089156, 0.007125243918478585), "slow": (0.009011312015482328, -0.9999449607587793, -0.005373240073119384), "origin": (-154.36992588196173, 164.3947680648576, -198.15267891180412), "px": (0.075, 0.075), "size": (4148, 4362), "mu": 3.9219876752936167, "thickness": 0.45}
 WAVELENGTH = 0.9762458439949315
@@ -112,31 +111,10 @@ def test_scores_and_outliers(spark):
     assert I.best(rows, ["dataset"]).first()["candidate"] == 2
     values = spark.createDataFrame([(0, float(v)) for v in [*range(11), 500]], "dataset int, dx double")
     assert I.without_outliers(values, ["dataset"], ["dx"]).count() == 11
-    q = I.order_statistics(values, ["dataset"], "dx").first()
+    q = five_number_quartiles(values, ["dataset"], ["dx"]).first()
     assert (q["q1"], q["q3"]) == (2.5, 8.5)
 
 
-def model():
-    return L.Model.of(np.linalg.inv(np.array([[40.0, 1, 0], [0, 50, 2], [1, 0, 60]])), s0=np.array([0, 0, -1.0]), axis=np.array([1.0, 0, 0]), fast=np.array([1.0, 0, 0]), slow=np.array([0, -1.0, 0]), origin=np.array([-150.0, 150, -200]), centre=(150.0, 150.0))
-
-
-def observations(m, n=300, seed=0):
-    rng = np.random.default_rng(seed)
-    rows = pd.DataFrame(rng.integers(-12, 13, (n, 3)), columns=["h", "k", "l"])
-    rows["entering"] = rng.random(n) < 0.5
-    rows["x_mm"] = rows["y_mm"] = rows["phi"] = 0.0
-    seen = m.predicted(rows)
-    rows[["x_mm", "y_mm", "phi"]] = seen
-    return rows[np.isfinite(seen).all(1) & (np.abs(seen[:, :2]) < 500).all(1)].reset_index(drop=True)
-
-
-def test_refinement_of_groups(spark):
-    truth = model()
-    rows = pd.concat([observations(truth, 150, s).assign(dataset=0, candidate=s) for s in (1, 2)])
-    got = L.refined_candidates(spark.createDataFrame(rows), ["dataset", "candidate"], lambda g: model(), rounds=3).toPandas()
-    assert len(got) == 2 and (got["rmsd_xy"] < 1e-6).all() and np.allclose(got["setting"].iloc[0], truth.setting.ravel(), atol=1e-9)
-
-
 def test_transform_finds_the_period(spark):
     # points of a cubic lattice of 20 along x only
     rows = spark.createDataFrame([(k, 0, k / 20.0 - 0.2, 0.0, 0.0) for k in range(9)], "id int, dataset int, x double, y double, z double")
