@@ -1,41 +1,43 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Two models of order `ORDER` over letters, one of toxic and one of ordinary texts, share every lower order: the backoff
-probabilities come from the continuation counts of both classes together, so a rare expression that neither
-class knows well is about as likely in both.  A word's evidence is its log-likelihood in the toxic model minus that in the
-ordinary one.  A text has four statistics: the difference of its two log-likelihoods over all letters, divided by its length; the mean
-evidence of its `WORST` most toxic words; the logarithm of its words, because the most toxic of many words are further out; and that
-of its words with an evidence over `CLEAR`.  A logistic curve of all four gives the score; it is fitted on the labelled
-texts that were not counted.
-
-The models are tables that grow with the corpus.  Letter groups are counted exactly over all labelled texts of the counting part;
+Two pairs of models, each of toxic and of ordinary texts: one over words, counted once in each document, and one of order `ORDER` over letters.  In both the
+classes share the backoff, which comes from continuation counts of both together, so an expression that neither class knows well is about as
+likely in both.  A word's evidence is its log-likelihood in the toxic model minus that in the ordinary one.  Log-likelihoods are always compared
+for equal lengths: a text has the difference a letter over all its letters, and the largest difference a word over its windows of `WINDOWS` words.
+A logistic curve with factors that cannot be negative turns these into the score; it is fitted on the labelled texts that were not counted.
+
+The models are one table that grows with the corpus.  Words and letter groups are counted exactly over all labelled texts of the counting part;
 continuation counts, shared probabilities and the evidence of each group follow by aggregations, windows over a context and joins of
-one order with the next.  A group that the models have seen has its evidence in the table; for any other one the ratio depends on its context alone, because
+one order with the next.  For a group or word that the models have not seen the ratio depends on its context alone, because
 the shared backoff cancels.  Tasks get the table by a broadcast while it has at most `BROADCAST` rows (checked), and otherwise by a join: texts are
-packed into blocks with the different groups that they need, and each block gets these.  Both ways give the same scores.
+packed into blocks with the different keys that they need, and each block gets these.  Both ways give the same scores.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import log
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import chunks, mixed, own_names, with_columns, written
+from .shared import Chunk, chunks, mixed, own_names, with_columns, written
 
-#: Letters of a group, discount, words of a statistic, evidence of a clearly toxic word.
-ORDER, DISCOUNT, WORST, CLEAR = 4, 0.75, 3, 4.0
+#: Letters of a group, discount, words of the windows.
+ORDER, DISCOUNT, WINDOWS = 4, 0.75, (1, 4)
 #: Rows of a model that are broadcast (16 bytes each), bytes of text in a block of the other way, groups that a counting task holds.
 BROADCAST, BLOCK_BYTES, HELD = 1 << 21, 1 << 24, 1 << 22
-#: Marks the key of a context among those of groups.
-CONTEXT = 1 << 8 * ORDER
+#: Marks the keys of contexts and of words among those of groups; key of every word that is not in the table.
+CONTEXT, WORD = 1 << 8 * ORDER, 1 << 62
+UNSEEN = WORD - 1
 #: Width, lowest and highest value of the calibration counts' bins for each statistic.
-BINS = ((0.05, -2.0, 2.0), (0.2, 0.0, 25.0), (1.0, 0.0, 16.0), (0.5, 0.0, 12.0))
+BINS = ((0.2, -2.0, 2.0), (0.2, -2.0, 10.0), (0.2, -2.0, 10.0))
 #: The curve without labels: its constant and factors, and how far labels may draw each.
-CURVE, DRAWN = (-5.25, 4.0, 1.5, 0.0, 0.0), (10.0, 30.0, 3.0, 1.0, 2.0)
+CURVE, DRAWN = (-14.0, 1.0, 4.0, 0.5), (5.0, 3.0, 2.0, 2.0)
+#: Share of labels of each class that the curve takes for wrong, so that these do not flatten it.
+NOISE = 0.02
 
 # Bytes: a-z, every byte of other scripts; anything else parts words.
 _SYMBOL = np.full(256, 0x20, np.uint8)
@@ -70,8 +72,16 @@ def _groups(text: np.ndarray, order: int) -> np.ndarray:
     return out
 
 
+def _word_keys(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the words of all texts, the place of each one's first letter, and that behind the last."""
+    letter = text != 0x20
+    starts = np.flatnonzero(letter & np.concatenate([[True], ~letter[:-1]]))
+    stops = np.flatnonzero(letter & np.concatenate([~letter[1:], [True]])) + 1
+    return (Chunk(text, ends, 0).hashes(starts, stops) >> np.uint64(2)) | np.uint64(WORD), starts, stops
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(group, toxic, ordinary): what this task has counted."""
+    """(group, toxic, ordinary): what this task has counted; words under their keys, once in a text."""
     held: list[tuple[np.ndarray, ...]] = []
 
     def merged() -> tuple[np.ndarray, ...]:
@@ -92,6 +102,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             owner = np.repeat(toxic[chunk.first : chunk.first + chunk.n], np.diff(ends))[inside]
             value, inverse = np.unique(group[inside], return_inverse=True)
             held.append((value, *(np.bincount(inverse[of], minlength=len(value)) for of in (owner, ~owner))))
+            word, starts, _ = _word_keys(text, ends)
+            own = np.searchsorted(ends, starts, "right") - 1
+            order = np.lexsort((own, word))
+            word, own = word[order], own[order]
+            once = np.concatenate([[True], (word[1:] != word[:-1]) | (own[1:] != own[:-1])])[: len(word)]
+            value, inverse = np.unique(word[once], return_inverse=True)
+            of = toxic[chunk.first + own[once]]
+            held.append((value, *(np.bincount(inverse[x], minlength=len(value)) for x in (of, ~of))))
         if len(held) > 16:
             held = [merged()]
             if len(held[0][0]) > HELD:
@@ -130,6 +148,23 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     return top.select(F.col("group").alias("key"), seen.alias("value")).union(unseen)
 
 
+def word_evidence(counts: DataFrame) -> DataFrame:
+    """(key, value) from exact counts (group, toxic, ordinary) of words: the log-ratio of the classes' probabilities of each word, and under UNSEEN that of all others.
+
+    Both classes back off to the number of classes that have a word.
+    """
+    own = counts.agg(*(f(c).alias(f"{n}_{c}") for c in ("toxic", "ordinary") for n, f in (("all", F.sum), ("kinds", lambda c: F.count(F.when(F.col(c) > 0, 1)))))).first()
+    kinds = max((own["kinds_toxic"] or 0) + (own["kinds_ordinary"] or 0), 1)
+    shared = ((F.col("toxic") > 0).cast("int") + (F.col("ordinary") > 0).cast("int")) / float(kinds)
+    sides, left = [], []
+    for name in ("toxic", "ordinary"):
+        total = own[f"all_{name}"] or 0
+        left.append(DISCOUNT * own[f"kinds_{name}"] / total if total else 1.0)
+        sides.append(F.greatest(F.col(name) - DISCOUNT, F.lit(0.0)) / float(max(total, 1)) + left[-1] * shared)
+    unseen = counts.sparkSession.createDataFrame([(UNSEEN, log(left[0] / left[1]))], "key long, value double")
+    return counts.select(F.col("group").alias("key"), F.log(sides[0] / sides[1]).alias("value")).union(unseen)
+
+
 class Model:
     """Values by key, all of them exact: a hash table whose buckets are runs of sorted arrays."""
 
@@ -162,38 +197,47 @@ class Model:
             if not len(todo):
                 return out, missing
 
-    def words(self, text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Evidence and length of each word of all texts, and the words before each text (and in all)."""
+    def words(self, text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each word of all texts: evidence of its letters, their number (with the space behind), its evidence as a word; and the words before each text (and in all)."""
         group = _groups(text, ORDER)
         x, missing = self.find(group)
         other = np.flatnonzero(missing)
         x[other] = self.find(_context(group[other]))[0]
         total = np.concatenate([[0.0], np.cumsum(x, dtype=np.float64)])
-        letter = text != 0x20
-        starts = np.flatnonzero(letter & np.concatenate([[True], ~letter[:-1]]))
-        stops = np.flatnonzero(letter & np.concatenate([~letter[1:], [True]])) + 2  # with the space behind
-        return total[np.minimum(stops, len(x))] - total[starts], np.minimum(stops, len(x)) - starts, np.searchsorted(starts, ends)
+        keys, starts, stops = _word_keys(text, ends)
+        stops = np.minimum(stops + 1, len(x))
+        value, missing = self.find(keys)
+        value[missing] = self.find(np.array([UNSEEN], np.uint64))[0][0]
+        return total[stops] - total[starts], stops - starts, value.astype(np.float64), np.searchsorted(starts, ends)
 
 
 def _context(group: np.ndarray) -> np.ndarray:
     return (group >> np.uint64(8)) + np.uint64(CONTEXT)
 
 
+def _best_windows(value: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
+    """For each text the largest mean of `size` values in a row; of all its values if they are fewer (as if zeros followed), 0 without any."""
+    n = np.diff(first)
+    out = np.zeros(len(n))
+    total = np.concatenate([[0.0], np.cumsum(value)])
+    start = np.arange(len(value))
+    owner = np.repeat(np.arange(len(n)), n)
+    end = np.minimum(start + size, first[1:][owner]) if len(value) else start
+    whole = (end - start == size) | (start == first[:-1][owner]) if len(value) else np.zeros(0, bool)
+    sums = (total[end] - total[start])[whole] / size
+    out[n > 0] = np.maximum.reduceat(sums, np.searchsorted(np.flatnonzero(whole), first[:-1][n > 0])) if len(sums) else 0
+    return out
+
+
 def statistic(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """For each text: log-likelihood ratio of all words a letter; mean evidence of the WORST most toxic words (missing ones and those
-    that are not toxic count 0); log2 of 1 + words; log2 of 1 + words with an evidence over CLEAR."""
+    """For each text: log-likelihood ratio a letter over the whole text, and the largest a word over its windows of each of WINDOWS words; 0 without words."""
     text, ends = _symbols(data, offsets)
     if not len(text):
         return np.zeros((len(offsets) - 1, len(BINS)))
-    value, length, first = model.words(text, ends)
-    count = np.diff(first)
-    owner = np.repeat(np.arange(len(count)), count)
-    whole = np.bincount(owner, weights=value, minlength=len(count)) / np.maximum(np.bincount(owner, weights=length, minlength=len(count)), 1)
-    order = np.lexsort((-value, owner))
-    rank = np.arange(len(order)) - first[owner]
-    top = order[rank < WORST]
-    worst = np.bincount(owner[top], weights=np.maximum(value[top], 0), minlength=len(count)) / WORST
-    return np.stack([whole, worst, np.log2(1 + count), np.log2(1 + np.bincount(owner[value > CLEAR], minlength=len(count)))], axis=1)
+    letters, length, value, first = model.words(text, ends)
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    whole = np.bincount(owner, weights=letters, minlength=len(first) - 1) / np.maximum(np.bincount(owner, weights=length, minlength=len(first) - 1), 1)
+    return np.stack([whole, *(_best_windows(value, first, size) for size in WINDOWS)], axis=1)
 
 
 def _rows(model: Model, text: pa.Array, rest: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -224,8 +268,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for chunk in chunks(batch.column(batch.num_columns - 1)):
-            group = np.unique(_groups(_symbols(chunk.data, chunk.offsets)[0], ORDER))
-            keys = np.union1d(keys, np.union1d(group, _context(group)))
+            text, ends = _symbols(chunk.data, chunk.offsets)
+            group = np.unique(_groups(text, ORDER))
+            keys = np.unique(np.concatenate([keys, group, _context(group), _word_keys(text, ends)[0], np.array([UNSEEN], np.uint64)]))
             held.append(batch.slice(chunk.first, chunk.n))
             size += len(chunk.data)
             if size >= BLOCK_BYTES:
@@ -255,25 +300,35 @@ def _statistics(rows: DataFrame, model: DataFrame, shared) -> DataFrame:
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Constant and factors of the logistic curve for n texts of statistics x and label y, drawn to CURVE where there are few."""
+    """Constant and factors of the logistic curve for n texts of statistics x and label y, drawn to CURVE where there are few. No factor is negative."""
     start, hold = np.array(CURVE), 1 / np.array(DRAWN) ** 2
     full = np.concatenate([np.ones((len(x), 1)), x], axis=1)
 
-    def loss(beta: np.ndarray) -> float:
-        z = full @ beta
-        return float((n * (np.logaddexp(0, z) - y * z)).sum() + (hold * (beta - start) ** 2).sum() / 2)
-
-    beta = start.copy()
-    for _ in range(100):
+    def seen(beta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probability of a label 1, and its slope."""
         p = 1 / (1 + np.exp(-np.clip(full @ beta, -60, 60)))
-        g = full.T @ (n * (y - p)) - hold * (beta - start)
-        step = np.linalg.solve((full * (n * p * (1 - p))[:, None]).T @ full + np.diag(hold), g)
-        while loss(beta + step) > loss(beta) and np.abs(step).max() > 1e-9:
-            step /= 2
-        beta = beta + step
-        if np.abs(step).max() < 1e-8:
-            break
-    return beta
+        return NOISE + (1 - 2 * NOISE) * p, (1 - 2 * NOISE) * p * (1 - p)
+
+    def loss(beta: np.ndarray) -> float:
+        q = seen(beta)[0]
+        return float(-(n * (y * np.log(q) + (1 - y) * np.log(1 - q))).sum() + (hold * (beta - start) ** 2).sum() / 2)
+
+    beta, free = start.copy(), np.ones(len(start), bool)
+    while True:
+        for _ in range(100):
+            q, slope = seen(beta)
+            g = (full.T @ (n * (y - q) * slope / (q * (1 - q))) - hold * (beta - start))[free]
+            step = np.zeros(len(beta))
+            step[free] = np.linalg.solve(((full * (n * slope**2 / (q * (1 - q)))[:, None]).T @ full + np.diag(hold))[np.ix_(free, free)], g)
+            while loss(beta + step) > loss(beta) and np.abs(step).max() > 1e-9:
+                step /= 2
+            beta = beta + step
+            if np.abs(step).max() < 1e-8:
+                break
+        below = np.flatnonzero(beta[1:] < 0) + 1
+        if not len(below):
+            return beta
+        free[below], beta[below] = False, 0.0  # a likelihood that speaks for toxic can't speak against it
 
 
 def train(labelled: DataFrame, text: str, toxic: str, part: Column) -> tuple[DataFrame, object, np.ndarray]:
@@ -281,7 +336,8 @@ def train(labelled: DataFrame, text: str, toxic: str, part: Column) -> tuple[Dat
     rows = labelled.where(F.col(text).isNotNull() & F.col(toxic).isNotNull())
     one = (F.col(toxic) > 0).cast("int")
     counts = rows.where(part != 0).select(F.col(text), one).mapInArrow(_count, "group long, toxic long, ordinary long")
-    model = written(kneser_ney(written(counts.groupBy("group").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))))
+    counts = written(counts.groupBy("group").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
+    model = written(kneser_ney(counts.where(F.col("group") < WORD)).union(word_evidence(counts.where(F.col("group") >= WORD))))
     shared = None
     if model.count() <= BROADCAST:
         table = model.toArrow()

@@ -455,7 +455,7 @@ def counted(spark, texts):
 def test_kneser_ney_probabilities(spark):
     texts = [("Vile scum, you vile scum!", 1), ("scum of the earth", 1), ("calm meadow of the earth", 0), ("the meadow is calm and the earth is calm", 0), ("x", 0)]
     bad, good = (letter_counts(t for t, y in texts if y == k) for k in (1, 0))
-    counts = counted(spark, texts)
+    counts = counted(spark, texts).where(F.col("group") < toxicity.WORD)
     assert {r["group"]: (r["toxic"], r["ordinary"]) for r in counts.collect()} == {packed_key(g): (bad[g], good[g]) for g in {*bad, *good}}
     got = {r["key"]: r["value"] for r in toxicity.kneser_ney(counts).collect()}
     want = brute_kneser_ney(bad, good)
@@ -480,16 +480,71 @@ def test_model_finds_every_key():
     assert toxicity.Model(keys[:0], values[:0]).find(keys)[1].all()
 
 
-def test_toxicity_statistic_hears_the_whole_text(spark):
+def brute_statistic(texts, asked):
+    """Statistics of `asked` from the definition: letters by `brute_kneser_ney`, words once a text."""
+    split = lambda t: re.findall("[a-z]+", t.lower())
+    letters = brute_kneser_ney(*(letter_counts(t for t, y in texts if y == k) for k in (1, 0)))
+    counts = [Counter(w for t, y in texts if y == k for w in set(split(t))) for k in (1, 0)]
+    kinds = sum(map(len, counts))
+
+    def word(w):
+        sides = []
+        for c in counts:
+            total = sum(c.values())
+            sides.append(max(c[w] - 0.75, 0) / total + 0.75 * len(c) / total * (sum(w in c for c in counts) / kinds if w in {*counts[0], *counts[1]} else 1))
+        return np.log(sides[0] / sides[1])
+
+    for t in asked:
+        words = split(t)
+        line = "   " + " ".join(words) + " "
+        groups = [line[i : i + 4] for i in range(len(line) - 3)]
+        ratios = [np.log(letters[g][0] / letters[g][1]) for g in groups]
+        value = [word(w) for w in words]
+        best = [max(sum(value[k : k + n]) for k in range(max(1, len(value) - n + 1))) / n for n in toxicity.WINDOWS]
+        yield [sum(ratios) / len(groups), *best]
+
+
+def test_toxicity_statistics_are_those_of_the_definition(spark):
+    import pyarrow as pa
+
+    from brillouin.llm.shared import chunks
+
+    texts = [("Vile scum, you vile scum!", 1), ("scum of the earth", 1), ("calm meadow of the earth", 0), ("the meadow is calm and the earth is calm", 0), ("x", 0), ("you earth", 0)]
+    counts = counted(spark, texts).persist()
+    table = toxicity.kneser_ney(counts.where(F.col("group") < toxicity.WORD)).union(toxicity.word_evidence(counts.where(F.col("group") >= toxicity.WORD))).toPandas()
+    model = toxicity.Model(table["key"].to_numpy(), table["value"].to_numpy())
+    asked = ["vile scum of the meadow", "the earth", "scum", *(t for t, _ in texts), "is calm meadow of the earth and the earth is vile"]
+    known = letter_counts(t for t, _ in texts)
+    asked = [t for t in asked if set(letter_counts([t])) <= set(known)]
+    chunk = next(chunks(pa.array([*asked, "", "12 !"])))
+    got = toxicity.statistic(model, chunk.data, chunk.offsets)
+    assert len(asked) > 6 and np.allclose(got[:-2], list(brute_statistic(texts, asked)), atol=1e-5) and not got[-2:].any()
+
+
+def test_toxicity_hears_the_whole_text_and_its_windows(spark):
     import pyarrow as pa
 
     from brillouin.llm.shared import chunks
 
-    table = toxicity.kneser_ney(counted(spark, [("vile scum " * 50, 1), ("calm meadow " * 50, 0)])).toPandas()
+    counts = counted(spark, [("vile scum " * 50, 1), ("calm meadow " * 50, 0)]).persist()
+    table = toxicity.kneser_ney(counts.where(F.col("group") < toxicity.WORD)).union(toxicity.word_evidence(counts.where(F.col("group") >= toxicity.WORD))).toPandas()
     model = toxicity.Model(table["key"].to_numpy(), table["value"].to_numpy())
     chunk = next(chunks(pa.array(["vile scum vile", "vile scum vile" + " calm meadow" * 500, "calm meadow"])))
     short, long, clean = toxicity.statistic(model, chunk.data, chunk.offsets)
-    assert short[1] == long[1] > 0 and short[0] > 0 > max(long[0], clean[0])  # equal worst words, but not equal texts
+    assert short[0] > 0 > max(long[0], clean[0]) and short[1] == long[1] > 0 > clean[1]  # no window of a clean text is cut off at 0
+
+
+def test_toxicity_is_decided_by_the_likelihoods(spark):
+    rng = np.random.default_rng(3)
+    toxic = rng.random(4000) < 0.2
+    x = np.stack([rng.normal(size=4000) * 0.05, np.where(toxic, 6.0, 2.0) + rng.normal(size=4000) * 0.5, rng.normal(size=4000)], 1)
+    flipped = np.where(rng.random(4000) < 0.03, ~toxic, toxic)
+    curve = toxicity.fit_curve(np.concatenate([x, x]), np.concatenate([flipped, flipped]).astype(float), np.ones(8000))
+    hits = lambda b: (1 / (1 + np.exp(-(b[0] + x @ b[1:]))) >= 0.7)
+    assert (curve[1:] >= 0).all() and hits(curve)[toxic].mean() > 0.97 and not hits(curve)[~toxic].any()
+    against = toxicity.fit_curve(-x, flipped.astype(float), np.ones(4000))  # evidence the wrong way round does not count
+    assert (against[1:] >= 0).all()
+    assert not hits(np.array([curve[0], curve[1], 0, curve[3]])).any()  # without the window's likelihoods nothing is found
 
 
 def test_toxicity_of_large_models_is_the_same(spark, monkeypatch):
