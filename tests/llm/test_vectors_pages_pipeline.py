@@ -103,10 +103,61 @@ def test_wrappers_come_from_all_pages_of_hosts_of_any_size(spark):
     got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     for k, _, _ in rows[:35]:
         i = k if k < 10 else k - 10 if k < 60 else k - 30
-        assert got[k] == f"Title {i}\nWords {i} of its own, 0.\nWords {i} of its own, 1."
+        shared = "" if 10 <= k < 60 else "\nWritten in article for you." if k < 10 else "\nWritten in main for you."  # two or three pages do not make it template
+        assert got[k] == f"Title {i}\nWords {i} of its own, 0.\nWords {i} of its own, 1." + shared
     assert all("Title 7" in got[90 + i] and "Words 7 of its own, 0." in got[90 + i] for i in range(9))
 
 
+@pytest.mark.parametrize("words", [200, 60, 20, 5])
+@pytest.mark.parametrize("headed", [False, True])
+def test_template_may_outweigh_the_article(spark, words, headed):
+    template = [" ".join(f"template{j}word{w}" for w in range(30)) + "." for j in range(10)]
+    bodies = [[" ".join(f"own{i}part{p}word{w}" for w in range(words)) + "." for p in range(2)] for i in range(12)]
+
+    def page(i):
+        own = "".join(f"<p>{b}</p>" for b in bodies[i])
+        title = f"<h1>Title {i}</h1>" if headed else ""
+        return f'<html><body><div class="a"><div class="z">{"".join(f"<p>{t}</p>" for t in template)}</div><div class="y">{title}{own}</div></div></body></html>'
+
+    rows = [(i, "http://heavy.org/", page(i)) for i in range(12)]
+    got = {r["page_id"]: r["text"] for r in extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: "\n".join([*([f"Title {i}"] if headed else []), *bodies[i]]) for i in range(12)}
+
+
+@pytest.mark.parametrize("n", [2, 12])
+def test_articles_keep_the_headings_they_share(n):
+    pages = [f"<html><body><div class=a><div class=menu>Menu</div><div class=b><h1>Dish {i}</h1><h2>Summary</h2><p>This is dish {i}, of its own.</p><h2>Method</h2><p>Cook {i} in {i + 3} pots.</p></div></div>" for i in range(n)]
+    path, constants = induce(pages)
+    for i in range(n):
+        assert main_text(pages[i], path, set(constants)) == f"Dish {i}\nSummary\nThis is dish {i}, of its own.\nMethod\nCook {i} in {i + 3} pots."
+
+
+def test_wrappers_are_those_of_a_plain_alignment_of_all_pages(spark):
+    """The wrapper by definition: every page aligned with the reference, texts counted one by one, the slot from what is left."""
+    rng = __import__("random").Random(7)
+    template = ["We write about the world, every day of the year.", "Read our terms before you go on, please.", "All the pictures are our own work, or licensed."]
+    pages = []
+    for i in range(14):
+        own = "".join(f"<p>{prose(rng, rng.randint(8, 40))}</p>" for _ in range(rng.randint(2, 5)))
+        lead = f"<p>{template[0]}</p>" if rng.random() < 0.95 else ""
+        pages.append(f"<html><body><div class=k><div class=m><p>{template[1]}</p><p>{template[2]}</p></div><div class=n>{lead}{own}</div></div></body></html>")
+    parsed = [Page(p) for p in pages]
+    reference = sorted(parsed, key=lambda p: len(p.tag))[(len(pages) - 1) // 2]
+    a, shared, seen = _Tree(reference), {}, 0
+    for page in parsed:
+        b = _Tree(page)
+        texts = {a.text[x] for x, y in match(a, b).items() if a.text[x] and a.text[x] == b.text[y]}
+        if len(texts) < len({t for t in b.text if t}):  # not the reference itself
+            seen += 1
+            for t in texts:
+                shared[t] = shared.get(t, 0) + 1
+    constant = {t for t, n in shared.items() if n >= 0.8 * seen}
+    want = ["\n".join(text for _, text, _ in p.blocks if text not in constant) for p in parsed]
+    assert constant == set(template)
+    got = extract_text(spark.createDataFrame([(i, "http://plain.org/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")).orderBy("page_id").collect()
+    assert [r["text"] for r in got] == want
+
+
 def test_tree_matching_of_deep_and_wide_pages():
     deep = "<div>" * 3000 + "same"
     assert len(match(_Tree(Page(deep)), _Tree(Page(deep)))) == 3001
