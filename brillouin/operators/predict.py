@@ -27,37 +27,79 @@ def _range(low: Column, high: Column) -> Column:
     return F.when(low <= high, F.sequence(low.cast("int"), high.cast("int"))).otherwise(F.array().cast("array<int>"))
 
 
-def candidate_indices(images: DataFrame, a1: str, a2: str, s0_1: str, s0_2: str, dmin: Column | float) -> DataFrame:
-    """A row for each image and index between its two Ewald spheres (and a margin of one index), within dmin.
+#: Bounds are widened by this before they are rounded: an index on a sphere is in.
+EDGE = 1e-9
 
-    Bounds: |h| <= |a| / dmin and likewise for k; l within the resolution sphere, and near either surface of the spheres.
+
+def _roots(rows: DataFrame, n: str, a: Column, b: Column, c: Column) -> DataFrame:
+    """Adds __p and __q + n, the roots of a x^2 + 2 b x + c; null where it has none."""
+    rows = rows.withColumns({f"__a{n}": a, f"__b{n}": b, f"__c{n}": c})
+    d = F.col(f"__b{n}") * F.col(f"__b{n}") - F.col(f"__a{n}") * F.col(f"__c{n}")
+    rows = rows.withColumn(f"__d{n}", F.when(d >= 0, F.sqrt(d)))
+    rows = rows.withColumns({f"__p{n}": (-F.col(f"__b{n}") - F.col(f"__d{n}")) / F.col(f"__a{n}"), f"__q{n}": (-F.col(f"__b{n}") + F.col(f"__d{n}")) / F.col(f"__a{n}")})
+    return rows.drop(*(f"__{x}{n}" for x in "abcd"))
+
+
+def _whole(low: Column, high: Column, margin: int) -> Column:
+    return _range(F.ceil(low - EDGE) - margin, F.floor(high + EDGE) + margin)
+
+
+def absent(h: Column, k: Column, l: Column, operations: Column) -> Column:  # noqa: E741
+    """Is some operation (r, t) such that h R = h and h . t is not whole? `operations` is an array of structs."""
+    same = lambda o: (h * o["r"][0] + k * o["r"][3] + l * o["r"][6] == h) & (h * o["r"][1] + k * o["r"][4] + l * o["r"][7] == k) & (h * o["r"][2] + k * o["r"][5] + l * o["r"][8] == l)
+    phase = lambda o: h * o["t"][0] + k * o["t"][1] + l * o["t"][2]
+    return F.exists(operations, lambda o: same(o) & (F.abs(phase(o) - F.round(phase(o))) > 1e-6))
+
+
+def candidate_indices(images: DataFrame, a1: str, a2: str, s0_1: str, s0_2: str, dmin: Column | float, *, margin: int = 0, operations: DataFrame | None = None) -> DataFrame:
+    """A row for each image and index within dmin that lies inside just one of the image's two Ewald spheres, and for up to `margin` indices beside those along l.
+
+    The h of an image are those whose plane meets the resolution sphere and an Ewald sphere, the k of an h those whose line along l does, both from the roots of a quadratic form;
+    the l lie between the points where that line enters, and leaves, the two spheres. Indices that `operations` (see `without_absences`) make absent never become rows.
     """
     limit = dmin if isinstance(dmin, Column) else F.lit(float(dmin))
-    inner = V.real_space(F.col(a1))
-    rows = images.withColumns({"__dmin": limit, "__h": F.ceil(V.norm(inner[0]) / limit).cast("int"), "__k": F.ceil(V.norm(inner[1]) / limit).cast("int")})
-    rows = rows.withColumn("h", F.explode(_range(-F.col("__h"), F.col("__h")))).withColumn("k", F.explode(_range(-F.col("__k"), F.col("__k"))))
-
-    def line(name: str, setting: str, beam: str | None) -> dict[str, Column]:
-        """Coefficients of the square of the distance along l: of the resolution sphere, or of an Ewald sphere."""
+    rows = images.withColumns({"__r2": 1 / (limit * limit)})
+    spheres = (("0", a1, None), ("1", a1, s0_1), ("2", a2, s0_2))
+    made = ["__r2"]
+    for n, setting, beam in spheres:
+        # the three reciprocal axes, those of h and k and the sphere's centre without their part along l, and the plane's normal
+        m, real = V.entries(F.col(setting)), V.real_space(F.col(setting))[0]
+        c = (m[2], m[5], m[8])
+        off = lambda v: V.sub(v, V.scale(c, V.dot(v, c) / V.norm2(c)))  # noqa: B023, E731
+        parts = {f"__u{n}": off((m[0], m[3], m[6])), f"__v{n}": off((m[1], m[4], m[7]))} | ({f"__w{n}": off(V.parts(F.col(beam)))} if beam else {})
+        size = V.norm(real)
+        reach = V.norm(V.parts(F.col(beam))) if beam else 1 / limit
+        middle = -V.dot(real, V.parts(F.col(beam))) if beam else F.lit(0.0)
+        rows = rows.withColumns({name: V.vector(*v) for name, v in parts.items()} | {f"__low{n}": middle - size * reach, f"__high{n}": middle + size * reach})
+        made += [*parts, f"__low{n}", f"__high{n}"]
+    low, high = F.greatest("__low0", F.least("__low1", "__low2")), F.least("__high0", F.greatest("__high1", "__high2"))
+    rows = rows.withColumn("h", F.explode(_whole(low, high, margin)))
+    h = F.col("h").cast("double")
+    for n, _, beam in spheres:
+        u, v = V.parts(F.col(f"__u{n}")), V.parts(F.col(f"__v{n}"))
+        base = V.scale(u, h) if beam is None else V.add(V.scale(u, h), V.parts(F.col(f"__w{n}")))
+        rows = _roots(rows, n, V.norm2(v), V.dot(v, base), V.norm2(base) - (F.col("__r2") if beam is None else V.norm2(V.parts(F.col(beam)))))
+    # null where the plane misses a sphere: least and greatest pass over it
+    rows = rows.where(F.col("__p0").isNotNull() & (F.col("__p1").isNotNull() | F.col("__p2").isNotNull()))
+    rows = rows.withColumn("k", F.explode(_whole(F.greatest("__p0", F.least("__p1", "__p2")), F.least("__q0", F.greatest("__q1", "__q2")), margin))).drop(*(f"__{x}{n}" for x in "pq" for n in "012"), *(c for c in made if c != "__r2"))
+    for n, setting, beam in spheres:
         m = V.entries(F.col(setting))
         step, base = (m[2], m[5], m[8]), _point(F.col(setting), F.col("h"), F.col("k"), F.lit(0))
         if beam is None:
-            return {f"__a{name}": V.norm2(step), f"__b{name}": V.dot(step, base), f"__c{name}": V.norm2(base) - 1 / (F.col("__dmin") * F.col("__dmin"))}
-        s0 = V.parts(F.col(beam))
-        return {f"__a{name}": V.norm2(step), f"__b{name}": V.dot(step, V.add(base, s0)), f"__c{name}": V.norm2(base) + 2 * V.dot(s0, base)}
-
-    rows = rows.withColumns(line("0", a1, None) | line("1", a1, s0_1) | line("2", a2, s0_2))
-    for n in "012":  # half the distance between the roots; null where the line misses the sphere
-        d = F.col(f"__b{n}") * F.col(f"__b{n}") - F.col(f"__a{n}") * F.col(f"__c{n}")
-        rows = rows.withColumn(f"__d{n}", F.when(d >= 0, F.sqrt(d)))
-    rows = rows.withColumns({f"__{side}{n}": (-F.col(f"__b{n}") + sign * F.col(f"__d{n}")) / F.col(f"__a{n}") for n in "012" for side, sign in (("p", -1), ("q", 1))})
-    first, last = F.ceil("__p0"), F.floor("__q0")
-    single = F.col("__p1").isNull() | F.col("__p2").isNull()
-    # a line that touches one Ewald sphere only is open between its two roots
-    rows = rows.withColumns({"__u1": F.greatest(first, F.floor(F.least("__p1", "__p2")) - 1), "__u2": F.least(last, F.ceil(F.when(single, F.coalesce("__q1", "__q2")).otherwise(F.greatest("__p1", "__p2"))) + 1), "__v1": F.greatest(first, F.floor(F.least("__q1", "__q2")) - 1), "__v2": F.least(last, F.ceil(F.greatest("__q1", "__q2")) + 1)})
+            rows = _roots(rows, n, V.norm2(step), V.dot(step, base), V.norm2(base) - F.col("__r2"))
+        else:
+            s0 = V.parts(F.col(beam))
+            rows = _roots(rows, n, V.norm2(step), V.dot(step, V.add(base, s0)), V.norm2(base) + 2 * V.dot(s0, base))
     rows = rows.where(F.col("__p0").isNotNull() & (F.col("__p1").isNotNull() | F.col("__p2").isNotNull()))
-    rows = rows.withColumn("l", F.explode(F.array_union(_range(F.col("__u1"), F.col("__u2")), _range(F.col("__v1"), F.col("__v2")))))
-    rows = rows.drop("__dmin", "__h", "__k", *(f"__{x}{n}" for x in "abcdpq" for n in "012"), "__u1", "__u2", "__v1", "__v2")
+    single = F.col("__p1").isNull() | F.col("__p2").isNull()
+    # a line that meets one sphere only is inside it from its entry to its exit
+    entry = _range(F.greatest(F.ceil(F.col("__p0") - EDGE), F.ceil(F.least("__p1", "__p2") - EDGE) - margin), F.least(F.floor(F.col("__q0") + EDGE), F.floor(F.when(single, F.coalesce("__q1", "__q2")).otherwise(F.greatest("__p1", "__p2")) + EDGE) + margin))
+    leave = _range(F.greatest(F.ceil(F.col("__p0") - EDGE), F.ceil(F.least("__q1", "__q2") - EDGE) - margin), F.least(F.floor(F.col("__q0") + EDGE), F.floor(F.greatest("__q1", "__q2") + EDGE) + margin))
+    found = F.array_union(entry, leave)
+    if operations is not None:
+        rows = rows.join(F.broadcast(operations.agg(F.collect_list(F.struct("r", "t")).alias("__ops"))), how="cross")
+        found = F.filter(found, lambda l: ~absent(F.col("h"), F.col("k"), l, F.col("__ops")))  # noqa: E741
+    rows = rows.withColumn("l", F.explode(found)).drop("__r2", "__ops", *(f"__{x}{n}" for x in "pq" for n in "012"))
     return rows.where((F.col("h") != 0) | (F.col("k") != 0) | (F.col("l") != 0))
 
 
@@ -67,11 +109,7 @@ def without_absences(rows: DataFrame, operations: DataFrame) -> DataFrame:
     A row is absent if some operation has h R = h and h . t not whole.
     """
     ops = F.broadcast(operations.agg(F.collect_list(F.struct("r", "t")).alias("__ops")))
-    h = [F.col(c) for c in HKL]
-    same = lambda o: (h[0] * o["r"][0] + h[1] * o["r"][3] + h[2] * o["r"][6] == h[0]) & (h[0] * o["r"][1] + h[1] * o["r"][4] + h[2] * o["r"][7] == h[1]) & (h[0] * o["r"][2] + h[1] * o["r"][5] + h[2] * o["r"][8] == h[2])
-    phase = lambda o: h[0] * o["t"][0] + h[1] * o["t"][1] + h[2] * o["t"][2]
-    absent = F.exists("__ops", lambda o: same(o) & (F.abs(phase(o) - F.round(phase(o))) > 1e-6))
-    return rows.join(ops, how="cross").where(~absent).drop("__ops")
+    return rows.join(ops, how="cross").where(~absent(*(F.col(c) for c in HKL), F.col("__ops"))).drop("__ops")
 
 
 def with_scan_points(images: DataFrame, points: DataFrame, static: dict[str, Column]) -> DataFrame:
@@ -166,7 +204,7 @@ def polychromatic_rays(rows: DataFrame, setting, beam, lambda_min, lambda_max, d
 def stills_indices(frames: DataFrame, setting: str, s0: str, dmin, tolerance: float) -> DataFrame:
     """Indices of a still between the shells |s0| - tolerance and |s0| + tolerance: their rays are those of `stills_rays`."""
     shells = {k: V.vector(*V.scale(F.col(s0), 1 + sign * tolerance / V.norm(F.col(s0)))) for k, sign in (("__s1", -1), ("__s2", 1))}
-    rows = candidate_indices(frames.withColumns(shells), setting, setting, "__s1", "__s2", dmin).drop("__s1", "__s2")
+    rows = candidate_indices(frames.withColumns(shells), setting, setting, "__s1", "__s2", dmin, margin=1).drop("__s1", "__s2")
     return stills_rays(rows, F.col(setting), V.parts(F.col(s0)), dmin, tolerance)
 
 
@@ -185,11 +223,11 @@ def on_detector(rays: DataFrame, panel: dict, osc_start=None, osc_width=None, im
     return rows.withColumn("z_px", image_start - 1 + (F.degrees("phi") - osc_start) / osc_width)
 
 
-def rotation_scan(datasets: DataFrame, axis, setting, dmin: float, panel: dict, *, buffer: int = 0, points: DataFrame | None = None, fixed=None) -> DataFrame:
+def rotation_scan(datasets: DataFrame, axis, setting, dmin: float, panel: dict, *, buffer: int = 0, points: DataFrame | None = None, fixed=None, operations: DataFrame | None = None) -> DataFrame:
     """Predictions of rotation scans. `datasets`: dataset, a (setting matrix at phi 0), s0, n_images, image_start, osc_start, osc_width (degrees).
 
     `points` has scan-varying a and s0 at the boundaries of images; `buffer` images are added at each end of static scans; `setting` and `fixed`
-    are the goniometer's matrices outside and inside the turn (None: the identity).
+    are the goniometer's matrices outside and inside the turn (None: the identity); indices that `operations` make absent are not predicted.
     """
     images = datasets.withColumn("image", F.explode(F.sequence(F.lit(-buffer), F.col("n_images") - 1 + buffer)))
     begin, width = F.radians(F.col("osc_start") + F.col("image") * F.col("osc_width")), F.radians("osc_width")
@@ -201,7 +239,7 @@ def rotation_scan(datasets: DataFrame, axis, setting, dmin: float, panel: dict,
     rows = written(rows.withColumns(turned).withColumns({"__begin": begin, "__width": width}))
     begin, width = F.col("__begin"), F.col("__width")
     # each step is a table of its own: in one plan the expressions of all steps would be inlined into each other
-    found = written(rotation_rays(written(candidate_indices(rows, "a1", "a2", "s0_1", "s0_2", dmin)), dmin, begin, width))
+    found = written(rotation_rays(written(candidate_indices(rows, "a1", "a2", "s0_1", "s0_2", dmin, operations=operations)), dmin, begin, width))
     found = found.withColumn("flags", F.lit(1).cast("long"))
     placed = on_detector(found, panel, F.col("osc_start"), F.col("osc_width"), 1)
     return placed.drop("a1", "a2", "s0_1", "s0_2", "a", "__begin", "__width")

@@ -507,6 +507,47 @@ _STATISTICS_SQL = f"""SELECT round(min(intensity), 5) AS min_intensity, round(ma
        round(avg(intensity / sigma) FILTER (WHERE sigma > 0), 5) AS mean_i_over_sigma FROM ({Q._NET_SQL})"""
 
 
+_SCAN_CELL, _SCAN_DMIN, _SCAN_WIDTH, _SCAN_IMAGES = (11.0, 13.0, 16.0), 2.2, 0.03, 4
+
+
+def scan_indices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rotation prediction: a supplier is a scan of a crystal with a screw axis along b; what each image meets, and how many of these enter the sphere."""
+    size, image = 1 + (F.col("s_suppkey") % 7) / 20.0, F.col("image")
+    images = Q.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("dataset"), F.explode(F.sequence(F.lit(0), F.lit(_SCAN_IMAGES - 1))).alias("image"), size.alias("size"))
+    crystal = [F.lit(0.0)] * 9
+    for k in range(3):
+        crystal[4 * k] = 1 / (F.col("size") * _SCAN_CELL[k])
+    turned = {f"a{n}": V.matrix(P.setting_at([F.lit(float(k % 4 == 0)) for k in range(9)], V.parts((0.6, 0.0, 0.8)), (image + n - 1) * _SCAN_WIDTH, [F.lit(float(k % 4 == 0)) for k in range(9)], crystal)) for n in (1, 2)}
+    rows = written(images.withColumns(turned).withColumn("s0", V.vector(*V.parts(S0))).withColumns({"s0_1": F.col("s0"), "s0_2": F.col("s0")}))
+    operations = spark.createDataFrame([([-1, 0, 0, 0, 1, 0, 0, 0, -1], [0.0, 0.5, 0.0])], "r array<int>, t array<double>")
+    rows = written(P.candidate_indices(rows, "a1", "a2", "s0_1", "s0_2", _SCAN_DMIN, operations=operations))
+    rays = P.rotation_rays(rows, _SCAN_DMIN, F.col("image") * _SCAN_WIDTH, F.lit(_SCAN_WIDTH))
+    return rays.groupBy("dataset", "image").agg(F.count(F.lit(1)).alias("n"), F.count_if("entering").alias("n_entering"), F.sum(F.col("h") * 10000 + F.col("k") * 100 + F.col("l")).alias("indices"), F.round(F.sum("phi"), 5).alias("phi"))
+
+
+def _turned_sql(n: int) -> str:
+    """The reciprocal point of h, k, l at the start (0) or end (1) of an image: Rodrigues' formula about (0.6, 0, 0.8)."""
+    angle = f"((image + {n}) * {_SCAN_WIDTH})"
+    along = "(0.6 * x + 0.8 * z)"
+    return f"""x * cos({angle}) + (-0.8 * y) * sin({angle}) + 0.6 * {along} * (1 - cos({angle})) AS x{n},
+  y * cos({angle}) + (0.8 * x - 0.6 * z) * sin({angle}) AS y{n}, z * cos({angle}) + 0.6 * y * sin({angle}) + 0.8 * {along} * (1 - cos({angle})) AS z{n}"""
+
+
+_SCAN_SQL = f"""WITH p AS (SELECT s_suppkey AS dataset, image, h, k, l, 1 + (s_suppkey % 7) / 20.0::DOUBLE AS size
+  FROM supplier, range({_SCAN_IMAGES}) a(image), range(-8, 9) b(h), range(-9, 10) c(k), range(-11, 12) d(l)
+  WHERE (h <> 0 OR k <> 0 OR l <> 0) AND NOT (h = 0 AND l = 0 AND k % 2 <> 0)),
+q AS (SELECT dataset, image, h, k, l, h / (size * {_SCAN_CELL[0]}::DOUBLE) AS x, k / (size * {_SCAN_CELL[1]}::DOUBLE) AS y, l / (size * {_SCAN_CELL[2]}::DOUBLE) AS z FROM p),
+r AS (SELECT *, {_turned_sql(0)}, {_turned_sql(1)} FROM q WHERE x * x + y * y + z * z <= 1 / ({_SCAN_DMIN}::DOUBLE * {_SCAN_DMIN}::DOUBLE)),
+f AS (SELECT *, x0 * x0 + y0 * y0 + (z0 - 1) * (z0 - 1) >= 1 AS e, x1 * x1 + y1 * y1 + (z1 - 1) * (z1 - 1) >= 1 AS o,
+  x1 - x0 AS u, y1 - y0 AS v, z1 - z0 AS w FROM r),
+g AS (SELECT *, u * u + v * v + w * w AS a, x0 * u + y0 * v + (z0 - 1) * w AS b1, x0 * x0 + y0 * y0 + z0 * z0 - 2 * z0 AS c1,
+  -(x1 * u + y1 * v + (z1 - 1) * w) AS b2, x1 * x1 + y1 * y1 + z1 * z1 - 2 * z1 AS c2 FROM f WHERE e <> o),
+t AS (SELECT *, CASE WHEN (-b1 - sqrt(b1 * b1 - a * c1)) / a BETWEEN 0 AND 1 THEN (-b1 - sqrt(b1 * b1 - a * c1)) / a ELSE (-b1 + sqrt(b1 * b1 - a * c1)) / a END AS t1,
+  CASE WHEN (-b2 - sqrt(b2 * b2 - a * c2)) / a BETWEEN 0 AND 1 THEN (-b2 - sqrt(b2 * b2 - a * c2)) / a ELSE (-b2 + sqrt(b2 * b2 - a * c2)) / a END AS t2 FROM g)
+SELECT dataset, CAST(image AS INT) AS image, count(*) AS n, count(*) FILTER (WHERE e) AS n_entering, CAST(sum(h * 10000 + k * 100 + l) AS BIGINT) AS indices,
+  round(sum(image * {_SCAN_WIDTH} + t1 / (t1 + t2) * {_SCAN_WIDTH}), 5) AS phi FROM t GROUP BY ALL"""
+
+
 def candidate_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rotation indexing from candidates to the best refined model of each dataset: orders are spots of a known lattice, and the candidates a lattice turned away and one of twice the cell."""
     model = L.Model.of(np.linalg.inv(_REAL), s0=np.array(S0), axis=np.array(AXIS), fast=np.array([1.0, 0, 0]), slow=np.array([0, -1.0, 0]), origin=np.array([-150.0, 150.0, -200.0]), centre=(150.0, 150.0))
@@ -559,5 +600,5 @@ ALL: dict[Callable[[SparkSession, str], DataFrame], str | None] = {
     kabsch_frame: _KABSCH_SQL, integration_sigmas: _SIGMAS_SQL, panel_rays: _PANEL_SQL, still_points: _STILL_SQL, bounding_boxes: _BOX_SQL, partial_reflections: _PARTIAL_SQL, still_rays: _STILL_RAYS_SQL,
     polychromatic_rays: _POLY_SQL, turned_rays: _TURNED_SQL, refinement_rows: _REFINE_SQL, still_results: _STILL_RESULTS_SQL, resolution_schedule: _SCHEDULE_SQL, spot_sigmas: _SPOT_SIGMAS_SQL, reflection_flags: _FLAGS_SQL,
     frame_lines: _LINES_SQL, text_lines: _TEXT_SQL, table_differences: _DIFFERENCES_SQL, geometry_conflicts: _CONFLICTS_SQL, unit_cells: _CELLS_SQL, scan_models: _MODELS_SQL, best_candidates: _BEST_SQL, noisy_cells: _NOISE_SQL,
-    grid_voids: _VOIDS_SQL, integrated_reflections: _INTEGRATED_SQL, intensity_statistics: _STATISTICS_SQL, still_ids: _IDS_SQL, candidate_models: _CANDIDATES_SQL,
+    grid_voids: _VOIDS_SQL, integrated_reflections: _INTEGRATED_SQL, intensity_statistics: _STATISTICS_SQL, still_ids: _IDS_SQL, candidate_models: _CANDIDATES_SQL, scan_indices: _SCAN_SQL,
 }

@@ -37,6 +37,31 @@ def test_rotation_scan(spark, varying, n, places):
         assert (row["x_px"], row["y_px"], row["z_px"]) == pytest.approx((x, y, z), abs=1e-2)
 
 
+def test_indices_are_those_of_a_brute_search(spark):
+    """All indices of a cube, tried one by one: within dmin, and inside one Ewald sphere only."""
+    rng = np.random.default_rng(2)
+    rows, want = [], set()
+    for n in range(6):
+        a = np.linalg.inv(rng.normal(size=(3, 3)) * 3 + np.diag([14.0, 17.0, 21.0]))
+        turn = 0.06 * rng.normal(size=3)
+        b = (np.eye(3) + np.array([[0, -turn[2], turn[1]], [turn[2], 0, -turn[0]], [-turn[1], turn[0], 0]])) @ a
+        s = [np.array([0.02 * n, -0.03, -1 / (1 + 0.1 * n)]) * f for f in (1, 1 + 1e-3 * (n % 2))]
+        rows.append((n, a.ravel().tolist(), b.ravel().tolist(), *(dict(zip("xyz", map(float, v))) for v in s)))
+        h = np.stack(np.meshgrid(*[np.arange(-16, 17)] * 3, indexing="ij"), -1).reshape(-1, 3)
+        r1, r2 = h @ a.T, h @ b.T
+        inside = [((r + v) ** 2).sum(1) < (v * v).sum() for r, v in ((r1, s[0]), (r2, s[1]))]
+        hit = (inside[0] != inside[1]) & ((r1 * r1).sum(1) <= 1 / 1.7**2) & h.any(1)
+        want |= {(n, *map(int, x)) for x in h[hit]}
+    frame = spark.createDataFrame(rows, "n int, a1 array<double>, a2 array<double>, b1 struct<x: double, y: double, z: double>, b2 struct<x: double, y: double, z: double>")
+    got = P.candidate_indices(frame, "a1", "a2", "b1", "b2", 1.7)
+    found = {(r["n"], r["h"], r["k"], r["l"]) for r in got.select("n", "h", "k", "l").collect()}
+    assert len(want) > 300 and want <= found and len(found) < 1.1 * len(want)
+    ops = spark.createDataFrame([([1, 0, 0, 0, 1, 0, 0, 0, 1], [0.0, 0.0, 0.0]), ([1, 0, 0, 0, 1, 0, 0, 0, 1], [0.5, 0.5, 0.0]), ([-1, 0, 0, 0, 1, 0, 0, 0, -1], [0.0, 0.5, 0.0])], "r array<int>, t array<double>")
+    absent = lambda h, k, l: (h + k) % 2 or (h == l == 0 and k % 2)  # noqa: E731, E741
+    left = P.candidate_indices(frame, "a1", "a2", "b1", "b2", 1.7, operations=ops)
+    assert {(r["n"], r["h"], r["k"], r["l"]) for r in left.collect()} == {x for x in found if not absent(*x[1:])} == {(r["n"], r["h"], r["k"], r["l"]) for r in P.without_absences(got, ops).collect()}
+
+
 def test_assignment(spark):
     a = [-0.0134, -0.0227, -0.0009, -0.0053, 0.0030, -0.0140, 0.0203, -0.0098, -0.0036]
     points = [(-0.20806554291174043, -0.20006695964877577, 0.46900930253991086, 2.325651228282444), (-0.20711023322729, -0.1844213770514764, 0.47299170443928473, 2.360557813322331), (-0.24784778679168532, -0.10882416182889978, 0.47089025552307, 2.5612706773016787), (-0.20693750699327926, -0.1837374215284657, 0.4732856446956432, 4.620759194654988), (-0.24768402495471797, -0.11030902243741092, 0.4706897967841226, 4.751658888554562), (-0.565, 0.15, 0.027, 0.013)]
