@@ -161,10 +161,13 @@ def voids(cells: DataFrame, n: int) -> DataFrame:
     Centres of mass hold modulo 1: coordinates are unwrapped about the void's first cell, to the nearest image.
     """
     cube = n * n * n
-    here = cells.select("dataset", "cell", (F.col("dataset") * cube + F.col("cell")).alias("a"))
+    # a number for each dataset, a row each
+    number = cells.select("dataset").distinct().withColumn("__set", F.row_number().over(Window.orderBy(F.col("dataset").asc_nulls_first())).cast("long") - 1)
+    joined = cells.alias("c").join(number.alias("s"), F.col("c.dataset").eqNullSafe(F.col("s.dataset")))
+    here = written(joined.select("c.dataset", "cell", "__set", (F.col("__set") * cube + F.col("cell")).alias("a")))
     x, y, z = F.col("cell") % n, F.floor(F.col("cell") / n) % n, F.floor(F.col("cell") / (n * n))
     ahead = F.array((x + 1) % n + n * y + n * n * z, x + n * ((y + 1) % n) + n * n * z, x + n * y + n * n * ((z + 1) % n))
-    links = here.select("a", "dataset", F.explode(ahead).alias("to")).select("a", (F.col("dataset") * cube + F.col("to")).alias("b")).join(here.select(F.col("a").alias("b")), "b").select("a", "b")
+    links = here.select("a", "__set", F.explode(ahead).alias("to")).select("a", (F.col("__set") * cube + F.col("to")).alias("b")).join(here.select(F.col("a").alias("b")), "b").select("a", "b")
     found = components(links)
     rows = here.join(found.withColumnRenamed("node", "a"), "a", "left").withColumn("void", F.coalesce("component", "a") % cube)
     near = lambda c, first: (c - first) - n * F.round((c - first) / n)

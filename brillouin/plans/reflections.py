@@ -16,6 +16,7 @@ from ..functions import vec as V
 from ..functions.lattice import reindexings
 from ..operators import indexing as I
 from ..operators import integrate as N
+from ..operators import matching as M
 from ..operators import predict as P
 from ..operators import refine as L
 from ..operators import rotation as T
@@ -148,9 +149,9 @@ _BOX = {"delta_b": 0.02, "delta_m": 0.01, "start": 1, "end": 40, "width": 0.5}
 
 
 def bounding_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pixels and images that reflections reach, of those that the panel meets, and the images of the scan that there are."""
+    """Pixels and images that reflections reach, and the images of the scan that there are."""
     b = _BOX
-    rows = G.with_bounding_box(_rows(spark, sf_dir).where(F.col("s1.z") < -0.5), F.col("s1"), F.col("phi_c"), S0, AXIS, b["delta_b"], b["delta_m"], **PANEL, px=(PX, PX), image_start=b["start"], image_end=b["end"], osc_start=-10.0, osc_width=b["width"])
+    rows = G.with_bounding_box(_rows(spark, sf_dir), F.col("s1"), F.col("phi_c"), S0, AXIS, b["delta_b"], b["delta_m"], **PANEL, px=(PX, PX), image_start=b["start"], image_end=b["end"], osc_start=-10.0, osc_width=b["width"])
     first, last = G.clamped_images(F.lit(b["start"]), F.lit(b["end"]), F.lit(30))
     return rows.select("vec_id", *G.BOX, (F.col("z_min").between(first, last) & (F.col("z_max") - 1).between(first, last)).alias("on_images"))
 
@@ -163,7 +164,7 @@ def _corner_sql(p: int, q: int, n: int, delta: float = _BOX["delta_b"], at: tupl
 
 
 _BOX_SQL = f"""WITH {_ROWS}, {_FRAME},
-c AS (SELECT vec_id, zeta, phi_c, {", ".join(_corner_sql(p, q, n) for n, (p, q) in enumerate(((1, 1), (1, -1), (-1, 1), (-1, -1))))} FROM f4 WHERE sz < -0.5),
+c AS (SELECT vec_id, zeta, phi_c, {", ".join(_corner_sql(p, q, n) for n, (p, q) in enumerate(((1, 1), (1, -1), (-1, 1), (-1, -1))))} FROM f4),
 z AS (SELECT *, (degrees(phi_c + {_BOX['delta_m']} / zeta) + 10.0) / {_BOX['width']} AS za, (degrees(phi_c - {_BOX['delta_m']} / zeta) + 10.0) / {_BOX['width']} AS zb FROM c),
 i AS (SELECT vec_id, CAST(floor(least(x0, x1, x2, x3)) AS INT) AS x_min, CAST(ceil(greatest(x0, x1, x2, x3)) AS INT) AS x_max, CAST(floor(least(y0, y1, y2, y3)) AS INT) AS y_min, CAST(ceil(greatest(y0, y1, y2, y3)) AS INT) AS y_max,
              CAST(CASE WHEN abs(zeta) > 1e-10 THEN greatest(least(floor(least(za, zb)), {_BOX['end'] - 1}), {_BOX['start'] - 1}) ELSE {_BOX['start']} END AS INT) AS z_min,
@@ -455,7 +456,7 @@ _CORNER = (0.55, 0.62)
 def integrated_reflections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intensities of predicted reflections: boxes, foreground ellipsoids, Tukey backgrounds, partiality, LP."""
     geometry = {**PANEL, "origin": (-_CORNER[0], _CORNER[1], -2.0), **_SCAN, "px": (PX, PX), "wavelength": 1.0, "s0": S0, "axis": AXIS, "polarization_normal": (0.0, 1.0, 0.0), "polarization_fraction": 0.999}
-    rows = _rows(spark, sf_dir).where("s1.z < -0.5").select(F.col("vec_id").alias("refl_id"), (F.col("vec_id") % 10).cast("int").alias("dataset"), "s1", F.radians((F.col("vec_id") % 9 + 0.4) * 0.5).alias("phi"))
+    rows = _rows(spark, sf_dir).select(F.col("vec_id").alias("refl_id"), (F.col("vec_id") % 10).cast("int").alias("dataset"), "s1", F.radians((F.col("vec_id") % 9 + 0.4) * 0.5).alias("phi"))
     out = N.integrate(rows, Q.dense(spark, sf_dir), geometry, sigma_b=_SIGMA_B, sigma_m=_SIGMA_M)
     return out.select("refl_id", "fg_sum", "n_fg", "n_bg", *(F.round(c, 7).alias(c) for c in ("mean", "intensity", "variance", "partiality", "lp", "x_obs", "y_obs", "z_obs")))
 
@@ -470,7 +471,7 @@ def _pixel_sql(dx: int, dy: int) -> str:
 
 
 _INTEGRATED_SQL = f"""WITH {_ROWS}, {_FRAME}, {{pixels}},
-g0 AS (SELECT vec_id AS refl_id, CAST(vec_id % 10 AS INT) AS dataset, radians((vec_id % 9 + 0.4::DOUBLE) * 0.5) AS phi, zeta, sx, sy, sz, ux, uy, uz, vx, vy, vz, {", ".join(_corner_sql(p, q, n, 3 * _SIGMA_B, _CORNER) for n, (p, q) in enumerate(((1, 1), (1, -1), (-1, 1), (-1, -1))))} FROM f4 WHERE sz < -0.5 AND abs(zeta) >= 0.05),
+g0 AS (SELECT vec_id AS refl_id, CAST(vec_id % 10 AS INT) AS dataset, radians((vec_id % 9 + 0.4::DOUBLE) * 0.5) AS phi, zeta, sx, sy, sz, ux, uy, uz, vx, vy, vz, {", ".join(_corner_sql(p, q, n, 3 * _SIGMA_B, _CORNER) for n, (p, q) in enumerate(((1, 1), (1, -1), (-1, 1), (-1, -1))))} FROM f4 WHERE abs(zeta) >= 0.05),
 g1 AS (SELECT *, degrees(phi + {3 * _SIGMA_M} / zeta) / 0.5 AS za, degrees(phi - {3 * _SIGMA_M} / zeta) / 0.5 AS zb FROM g0),
 g2 AS (SELECT *, CAST(floor(least(x0, x1, x2, x3)) AS INT) AS x_min, CAST(ceil(greatest(x0, x1, x2, x3)) AS INT) AS x_max, CAST(floor(least(y0, y1, y2, y3)) AS INT) AS y_min, CAST(ceil(greatest(y0, y1, y2, y3)) AS INT) AS y_max,
               CAST(greatest(least(floor(least(za, zb)), 9), 0) AS INT) AS z_min, CAST(greatest(least(ceil(greatest(za, zb)), 10), 1) AS INT) AS z_max FROM g1),
@@ -548,6 +549,21 @@ SELECT dataset, CAST(image AS INT) AS image, count(*) AS n, count(*) FILTER (WHE
   round(sum(image * {_SCAN_WIDTH} + t1 / (t1 + t2) * {_SCAN_WIDTH}), 5) AS phi FROM t GROUP BY ALL"""
 
 
+def matched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rays of one table matched one to one with those of another in which they are a little off, within equal labels."""
+    rows = _rows(spark, sf_dir).select("vec_id", "label", "s1")
+    off = F.lit(1e-4) * (F.col("vec_id") % 3 - 1)
+    moved = rows.select((F.col("vec_id") * 7 + 1).alias("row"), "label", V.vector(F.col("s1.x") + off, F.col("s1.y") - off, F.col("s1.z")).alias("s1"))
+    found = M.matched_within(rows, moved, ["label"], "s1", 2e-4, ids=("vec_id", "row"))
+    return found.select("vec_id", "row", F.round("distance", 7).alias("distance"))
+
+
+_MATCHED_SQL = f"""WITH {_ROWS},
+t AS (SELECT vec_id * 7 + 1 AS row, label, sx + 1e-4::DOUBLE * (vec_id % 3 - 1) AS x, sy - 1e-4::DOUBLE * (vec_id % 3 - 1) AS y, sz AS z FROM r),
+d AS (SELECT r.vec_id, t.row, sqrt((sx - x) * (sx - x) + (sy - y) * (sy - y) + (sz - z) * (sz - z)) AS distance FROM r JOIN t ON r.label = t.label)
+SELECT vec_id, row, round(distance, 7) AS distance FROM d WHERE distance <= 2e-4 QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY distance, row) = 1"""
+
+
 def candidate_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rotation indexing from candidates to the best refined model of each dataset: orders are spots of a known lattice, and the candidates a lattice turned away and one of twice the cell."""
     model = L.Model.of(np.linalg.inv(_REAL), s0=np.array(S0), axis=np.array(AXIS), fast=np.array([1.0, 0, 0]), slow=np.array([0, -1.0, 0]), origin=np.array([-150.0, 150.0, -200.0]), centre=(150.0, 150.0))
@@ -579,8 +595,8 @@ FROM r WHERE (x * x + y * y + z * z) / 2 <= sqrt(y * y + z * z) AND x * x + y *
 def still_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers of the frames that a data set holds, joined back to their old ones and names."""
     spots = S.boxes_2d(S.labelled(S.with_slices(Q._strong(spark, sf_dir)), across_frames=False), 3)
-    frames = Q.seen_pixels(spark, sf_dir).select("dataset", "frame").distinct().where("frame % 3 <> 0")
-    ids = S.still_centroids(spots.where("frame % 3 <> 0"), frames)
+    frames = Q.seen_pixels(spark, sf_dir).select("dataset", "frame").distinct()
+    ids = S.still_centroids(spots, frames)
     names = frames.select("dataset", "frame", F.concat(F.lit("img_"), F.col("frame").cast("string")).alias("identifier"))
     return R.mapped_ids(ids, names).groupBy("dataset", "id", "frame", "identifier").agg(F.count(F.lit(1)).alias("n"))
 
@@ -588,7 +604,7 @@ def still_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 _IDS_SQL = f"""WITH RECURSIVE {Q._strong_sql(3.0)},
 {Q._reach_sql(False)},
 b AS (SELECT dataset, frame, spot FROM s GROUP BY dataset, frame, spot HAVING count(*) >= 3),
-f AS (SELECT dataset, frame, dense_rank() OVER (PARTITION BY dataset ORDER BY frame) - 1 AS id FROM (SELECT DISTINCT dataset, frame FROM seen WHERE frame % 3 <> 0))
+f AS (SELECT dataset, frame, dense_rank() OVER (PARTITION BY dataset ORDER BY frame) - 1 AS id FROM (SELECT DISTINCT dataset, frame FROM seen))
 SELECT dataset, CAST(id AS INT) AS id, frame, 'img_' || frame AS identifier, count(*) AS n FROM b JOIN f USING (dataset, frame) GROUP BY ALL"""
 
 ABSENCE_SQL = f"""WITH p(pattern, u, v, w, m) AS (VALUES {", ".join(str((n, *map(int, v), int(m))) for n, (v, m, _) in enumerate(reindexings()))}),
@@ -600,5 +616,5 @@ ALL: dict[Callable[[SparkSession, str], DataFrame], str | None] = {
     kabsch_frame: _KABSCH_SQL, integration_sigmas: _SIGMAS_SQL, panel_rays: _PANEL_SQL, still_points: _STILL_SQL, bounding_boxes: _BOX_SQL, partial_reflections: _PARTIAL_SQL, still_rays: _STILL_RAYS_SQL,
     polychromatic_rays: _POLY_SQL, turned_rays: _TURNED_SQL, refinement_rows: _REFINE_SQL, still_results: _STILL_RESULTS_SQL, resolution_schedule: _SCHEDULE_SQL, spot_sigmas: _SPOT_SIGMAS_SQL, reflection_flags: _FLAGS_SQL,
     frame_lines: _LINES_SQL, text_lines: _TEXT_SQL, table_differences: _DIFFERENCES_SQL, geometry_conflicts: _CONFLICTS_SQL, unit_cells: _CELLS_SQL, scan_models: _MODELS_SQL, best_candidates: _BEST_SQL, noisy_cells: _NOISE_SQL,
-    grid_voids: _VOIDS_SQL, integrated_reflections: _INTEGRATED_SQL, intensity_statistics: _STATISTICS_SQL, still_ids: _IDS_SQL, candidate_models: _CANDIDATES_SQL, scan_indices: _SCAN_SQL,
+    grid_voids: _VOIDS_SQL, integrated_reflections: _INTEGRATED_SQL, intensity_statistics: _STATISTICS_SQL, still_ids: _IDS_SQL, candidate_models: _CANDIDATES_SQL, scan_indices: _SCAN_SQL, matched_rows: _MATCHED_SQL,
 }

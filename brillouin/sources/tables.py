@@ -14,6 +14,12 @@ INTEGRATED = ("dataset", "id", "h", "k", "l", "intensity", "variance", "partiali
 #: Bits of `flags`.
 FLAG = {"predicted": 1 << 0, "indexed": 1 << 2, "used_in_refinement": 1 << 3, "strong": 1 << 5, "integrated_sum": 1 << 8, "overloaded": 1 << 10, "centroid_outlier": 1 << 17}
 _VEC = "array<double>"
+_XYZ = "struct<x: double, y: double, z: double>"
+#: Columns of reflection tables.
+REFLECTION_TYPES = {
+    **dict.fromkeys(("id", "h", "k", "l", "image", "num_pixels_background", "num_pixels_foreground"), "int"), **dict.fromkeys(("flags", "panel"), "long"), "entering": "boolean", "miller_index": "struct<h: int, k: int, l: int>",
+    **dict.fromkeys(("xyzobs_px", "xyzobs_mm", "xyzcal_px", "xyzcal_mm", "rlp", "s1"), _XYZ), **dict.fromkeys(("intensity_sum_value", "intensity_sum_variance", "partiality", "lp", "d", "background_sum_value", "background_mean", "delpsi"), "double"),
+}
 EXPERIMENT = f"""experiment array<struct<identifier string, beam int, detector int, goniometer int, scan int, crystal int>>,
   beam array<struct<direction {_VEC}, wavelength double, polarization_normal {_VEC}, polarization_fraction double>>,
   detector array<struct<panels array<struct<fast_axis {_VEC}, slow_axis {_VEC}, origin {_VEC}, pixel_size {_VEC}, image_size array<int>, trusted_range {_VEC}, thickness double, mu double>>, hierarchy struct<origin {_VEC}>>>,
@@ -45,9 +51,16 @@ def scan_points(experiments: DataFrame) -> DataFrame:
 
 
 def read_reflections(spark: SparkSession, path: str, *wanted: str) -> DataFrame:
-    """A reflection table; wanted columns that it lacks come as nulls."""
+    """A reflection table; wanted columns that it lacks come as nulls of their type: that of REFLECTION_TYPES, or the one given as in "score double"."""
     rows = spark.read.parquet(path)
-    return rows.withColumns({c: F.lit(None) for c in wanted if c not in rows.columns})
+    missing = {}
+    for column in wanted:
+        name, _, kind = column.partition(" ")
+        if name not in rows.columns:
+            if not (kind or name in REFLECTION_TYPES):
+                raise ValueError(f"give the type of {name}, as in '{name} double'")
+            missing[name] = F.lit(None).cast(kind or REFLECTION_TYPES[name])
+    return rows.withColumns(missing)
 
 
 def write_reflections(rows: DataFrame, path: str, columns: tuple[str, ...], mode: str = "errorifexists") -> None:
@@ -56,7 +69,10 @@ def write_reflections(rows: DataFrame, path: str, columns: tuple[str, ...], mode
 
 
 def with_stills_ids(rows: DataFrame) -> DataFrame:
-    return rows.withColumn("id", F.dense_rank().over(Window.partitionBy("dataset").orderBy("frame")) - 1)
+    """Adds id, the number of a row's frame among those of its dataset. Frames are ranked, not rows."""
+    frames = rows.select(F.col("dataset").alias("__dataset"), F.col("frame").alias("__frame")).distinct()
+    frames = frames.withColumn("id", F.row_number().over(Window.partitionBy("__dataset").orderBy("__frame")) - 1)
+    return rows.join(frames, F.col("dataset").eqNullSafe(F.col("__dataset")) & F.col("frame").eqNullSafe(F.col("__frame"))).drop("__dataset", "__frame")
 
 
 def mapped_ids(rows: DataFrame, names: DataFrame) -> DataFrame:
@@ -116,13 +132,6 @@ def first_mismatch(left: DataFrame, right: DataFrame, key: list[str], value: str
     return rows.agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*key, "left", "right")).alias("first"))
 
 
-def matched_reflections(left: DataFrame, right: DataFrame, key: list[str], order: str) -> DataFrame:
-    """Pairs rows of the same Miller index by their rank in `order`."""
-    n = lambda d: d.withColumn("__n", F.row_number().over(Window.partitionBy(*key).orderBy(order)))
-    others = [c for c in right.columns if c not in key]
-    return n(left).join(n(right.withColumnsRenamed({c: f"{c}_right" for c in others})) if order not in others else n(right).withColumnsRenamed({c: f"{c}_right" for c in others}), [*key, "__n"]).drop("__n")
-
-
 def inconsistent_metadata(given: DataFrame, stored: DataFrame) -> DataFrame:
     """Geometry given that is not that of the file: beam centre by 0.1 pixels, pixel size by 1e-9, distance by 1e-7."""
     limits = {"beam_x": 0.1, "beam_y": 0.1, "px_x": 1e-9, "px_y": 1e-9, "distance": 1e-7}
