@@ -253,13 +253,17 @@ def test_sql_of_queries(spark, tmp_path, name):
     frame = spark.createDataFrame(rows, SCHEMA).select("doc_id", "text", "lang", "source", "n_chars")
     frame.write.parquet(str(tmp_path / "documents.parquet"))
     rng = np.random.default_rng(8)
-    base = rng.normal(size=(30, 16))
-    vectors = [(k, v.tolist()) for k, v in enumerate(np.concatenate([base, base + 0.15 * rng.normal(size=base.shape), base[:5]]).astype("f4"))]
-    vectors += [(900, None), (901, [0.0] * 16), (902, [float("nan")] * 16), (903, [None] + [1.0] * 15)]
-    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    base = rng.normal(size=(30, 64))
+    vectors = [(k, v.tolist(), k % 3 or None) for k, v in enumerate(np.concatenate([base, base + 0.15 * rng.normal(size=base.shape), base[:5]]).astype("f4"))]
+    vectors += [(900, None, 1), (901, [0.0] * 64, 2), (902, [float("nan")] * 64, 1), (903, [None] + [1.0] * 63, 1)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    hosts = ["a.example.org", "B.example.com", "c.net", "d.c.net", "e.com:80", "lone"]
+    pages = [(k, f"http://{h}/{part}{k}?q#f", "".join(f'<p><a href="http://{hosts[(k * m) % 6]}/x">t</a></p>' for m in (1, 2, 3))) for k, (h, part) in enumerate((h, part) for h in hosts for part in ("es/", "en/1", "fr/", "de/", ""))]
+    pages += [(900, None, "<a href='http://c.net'>"), (901, "no url", None), (902, "x://c.net", ""), (None, "http://lone/", None), (3, pages[3][1], pages[3][2])]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
     got = queries()[name](spark, str(tmp_path))
     with duckdb.connect() as c:
-        for table in ("documents", "embeddings"):
+        for table in ("documents", "embeddings", "pages"):
             c.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tmp_path}/{table}.parquet/*.parquet'")
         cursor = c.execute(oracle_sql()[name])
         names = [d[0] for d in cursor.description]
