@@ -6,8 +6,10 @@ Functions without state take streams and tables alike, so a batch run gives what
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from io import StringIO
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -58,42 +60,40 @@ def message_gaps(messages: DataFrame, key: str, index: str, order: list[str]) ->
     return rows.where(F.col(index) != F.col("expected"))
 
 
-def in_order(requests: DataFrame, wait_ms: int = 5000) -> DataFrame:
+def in_order(requests: DataFrame, wait_ms: int = 5000, keep_ms: int = 3_600_000) -> DataFrame:
     """Requests of each dcgid in message order: one that comes early waits up to `wait_ms` for those before it, then goes anyway.
 
-    A stream only. State is the next index and the rows that wait; rows that come late go at once.
+    A stream only. State is the next index and each row that waits, as a text of its own that is read when it goes; rows that come late go at once. The state of a
+    dcgid from which nothing has come for `keep_ms` is removed, so state does not grow with the collections ever seen; a message after that is counted from 0 again.
     """
     schema = requests.schema
     names = schema.names
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        wanted, held = state.get if state.exists else (0, "[]")
-        rows = pd.read_json(_text(held), dtype=False) if held != "[]" else pd.DataFrame(columns=names)
+        wanted, places, texts = state.get if state.exists else (0, [], [])
+        held = sorted(zip(places, texts, strict=True), key=lambda x: x[0])
         if state.hasTimedOut:
-            out = rows.sort_values("message_index")
-            wanted = max(wanted, int(out["message_index"].max()) + 1) if len(out) else wanted
-            rows = rows.iloc[:0]
+            if not held:
+                state.remove()
+                return
+            ready, held = held, []
+            wanted = max(wanted, ready[-1][0] + 1)
         else:
-            rows = pd.concat([rows, *batches]).sort_values("message_index", kind="stable")
-            ready = []
-            for at in rows["message_index"]:
-                ready.append(at <= wanted)
-                if at == wanted:
-                    wanted += 1
-            out, rows = rows[ready], rows[[not r for r in ready]]
-        state.update((int(wanted), rows.to_json(orient="records", date_format="iso", date_unit="us") if len(rows) else "[]"))
-        if len(rows):
-            state.setTimeoutDuration(wait_ms)
-        if len(out):
-            yield _typed(out[names], schema)
-
-    return requests.groupBy("dcgid").applyInPandasWithState(step, schema, "wanted int, held string", "append", GroupStateTimeout.ProcessingTimeTimeout)
-
-
-def _text(json_rows: str):
-    from io import StringIO
-
-    return StringIO(json_rows)
+            for rows in batches:
+                lines = rows[names].to_json(orient="records", lines=True, date_format="iso", date_unit="us").splitlines()
+                held += zip(map(int, rows["message_index"]), lines, strict=True)
+            held.sort(key=lambda x: x[0])
+            n = 0
+            while n < len(held) and held[n][0] <= wanted:
+                wanted += held[n][0] == wanted
+                n += 1
+            ready, held = held[:n], held[n:]
+        state.update((int(wanted), [p for p, _ in held], [t for _, t in held]))
+        state.setTimeoutDuration(wait_ms if held else keep_ms)
+        if ready:
+            yield _typed(pd.read_json(StringIO("\n".join(t for _, t in ready)), dtype=False, lines=True)[names], schema)
+
+    return requests.groupBy("dcgid").applyInPandasWithState(step, schema, "wanted int, places array<int>, texts array<string>", "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def _typed(rows: pd.DataFrame, schema) -> pd.DataFrame:
@@ -112,29 +112,29 @@ def _typed(rows: pd.DataFrame, schema) -> pd.DataFrame:
 def completeness(frames: DataFrame, idle_ms: int = 30000) -> DataFrame:
     """(dataset, seen, expected, status): complete once all expected frames are seen, incomplete after an idle time. A stream only.
 
-    `frames`: dataset, frame, n_images. Frames that come twice count once.
+    `frames`: dataset, frame, n_images. Frames that come twice count once. A complete dataset is remembered for `idle_ms` more: frames that it had change nothing,
+    new ones reopen it, and it is complete again as soon as the frames it then expects are there.
     """
     kind = frames.schema["dataset"].dataType.simpleString()
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen, expected = state.get if state.exists else ([], 0)
+        seen, expected, told = state.get if state.exists else ([], 0, 0)
         if state.hasTimedOut:
             state.remove()
-            yield pd.DataFrame({"dataset": [key[0]], "seen": [len(seen)], "expected": [expected], "status": ["incomplete"]})
+            if told < len(seen):
+                yield pd.DataFrame({"dataset": [key[0]], "seen": [len(seen)], "expected": [expected], "status": ["incomplete"]})
             return
         had = set(seen)
         for rows in batches:
             had.update(int(x) for x in rows["frame"])
-            expected = int(rows["n_images"].max())
-        if len(had) >= expected:
-            if state.exists:
-                state.remove()
+            expected = max(expected, int(rows["n_images"].max()))
+        if expected <= len(had) != told:
+            told = len(had)
             yield pd.DataFrame({"dataset": [key[0]], "seen": [len(had)], "expected": [expected], "status": ["complete"]})
-        else:
-            state.update((sorted(had), expected))
-            state.setTimeoutDuration(idle_ms)
+        state.update((sorted(had), expected, told))
+        state.setTimeoutDuration(idle_ms)
 
-    return frames.groupBy("dataset").applyInPandasWithState(step, f"dataset {kind}, seen long, expected long, status string", "seen array<int>, expected int", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return frames.groupBy("dataset").applyInPandasWithState(step, f"dataset {kind}, seen long, expected long, status string", "seen array<int>, expected int, told int", "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def paired(results: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -175,18 +175,34 @@ def rates(events: DataFrame, time: str, key: list[str], value: str, width: str =
     return out.select(F.col("w.start").alias("start"), *key, "n", "total")
 
 
-def on_complete(status: DataFrame, finalise: Callable[[SparkSession, list], None], checkpoint: str) -> StreamingQuery:
-    """Calls `finalise` with the datasets that have become complete; the caller then runs the batch job for them.
+def finalised(rows: DataFrame, batch: int, finalise: Callable[[SparkSession, list, int], None], ledger: str) -> list:
+    """Finalises the complete datasets of a micro-batch that the ledger does not hold for it yet, and enters them; returns their names.
 
-    Datasets arrive a few at a time; their names are all that reaches the driver.
+    A batch that comes again after a failure finds its entries and does nothing. Where the failure came between the work and the entry, `finalise` is called
+    again with the same batch number: it writes under that number, in place of what it wrote before, so the effect is that of one call.
     """
-
-    def batch(rows: DataFrame, _: int) -> None:
-        names = [r[0] for r in rows.where("status = 'complete'").select("dataset").collect()]
-        if names:
-            finalise(rows.sparkSession, names)
-
-    return status.writeStream.outputMode("append").foreachBatch(batch).option("checkpointLocation", checkpoint).start()
+    spark = rows.sparkSession
+    entries = f"{ledger.rstrip('/')}/batch={batch}"
+    names = sorted({r[0] for r in rows.where("status = 'complete'").select("dataset").collect()}, key=str)  # a few at a time
+    try:
+        known = {r[0] for r in spark.read.schema(f"dataset {rows.schema['dataset'].dataType.simpleString()}").parquet(entries).collect()}
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        known = set()
+    due = [n for n in names if n not in known]
+    if due:
+        finalise(spark, due, batch)
+        spark.createDataFrame([(n,) for n in names], rows.select("dataset").schema).coalesce(1).write.mode("overwrite").parquet(entries)
+    return due
+
+
+def on_complete(status: DataFrame, finalise: Callable[[SparkSession, list, int], None], checkpoint: str, ledger: str) -> StreamingQuery:
+    """Calls `finalise` with the datasets that have become complete and the number of the batch, each once (see `finalised`); the caller then runs the batch job for them.
+
+    Datasets arrive a few at a time; their names are all that reaches the driver. `checkpoint` and `ledger` are folders that outlive the query.
+    """
+    return status.writeStream.outputMode("append").foreachBatch(lambda rows, batch: finalised(rows, batch, finalise, ledger) and None).option("checkpointLocation", checkpoint).start()
 
 
 def per_batch(rows: DataFrame, work: Callable[[DataFrame], DataFrame], path: str, checkpoint: str) -> StreamingQuery:
