@@ -113,15 +113,17 @@ def without_absences(rows: DataFrame, operations: DataFrame) -> DataFrame:
 
 
 def with_scan_points(images: DataFrame, points: DataFrame, static: dict[str, Column]) -> DataFrame:
-    """Adds a1, a2, s0_1, s0_2: the models at an image's start and end; the static ones where a dataset has none for both.
+    """Adds the models at an image's start and end, such as a1, a2, s0_1, s0_2: for each model the static one where a dataset has none for both.
 
-    `points`: dataset, pt, a, s0 (per boundary of images).
+    `points`: dataset, pt and a model for each boundary of images, in columns a, s0 or setting. `static` names the columns to add.
     """
     w = Window.partitionBy("dataset").orderBy("pt")
-    pair = points.select("dataset", F.col("pt").alias("image"), F.col("a").alias("a1"), F.lead("a").over(w).alias("a2"), F.col("s0").alias("s0_1"), F.lead("s0").over(w).alias("s0_2"))
-    rows = images.join(pair, ["dataset", "image"], "left")
-    whole = F.col("a1").isNotNull() & F.col("a2").isNotNull()
-    return rows.withColumns({c: F.when(whole, F.col(c)).otherwise(static[c]) for c in ("a1", "a2", "s0_1", "s0_2")})
+    at = lambda model, side: f"{model}{side}" if model == "a" else f"{model}_{side}"
+    models = [m for m in ("a", "s0", "setting") if m in points.columns and at(m, 1) in static]
+    ends = [c for m in models for c in (F.col(m).alias(at(m, 1)), F.lead(m).over(w).alias(at(m, 2)))]
+    rows = images.join(points.select("dataset", F.col("pt").alias("image"), *ends), ["dataset", "image"], "left")
+    varying = {at(m, k): F.when(F.col(at(m, 1)).isNotNull() & F.col(at(m, 2)).isNotNull(), F.col(at(m, k))).otherwise(static[at(m, k)]) for m in models for k in (1, 2)}
+    return rows.withColumns({c: varying.get(c, x) for c, x in static.items()})
 
 
 def usable_scan_points(points: DataFrame, datasets: DataFrame) -> DataFrame:
@@ -226,17 +228,18 @@ def on_detector(rays: DataFrame, panel: dict, osc_start=None, osc_width=None, im
 def rotation_scan(datasets: DataFrame, axis, setting, dmin: float, panel: dict, *, buffer: int = 0, points: DataFrame | None = None, fixed=None, operations: DataFrame | None = None) -> DataFrame:
     """Predictions of rotation scans. `datasets`: dataset, a (setting matrix at phi 0), s0, n_images, image_start, osc_start, osc_width (degrees).
 
-    `points` has scan-varying a and s0 at the boundaries of images; `buffer` images are added at each end of static scans; `setting` and `fixed`
+    `points` has scan-varying a, s0 and setting at the boundaries of images; `buffer` images are added at each end of static scans; `setting` and `fixed`
     are the goniometer's matrices outside and inside the turn (None: the identity); indices that `operations` make absent are not predicted.
     """
     images = datasets.withColumn("image", F.explode(F.sequence(F.lit(-buffer), F.col("n_images") - 1 + buffer)))
     begin, width = F.radians(F.col("osc_start") + F.col("image") * F.col("osc_width")), F.radians("osc_width")
     identity = [F.lit(float(k % 4 == 0)) for k in range(9)]
-    static = {"a1": F.col("a"), "a2": F.col("a"), "s0_1": F.col("s0"), "s0_2": F.col("s0")}
+    outside = V.matrix(V.entries(setting or identity))
+    static = {"a1": F.col("a"), "a2": F.col("a"), "s0_1": F.col("s0"), "s0_2": F.col("s0"), "setting_1": outside, "setting_2": outside}
     rows = images.withColumns(static) if points is None else with_scan_points(images, usable_scan_points(points, datasets), static)
-    turned = {n: V.matrix(setting_at(fixed or identity, axis, begin + (width if n == "a2" else 0), setting or identity, F.col(n))) for n in ("a1", "a2")}
+    turned = {f"a{k}": V.matrix(setting_at(fixed or identity, axis, begin + (width if k == 2 else 0), F.col(f"setting_{k}"), F.col(f"a{k}"))) for k in (1, 2)}
     # a row for each image, written once: the matrices are not worked out again for every index
-    rows = written(rows.withColumns(turned).withColumns({"__begin": begin, "__width": width}))
+    rows = written(rows.withColumns(turned).withColumns({"__begin": begin, "__width": width}).drop("setting_1", "setting_2"))
     begin, width = F.col("__begin"), F.col("__width")
     # each step is a table of its own: in one plan the expressions of all steps would be inlined into each other
     found = written(rotation_rays(written(candidate_indices(rows, "a1", "a2", "s0_1", "s0_2", dmin, operations=operations)), dmin, begin, width))

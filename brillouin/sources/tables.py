@@ -21,9 +21,9 @@ REFLECTION_TYPES = {
     **dict.fromkeys(("xyzobs_px", "xyzobs_mm", "xyzcal_px", "xyzcal_mm", "rlp", "s1"), _XYZ), **dict.fromkeys(("intensity_sum_value", "intensity_sum_variance", "partiality", "lp", "d", "background_sum_value", "background_mean", "delpsi"), "double"),
 }
 EXPERIMENT = f"""experiment array<struct<identifier string, beam int, detector int, goniometer int, scan int, crystal int>>,
-  beam array<struct<direction {_VEC}, wavelength double, polarization_normal {_VEC}, polarization_fraction double>>,
+  beam array<struct<direction {_VEC}, wavelength double, polarization_normal {_VEC}, polarization_fraction double, s0_at_scan_points array<{_VEC}>>>,
   detector array<struct<panels array<struct<fast_axis {_VEC}, slow_axis {_VEC}, origin {_VEC}, pixel_size {_VEC}, image_size array<int>, trusted_range {_VEC}, thickness double, mu double>>, hierarchy struct<origin {_VEC}>>>,
-  goniometer array<struct<axes array<{_VEC}>, angles {_VEC}, names array<string>, scan_axis int>>,
+  goniometer array<struct<axes array<{_VEC}>, angles {_VEC}, names array<string>, scan_axis int, setting_rotation_at_scan_points array<{_VEC}>>>,
   scan array<struct<image_range array<int>, properties struct<oscillation {_VEC}>>>,
   crystal array<struct<real_space_a {_VEC}, real_space_b {_VEC}, real_space_c {_VEC}, space_group_hall_symbol string, A_at_scan_points array<{_VEC}>>>"""
 
@@ -44,10 +44,15 @@ def still_geometry(experiments: DataFrame) -> DataFrame:
 
 
 def scan_points(experiments: DataFrame) -> DataFrame:
-    """(identifier, pt, a): scan-varying setting matrices, of the experiments that have one for each boundary of images."""
+    """(identifier, pt, a, s0, setting): scan-varying setting matrices, beams (structs) and goniometer settings at the boundaries of images.
+
+    A list counts if it has one entry for each boundary; the others are null, and experiments without any have no rows.
+    """
     n = F.col("scan.image_range")[1] - F.col("scan.image_range")[0] + 1
-    points = F.col("crystal.A_at_scan_points")
-    return experiments.where(F.size(points) == n + 1).select("identifier", F.posexplode(points).alias("pt", "a"))
+    lists = {"a": F.col("crystal.A_at_scan_points"), "s0": F.col("beam.s0_at_scan_points"), "setting": F.col("goniometer.setting_rotation_at_scan_points")}
+    rows = experiments.select("identifier", n.alias("n"), *(F.when(F.size(x) == n + 1, x).alias(c) for c, x in lists.items())).where(" OR ".join(f"{c} IS NOT NULL" for c in lists))
+    rows = rows.withColumn("pt", F.explode(F.sequence(F.lit(0), F.col("n")))).select("identifier", "pt", *(F.try_element_at(c, F.col("pt") + 1).alias(c) for c in lists))
+    return rows.withColumn("s0", F.when(F.col("s0").isNotNull(), F.struct(*(F.col("s0")[k].alias(c) for k, c in enumerate("xyz")))))
 
 
 def read_reflections(spark: SparkSession, path: str, *wanted: str) -> DataFrame:

@@ -7,6 +7,7 @@ from brillouin.functions.lattice import cell, niggli, reduced_candidate, reindex
 from brillouin.operators import indexing as I
 from brillouin.operators import predict as P
 from brillouin.operators.select import five_number_quartiles
+from brillouin.sources.tables import scan_points
 
 PANEL = {"fast": (0.9999343565703017, 0.008972928699089156, 0.007125243918478585), "slow": (0.009011312015482328, -0.9999449607587793, -0.005373240073119384), "origin": (-154.36992588196173, 164.3947680648576, -198.15267891180412), "px": (0.075, 0.075), "size": (4148, 4362), "mu": 3.9219876752936167, "thickness": 0.45}
 WAVELENGTH = 0.9762458439949315
@@ -37,6 +38,29 @@ def test_rotation_scan(spark, varying, n, places):
         assert (row["x_px"], row["y_px"], row["z_px"]) == pytest.approx((x, y, z), abs=1e-2)
 
 
+def test_scan_points_of_each_model_stand_alone(spark):
+    lists = {"identifier": ["e0", "e1", "e2"], "a": [[[1.0] * 9] * 3, [[1.0] * 9] * 2, []], "s0": [[[0.0, 0.0, float(k)] for k in range(3)], [[1.0, 2.0, 3.0]] * 3, []], "setting": [[], [[2.0] * 9] * 3, []]}
+    rows = spark.createDataFrame(list(zip(*lists.values(), strict=True)), "identifier string, a array<array<double>>, s0 array<array<double>>, setting array<array<double>>")
+    one = lambda name, value: F.struct(value.alias(name))
+    experiments = rows.select("identifier", F.struct(F.array(F.lit(1), F.lit(2)).alias("image_range")).alias("scan"), one("A_at_scan_points", F.col("a")).alias("crystal"), one("s0_at_scan_points", F.col("s0")).alias("beam"), one("setting_rotation_at_scan_points", F.col("setting")).alias("goniometer"))
+    points = scan_points(experiments)
+    assert sorted((r["identifier"], r["pt"], r["a"] and r["a"][0], r["s0"] and r["s0"]["z"], r["setting"] and r["setting"][0]) for r in points.collect()) == [("e0", 0, 1, 0, None), ("e0", 1, 1, 1, None), ("e0", 2, 1, 2, None), ("e1", 0, None, 3, 2), ("e1", 1, None, 3, 2), ("e1", 2, None, 3, 2)]
+    static = {"a1": F.lit("a"), "a2": F.lit("a"), "s0_1": F.lit(-1.0), "s0_2": F.lit(-1.0), "setting_1": F.lit("s"), "setting_2": F.lit("s")}
+    flat = points.select(F.col("identifier").alias("dataset"), "pt", F.col("a")[0].cast("string").alias("a"), F.col("s0.z").alias("s0"), F.col("setting")[0].cast("string").alias("setting"))
+    images = spark.createDataFrame([(d, k) for d in ("e0", "e1", "e2") for k in (0, 1)], "dataset string, image int")
+    got = sorted(tuple(r) for r in P.with_scan_points(images, flat, static).select("dataset", "image", *static).collect())
+    assert got == [("e0", k, "1.0", "1.0", k, k + 1, "s", "s") for k in (0, 1)] + [("e1", k, "a", "a", 3, 3, "2.0", "2.0") for k in (0, 1)] + [("e2", k, "a", "a", -1, -1, "s", "s") for k in (0, 1)]
+
+
+def test_settings_of_a_scan_turn_the_crystal_outside(spark):
+    turn = np.array([[0.0, -1, 0], [1, 0, 0], [0, 0, 1]]) @ np.array([[1, 0, 0], [0, 0.6, -0.8], [0, 0.8, 0.6]])
+    sets = scan(spark)
+    at = spark.createDataFrame([(0, k, None, None, turn.ravel().tolist()) for k in (0, 1)], "dataset int, pt int, a array<double>, s0 struct<x: double, y: double, z: double>, setting array<double>")
+    asked = lambda **more: {(r["h"], r["k"], r["l"]): (round(r["x_px"], 6), round(r["z_px"], 6)) for r in P.rotation_scan(sets, V.parts((1, 0, 0)), more.pop("setting", None), 1.2, PANEL, **more).collect()}
+    want = asked(setting=[F.lit(float(x)) for x in turn.ravel()])
+    assert asked(points=at) == want and len(want) > 10 and asked() != want
+
+
 def test_indices_are_those_of_a_brute_search(spark):
     """All indices of a cube, tried one by one: within dmin, and inside one Ewald sphere only."""
     rng = np.random.default_rng(2)

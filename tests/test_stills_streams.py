@@ -158,6 +158,7 @@ def test_experiments(spark, tmp_path):
     rows = tables.read_experiments(spark, str(tmp_path / "e.json"))
     geometry = {r["identifier"]: r for r in tables.still_geometry(rows).collect()}
     assert geometry["e0"]["distance"] == 150 and geometry["e1"]["beam_x"] == pytest.approx(100) and geometry["e0"]["beam_y"] == pytest.approx(200)
+    assert all(r["s0"] is None and r["setting"] is None for r in tables.scan_points(rows).collect())
     assert [(r["identifier"], r["pt"], r["a"][0]) for r in tables.scan_points(rows).orderBy("pt").collect()] == [("e0", k, float(k)) for k in range(3)]
 
 
