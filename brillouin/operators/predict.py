@@ -72,6 +72,7 @@ def candidate_indices(images: DataFrame, a1: str, a2: str, s0_1: str, s0_2: str,
         middle = -V.dot(real, V.parts(F.col(beam))) if beam else F.lit(0.0)
         rows = rows.withColumns({name: V.vector(*v) for name, v in parts.items()} | {f"__low{n}": middle - size * reach, f"__high{n}": middle + size * reach})
         made += [*parts, f"__low{n}", f"__high{n}"]
+    rows = written(rows)  # a row an image: what follows is not worked out from the matrices again and again
     low, high = F.greatest("__low0", F.least("__low1", "__low2")), F.least("__high0", F.greatest("__high1", "__high2"))
     rows = rows.withColumn("h", F.explode(_whole(low, high, margin)))
     h = F.col("h").cast("double")

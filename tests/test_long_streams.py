@@ -18,6 +18,11 @@ def waited(query, test, seconds=60):
         time.sleep(0.3)
 
 
+def taken(query, rows):
+    """Waits until so many rows have gone through whole micro-batches."""
+    waited(query, lambda: sum(p["numInputRows"] for p in query.recentProgress) >= rows)
+
+
 def held(query):
     return query.lastProgress["stateOperators"][0]["numRowsTotal"]
 
@@ -26,21 +31,21 @@ def test_messages_wait_time_out_and_are_forgotten(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
     stream = spark.readStream.schema("dcgid int, message_index int, note string, at timestamp").option("maxFilesPerTrigger", 1).json(str(folder))
-    query = service.in_order(stream, wait_ms=6000, keep_ms=4000).writeStream.format("memory").queryName("ordered_long").option("checkpointLocation", str(tmp_path / "ck")).outputMode("append").start()
+    query = service.in_order(stream, wait_ms=25000, keep_ms=4000).writeStream.format("memory").queryName("ordered_long").option("checkpointLocation", str(tmp_path / "ck")).outputMode("append").start()
     got = lambda g: [(r["message_index"], r["note"]) for r in spark.table("ordered_long").collect() if r["dcgid"] == g]
     try:
         row = lambda g, k: {"dcgid": g, "message_index": k, "note": f"n{k}", "at": "2026-01-01T00:00:00.123456"}
         put(folder, "a", [row(1, 3), row(1, 2)])
-        query.processAllAvailable()
+        taken(query, 2)
         assert got(1) == []
         put(folder, "b", [row(1, 0), row(2, 5)])
-        query.processAllAvailable()
+        taken(query, 4)
         assert got(1) == [(0, "n0")] and got(2) == []
         put(folder, "c", [row(1, 1)])
-        query.processAllAvailable()
+        taken(query, 5)
         assert got(1) == [(k, f"n{k}") for k in range(4)]
         put(folder, "d", [row(1, 2)])  # late: at once
-        query.processAllAvailable()
+        taken(query, 6)
         assert got(1)[4:] == [(2, "n2")]
         waited(query, lambda: got(2) == [(5, "n5")])  # its time is over
         waited(query, lambda: held(query) == 0)  # nothing came for long: no state is left
@@ -53,17 +58,17 @@ def test_datasets_reopen_time_out_and_are_forgotten(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()
     frames = spark.readStream.schema("dataset string, frame int, n_images int").option("maxFilesPerTrigger", 1).json(str(folder))
-    query = service.completeness(frames, 7000).writeStream.format("memory").queryName("complete_long").option("checkpointLocation", str(tmp_path / "ck")).outputMode("append").start()
+    query = service.completeness(frames, 25000).writeStream.format("memory").queryName("complete_long").option("checkpointLocation", str(tmp_path / "ck")).outputMode("append").start()
     got = lambda: [(r["dataset"], r["seen"], r["expected"], r["status"]) for r in spark.table("complete_long").collect()]
     try:
         row = lambda d, k, n: {"dataset": d, "frame": k, "n_images": n}
         put(folder, "a", [row("x", 0, 2), row("y", 0, 3)])
         put(folder, "b", [row("x", 1, 2)])
         put(folder, "c", [row("x", 1, 2)])  # once more: changes nothing
-        query.processAllAvailable()
+        taken(query, 4)
         assert got() == [("x", 2, 2, "complete")]
         put(folder, "d", [row("x", 2, 3)])  # late: it has one more than was said
-        query.processAllAvailable()
+        taken(query, 5)
         assert got() == [("x", 2, 2, "complete"), ("x", 3, 3, "complete")]
         waited(query, lambda: ("y", 1, 3, "incomplete") in got() and held(query) == 0)
         assert len(got()) == 3
@@ -97,6 +102,8 @@ def test_finalisation_of_a_stream(spark, tmp_path):
     calls = []
     frames = spark.readStream.schema("dataset string, frame int, n_images int").json(str(folder))
     query = service.on_complete(service.completeness(frames, 600_000), lambda _, names, batch: calls.append(names), str(tmp_path / "ck"), str(tmp_path / "ledger"))
-    query.processAllAvailable()
-    query.stop()
+    try:
+        waited(query, lambda: calls)
+    finally:
+        query.stop()
     assert calls == [["x"]]
