@@ -75,9 +75,11 @@ def slice_parts(y: np.ndarray, x: np.ndarray, wrap_width: int | None = None) ->
     return out
 
 
-def labelled(strong: DataFrame, *, across_frames: bool, wrap_width: int | None = None) -> DataFrame:
+def labelled(strong: DataFrame, *, across_frames: bool | str, wrap_width: int | None = None) -> DataFrame:
     """Adds `spot`: a number of the connected pixels, the packed place of the first in order (z, y, x); datasets are counted from 0 in their order. Needs z.
 
+    `across_frames` may name a boolean column, the same for all rows of a dataset: only slices of rows in which it is true are linked with the next ones.
+
     Images have under 2 ** 14 rows and columns. With `across_frames` a dataset has under 2 ** 20 slices (in both cases a spot beyond the packed
     ranges raises). The distributed components run when the function is called.
     """
@@ -98,8 +100,9 @@ def labelled(strong: DataFrame, *, across_frames: bool, wrap_width: int | None =
     if not across_frames:
         return rows.select(*columns, F.col("__node").alias("spot"))
     rows = written(rows.drop("__set", "__part"))
-    here = rows.select("dataset", "y", "x", "z", F.col("__node").alias("a"))
-    above = rows.select("dataset", "y", "x", (F.col("z") - 1).alias("z"), F.col("__node").alias("b"))
+    linked = rows.where(F.col(across_frames)) if isinstance(across_frames, str) else rows
+    here = linked.select("dataset", "y", "x", "z", F.col("__node").alias("a"))
+    above = linked.select("dataset", "y", "x", (F.col("z") - 1).alias("z"), F.col("__node").alias("b"))
     found = components(here.join(above, ["dataset", "y", "x", "z"]).select("a", "b").distinct())
     out = rows.join(found.withColumnRenamed("node", "__node"), "__node", "left")
     return out.select(*columns, F.coalesce("component", "__node").alias("spot"))
@@ -140,6 +143,41 @@ def filter_report(spots: DataFrame, *, min_spot_size: int = 0, max_separation: f
     return spots.groupBy("dataset").agg(F.count(F.lit(1)).alias("n_spots"), F.count_if(small).alias("n_small"), F.count_if(far).alias("n_far"))
 
 
+def routed(rows: DataFrame, datasets: DataFrame) -> DataFrame:
+    """Adds `turning`: is the row's dataset a rotation scan? `datasets`: dataset, osc_width.
+
+    Scans have an oscillation width above 0. All others are stills, each frame by itself: a width of 0 or below, NaN or null, and datasets without a row. A dataset
+    with more rows is a scan if one of them says so.
+    """
+    width = F.col("osc_width")
+    scans = datasets.where((width > 0) & ~F.isnan(width.cast("double")) & F.col("dataset").isNotNull()).select("dataset").distinct().withColumn("turning", F.lit(True))
+    return rows.join(scans, "dataset", "left").withColumn("turning", F.coalesce("turning", F.lit(False)))
+
+
+def found_spots(strong: DataFrame, datasets: DataFrame, *, min_spot_size: int = 0, min_scan_size: int = 0, max_separation: float = 0.0) -> DataFrame:
+    """Spots of scans in three dimensions and of stills frame by frame, from one labelling of all datasets.
+
+    Columns of `measured`, `turning`, and `frame`: the frame of a still's spot, null for a scan's. `min_spot_size` holds for stills' spots, the other two for those of
+    scans, as in `filtered`. Datasets without strong pixels have no rows, nor do frames (see `still_counts`). Runs jobs when it is called.
+    """
+    rows = written(labelled(with_slices(routed(strong, datasets)), across_frames="turning"))
+    kinds = rows.groupBy("dataset", "spot").agg(F.first("turning").alias("turning"))
+    spots = measured(rows).join(kinds, ["dataset", "spot"])
+    scans = filtered(spots.where("turning"), min_spot_size=min_scan_size, max_separation=max_separation)
+    stills = filtered(spots.where("NOT turning"), min_spot_size=min_spot_size)
+    return scans.withColumn("frame", F.lit(None).cast("int")).unionByName(stills.withColumn("frame", F.col("z_min").cast("int")))
+
+
+def still_counts(frames: DataFrame, strong: DataFrame, spots: DataFrame, datasets: DataFrame) -> DataFrame:
+    """A row for each frame of the stills: dataset, frame, n_strong, n_spots; frames without any count 0. `spots` are those of `found_spots`."""
+    key = ["dataset", "frame"]
+    held = routed(frames.select(*key).distinct(), datasets).where("NOT turning").drop("turning")
+    pixels = strong.groupBy(*key).agg(F.count(F.lit(1)).alias("n_strong"))
+    counts = spots.where("NOT turning").groupBy(*key).agg(F.count(F.lit(1)).alias("n_spots"))
+    rows = held.join(pixels, key, "left").join(counts, key, "left")
+    return rows.select(*key, *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_strong", "n_spots")))
+
+
 def still_centroids(spots: DataFrame, frames: DataFrame) -> DataFrame:
     """Spots of stills with `id`, the rank of their frame among the frames held (those without spots count)."""
     rank = frames.select("dataset", "frame").distinct().withColumn("id", F.dense_rank().over(Window.partitionBy("dataset").orderBy("frame")) - 1)

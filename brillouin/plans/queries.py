@@ -22,6 +22,7 @@ from ..operators import spots as S
 from ..operators import threshold as T
 from ..sources import frames as R
 from ..streaming import service
+from .scratch import written
 
 SIDE = 32
 _VALID = "NOT (y % 16 = 15 OR x % 16 = 15)"
@@ -138,9 +139,9 @@ def frame_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.boxes_2d(found, 2).drop("spot")
 
 
-def _reach_sql(across: bool) -> str:
+def _reach_sql(across: bool, where: str = "TRUE") -> str:
     """Components by the smallest node that each strong pixel reaches (a recursive closure)."""
-    step = "(a.z = b.z AND abs(a.y - b.y) + abs(a.x - b.x) = 1)" + (" OR (abs(a.z - b.z) = 1 AND a.y = b.y AND a.x = b.x)" if across else "")
+    step = "(a.z = b.z AND abs(a.y - b.y) + abs(a.x - b.x) = 1)" + (f" OR (abs(a.z - b.z) = 1 AND a.y = b.y AND a.x = b.x AND {where})" if across else "")
     node = f"((CAST(dataset AS BIGINT) * 1024 + z) * {SIDE} + y) * {SIDE} + x"
     return f"""p AS (SELECT dataset, frame, frame AS z, y, x, value FROM strong WHERE strong),
 n AS (SELECT *, {node} AS id FROM p),
@@ -162,13 +163,53 @@ def spots_3d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns(rounded).drop("spot")
 
 
-_SPOTS_SQL = f"""WITH RECURSIVE {_strong_sql(3.0)},
-{_reach_sql(True)},
-t AS (SELECT dataset, spot, count(*) AS n_px, min(x) AS x_min, max(x) AS x_max, min(y) AS y_min, max(y) AS y_max, min(z) AS z_min, max(z) AS z_max, CAST(sum(value) AS BIGINT) AS total,
+_MEASURED_SQL = """t AS (SELECT dataset, spot, count(*) AS n_px, min(x) AS x_min, max(x) AS x_max, min(y) AS y_min, max(y) AS y_max, min(z) AS z_min, max(z) AS z_max, CAST(sum(value) AS BIGINT) AS total,
              CAST(sum((2 * x + 1) * value) AS DOUBLE) / (2 * sum(value)) AS com_x, CAST(sum((2 * y + 1) * value) AS DOUBLE) / (2 * sum(value)) AS com_y, CAST(sum((2 * z + 1) * value) AS DOUBLE) / (2 * sum(value)) AS com_z FROM s GROUP BY dataset, spot),
 k AS (SELECT dataset, spot, value AS peak_value, z AS peak_z, y AS peak_y, x AS peak_x FROM s QUALIFY row_number() OVER (PARTITION BY dataset, spot ORDER BY value DESC, z, y, x) = 1),
-a AS (SELECT *, z_max - z_min + 1 AS depth, sqrt(pow(com_x - peak_x - 0.5, 2) + pow(com_y - peak_y - 0.5, 2) + pow(com_z - peak_z - 0.5, 2)) AS peak_distance FROM t JOIN k USING (dataset, spot))
-SELECT * EXCLUDE (spot) REPLACE (round(com_x, 9) AS com_x, round(com_y, 9) AS com_y, round(com_z, 9) AS com_z, round(peak_distance, 9) AS peak_distance) FROM a WHERE n_px >= 2 AND peak_distance <= 1.5"""
+a AS (SELECT *, z_max - z_min + 1 AS depth, sqrt(pow(com_x - peak_x - 0.5, 2) + pow(com_y - peak_y - 0.5, 2) + pow(com_z - peak_z - 0.5, 2)) AS peak_distance FROM t JOIN k USING (dataset, spot))"""
+_ROUNDED_SQL = "SELECT * EXCLUDE (spot) REPLACE (round(com_x, 9) AS com_x, round(com_y, 9) AS com_y, round(com_z, 9) AS com_z, round(peak_distance, 9) AS peak_distance)"
+_SPOTS_SQL = f"""WITH RECURSIVE {_strong_sql(3.0)},
+{_reach_sql(True)},
+{_MEASURED_SQL}
+{_ROUNDED_SQL} FROM a WHERE n_px >= 2 AND peak_distance <= 1.5"""
+
+
+def _widths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Oscillation width of each dataset: its suppliers' least balance, 0 if that is below."""
+    return table(spark, sf_dir, "supplier").groupBy(F.floor(F.col("s_suppkey") / 10).cast("int").alias("dataset")).agg(F.greatest(F.min("s_acctbal"), F.lit(0.0)).alias("osc_width"))
+
+
+def routed_spots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spots of a mixture of scans and stills: in three dimensions where a dataset turns, frame by frame where it doesn't."""
+    found = S.found_spots(_strong(spark, sf_dir), _widths(spark, sf_dir), min_spot_size=2, min_scan_size=2, max_separation=1.5)
+    rounded = {c: F.round(c, 9) for c in ("com_x", "com_y", "com_z", "peak_distance")}
+    return found.withColumns(rounded).drop("spot")
+
+
+_SCANS_SQL = "SELECT CAST(s_suppkey // 10 AS INT) AS dataset FROM supplier GROUP BY ALL HAVING min(s_acctbal) > 0"
+_ROUTED_SQL = f"""WITH RECURSIVE {_strong_sql(3.0)},
+scans AS ({_SCANS_SQL}),
+{_reach_sql(True, "a.dataset IN (SELECT dataset FROM scans)")},
+{_MEASURED_SQL},
+k2 AS (SELECT *, dataset IN (SELECT dataset FROM scans) AS turning FROM a)
+{_ROUNDED_SQL}, CAST(CASE WHEN NOT turning THEN z_min END AS INT) AS frame FROM k2 WHERE n_px >= 2 AND (NOT turning OR peak_distance <= 1.5)"""
+
+
+def still_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strong pixels and spots of every frame of the datasets that don't turn, frames without any included."""
+    strong, widths = written(_strong(spark, sf_dir)), _widths(spark, sf_dir)
+    found = S.found_spots(strong, widths, min_spot_size=2, min_scan_size=2, max_separation=1.5)
+    return S.still_counts(seen_pixels(spark, sf_dir), strong, found, widths)
+
+
+_STILL_FRAMES_SQL = f"""WITH RECURSIVE {_strong_sql(3.0)},
+scans AS ({_SCANS_SQL}),
+{_reach_sql(False)},
+b AS (SELECT dataset, frame, count(*) AS n FROM s GROUP BY dataset, frame, spot HAVING count(*) >= 2),
+c AS (SELECT dataset, frame, count(*) AS n_spots FROM b GROUP BY ALL),
+p2 AS (SELECT dataset, frame, count(*) AS n_strong FROM strong WHERE strong GROUP BY ALL)
+SELECT dataset, frame, coalesce(n_strong, 0) AS n_strong, coalesce(n_spots, 0) AS n_spots
+FROM (SELECT DISTINCT dataset, frame FROM seen) LEFT JOIN p2 USING (dataset, frame) LEFT JOIN c USING (dataset, frame) WHERE dataset NOT IN (SELECT dataset FROM scans)"""
 
 
 def _part_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -454,7 +495,7 @@ def absence_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ALL: dict[Callable[[SparkSession, str], DataFrame], str | None] = {
     strong_pixels_per_frame: f"WITH {_strong_sql(3.0)}\nSELECT dataset, frame, count(*) FILTER (WHERE strong) AS n_strong, count(*) FILTER (WHERE value <> 0) AS n_nonzero FROM strong GROUP BY ALL",
     strong_window_counts: f"WITH {_strong_sql(3.0)}\nSELECT dataset, frame, count(*) FILTER (WHERE strong) AS n_strong, count(*) FILTER (WHERE value <> 0) AS n_nonzero FROM strong GROUP BY ALL",
-    extended_strong_pixels: _EXTENDED_SQL, summed_area_table: _SAT_SQL, pixel_resolution_mask: _MASK_SQL, frame_boxes: _BOXES_SQL, spots_3d: _SPOTS_SQL, background_tukey: _TUKEY_SQL,
+    extended_strong_pixels: _EXTENDED_SQL, summed_area_table: _SAT_SQL, pixel_resolution_mask: _MASK_SQL, frame_boxes: _BOXES_SQL, spots_3d: _SPOTS_SQL, routed_spots: _ROUTED_SQL, still_frames: _STILL_FRAMES_SQL, background_tukey: _TUKEY_SQL,
     background_glm: None, overflow_report: _OVERFLOW_SQL, shoebox_sum: _SHOEBOX_SQL, net_intensities: _NET_SQL, reflections_per_image: _PER_IMAGE_SQL,
     hkl_assign: f"SELECT vec_id, h, k, l, round(lsq, 9) AS lsq FROM ({_HKL_SQL})",
     indexed_fraction: f"SELECT label, count(*) FILTER (WHERE lsq IS NOT NULL) AS n_indexed, count(*) AS n, CAST(count(*) FILTER (WHERE lsq IS NOT NULL) AS DOUBLE) / count(*) AS fraction FROM ({_HKL_SQL}) GROUP BY label",

@@ -103,3 +103,15 @@ def test_box_of_a_known_spot(spark):
     centre = X.with_centroid(X.summed(rows).join(box, "refl_id")).where("refl_id = 1").first()
     assert (centre["x_obs"], centre["y_obs"], centre["z_obs"]) == (5.5, 5.5, 0.5)
     assert {r["passes"]: r["frames"] for r in X.pass_histogram(box, 8).collect()} == {"5-8": 1, "1": 1, "2": 1}
+
+
+def test_scans_and_stills_in_one_table(spark):
+    """The same column of pixels through three frames: one spot in a scan, three in stills of every kind."""
+    strong = spark.createDataFrame([(d, f, y, 7, 5 + f) for d in ("scan", "still", "unknown", "null", "nan") for f in range(3) for y in (3, 4)], "dataset string, frame int, y int, x int, value long")
+    widths = spark.createDataFrame([("scan", 0.1), ("scan", 0.0), ("still", 0.0), ("null", None), ("nan", float("nan")), (None, 1.0)], "dataset string, osc_width double")
+    found = S.found_spots(strong, widths, min_spot_size=2, min_scan_size=6, max_separation=2.0)
+    got = {(r["dataset"], r["frame"], r["turning"], r["n_px"], r["depth"]) for r in found.collect()}
+    assert got == {("scan", None, True, 6, 3)} | {(d, f, False, 2, 1) for d in ("still", "unknown", "null", "nan") for f in range(3)}
+    frames = spark.createDataFrame([("still", 0), ("still", 9), ("still", 9), ("scan", 0)], "dataset string, frame int")
+    assert sorted(map(tuple, S.still_counts(frames, strong, found, widths).collect())) == [("still", 0, 2, 1), ("still", 9, 0, 0)]
+    assert S.found_spots(strong.where("false"), widths).count() == 0
