@@ -41,18 +41,50 @@ def mask(spark: SparkSession, path: str) -> bytes | None:
     return bytes(rows[0][0]) if rows else None
 
 
+#: Header fields of a frame directory: column, its type, the field.
+_HEADER = (
+    ("h", "int", "y_pixels_in_detector"), ("w", "int", "x_pixels_in_detector"), ("bit_depth", "int", "bit_depth_image"), ("trusted_max", "long", "countrate_correction_count_cutoff"), ("wavelength", "double", "wavelength"),
+    ("distance", "double", "detector_distance"), ("px_x", "double", "x_pixel_size"), ("px_y", "double", "y_pixel_size"), ("beam_x", "double", "beam_center_x"), ("beam_y", "double", "beam_center_y"),
+    ("osc_start", "double", "omega_start"), ("osc_width", "double", "omega_increment"),
+)
+
+
+def frame_index(spark: SparkSession, path: str, *, dataset: str | None = None) -> DataFrame:
+    """What a frame directory holds, without reading a pixel: a row for each frame that its header announces or that has a file.
+
+    dataset, frame, available, path, bytes, modified, n_images (nimages x ntrigger) and the header's h, w, bit_depth, trusted_max, wavelength, distance, px_x, px_y,
+    beam_x, beam_y, osc_start, osc_width; a field that the header lacks is null. `available`: there is a file of the size that the header gives an image. The
+    listing is that of the time when a query runs, so a later query sees the frames written since. `osc_width` is what `spots.routed` goes by.
+    """
+    head = header(spark, path)
+    number = lambda name, kind: F.lit(head.get(name)).cast(kind)
+    n = int(head.get("nimages", 0)) * int(head.get("ntrigger", 1))
+    size = int(head["y_pixels_in_detector"]) * int(head["x_pixels_in_detector"]) * int(head.get("bit_depth_image", 16)) // 8
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "image_*").load(path)
+    files = files.select(frame_number(F.col("path"), r"image_(\d+)_2$").alias("frame"), "path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")).where("frame IS NOT NULL")
+    rows = spark.range(n).select(F.col("id").cast("int").alias("frame")).join(files, "frame", "full")
+    rows = rows.select(F.lit(dataset or path).alias("dataset"), "frame", F.coalesce(F.col("bytes") >= size, F.lit(False)).alias("available"), "path", "bytes", "modified", F.lit(n).alias("n_images"))
+    return rows.withColumns({column: number(field, kind) for column, kind, field in _HEADER})
+
+
 def frame_number(name, pattern: str = r"(\d+)(?:_2)?(?:\.[A-Za-z0-9]+)?$"):
-    """Number in a file name, by the last digits before the ending."""
-    return F.regexp_extract(name, pattern, 1).cast("int")
+    """Number in a file name, by the last digits before the ending; null if there is none."""
+    return F.regexp_extract(name, pattern, 1).try_cast("int")
 
 
 def decode_directory(files: DataFrame, path: str, dataset: str, head: dict, raw_mask: bytes | None) -> DataFrame:
-    """Frames of raw little-endian images named image_<number>_2, also of a stream of such files."""
+    """Frames of raw little-endian images named image_<number>_2, also of a stream of such files.
+
+    A task holds the files of one Arrow batch: for large images set spark.sql.execution.arrow.maxRecordsPerBatch to a few (an 18-megapixel frame takes 36 MB as a file
+    and 162 MB as a row of 64-bit values with its mask).
+    """
     h, w = int(head["y_pixels_in_detector"]), int(head["x_pixels_in_detector"])
     kind = np.dtype({8: "<u1", 16: "<u2", 32: "<u4"}[int(head.get("bit_depth_image", 16))])
-    valid = None if raw_mask is None else (np.frombuffer(raw_mask, "<i4") == 0).tolist()
+    # a bit for each pixel goes along with the job
+    bits = None if raw_mask is None else np.packbits(np.frombuffer(raw_mask, "<i4")[: h * w] == 0).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        valid = None if bits is None else np.unpackbits(np.frombuffer(bits, np.uint8), count=h * w).astype(bool)
         for batch in batches:
             for number, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 yield _frame(dataset, number, np.frombuffer(content, kind)[: h * w], h, w, valid)
@@ -60,10 +92,10 @@ def decode_directory(files: DataFrame, path: str, dataset: str, head: dict, raw_
     return files.select(frame_number(F.col("path"), r"image_(\d+)_2$").alias("frame"), "content").where("frame IS NOT NULL").mapInArrow(run, FRAMES)
 
 
-def _frame(dataset: str, number: int, data: np.ndarray, h: int, w: int, valid: list[bool] | None) -> pa.RecordBatch:
-    data = data.astype(np.int64)
-    lists = pa.ListArray.from_arrays(pa.array([0, len(data)], pa.int32()), pa.array(data))
-    return pa.RecordBatch.from_arrays([pa.array([dataset]), pa.array([number], pa.int32()), pa.array([h], pa.int32()), pa.array([w], pa.int32()), lists, pa.array([valid], pa.list_(pa.bool_()))], ["dataset", "frame", "h", "w", "data", "valid"])
+def _frame(dataset: str, number: int, data: np.ndarray, h: int, w: int, valid: np.ndarray | None) -> pa.RecordBatch:
+    one = lambda a: pa.ListArray.from_arrays(pa.array([0, len(a)], pa.int32()), pa.array(a))
+    mask = pa.array([None], pa.list_(pa.bool_())) if valid is None else one(valid)
+    return pa.RecordBatch.from_arrays([pa.array([dataset]), pa.array([number], pa.int32()), pa.array([h], pa.int32()), pa.array([w], pa.int32()), one(data.astype(np.int64)), mask], ["dataset", "frame", "h", "w", "data", "valid"])
 
 
 def decode_differences(payload: bytes, n: int) -> np.ndarray:
@@ -102,7 +134,7 @@ def decode_cbf(files: DataFrame, dataset: str) -> DataFrame:
                 fields = dict(line.split(b":", 1) for line in text.splitlines() if line.count(b":") == 1)
                 size = {k: int(fields[f"X-Binary-Size-{k}-Dimension".encode()]) for k in ("Fastest", "Second")}
                 data = decode_differences(payload, size["Fastest"] * size["Second"])
-                yield _frame(dataset, number, data, size["Second"], size["Fastest"], (data >= 0).tolist())
+                yield _frame(dataset, number, data, size["Second"], size["Fastest"], data >= 0)
 
     return files.select(frame_number(F.col("path")).alias("frame"), "content").where("frame IS NOT NULL").mapInArrow(run, FRAMES)
 

@@ -134,6 +134,21 @@ def test_frame_files_to_spots(spark, tmp_path):
     assert len(boxes) == 6 and {r["n_px"] for r in boxes} == {6}
 
 
+def test_frame_index_reads_no_pixels(spark, tmp_path):
+    """Announced, written, half-written and unannounced frames; the listing alone is scanned."""
+    (tmp_path / "start_1").write_text(json.dumps({"y_pixels_in_detector": 4, "x_pixels_in_detector": 5, "bit_depth_image": 16, "nimages": 2, "ntrigger": 2, "wavelength": 0.98, "omega_start": 0.0, "omega_increment": 0.1}))
+    for k, size in ((0, 40), (1, 12), (7, 40)):
+        (tmp_path / f"image_{k:06d}_2").write_bytes(bytes(size))
+    (tmp_path / "image_000002_1").write_bytes(b"header of a frame")
+    index = R.frame_index(spark, str(tmp_path), dataset="d")
+    got = {r["frame"]: r for r in index.collect()}
+    assert {f: (r["available"], r["bytes"]) for f, r in got.items()} == {0: (True, 40), 1: (False, 12), 2: (False, None), 3: (False, None), 7: (True, 40)}
+    assert (got[0]["n_images"], got[0]["h"], got[0]["w"], got[0]["wavelength"], got[0]["osc_width"], got[0]["beam_x"]) == (4, 4, 5, 0.98, 0.1, None) and got[0]["modified"] is not None
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan and "length" in plan
+    assert S.routed(index.select("dataset", "frame"), index.select("dataset", "osc_width")).where("turning").count() == 5
+
+
 def test_many_data_sets_are_kept_apart(spark):
     rows = [(d, 0, 5, 5, 9) for d in (0, 65_536, 1 << 40)]
     strong = spark.createDataFrame(rows, "dataset long, frame int, y int, x int, value long")
