@@ -336,6 +336,20 @@ def hkl_contest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.settle_duplicates(rows, ["label"], row="vec_id").select("vec_id", "h", "k", "l")
 
 
+# the fold over a Miller index's rows in order of vec_id, one row a step, all indices at a time
+_CONTEST_SQL = f"""WITH RECURSIVE x AS ({_HKL_SQL}),
+r AS (SELECT label, h, k, l, list(vec_id ORDER BY vec_id) AS ids, list(phi ORDER BY vec_id) AS p, list(lsq ORDER BY vec_id) AS q FROM x WHERE lsq IS NOT NULL GROUP BY ALL),
+w(h, k, l, ids, p, q, i, alive) AS (
+  SELECT h, k, l, ids, p, q, 1, list_transform(ids, lambda t: TRUE) FROM r
+  UNION ALL
+  SELECT h, k, l, ids, p, q, i + 1, CASE WHEN alive[i] THEN list_transform(range(1, len(ids) + 1), lambda j: CASE WHEN j = i THEN first_better IS NULL
+      WHEN j > i AND j < coalesce(first_better, len(ids) + 1) AND abs(p[j] - p[i]) <= pi() / 4 THEN FALSE ELSE alive[j] END) ELSE alive END
+  FROM (SELECT *, list_filter(range(i + 1, len(ids) + 1), lambda j: alive[j] AND abs(p[j] - p[i]) <= pi() / 4 AND q[j] < q[i])[1] AS first_better FROM w WHERE i <= len(ids))),
+z AS (SELECT unnest(ids) AS vec_id, h, k, l, unnest(alive) AS keeps FROM w WHERE i = len(ids) + 1),
+n AS (SELECT vec_id, h, k, l FROM z WHERE keeps)
+SELECT x.vec_id, CAST(coalesce(n.h, 0) AS INT) AS h, CAST(coalesce(n.k, 0) AS INT) AS k, CAST(coalesce(n.l, 0) AS INT) AS l FROM x LEFT JOIN n ON n.vec_id = x.vec_id"""
+
+
 def grid_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = I.grid_cells(_points(spark, sf_dir), ["label"], F.col("rlp"), 2.0, 10.0, 64, row="vec_id")
     return rows.withColumn("weight", F.round("weight", 9))
@@ -499,7 +513,7 @@ _ALL: dict[Callable[[SparkSession, str], DataFrame], str | None] = {
     background_glm: None, overflow_report: _OVERFLOW_SQL, shoebox_sum: _SHOEBOX_SQL, net_intensities: _NET_SQL, reflections_per_image: _PER_IMAGE_SQL,
     hkl_assign: f"SELECT vec_id, h, k, l, round(lsq, 9) AS lsq FROM ({_HKL_SQL})",
     indexed_fraction: f"SELECT label, count(*) FILTER (WHERE lsq IS NOT NULL) AS n_indexed, count(*) AS n, CAST(count(*) FILTER (WHERE lsq IS NOT NULL) AS DOUBLE) / count(*) AS fraction FROM ({_HKL_SQL}) GROUP BY label",
-    hkl_contest: None, grid_cells: _GRID_SQL, lp_and_dspacing: _LP_SQL, spot_reciprocal: _RLP_SQL, candidate_scores: _SCORES_SQL, outlier_filter: _OUTLIER_SQL, arm_pairing: _PAIR_SQL,
+    hkl_contest: _CONTEST_SQL, grid_cells: _GRID_SQL, lp_and_dspacing: _LP_SQL, spot_reciprocal: _RLP_SQL, candidate_scores: _SCORES_SQL, outlier_filter: _OUTLIER_SQL, arm_pairing: _PAIR_SQL,
     message_gaps: _GAPS_SQL, stale_requests: _STALE_SQL, rate_windows: _RATE_SQL, manifest_lookup: _MANIFEST_SQL, large_void_filter: _VOID_SQL, absence_pattern: None,
 }
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import vec as V
+
 #: Columns of the tables that are written, in order.
 SPOTS = ("dataset", "id", "com_x", "com_y", "com_z", "sigma_b_variance", "sigma_m_variance", "depth")
 STILLS = ("dataset", "id", "com_x", "com_y", "com_z")
@@ -20,6 +22,7 @@ REFLECTION_TYPES = {
     **dict.fromkeys(("id", "h", "k", "l", "image", "num_pixels_background", "num_pixels_foreground"), "int"), **dict.fromkeys(("flags", "panel"), "long"), "entering": "boolean", "miller_index": "struct<h: int, k: int, l: int>",
     **dict.fromkeys(("xyzobs_px", "xyzobs_mm", "xyzcal_px", "xyzcal_mm", "rlp", "s1"), _XYZ), **dict.fromkeys(("intensity_sum_value", "intensity_sum_variance", "partiality", "lp", "d", "background_sum_value", "background_mean", "delpsi"), "double"),
 }
+CRYSTAL = f"identifier string, id int, real_space_a {_VEC}, real_space_b {_VEC}, real_space_c {_VEC}, space_group_hall_symbol string"
 EXPERIMENT = f"""experiment array<struct<identifier string, beam int, detector int, goniometer int, scan int, crystal int>>,
   beam array<struct<direction {_VEC}, wavelength double, polarization_normal {_VEC}, polarization_fraction double, s0_at_scan_points array<{_VEC}>>>,
   detector array<struct<panels array<struct<fast_axis {_VEC}, slow_axis {_VEC}, origin {_VEC}, pixel_size {_VEC}, image_size array<int>, trusted_range {_VEC}, thickness double, mu double>>, hierarchy struct<origin {_VEC}>>>,
@@ -36,6 +39,31 @@ def read_experiments(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.col("__e.identifier").alias("identifier"), *(at(m).alias(m) for m in ("beam", "detector", "goniometer", "scan", "crystal")))
 
 
+def crystal_list(frames: DataFrame, names: DataFrame, space_group: str = " P 1") -> DataFrame:
+    """A crystal for each indexed still, with the columns of CRYSTAL: the axes of its setting matrix, its number among the dataset's indexed frames, its experiment's name.
+
+    `frames`: dataset, frame, setting, a row each, as `index_stills` gives them; `names`: dataset, frame, identifier. Frames without a name are left out. Write it as
+    JSON lines (`write.json`); `read_crystals` gives the same rows.
+    """
+    rows = mapped_ids(with_stills_ids(frames.select("dataset", "frame", "setting")), names)
+    axes = {f"real_space_{c}": F.array(*axis) for c, axis in zip("abc", V.real_space(F.col("setting")), strict=True)}
+    return rows.select("identifier", F.col("id").cast("int").alias("id"), *(v.alias(c) for c, v in axes.items()), F.lit(space_group).alias("space_group_hall_symbol"))
+
+
+def read_crystals(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(CRYSTAL).json(path)
+
+
+def with_crystals(experiments: DataFrame, crystals: DataFrame) -> DataFrame:
+    """Experiments with the crystals of a list in place of their own, by identifier; the others keep what they have."""
+    kind = experiments.schema["crystal"].dataType
+    given = crystals.dropDuplicates(["identifier"])
+    fields = [(F.col(f.name) if f.name in crystals.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in kind.fields]
+    given = given.select("identifier", F.struct(*fields).alias("__crystal"))
+    columns = [F.coalesce("__crystal", "crystal").alias("crystal") if c == "crystal" else F.col(c) for c in experiments.columns]
+    return experiments.join(given, "identifier", "left").select(*columns)
+
+
 def still_geometry(experiments: DataFrame) -> DataFrame:
     """Distance, beam centre (pixels), pixel size and wavelength of each experiment, from its first panel and the detector's origin."""
     panel, top = F.col("detector.panels")[0], F.col("detector.hierarchy.origin")

@@ -177,6 +177,23 @@ def test_experiments(spark, tmp_path):
     assert [(r["identifier"], r["pt"], r["a"][0]) for r in tables.scan_points(rows).orderBy("pt").collect()] == [("e0", k, float(k)) for k in range(3)]
 
 
+def test_crystals_of_stills_make_a_round_trip(spark, tmp_path):
+    frames = spark.createDataFrame([("d", 4, setting(0.3)), ("d", 9, setting(0.8)), ("d", 11, setting(0.1))], "dataset string, frame int, setting array<double>")
+    names = spark.createDataFrame([("d", 4, "e4"), ("d", 9, "e9"), ("d", 5, "e5")], "dataset string, frame int, identifier string")
+    found = tables.crystal_list(frames, names)
+    found.write.json(str(tmp_path / "crystals"))
+    again = tables.read_crystals(spark, str(tmp_path / "crystals"))
+    want, got = (sorted(map(tuple, t.collect())) for t in (found, again))
+    assert got == want and [(r[0], r[1]) for r in got] == [("e4", 0), ("e9", 1)]
+    assert np.array([r[2:5] for r in got]) == pytest.approx(np.array([np.linalg.inv(np.reshape(setting(a), (3, 3))) for a in (0.3, 0.8)]))
+    old = {"real_space_a": [1.0, 0, 0], "real_space_b": [0, 1.0, 0], "real_space_c": [0, 0, 1.0], "space_group_hall_symbol": "old"}
+    (tmp_path / "e.json").write_text(json.dumps({"experiment": [{"identifier": "e4"}, {"identifier": "e5", "crystal": 0}, {"identifier": "e9", "crystal": 0}], "crystal": [old]}))
+    rows = tables.with_crystals(tables.read_experiments(spark, str(tmp_path / "e.json")), again)
+    after = {r["identifier"]: r["crystal"] for r in rows.collect()}
+    assert after["e5"]["real_space_a"] == [1, 0, 0] and after["e5"]["space_group_hall_symbol"] == "old"
+    assert all(after[i]["real_space_a"] == g[2] and after[i]["space_group_hall_symbol"] == " P 1" and after[i]["A_at_scan_points"] is None for i, g in (("e4", got[0]), ("e9", got[1])))
+
+
 def test_error_function(spark):
     from math import erf
 
