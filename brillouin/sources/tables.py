@@ -101,6 +101,46 @@ def write_reflections(rows: DataFrame, path: str, columns: tuple[str, ...], mode
     rows.select(*columns).write.mode(mode).partitionBy("dataset").parquet(path)
 
 
+#: Types of the columns that are written; all others are doubles, and dataset stays a number or a name.
+_WRITTEN = {**dict.fromkeys(("h", "k", "l", "panel", "depth"), "int"), **dict.fromkeys(("id", "flags", "n_bg", "n_fg"), "long"), "entering": "boolean", "rlp": _XYZ, "s1": _XYZ}
+
+
+def fixed_table(rows: DataFrame, columns: tuple[str, ...], **given: Column) -> DataFrame:
+    """Exactly these columns, in order and with their types, each from the expression given for it or from the rows' column of that name; one that neither has raises."""
+    lost = [c for c in columns if c not in given and c not in rows.columns]
+    if lost:
+        raise ValueError(f"nothing is given for {', '.join(lost)}")
+    typed = lambda c, v: v if c == "dataset" else v.cast(_WRITTEN.get(c, "double"))
+    return rows.select(*(typed(c, given.get(c, F.col(c))).alias(c) for c in columns))
+
+
+def _flags(rows: DataFrame) -> Column:
+    return F.coalesce(F.col("flags"), F.lit(0)).cast("long") if "flags" in rows.columns else F.lit(0).cast("long")
+
+
+def predicted_table(rays: DataFrame, **given: Column) -> DataFrame:
+    """The PREDICTED columns of rays on a detector (`on_detector`), flagged predicted; one panel, 0, unless another is given."""
+    return fixed_table(rays, PREDICTED, **{"panel": F.lit(0), "flags": with_flags(_flags(rays), "predicted"), **given})
+
+
+def indexed_table(rows: DataFrame, **given: Column) -> DataFrame:
+    """The INDEXED columns of rows with indices (`with_indices`): flagged indexed where a row has one, and the flag taken away where it has none."""
+    flags = F.when(F.col("lsq").isNotNull(), with_flags(_flags(rows), "indexed")).otherwise(_flags(rows).bitwiseAND(F.lit(~FLAG["indexed"])))
+    return fixed_table(rows, INDEXED, **{"panel": F.lit(0), "flags": flags, **given})
+
+
+def integrated_table(integrated: DataFrame, predicted: DataFrame, cell: tuple) -> DataFrame:
+    """The INTEGRATED columns: intensities (`integrate.integrate`, refl_id) joined with the PREDICTED rows (id) that they are of; x, y, z are the observed centroid.
+
+    `cell`: a, b, c, alpha, beta, gamma as numbers or columns; d is null for the index 0. Predictions that could not be integrated have no row.
+    """
+    known = predicted.select("dataset", "id", "h", "k", "l", "s1", "flags")
+    rows = integrated.drop("s1", "h", "k", "l", "flags").withColumnRenamed("refl_id", "id").join(known, ["dataset", "id"])
+    index = tuple(F.col(c).cast("double") for c in "hkl")
+    d = V.d_spacing(*index, tuple(v if isinstance(v, Column) else F.lit(float(v)) for v in cell))
+    return fixed_table(rows, INTEGRATED, d=d, flags=with_flags(_flags(rows), "integrated_sum"), **{f"{c}_px": F.col(f"{c}_obs") for c in "xyz"})
+
+
 def with_stills_ids(rows: DataFrame) -> DataFrame:
     """Adds id, the number of a row's frame among those of its dataset. Frames are ranked, not rows."""
     frames = rows.select(F.col("dataset").alias("__dataset"), F.col("frame").alias("__frame")).distinct()

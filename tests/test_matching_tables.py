@@ -48,3 +48,21 @@ def test_voids_of_named_datasets(spark):
     cells = [("run1", c) for c in (0, 1, 4, 100)] + [("run2", c) for c in (0, 20, 12)]
     got = I.voids(spark.createDataFrame(cells, "dataset string, cell long"), 5)
     assert {(r["dataset"], r["void"], r["size"]) for r in got.select("dataset", F.col("void").cast("long").alias("void"), "size").collect()} == {("run1", 0, 4), ("run2", 0, 2), ("run2", 12, 1)}
+
+
+def test_tables_with_fixed_columns(spark, tmp_path):
+    xyz = "struct<x: double, y: double, z: double>"
+    rays = spark.createDataFrame([("run1", 7, 1, 0, 2, True, (0.0, 0.1, -1.0), 10.0, 20.0, 3.5, 1.0, 2.0, 0.1), ("run1", 8, 0, 0, 0, False, (0.1, 0.0, -1.0), 11.0, 21.0, 4.5, 1.1, 2.1, 0.2)], f"dataset string, n int, h int, k int, l int, entering boolean, s1 {xyz}, x_px double, y_px double, z_px double, x_mm double, y_mm double, phi double")
+    predicted = R.predicted_table(rays, id=F.col("n"))
+    assert tuple(predicted.columns) == R.PREDICTED and dict(predicted.dtypes)["id"] == "bigint" and {r["flags"] for r in predicted.collect()} == {R.FLAG["predicted"]}
+    with pytest.raises(ValueError, match="id"):
+        R.predicted_table(rays)
+    sums = spark.createDataFrame([(7, "run1", 50.0, 60.0, 0.9, 1.5, 10.4, 20.6, 3.4, 40, 5, 80, 2.0)], "refl_id int, dataset string, intensity double, variance double, partiality double, lp double, x_obs double, y_obs double, z_obs double, n_bg long, n_fg long, bg_sum long, mean double")
+    out = R.integrated_table(sums, predicted, (40, 50, 60, 90, 90, 90))
+    R.write_reflections(out, str(tmp_path / "integrated"), R.INTEGRATED)
+    (row,) = R.read_reflections(spark, str(tmp_path / "integrated")).collect()
+    assert (row["id"], row["x_px"], row["flags"], row["bg_sum"], row["dataset"]) == (7, 10.4, R.FLAG["predicted"] | R.FLAG["integrated_sum"], 80.0, "run1")
+    assert row["d"] == pytest.approx(1 / np.sqrt(1 / 40**2 + 4 / 60**2)) and row["s1"]["y"] == 0.1
+    seen = rays.withColumns({"lsq": F.when(F.col("h") == 1, 0.01), "flags": F.lit(R.FLAG["indexed"] | R.FLAG["strong"]), "rlp": F.col("s1")})
+    indexed = R.indexed_table(seen, id=F.col("n"))
+    assert tuple(indexed.columns) == R.INDEXED and {r["id"]: r["flags"] for r in indexed.collect()} == {7: R.FLAG["indexed"] | R.FLAG["strong"], 8: R.FLAG["strong"]}
