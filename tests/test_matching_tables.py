@@ -1,5 +1,7 @@
 """Matching within a tolerance, reflection tables, voids of named datasets."""
 
+from math import log2
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -71,3 +73,13 @@ def test_tables_with_fixed_columns(spark, tmp_path):
 def test_a_fraction_of_a_size_is_exact(spark):
     sizes = spark.createDataFrame([(0, n, v) for n, v in enumerate([10, 30, 62, 63, 64, 90])], "dataset int, void int, size long")  # 0.7 * 90 is under 63 in doubles
     assert sorted(r["size"] for r in I.large_voids(sizes, ["dataset"], 0.7).collect()) == [64, 90]
+
+
+def test_scores_have_the_bits_of_their_formula(spark):
+    rows = [(n // 10, n, 25 + n % 7 / 9, 0.6 + n % 11 / 40, float(14000 + 37 * n)) for n in range(200)]
+    got = {r["candidate"]: r["score"] for r in I.scored(spark.createDataFrame(rows, "dataset int, candidate int, rmsd double, fraction double, volume double"), ["dataset"]).collect()}
+    for d, n, rmsd, fraction, volume in rows:
+        mine = [r for r in rows if r[0] == d]
+        assert got[n] == log2(rmsd) - min(log2(r[2]) for r in mine) + max(log2(r[3]) for r in mine) - log2(fraction) + log2(volume) - min(log2(r[4]) for r in mine)
+    odd = I.scored(spark.createDataFrame([(0, 1, 1.0, 0.0, 2.0), (0, 2, 1.0, None, 2.0)], "dataset int, candidate int, rmsd double, fraction double, volume double"), ["dataset"])
+    assert [(r["score"], r["rank"]) for r in odd.orderBy("candidate").collect()] == [(None, 1), (None, 2)]
