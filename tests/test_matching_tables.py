@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from brillouin.operators import indexing as I
-from brillouin.operators.matching import matched_within
+from brillouin.operators.matching import matched_within, nearest_within
 from brillouin.sources import tables as R
 
 ROW = "h int, id string, s1 struct<x: double, y: double, z: double>"
@@ -83,3 +83,10 @@ def test_scores_have_the_bits_of_their_formula(spark):
         assert got[n] == log2(rmsd) - min(log2(r[2]) for r in mine) + max(log2(r[3]) for r in mine) - log2(fraction) + log2(volume) - min(log2(r[4]) for r in mine)
     odd = I.scored(spark.createDataFrame([(0, 1, 1.0, 0.0, 2.0), (0, 2, 1.0, None, 2.0)], "dataset int, candidate int, rmsd double, fraction double, volume double"), ["dataset"])
     assert [(r["score"], r["rank"]) for r in odd.orderBy("candidate").collect()] == [(None, 1), (None, 2)]
+
+
+def test_two_rows_can_have_one_nearest(spark):
+    left = spark.createDataFrame([(1, "a1", (0.0, 0.0, 0.0)), (1, "a2", (0.1, 0.0, 0.0)), (1, "a3", (5.0, 0.0, 0.0)), (2, "a4", (0.0, 0.0, 0.0)), (None, "a5", (0.0, 0.0, 0.0)), (1, "a6", None)], ROW)
+    right = spark.createDataFrame([(1, "b2", (0.05, 0.0, 0.0)), (1, "b1", (0.05, 0.0, 0.0)), (1, "b3", (0.3, 0.0, 0.0)), (None, "b4", (0.0, 0.0, 0.0))], ROW).withColumnRenamed("id", "id_right")
+    got = nearest_within(left, right, ["h"], "s1", 0.25).collect()
+    assert sorted((r["h"], r["id"], r["id_right"], round(r["distance"], 9)) for r in got) == [(1, "a1", "b1", 0.05), (1, "a2", "b1", 0.05)]
