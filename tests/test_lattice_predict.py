@@ -179,3 +179,10 @@ def test_contest_of_runs_is_that_of_all_rows(spark):
     got = {r["id"]: r["lsq"] is not None for r in I.settle_duplicates(frame, ["dataset"]).collect()}
     want = I.contest(*(np.array([r[c] for r in rows]) for c in (0, 2, 3)))
     assert [got[k] for k in range(60)] == want.tolist() and 3 < sum(got.values()) < 40
+
+
+def test_steps_of_rays_are_not_copied_into_each_other(spark):
+    vector = "struct<x: double, y: double, z: double>"
+    rows = spark.createDataFrame([], f"a1 array<double>, a2 array<double>, s0_1 {vector}, s0_2 {vector}, image int, h int, k int, l int")
+    filters = [n for n in P.rotation_rays(rows, 2.0, F.col("image") * 0.1, F.lit(0.1))._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in n]
+    assert max(map(len, filters), default=0) < 2000
