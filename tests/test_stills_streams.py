@@ -155,6 +155,12 @@ def test_many_data_sets_are_kept_apart(spark):
     assert S.labelled(S.with_slices(strong), across_frames=True).select("spot").distinct().count() == 3
 
 
+def test_more_data_sets_than_two_to_the_fifteenth(spark):
+    strong = spark.range(33_000).select(F.col("id").alias("dataset"), F.explode(F.array(F.lit(0), F.lit(1))).alias("frame"), F.lit(5).alias("y"), F.lit(5).alias("x"), F.lit(9).cast("long").alias("value"))
+    for across, n in ((True, 33_000), (False, 66_000)):
+        assert S.labelled(S.with_slices(strong), across_frames=across).select("spot").distinct().count() == n
+
+
 def test_text_header_frames(spark, tmp_path):
     values = np.array([[1, 2, 300], [-1, 70_000, 5]], np.int64)
     data, last = b"", 0
