@@ -9,7 +9,7 @@ wrapper: blocks at that place, without the template texts and without what its m
 of HTML, and the parts of a page that `OTHER_WORDS` lists).  A page that does not have the place of its wrapper is read by its own varying text.
 
 Subtrees that are equal are aligned without a look inside.  Lists of children of up to `FULL` are aligned exactly; of longer ones equal ends first, and
-then within `BAND` places of the diagonal, so a page costs about its length.
+then within `BAND` places of the diagonal, twice as many and so on until no partner farther off can matter, so pages that are alike cost about their length.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from hashlib import blake2b
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +37,7 @@ CONSTANT, REVISION = 0.8, 0.5
 MANY = 6
 #: Counts that a task holds before it hands them on.
 HELD = 1 << 16
-#: Children that are aligned exactly, and places from the diagonal in longer lists; depth from which paths name elements by a digest.
+#: Children that are aligned without a band, and places from the diagonal that longer lists begin with; depth from which paths name elements by a digest.
 FULL, BAND, DEPTH = 32, 12, 128
 #: An element holds the article if it has this share of the varying text of the element around it.
 MOST = 0.7
@@ -221,7 +222,7 @@ class _Tree:
 class _Lists:
     """Which children of two nodes can be aligned: (i, [j, ...]) in order, without the equal ends."""
 
-    def __init__(self, a: _Tree, x: int, b: _Tree, y: int):
+    def __init__(self, a: _Tree, x: int, b: _Tree, y: int, band: int):
         self.left, self.right = a.children[x], b.children[y]
         n, m = len(self.left), len(self.right)
         self.head = self.tail = 0
@@ -231,6 +232,7 @@ class _Lists:
             while self.tail < min(n, m) - self.head and a.subtree[self.left[-1 - self.tail]] == b.subtree[self.right[-1 - self.tail]]:
                 self.tail += 1
         self.rows: list[tuple[int, list[int]]] = []
+        self.far: list[tuple[int, list[int]]] = []  # partners beyond the band
         n, m = n - self.head - self.tail, m - self.head - self.tail
         by_label: dict[str, list[int]] = defaultdict(list)
         for j in range(self.head, self.head + m):
@@ -239,22 +241,48 @@ class _Lists:
             found = by_label.get(a.label[self.left[i]], [])
             if max(n, m) > FULL:
                 at = self.head + (i - self.head) * m // max(n, 1)
-                found = found[bisect_left(found, at - BAND) : bisect_left(found, at + BAND + 1)]
+                low, high = bisect_left(found, at - band), bisect_left(found, at + band + 1)
+                if high - low < len(found):
+                    self.far.append((i, found[:low] + found[high:]))
+                found = found[low:high]
             if found:
                 self.rows.append((i, found))
 
+    def bound(self, a: _Tree, b: _Tree) -> float:
+        """No chain with a pair beyond the band is heavier than this."""
+        p, q = (np.array([t.weight[k] for k in side[self.head : len(side) - self.tail]]) for t, side in ((a, self.left), (b, self.right)))
+        before_p, before_q = np.concatenate([[0.0], p.cumsum()]), np.concatenate([[0.0], q.cumsum()])
+        most = 0.0
+        for i, js in self.far:
+            i, j = i - self.head, np.array(js) - self.head
+            around = np.minimum(before_p[i], before_q[j]) + np.minimum(before_p[-1] - before_p[i + 1], before_q[-1] - before_q[j + 1])
+            most = max(most, float((around + np.minimum(p[i], q[j])).max()))
+        return most
+
 
 def match(a: _Tree, b: _Tree) -> dict[int, int]:
-    """Simple tree matching: nodes of `a` and the nodes of `b` they are aligned with; equal texts align first."""
+    """Simple tree matching: nodes of `a` and the nodes of `b` they are aligned with; equal texts align first. The band of a long list grows until no
+    partner beyond it can be in a heavier alignment."""
+    bands: dict[tuple[int, int], int] = {}
+    while True:
+        pairs, narrow = _matched(a, b, bands)
+        if not narrow:
+            return pairs
+        bands |= {lists: 2 * bands.get(lists, BAND) for lists in narrow}
+
+
+def _matched(a: _Tree, b: _Tree, bands: dict[tuple[int, int], int]) -> tuple[dict[int, int], list[tuple[int, int]]]:
+    """The alignment within these bands, and the lists for which a wider band could give a heavier one."""
     if a.label[0] != b.label[0]:
-        return {}
+        return {}, []
+    narrow: list[tuple[int, int]] = []
     # pairs of nodes that can be aligned and have children to align, parents first
     lists: dict[tuple[int, int], _Lists] = {}
     todo = [(0, 0)]
     for x, y in todo:
         if a.subtree[x] == b.subtree[y] or not a.children[x] or not b.children[y]:
             continue
-        here = lists[x, y] = _Lists(a, x, b, y)
+        here = lists[x, y] = _Lists(a, x, b, y, bands.get((x, y), BAND))
         todo.extend((here.left[i], here.right[j]) for i, js in here.rows for j in js)
     below: dict[tuple[int, int], float] = {}  # weight of the children's alignment
     chains: dict[tuple[int, int], list[tuple[int, int]]] = {}
@@ -289,6 +317,8 @@ def match(a: _Tree, b: _Tree) -> dict[int, int]:
                 while stop < len(ends) and best[stop] <= w:
                     stop += 1
                 del ends[k + 1 : stop], best[k + 1 : stop], back[k + 1 : stop]
+        if here.far and here.bound(a, b) > (best[-1] if best else 0.0) + 1e-9:
+            narrow.append((x, y))
         n, m = len(here.left), len(here.right)
         chain = [(i, i) for i in range(here.head)] + [(n - 1 - t, m - 1 - t) for t in range(here.tail)]
         at = back[-1] if back else None
@@ -304,7 +334,7 @@ def match(a: _Tree, b: _Tree) -> dict[int, int]:
         x, y = open_pairs.pop()
         pairs[x] = y
         open_pairs.extend(zip(a.children[x], b.children[y], strict=True) if a.subtree[x] == b.subtree[y] else chains.get((x, y), ()))
-    return pairs
+    return pairs, narrow
 
 
 def _counts(page: Page, k: int, text: str, linked: int) -> bool:
@@ -479,8 +509,7 @@ def extract_text(pages: DataFrame, *, url_col: str = "url", html_col: str = "htm
     """All rows of `pages` with two more columns: the main text, and n_chars, its code points. `keep` names the columns that stay (None: all).
 
     Blocks are joined by a line feed; white space inside a block is one space; character references are decoded. Inside the slot that holds the article a text
-    goes only if at least MANY pages, and nearly all of the layout, have it at the same place; headings always stay. Children beyond FULL in a list are
-    aligned near the diagonal, so a long list that is shifted by more than BAND places can keep template texts.
+    goes only if at least MANY pages, and nearly all of the layout, have it at the same place; headings always stay.
 
     Defined cases: a null or empty page has an empty text; a null url, or one without a host, belongs to the host "";
     broken markup is closed where the next element ends it; repeated pages count once in a wrapper; an empty table gives an empty table;

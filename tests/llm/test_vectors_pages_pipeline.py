@@ -289,3 +289,13 @@ def test_pipeline_stages_of_awkward_rows(spark, tmp_path):
             assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in rows) == sorted(least.values())
         elif name == "mixing":
             assert all(r["taken"] == "t" and WORD.search(r["text"]) for r in rows)
+
+
+def test_long_lists_align_far_from_the_diagonal():
+    from brillouin.llm.wrapper import Page, _Tree, match
+
+    page = lambda *texts: _Tree(Page("<html><body><div>" + "".join(f"<p>{t}</p>" for t in texts) + "</div></body></html>"))
+    menu = [f"entry {n}" for n in range(60)]
+    a, b = page("a", *menu, *(f"x{n}" for n in range(20))), page("b", *(f"y{n}" for n in range(20)), *menu, "c")
+    pairs = match(a, b)
+    assert sum(a.text[k] == b.text[pairs[k]] for k in pairs if a.text[k].startswith("entry")) == 60
