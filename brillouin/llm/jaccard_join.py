@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import components, forest
-from .shared import Chunk, chunks, mixed, written
+from .shared import Chunk, chunks, mixed, tidied, written
 
 #: log2 of the least and most counter cells and of those on a page; characters of a corpus for a cell.
 LEAST_BITS, MOST_BITS, PAGE_BITS, CELL_CHARS = 20, 24, 14, 128
@@ -337,17 +337,17 @@ def _components(given: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """(id, n, component) of rows (id, text) whose ids are different or null."""
     spark = given.sparkSession
     bits = counter_bits(given, "text")
-    rows = written(given.mapInArrow(_signatures(n, bits), "id long, n long, s1 long, s2 long, page int, counts binary"))
+    rows = written(given.mapInArrow(tidied(_signatures(n, bits)), "id long, n long, s1 long, s2 long, page int, counts binary"))
     shared = spark.sparkContext.broadcast(_cell_ranks(rows, bits))
     sets = rows.where(F.col("page").isNull()).select("id", "n", "s1", "s2")
     real = sets.where("n > 0 AND id IS NOT NULL")
     groups = written(real.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("copies")))
     reps = groups.select(F.col("rep").alias("id"), F.col("n").cast("int").alias("size"))
 
-    entries = given.where("id IS NOT NULL").mapInArrow(_prefixes(n, num, den, bits, shared), "id long, size int, prefix array<long>").join(reps, ["id", "size"], "left_semi")
+    entries = given.where("id IS NOT NULL").mapInArrow(tidied(_prefixes(n, num, den, bits, shared)), "id long, size int, prefix array<long>").join(reps, ["id", "size"], "left_semi")
     entries = entries.select("id", "size", F.posexplode("prefix").alias("pos", "token"))
     lists = entries.select("token", "id", "size", "pos").repartition("token").sortWithinPartitions("token", "size", "pos", "id")
-    found = written(lists.mapInArrow(_lists(num, den), "a long, b long, family boolean").distinct())
+    found = written(lists.mapInArrow(tidied(_lists(num, den)), "a long, b long, family boolean").distinct())
 
     # texts are read once for all candidates, which are representatives
     pairs = found.where("NOT family").select("a", "b")
@@ -366,7 +366,7 @@ def _components(given: DataFrame, n: int, num: int, den: int) -> DataFrame:
 def _pair_links(pairs: DataFrame, involved: DataFrame, n: int, num: int, den: int) -> DataFrame:
     one = pairs.join(involved.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     two = one.join(involved.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-    return two.select("a", "b", "text_a", "text_b").mapInArrow(_verified(n, num, den), "a long, b long")
+    return two.select("a", "b", "text_a", "text_b").mapInArrow(tidied(_verified(n, num, den)), "a long, b long")
 
 
 def _family_forests(member: DataFrame, involved: DataFrame, reps: DataFrame, n: int, num: int, den: int) -> DataFrame:

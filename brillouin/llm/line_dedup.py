@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Chunk, by_chunk, chunks, mixed, own_names, with_columns, without, written
+from .shared import Chunk, by_chunk, chunks, mixed, own_names, tidied, with_columns, without, written
 
 #: Cells of each Bloom filter for a key, log2 of the least and most cells, cells that a key takes, log2 of the cells of a page.
 CELLS_A_KEY, LEAST_BITS, MOST_BITS, BLOOM_CELLS, PAGE_BITS = 4, 20, 30, 2, 18
@@ -139,7 +139,7 @@ def seen_twice(docs: DataFrame, text: str = "text", min_chars: int = 20, bits: i
     """
     bits = filter_bits(docs, text, min_chars) if bits is None else bits
     size = _page_bytes(bits)
-    pages = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(_filters("text", min_chars, bits), _PAGE)
+    pages = docs.select(F.col(text).cast("string").alias("text")).mapInArrow(tidied(_filters("text", min_chars, bits)), _PAGE)
     salted = pages.groupBy("page", (F.spark_partition_id() % 16).alias("salt")).applyInArrow(_merging(size), _PAGE)
     out = np.zeros((1 << bits) // 8, np.uint8)
     for page in salted.groupBy("page").applyInArrow(_merging(size), _PAGE).select("page", "twice").toLocalIterator():

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import chunks
+from .shared import chunks, tidied
 from .tokenizing import word_ids
 
 #: Ids that a cut costs at a sentence end, inside a sentence, and ids of a block.
@@ -184,4 +184,4 @@ def pack_sequences(docs: DataFrame, *, tokenizer: str, id_col: str = "doc_id", t
             yield from rows(True)
 
     schema = f"`{id_col}` {kind.simpleString()}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, schema)
+    return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(tidied(run), schema)

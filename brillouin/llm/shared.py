@@ -7,6 +7,9 @@ bytes, so memory is bounded by the chunk or by the longest single text.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
 import os
 from collections.abc import Callable, Iterator
 
@@ -16,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..plans.scratch import written
 
-__all__ = ["Chunk", "by_chunk", "chunks", "lists", "mixed", "own_names", "table", "with_columns", "without", "written"]
+__all__ = ["Chunk", "by_chunk", "chunks", "lists", "mixed", "own_names", "table", "tidied", "with_columns", "without", "written"]
 
 #: Bytes of text that are worked on at a time.
 CHUNK_BYTES = 1 << 20
@@ -154,6 +157,27 @@ def chunks(texts: pa.Array) -> Iterator[Chunk]:
         at = to
 
 
+def give_back() -> None:
+    """Returns freed memory to the system, power tables included: Python workers outlive their task, and their allocators keep what was freed."""
+    _powers[:] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not the GNU library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """A function for mapInArrow that gives memory back at the end of each task."""
+
+    @functools.wraps(run)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return work
+
+
 def by_chunk(work: Callable[[Chunk, pa.RecordBatch], pa.RecordBatch | None], text: str) -> Callable:
     """A function for mapInArrow: `work` gets each chunk of the column `text` with the rows it came from."""
 
@@ -164,7 +188,7 @@ def by_chunk(work: Callable[[Chunk, pa.RecordBatch], pa.RecordBatch | None], tex
                 if out is not None:
                     yield out
 
-    return run
+    return tidied(run)
 
 
 def with_columns(batch: pa.RecordBatch, **columns: pa.Array | np.ndarray) -> pa.RecordBatch:

@@ -583,3 +583,20 @@ def test_toxicity_held_out(spark):
     t = y[got["held_out"] & y.notna()].to_numpy() == 1
     assert (held["predicted"][t] == 1).mean() > 0.95 and (held["predicted"][~t] == 1).mean() < 0.02
     assert got["score"].between(0, 1).all() and (got["predicted"] == (got["score"] >= 0.7)).all() and got.loc[[5000, 5001], "predicted"].sum() == 0
+
+
+def test_tasks_give_their_memory_back():
+    import pyarrow as pa
+
+    from brillouin.llm import shared
+
+    batch = pa.RecordBatch.from_pydict({"text": ["one two", None, "three"]})
+    held = []
+
+    def work(chunk, rows):
+        chunk.hashes(*chunk.words()[:2])
+        held.append(len(shared._powers[0]))
+        return rows
+
+    assert [b.to_pydict() for b in shared.by_chunk(work, "text")(iter([batch, batch]))] == [batch.to_pydict()] * 2
+    assert held == [shared.CHUNK_BYTES + 1] * 2 and [len(p) for p in shared._powers] == [1, 1]
