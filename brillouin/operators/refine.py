@@ -105,8 +105,8 @@ class Model:
     def setting(self) -> np.ndarray:
         return self.orientation @ self.shape
 
-    def predicted(self, rows: pd.DataFrame) -> np.ndarray:
-        """x mm, y mm and phi of each row: the solution of its `entering`, at the turn nearest the observed phi; NaN without one."""
+    def _met(self, rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Reciprocal point, phi and diffracted ray of each row: the solution of its `entering`, at the turn nearest the observed phi; NaN without one."""
         r = rows[["h", "k", "l"]].to_numpy(float) @ self.setting.T
         along = r @ self.axis
         across = r - along[:, None] * self.axis
@@ -124,8 +124,13 @@ class Model:
             phi = np.where(first, both[0][0], both[1][0])
             s1 = np.where(first[:, None], both[0][1], both[1][1])
             seen = rows["phi"].to_numpy(float)
-            phi = seen + np.mod(phi - seen + np.pi, 2 * np.pi) - np.pi
-            normal = np.cross(self.fast, self.slow)
+            return r, seen + np.mod(phi - seen + np.pi, 2 * np.pi) - np.pi, s1
+
+    def predicted(self, rows: pd.DataFrame) -> np.ndarray:
+        """x mm, y mm and phi of each row."""
+        _, phi, s1 = self._met(rows)
+        normal = np.cross(self.fast, self.slow)
+        with np.errstate(invalid="ignore", divide="ignore"):
             hit = s1 * (self.origin @ normal / (s1 @ normal))[:, None] - self.origin
         return np.stack([hit @ self.fast, hit @ self.slow, phi], 1)
 
@@ -140,12 +145,55 @@ def _turn(axis: np.ndarray, angle: float) -> np.ndarray:
 
 
 def gradients(model: Model, p: np.ndarray, rows: pd.DataFrame, free: tuple[int, ...] = FREE) -> np.ndarray:
-    """Derivative of each residual by each free parameter, by central differences; others are 0. Shape: rows, 3, N."""
+    """Derivative of each residual by each free parameter; others are 0. Shape: rows, 3, N.
+
+    Setting matrix, beam and panel are differentiated by the parameters once a model (central differences), residuals by these in closed form, since phi follows
+    from r.r / 2 + (R r).s0 = 0: no parameter costs a prediction of all rows.
+    """
     out = np.zeros((len(rows), 3, N))
+    now = model.at(p)
+    r, phi, s1 = now._met(rows)
+    axis, fast, slow, origin = now.axis, now.fast, now.slow, now.origin
+    normal = np.cross(fast, slow)
+    cos, sin = np.cos(phi)[:, None], np.sin(phi)[:, None]
+
+    def back(v: np.ndarray) -> np.ndarray:
+        """Turned by -phi about the axis."""
+        along = (v @ axis)[..., None] * axis
+        return along + (v - along) * cos - np.cross(axis, v) * sin
+
+    rho = s1 - now.s0
+    tangent = np.cross(axis, rho)
+    speed = (tangent @ now.s0)[:, None]
+    by_r, by_s0 = (r + back(now.s0[None])) / speed, rho / speed  # minus phi's derivatives
+    depth = s1 @ normal
+    scale = origin @ normal / depth
+    to_r, to_s0, share = [], [], []
+    for v in (fast, slow):
+        q = s1 @ v / depth
+        g = scale[:, None] * (v - q[:, None] * normal)
+        turn = (g * tangent).sum(1)[:, None]
+        to_r.append(back(g) - turn * by_r)
+        to_s0.append(g - turn * by_s0)
+        share.append(q)
+    to_r, to_s0 = np.stack([*to_r, -by_r], 1), np.stack([*to_s0, -by_s0], 1)
+    hkl = rows[["h", "k", "l"]].to_numpy(float)
+    to_setting = (to_r[..., None] * hkl[:, None, None, :]).reshape(len(rows), 3, 9)
     for k in free:
         step = np.zeros(N)
         step[k] = 1e-4 * max(1.0, abs(p[k]) * 1e-2) if k != 2 else 1e-6
-        out[:, :, k] = (model.at(p + step).predicted(rows) - model.at(p - step).predicted(rows)) / (2 * step[k])
+        above, below = model.at(p + step), model.at(p - step)
+        change = lambda f: (f(above) - f(below)) / (2 * step[k])  # noqa: B023, E731
+        if k < 3:
+            out[:, :, k] = to_s0 @ change(lambda m: m.s0)
+        elif k < 12:
+            out[:, :, k] = to_setting @ change(lambda m: m.setting.ravel())
+        else:
+            turned = s1 @ change(lambda m: np.cross(m.fast, m.slow))
+            reach = change(lambda m: m.origin @ np.cross(m.fast, m.slow))
+            for n, name in enumerate(("fast", "slow")):
+                moved = s1 @ change(lambda m: getattr(m, name))  # noqa: B023
+                out[:, n, k] = share[n] * reach + scale * (moved - share[n] * turned) - change(lambda m: m.origin @ getattr(m, name))  # noqa: B023
     return out
 
 

@@ -41,7 +41,7 @@ def indexed(spots: DataFrame, settings: DataFrame, key: list[str], tolerance: fl
     inverse = settings.withColumn("__inverse", V.matrix(V.inverse(F.col("setting")))).drop("setting")
     rows = spots.select("dataset", "id", "phi", "rlp").join(inverse, "dataset")
     rows = I.with_indices(rows, V.parts(F.col("rlp")), None, tolerance, inverse=F.col("__inverse")).select(*key, "id", "phi", "h", "k", "l", "lsq")
-    return I.settle_duplicates(rows, key)
+    return I.settle_duplicates(written(rows), key)  # as a table, since a filter on lsq would work out all indices in it again
 
 
 def absence_patterns(rows: DataFrame, key: list[str], threshold: float = 0.9) -> DataFrame:

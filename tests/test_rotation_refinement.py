@@ -161,3 +161,49 @@ def test_samples_do_not_rank_whole_groups(spark):
     for r in got:
         assert set(r["ids"]) == set(sorted(range(r["dataset"], 5000, 3), key=lambda k: hashlib.md5(f"43:{k}".encode()).hexdigest())[:40])
     assert least_rows(rows, ["dataset"], [F.col("id")], F.lit(7)).agg(F.max("id")).first()[0] == 20
+
+
+def test_gradients_predict_no_row_again(monkeypatch):
+    import numpy as np
+    import pandas as pd
+
+    from brillouin.operators.refine import N, Model, gradients
+
+    rng = np.random.default_rng(3)
+    rows = pd.DataFrame({c: rng.integers(-9, 10, 200).astype(float) for c in "hkl"}).assign(x_mm=0.0, y_mm=0.0, phi=rng.uniform(0, 6, 200), entering=rng.random(200) < 0.5)
+    base = Model.of(np.linalg.inv(np.array([[40.0, 1, 0], [0, 50, 2], [1, 0, 60]])), s0=np.array([0.01, 0.02, -1.0]), axis=np.array([1.0, 0, 0]), fast=np.array([1.0, 0, 0]), slow=np.array([0, -1.0, 0]), origin=np.array([-150.0, 150, -200]), centre=(150.0, 150.0))
+    p = base.parameters() + np.where(np.isin(np.arange(N), (2, *range(6, 12))), 0, 0.3)
+    middle = base.at(p)._met(rows)
+    speed = np.abs(np.cross(base.axis, middle[2] - base.at(p).s0) @ base.at(p).s0)
+    rows = rows[np.isfinite(base.at(p).residuals(rows)).all(1) & (speed > 0.02)]
+    want = np.zeros((len(rows), 3, N))
+    for k in range(N):
+        step = np.zeros(N)
+        step[k] = 1e-6 if k == 2 else 1e-4
+        want[:, :, k] = (base.at(p + step).predicted(rows) - base.at(p - step).predicted(rows)) / (2 * step[k])
+    monkeypatch.setattr(Model, "predicted", None)
+    got = gradients(base, p, rows, tuple(range(N)))
+    assert len(rows) > 50 and (np.abs(got - want) <= 1e-4 * np.abs(want).max(0) + 1e-9).all()
+
+
+def test_contests_of_many_indices_are_those_of_one(spark):
+    import numpy as np
+
+    from brillouin.operators import indexing as I
+
+    rng = np.random.default_rng(4)
+    rows = [(1, i, float(rng.uniform(0, 6)), *(3 * [int(k)]), float(d) / 9) for i, (k, d) in enumerate(zip(rng.integers(1, 9, 300), rng.integers(0, 9, 300), strict=True))] + [(1, 300, None, 1, 1, 1, 0.0), (1, 301, 1.0, 0, 0, 0, None)]
+    given = spark.createDataFrame(rows, "dataset int, id long, phi double, h int, k int, l int, lsq double").repartition(3)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)  # runs go on in the next batch
+        plan = I.settle_duplicates(given, ["dataset"])
+        got = {r["id"]: r for r in plan.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(got) == 302 and "FlatMapGroups" not in plan._jdf.queryExecution().toString()
+    for k in range(1, 9):
+        own = [r for r in rows if r[3] == k]
+        keep = I.contest(*(np.array([r[c] for r in own], float) for c in (1, 2, 6)))
+        assert [got[r[1]]["h"] == k for r in own] == keep.tolist() == [got[r[1]]["lsq"] is not None for r in own]
+    assert got[301]["lsq"] is None
