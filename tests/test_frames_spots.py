@@ -115,3 +115,20 @@ def test_scans_and_stills_in_one_table(spark):
     frames = spark.createDataFrame([("still", 0), ("still", 9), ("still", 9), ("scan", 0)], "dataset string, frame int")
     assert sorted(map(tuple, S.still_counts(frames, strong, found, widths).collect())) == [("still", 0, 2, 1), ("still", 9, 0, 0)]
     assert S.found_spots(strong.where("false"), widths).count() == 0
+
+
+def test_pixel_rows_need_no_table_of_dense_frames(spark):
+    import numpy as np
+
+    from brillouin.operators import threshold as T
+
+    rng = np.random.default_rng(5)
+    rows = [(d, f, y, x, int(rng.poisson(3)) + 60 * (rng.random() < 0.03)) for d in range(2) for f in range(3) for y in range(20) for x in range(17) if rng.random() < 0.9]
+    pixels = spark.createDataFrame(rows, "dataset int, frame int, y int, x int, value long")
+    valid = np.arange(20)[:, None] % 7 + np.arange(17)[None] % 5 > 0
+    frames = T.dense_frames(pixels, 20, 17, valid)
+    for extended in (False, True):
+        for dense, at_once in ((T.strong_counts_dense, T.strong_counts_of), (T.strong_pixels_dense, T.strong_pixels_of)):
+            found = at_once(pixels, 20, 17, valid, tile=8, extended=extended, n_sig_b=1.0)
+            assert sorted(found.collect()) == sorted(dense(frames, tile=8, extended=extended, n_sig_b=1.0).collect()) != []
+            assert "MapInArrow" not in found._jdf.queryExecution().toString()
